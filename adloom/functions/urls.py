@@ -124,30 +124,45 @@ def _without_dots(p: Column) -> Column:
     return F.when(p.rlike(r"(^|/)\.{1,2}(/|$)"), joined).otherwise(p)
 
 
-def resolve_url(href: Column, base: Column) -> Column:
-    """Absolute form of `href` as found on page `base`; NULL if it cannot be resolved to a web URL."""
+def base_parts(base: Column) -> Column:
+    """What resolving needs to know about the page URL, worked out once per page."""
+    return F.struct(
+        scheme(base).alias("scheme"), origin(base).alias("origin"), path(base).alias("path"), query(base).alias("query")
+    )
+
+
+def resolve_against(href: Column, b: Column) -> Column:
     h = F.regexp_replace(href, r"^\s+|\s+$", "")
-    rel_path, rel_tail = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
-    directory = F.regexp_replace(path(base), r"[^/]*$", "")
+    directory = F.regexp_replace(b["path"], r"[^/]*$", "")
     joined = (
         F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), h)
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None))
-        .when(h.startswith("//"), F.concat(scheme(base), F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin(base), h))
-        .when(h.startswith("?"), F.concat(origin(base), path(base), h))
-        .when((h == "") | h.startswith("#"), F.concat(origin(base), path(base), query(base), h))
-        .otherwise(F.concat(origin(base), directory, rel_path, rel_tail))
+        .when(h.startswith("//"), F.concat(b["scheme"], F.lit(":"), h))
+        .when(h.startswith("/"), F.concat(b["origin"], h))
+        .when(h.startswith("?"), F.concat(b["origin"], b["path"], h))
+        .when((h == "") | h.startswith("#"), F.concat(b["origin"], b["path"], b["query"], h))
+        .otherwise(F.concat(b["origin"], directory, h))
     )
-    return let(
-        joined,
-        lambda j: F.when(
-            is_absolute(j),
-            F.concat(
-                origin(j), percent_encoded(_without_dots(path(j))), query(j), F.coalesce(grab(j, r"(#.*)$"), F.lit(""))
-            ),
-        ),
+
+    def finish(j: Column) -> Column:
+        fragment = F.coalesce(grab(j, r"(#.*)$"), F.lit(""))
+        clean_path = percent_encoded(_without_dots(path(j)))
+        return F.when(is_absolute(j), F.concat(origin(j), clean_path, query(j), fragment))
+
+    # most links are plain paths from the root: nothing to rewrite
+    return F.when(h.rlike(r"^/[A-Za-z0-9_~%+=&,;:@!$'()*-][A-Za-z0-9_~%+=&,;:@!$'()*/-]*$"), F.concat(b["origin"], h)).otherwise(
+        let(joined, finish)
     )
 
 
+def resolve_url(href: Column, base: Column) -> Column:
+    """Absolute form of `href` as found on page `base`; NULL if it cannot be resolved to a web URL."""
+    return let(base_parts(base), lambda b: resolve_against(href, b))
+
+
+def resolve_all(hrefs: Column, base: Column) -> Column:
+    return let(base_parts(base), lambda b: F.transform(hrefs, lambda h: resolve_against(h, b)))
+
+
 def route_label(label: Column, u: Column, site: SiteProfile) -> Column:
     return F.coalesce(null_if_empty(label), F.when(is_detail_url(u, site), "DETAIL").otherwise("LISTING"))
