@@ -217,7 +217,7 @@ def hrefs(html: Column) -> Column:
 
 def next_tag(tokens: Column, pos: Column) -> Column:
     """First tag token after a position: an opening one is the next sibling, a closing one ends the parent."""
-    return first_where(tokens, lambda t: (t["pos"] > pos) & t["tag"].isNotNull())
+    return let(pos, lambda p: first_where(tokens, lambda t: (t["pos"] > p) & t["tag"].isNotNull()))
 
 
 _LABEL_TAGS = ["span", "p", "div", "label", "td", "th", "dt", "h5", "h6", "small"]
@@ -280,10 +280,13 @@ def label_value_grid(tokens: Column) -> Column:
 def grid_fields(grid: Column) -> Column:
     """The grid as a struct; the first value of a field wins."""
 
-    def pick(field: str) -> Column:
-        return first_where(grid, lambda p: p["field"] == field)["value"].alias(field)
+    def fields(g: Column) -> Column:
+        def pick(field: str) -> Column:
+            return first_where(g, lambda p: p["field"] == field)["value"].alias(field)
 
-    return F.struct(*[pick(f) for f in dict.fromkeys(vocab.GRID_LABELS.values())])
+        return F.struct(*[pick(f) for f in dict.fromkeys(vocab.GRID_LABELS.values())])
+
+    return let(grid, fields)
 
 
 _HEADINGS = ["h2", "h3", "h4", "h5", "b", "strong"]
@@ -311,20 +314,21 @@ def section_items(tokens: Column, heading: str) -> Column:
 
         def choose(beside: Column) -> Column:
             # next element with children, else the element after the parent
-            own = F.when(~beside["close"], span(tokens, beside))
+            return let(F.when(~beside["close"], span(tokens, beside)), lambda own: pick(beside, own))
+
+        def pick(beside: Column, own: Column) -> Column:
             has_children = F.exists(inside(tokens, own), lambda t: t["tag"].isNotNull() & ~t["close"])
-            after_own = F.when(beside["close"], beside["pos"]).otherwise(
-                let(next_tag(tokens, own["to"]), lambda n: F.when(n["close"], n["pos"]))
-            )
-            beside_parent = let(
-                next_tag(tokens, after_own), lambda n: F.when(~n["close"], span(tokens, n))
-            )
+            after_own = let(next_tag(tokens, own["to"]), lambda n: F.when(n["close"], n["pos"]))
+            parent_end = F.when(beside["close"], beside["pos"]).otherwise(after_own)
+            beside_parent = let(next_tag(tokens, parent_end), lambda n: F.when(~n["close"], span(tokens, n)))
             return F.when(F.coalesce(has_children, F.lit(False)), own).otherwise(beside_parent)
 
         return let(next_tag(tokens, end), choose)
 
     def items(box: Column) -> Column:
-        part = inside(tokens, box)
+        return let(inside(tokens, box), item_texts)
+
+    def item_texts(part: Column) -> Column:
         marked = F.filter(part, lambda t: ~t["close"] & ((t["tag"] == "li") | _any_class(t, _ITEM_CLASSES)))
         texts = F.when(F.size(marked) > 0, F.transform(marked, lambda o: element_text(tokens, o, lines_of))).otherwise(
             F.transform(F.filter(part, lambda t: t["tag"].isNull()), lambda t: strip_ws(t["text"]))
@@ -452,10 +456,16 @@ def photos_from_html(tokens: Column) -> Column:
     """Photo URLs of the first gallery on the page that yields any; sections about other ads are left out."""
 
     def within(foreign: Column) -> Column:
-        own = F.filter(tokens, lambda t: ~t["close"] & t["tag"].isNotNull() & ~_covered(foreign, t["pos"]))
-        links = F.transform(F.filter(own, lambda t: t["tag"] == "a"), lambda a: F.struct(
-            a["pos"].alias("from"), element_end(tokens, a).alias("to"), attr(a["attrs"], "href").alias("href")))
-        return let(links, lambda ls: shots(own, ls))
+        opened = F.filter(tokens, lambda t: ~t["close"] & t["tag"].isNotNull() & ~_covered(foreign, t["pos"]))
+        return let(opened, lambda own: let(links_of(own), lambda ls: shots(own, ls)))
+
+    def links_of(own: Column) -> Column:
+        return F.transform(
+            F.filter(own, lambda t: t["tag"] == "a"),
+            lambda a: F.struct(
+                a["pos"].alias("from"), element_end(tokens, a).alias("to"), attr(a["attrs"], "href").alias("href")
+            ),
+        )
 
     def shots(own: Column, links: Column) -> Column:
         def of_image(t: Column) -> Column:

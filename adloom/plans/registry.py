@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adloom.session import without_call_sites
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(key: str, oracle: str | None = None):
     def register(fn):
-        QUERIES[key] = fn
+        def run(spark, sf_dir):
+            without_call_sites(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if oracle is not None:
             ORACLES[key] = oracle
         return fn

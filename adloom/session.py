@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_MAX_ROWS = 500_000
 
 
+# PySpark's call-site capture costs some twenty JVM calls per column operation; our expressions are large
+CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
+
+
 def build_session(master: str | None = None, app: str = "adloom", **conf) -> SparkSession:
     """A session with the settings the library is tuned for; `conf` overrides."""
     settings = {
@@ -20,6 +24,7 @@ def build_session(master: str | None = None, app: str = "adloom", **conf) -> Spa
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        CALL_SITES: "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)
@@ -30,6 +35,12 @@ def build_session(master: str | None = None, app: str = "adloom", **conf) -> Spa
     return builder.getOrCreate()
 
 
+def without_call_sites(spark: SparkSession) -> None:
+    """Switch call-site capture off in a session that somebody else built."""
+    if spark.conf.get(CALL_SITES, "true") != "false":
+        spark.conf.set(CALL_SITES, "false")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, or a new local one if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
