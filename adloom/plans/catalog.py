@@ -1,6 +1,6 @@
 """Everything that is registered: importing the plan modules fills the registry."""
 
-from adloom.plans import listings, pages, records, scalars, urls
+from adloom.plans import geo, listings, pages, records, scalars, urls
 from adloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
