@@ -118,7 +118,8 @@ def fallback_listing_links(spark, d):
     return L.fallback_listing_links(grown, seen, ADS_SITE)
 
 
-_HIST_SEEN = "scraped_at < TIMESTAMP '1998-01-01'"
+# the state of the first months: pages fetched, ads saved
+FIRST_MONTHS = "scraped_at < TIMESTAMP '1995-03-15'"
 
 
 @query(
@@ -126,13 +127,13 @@ _HIST_SEEN = "scraped_at < TIMESTAMP '1998-01-01'"
     with_fixtures("f_hist")
     + f""", k AS (SELECT *, 'https://ads.example.com/flat_rentals_town-nj_' || CAST(ad_id AS VARCHAR) AS page_key FROM f_hist)
 SELECT page_key, ad_id, scraped_at, run_seq, pos, payload, url FROM k
-WHERE NOT {_HIST_SEEN} AND ad_id NOT IN (SELECT ad_id FROM f_hist WHERE {_HIST_SEEN} AND ad_id % 2 = 0)
-  AND page_key NOT IN (SELECT page_key FROM k WHERE {_HIST_SEEN} AND ad_id % 3 = 0)
+WHERE NOT {FIRST_MONTHS} AND ad_id NOT IN (SELECT ad_id FROM f_hist WHERE {FIRST_MONTHS} AND metro = 'F')
+  AND page_key NOT IN (SELECT page_key FROM k WHERE {FIRST_MONTHS} AND locality = 'R')
 QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY scraped_at, run_seq, pos, payload, url) = 1""",
 )
 def frontier_dedup(spark, d):
     hist = fixture(spark, d, "f_hist")
-    old, new = hist.where("scraped_at < TIMESTAMP_NTZ '1998-01-01'"), hist.where("scraped_at >= TIMESTAMP_NTZ '1998-01-01'")
-    return L.frontier_dedup(
-        new, old.where("ad_id % 3 = 0"), old.where("ad_id % 2 = 0"), ADS_SITE, ["scraped_at", "run_seq", "pos", "payload"]
-    )
+    early = F.col("scraped_at") < F.expr("TIMESTAMP_NTZ '1995-03-15'")
+    old, new = hist.where(early), hist.where(~early)
+    order = ["scraped_at", "run_seq", "pos", "payload"]
+    return L.frontier_dedup(new, old.where("locality = 'R'"), old.where("metro = 'F'"), ADS_SITE, order)

@@ -96,6 +96,14 @@ def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/v={versions[-1]}")
 
 
+def read_snapshot_before(spark: SparkSession, path: str, schema: str, version: int) -> DataFrame:
+    """Newest complete version older than `version`, or an empty table."""
+    older = [v for v in _versions(spark, path) if v < version]
+    if not older:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/v={older[-1]}")
+
+
 def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
     """Write the next (or the named) version; naming it makes a replay idempotent."""
     if version is None:
