@@ -170,8 +170,9 @@ def at_path(raw: Column, path: Column) -> Column:
 
 def alias_value(roots: dict[str, Column], aliases: list[tuple[str, str]], default: str | None = None) -> Column:
     """First non-empty value among `(root, path)` aliases, as text."""
-    found = [null_if_empty(F.try_variant_get(roots[root], path, "string")) for root, path in aliases]
-    return F.coalesce(*found, F.lit(default)) if default is not None else F.coalesce(*found)
+    candidates = F.array(*[F.try_variant_get(roots[root], path, "string") for root, path in aliases])
+    found = first_where(candidates, lambda v: v != "")
+    return F.coalesce(found, F.lit(default)) if default is not None else found
 
 
 # ---- photos and amenities in the ad object --------------------------------------------------

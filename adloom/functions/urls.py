@@ -85,11 +85,17 @@ def api_endpoint(u: Column) -> Column:
 
 
 def normalize_url(u: Column, site: SiteProfile | None = None) -> Column:
-    """Identity of a page: no query, fragment or final slash. Listing pages keep their page number."""
-    bare = F.regexp_replace(F.concat(origin(u), percent_encoded(path(u))), "/$", "")
+    """Identity of a page: no query, fragment or final slash. Listing pages keep their page number.
+
+    Two regex passes for ordinary URLs; the listing test runs only where the text has a page number at all.
+    """
+    head = F.lower(F.regexp_extract(u, r"^[^:/?#]+://[^/?#]+", 0))
+    rest = percent_encoded(F.regexp_extract(u, r"^[^:/?#]+://[^/?#]+([^?#]*)", 1))
+    bare = F.concat(head, F.when(rest.endswith("/"), F.left(rest, F.length(rest) - 1)).otherwise(rest))
     if site is not None:
         number = grab(query(u), r"[?&](page=\d+)")
-        bare = F.when(is_listing_url(u, site) & number.isNotNull(), F.concat(bare, F.lit("?"), number)).otherwise(bare)
+        numbered = F.contains(u, F.lit("page=")) & is_listing_url(u, site) & number.isNotNull()
+        bare = F.when(numbered, F.concat(bare, F.lit("?"), number)).otherwise(bare)
     return F.when(is_absolute(u), bare).otherwise(u)
 
 
@@ -132,17 +138,17 @@ def base_parts(base: Column) -> Column:
 
 
 def resolve_against(href: Column, b: Column) -> Column:
-    h = F.regexp_replace(href, r"^\s+|\s+$", "")
-    directory = F.regexp_replace(b["path"], r"[^/]*$", "")
-    joined = (
-        F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), h)
-        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None))
-        .when(h.startswith("//"), F.concat(b["scheme"], F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(b["origin"], h))
-        .when(h.startswith("?"), F.concat(b["origin"], b["path"], h))
-        .when((h == "") | h.startswith("#"), F.concat(b["origin"], b["path"], b["query"], h))
-        .otherwise(F.concat(b["origin"], directory, h))
-    )
+    def join(h: Column) -> Column:
+        directory = F.regexp_replace(b["path"], r"[^/]*$", "")
+        return (
+            F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), h)
+            .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None))
+            .when(h.startswith("//"), F.concat(b["scheme"], F.lit(":"), h))
+            .when(h.startswith("/"), F.concat(b["origin"], h))
+            .when(h.startswith("?"), F.concat(b["origin"], b["path"], h))
+            .when((h == "") | h.startswith("#"), F.concat(b["origin"], b["path"], b["query"], h))
+            .otherwise(F.concat(b["origin"], directory, h))
+        )
 
     def finish(j: Column) -> Column:
         fragment = F.coalesce(grab(j, r"(#.*)$"), F.lit(""))
@@ -150,14 +156,16 @@ def resolve_against(href: Column, b: Column) -> Column:
         return F.when(is_absolute(j), F.concat(origin(j), clean_path, query(j), fragment))
 
     # most links are plain paths from the root: nothing to rewrite
-    return F.when(h.rlike(r"^/[A-Za-z0-9_~%+=&,;:@!$'()*-][A-Za-z0-9_~%+=&,;:@!$'()*/-]*$"), F.concat(b["origin"], h)).otherwise(
-        let(joined, finish)
+    plain = r"^/[A-Za-z0-9_~%+=&,;:@!$'()*-][A-Za-z0-9_~%+=&,;:@!$'()*/-]*$"
+    return let(
+        F.regexp_replace(href, r"^\s+|\s+$", ""),
+        lambda h: F.when(h.rlike(plain), F.concat(b["origin"], h)).otherwise(let(join(h), finish)),
     )
 
 
 def resolve_url(href: Column, base: Column) -> Column:
     """Absolute form of `href` as found on page `base`; NULL if it cannot be resolved to a web URL."""
-    return let(base_parts(base), lambda b: resolve_against(href, b))
+    return let(href, lambda h: let(base_parts(base), lambda b: resolve_against(h, b)))
 
 
 def resolve_all(hrefs: Column, base: Column) -> Column:

@@ -13,6 +13,7 @@ from adloom.functions import jsonx as J
 from adloom.functions import urls as U
 from adloom.functions.text import first_where, let, null_if_empty, squeeze_ws, strip_ws, truncate_text
 from adloom.operators.ranking import first_n, first_per_key
+from adloom.session import checkpointed
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -61,8 +62,8 @@ def next_page_url(html: Column, state: Column, base: Column, site: U.SiteProfile
 
     def control(ls: Column) -> Column:
         by_rel = first_where(ls, lambda a: a.rlike(r"""(?i)^<a\s[^>]*\brel\s*=\s*["']?next["'\s>]""") & href(a).isNotNull())
-        by_name = first_where(ls, lambda a: F.lower(name(a)).isin("»", "next") & href(a).isNotNull())
-        return href(F.coalesce(by_rel, by_name))
+        by_name = first_where(ls, lambda a: a.rlike("(?i)next|»|&raquo;") & F.lower(name(a)).isin("»", "next") & href(a).isNotNull())
+        return let(F.coalesce(by_rel, by_name), href)
 
     def in_domain(u: Column) -> Column:
         return F.when(U.same_domain(u, site.domain), u)
@@ -132,6 +133,8 @@ def pagination_stop(
     NULL means: fetch `next_url`. Progress per listing is the number of distinct ads found on its pages
     so far; distinct in two steps, so a listing of any size spreads over all tasks.
     """
+    # links come out of HTML: extract them once, then read the small table three times
+    listings = checkpointed(listings)
     found = listings.select("listing", F.explode("detail_urls").alias("ad")).distinct()
     progress = found.groupBy("listing").agg(F.count(F.lit(1)).alias("n_found"))
     totals = listings.groupBy("listing").agg(F.max("total").alias("listing_total"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import vocab
 from adloom.functions.text import first_nonempty, grab, let, null_if_empty, strip_ws
-from adloom.session import small_side
+from adloom.session import checkpointed, small_side
 
 EARTH_KM = 6371.0088
 GEO_FIELDS = [
@@ -240,7 +240,8 @@ def nearest_place(ads: DataFrame, places: DataFrame, levels: tuple[float, ...] =
         best = hits.groupBy("lat", "lng").agg(F.min(F.struct("distance_km", "place")).alias("b"))
         # everything within this many km is certain to be in the nine cells
         sure = F.lit(EARTH_KM) * F.asin(F.lit(math.sin(math.radians(size))) * F.cos(F.radians("lat")))
-        done = best.where(F.col("b.distance_km") <= sure).select("lat", "lng", "b.place", "b.distance_km")
+        # written once: these points are both a result and what the next level leaves out
+        done = checkpointed(best.where(F.col("b.distance_km") <= sure).select("lat", "lng", "b.place", "b.distance_km"))
         settled = done if settled is None else settled.unionByName(done)
         if level + 1 < len(levels):
             open_points = open_points.join(done.select("lat", "lng"), ["lat", "lng"], "left_anti")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.jsonx import is_object
+from adloom.session import checkpointed, small_side
 
 MAX_DEPTH = 8
 
@@ -55,7 +56,8 @@ def json_deep_merge(df: DataFrame, keys: list[str], rank: str, body: str) -> Dat
     ).otherwise(F.array().cast("array<struct<path:array<string>,own:boolean>>"))
     events = leaves.select(*keys, r, "value", "empty", F.explode(F.array_append(above, self_event)).alias("e"))
     leaf_event = F.col("e.own") & ~F.col("empty")
-    per_path = (
+    # written once: what follows reads it several times with different columns
+    per_path = checkpointed(
         events.select(
             *keys,
             F.col("e.path").alias("path"),
@@ -91,12 +93,12 @@ def json_deep_merge(df: DataFrame, keys: list[str], rank: str, body: str) -> Dat
     nested = alive.where(F.size("path") > 1).select(
         *keys, "path", "at", F.explode(_proper_prefixes(F.col("path"))).alias("above")
     )
-    overruled = nested.join(scalars, [*keys, "above"]).where("blocked_at > at").select(*keys, "path").distinct()
+    overruled = nested.join(small_side(scalars), [*keys, "above"]).where("blocked_at > at").select(*keys, "path").distinct()
     survivors = alive.join(overruled, [*keys, "path"], "left_anti")
     # an empty object stays only if nothing below it is left
     doubtful = survivors.where("bare AND below").select(*keys, "path")
     parents = survivors.where("NOT bare AND size(path) > 1").select(*keys, F.explode(_proper_prefixes(F.col("path"))).alias("path"))
-    filled = parents.join(doubtful, [*keys, "path"], "left_semi").distinct()
+    filled = parents.join(small_side(doubtful), [*keys, "path"], "left_semi").distinct()
     return survivors.join(filled, [*keys, "path"], "left_anti").select(*keys, "path", "value")
 
 

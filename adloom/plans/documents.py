@@ -19,7 +19,7 @@ OWNER = D.Owner(uid="owner-1", display_name="Front desk")
 def ad_records(spark, d):
     """The ads fixture in the shape of the record builders."""
     none = F.lit(None).cast("string")
-    return fixture(spark, d, "f_ads").select(
+    return S.spread(fixture(spark, d, "f_ads")).select(
         "ad_id",
         F.struct(
             c("title"), c("json_rent").cast("string").alias("rent_amount"), c("json_beds").cast("string").alias("beds"), none.alias("rent_currency")

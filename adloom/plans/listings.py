@@ -8,6 +8,7 @@ from adloom.operators import frontier as L
 from adloom.plans.pages import CLEAN
 from adloom.plans.registry import query
 from adloom.plans.urls import ADS_SITE, PAGES_SITE, pages
+from adloom.sources.tables import spread
 from adloom.sources.fixtures import fixture, with_fixtures
 
 c = F.col
@@ -53,7 +54,7 @@ def empty_listing_check(spark, d):
 
 
 def listing_rows(spark, d):
-    return L.listing_pages(fixture(spark, d, "f_list"), ADS_SITE)
+    return L.listing_pages(spread(fixture(spark, d, "f_list")), ADS_SITE)
 
 
 _NEXT = """CASE WHEN page_id % 3 < 2 THEN listing || '?page=' || CAST(page_no + 1 AS VARCHAR)
@@ -98,7 +99,7 @@ FROM p JOIN progress USING (listing)""",
 )
 def pagination_stop(spark, d):
     rows = listing_rows(spark, d).withColumn("total", F.col("total").cast("bigint"))
-    seen = rows.where("page_no % 5 = 3").select("url")
+    seen = spread(fixture(spark, d, "f_list")).where("page_no % 5 = 3").select("url")
     out = L.pagination_stop(rows, seen, ADS_SITE, max_pages=100)
     return out.select("page_id", "next_url", "n_found", "listing_total", "stop_reason")
 
@@ -111,7 +112,7 @@ SELECT 'https://ads.example.com/rentals?page=1' AS url, 'LISTING' AS label, CAST
 UNION ALL SELECT 'https://ads.example.com/rentals/more' || CAST(page_id % 7 AS VARCHAR), 'LISTING', CAST(min(page_no) + 1 AS INTEGER) FROM dead WHERE page_id % 7 <> 3 GROUP BY page_id % 7""",
 )
 def fallback_listing_links(spark, d):
-    df = fixture(spark, d, "f_list")
+    df = spread(fixture(spark, d, "f_list"))
     more = F.concat(F.lit('<a href="/rentals/more'), (c("page_id") % 7).cast("string"), F.lit('">m</a><a href="https://other.net/rentals">o</a></body>'))
     grown = df.withColumn("html", F.replace(c("html"), F.lit("</body>"), more))
     seen = spark.createDataFrame([("https://ads.example.com/rentals/more3/",)], "url string")
@@ -132,7 +133,7 @@ WHERE NOT {FIRST_MONTHS} AND ad_id NOT IN (SELECT ad_id FROM f_hist WHERE {FIRST
 QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY scraped_at, run_seq, pos, payload, url) = 1""",
 )
 def frontier_dedup(spark, d):
-    hist = fixture(spark, d, "f_hist")
+    hist = spread(fixture(spark, d, "f_hist"))
     early = F.col("scraped_at") < F.expr("TIMESTAMP_NTZ '1995-03-15'")
     old, new = hist.where(early), hist.where(~early)
     order = ["scraped_at", "run_seq", "pos", "payload"]

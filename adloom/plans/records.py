@@ -40,7 +40,7 @@ def _merged(df):
 
 @query("json_deep_merge", with_fixtures("f_merge") + ", src AS (SELECT page_id, rank, CAST(body AS JSON) AS body FROM f_merge)" + MERGE_SQL)
 def json_deep_merge(spark, d):
-    return _merged(fixture(spark, d, "f_merge").withColumn("body", F.try_parse_json("body")))
+    return _merged(S.spread(fixture(spark, d, "f_merge")).withColumn("body", F.try_parse_json("body")))
 
 
 @query(
@@ -81,7 +81,7 @@ def json_source_priority(spark, d):
 
 
 def ad_rows(spark, d):
-    df = fixture(spark, d, "f_json").select("ad_id", "url", F.try_parse_json("body").alias("raw"))
+    df = S.spread(fixture(spark, d, "f_json"), "ad_id").select("ad_id", "url", F.try_parse_json("body").alias("raw"))
     return R.with_ad_node(df)
 
 

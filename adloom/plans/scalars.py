@@ -333,5 +333,7 @@ SELECT doc_id, CASE WHEN p <> '' THEN sha256(p) END AS phone, CASE WHEN e <> ''
 def contact_from_text(spark, d):
     from adloom.functions.pagetext import contacts
 
+    from adloom.sources.tables import spread
+
     found = contacts(c("text"))
-    return table(spark, d, "documents").select("doc_id", found["phone"].alias("phone"), found["email"].alias("email"))
+    return spread(table(spark, d, "documents"), "doc_id").select("doc_id", found["phone"].alias("phone"), found["email"].alias("email"))

@@ -9,6 +9,7 @@ from adloom.plans.registry import query
 from adloom.plans.urls import pages
 from adloom.session import new_table_path
 from adloom.sources import tables as S
+from adloom.sources.tables import spread
 from adloom.sources.fixtures import fixture, table, with_fixtures
 
 c = F.col
@@ -19,7 +20,7 @@ _DESC = "scraped_at DESC, run_seq DESC, pos DESC, payload DESC, url DESC"
 
 
 def history(spark, d):
-    hist = fixture(spark, d, "f_hist").select(*HIST_COLUMNS)
+    hist = spread(fixture(spark, d, "f_hist")).select(*HIST_COLUMNS)
     early = c("scraped_at") < F.expr("TIMESTAMP_NTZ '1995-03-15'")
     return hist.where(early), hist.where(~early)
 
@@ -41,12 +42,12 @@ def mark_seen(spark, d):
 
 @query("dedup_by_ad", _HIST + f" SELECT {', '.join(HIST_COLUMNS)} FROM f_hist QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY {_ORDER}) = 1")
 def dedup_by_ad(spark, d):
-    return St.dedup_by_ad(fixture(spark, d, "f_hist").select(*HIST_COLUMNS))
+    return St.dedup_by_ad(spread(fixture(spark, d, "f_hist")).select(*HIST_COLUMNS))
 
 
 @query("save_cap", _HIST + f" SELECT {', '.join(HIST_COLUMNS)} FROM f_hist ORDER BY {_ORDER} LIMIT 500")
 def save_cap(spark, d):
-    return St.save_cap(fixture(spark, d, "f_hist").select(*HIST_COLUMNS), 500)
+    return St.save_cap(spread(fixture(spark, d, "f_hist")).select(*HIST_COLUMNS), 500)
 
 
 _SIDES = f""", stored AS (SELECT * FROM f_hist WHERE {FIRST_MONTHS} QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY {_DESC}) = 1),

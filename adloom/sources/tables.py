@@ -16,13 +16,16 @@ from adloom.functions.urls import SiteProfile, route_label
 ZIP_SCHEMA = "zip STRING, city STRING, county STRING, state_code STRING, lat DOUBLE, lng DOUBLE, raw_msa STRING"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Repartition only if the scan has fewer splits than the cluster has cores.
 
-    A large table already arrives in many splits; moving its HTML through a shuffle would be waste.
+    A large table already arrives in many splits; moving it through a shuffle would be waste. Without a
+    unique `key` rows are dealt out evenly, so that no busy key fills a partition.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
