@@ -97,7 +97,7 @@ def json_deep_merge(df: DataFrame, keys: list[str], rank: str, body: str) -> Dat
     survivors = alive.join(overruled, [*keys, "path"], "left_anti")
     # an empty object stays only if nothing below it is left
     doubtful = survivors.where("bare AND below").select(*keys, "path")
-    parents = survivors.where("NOT bare AND size(path) > 1").select(*keys, F.explode(_proper_prefixes(F.col("path"))).alias("path"))
+    parents = survivors.where("size(path) > 1").select(*keys, F.explode(_proper_prefixes(F.col("path"))).alias("path"))
     filled = parents.join(small_side(doubtful), [*keys, "path"], "left_semi").distinct()
     return survivors.join(filled, [*keys, "path"], "left_anti").select(*keys, "path", "value")
 
