@@ -6,8 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adloom.functions import vocab
-from adloom.functions.normalize import literal_map
-from adloom.functions.text import grab, strip_ws
+from adloom.functions.text import grab, strip_ws, text_map
 
 
 def unglue(c: Column) -> Column:
@@ -42,7 +41,7 @@ def county_in(text: Column) -> Column:
 
 
 def state_name(code: Column) -> Column:
-    return F.coalesce(F.try_element_at(literal_map(vocab.US_STATES), code), code)
+    return F.coalesce(F.try_element_at(text_map(vocab.US_STATES), code), code)
 
 
 def with_parsed_address(df, source: str, out: str):

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adloom.functions import vocab
-from adloom.functions.text import first_where, grab, let, null_if_empty, squeeze_ws, strip_ws
+from adloom.functions.text import first_where, grab, let, null_if_empty, one_of, squeeze_ws, strip_ws, text_map
 
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 BLOCK_TAGS = [
@@ -21,6 +21,7 @@ BLOCK_TAGS = [
     "section", "table", "td", "th", "tr", "ul",
 ]
 ENTITIES = {
+    "&amp;": "&",
     "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&copy;": "©", "&reg;": "®",
     "&trade;": "™", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
     "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»",
@@ -40,15 +41,14 @@ def _numeric_entity(piece: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Numeric and common named character references; `&amp;` last, so nothing is decoded twice."""
-    pieces = F.regexp_extract_all(c, F.lit(r"&#[0-9a-zA-Z]+;|&|[^&]+"), F.lit(0))
-    numeric = F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^&#[0-9a-zA-Z]+;$"), _numeric_entity(p)).otherwise(p)), "")
-    out = F.when(F.contains(c, F.lit("&#")), numeric).otherwise(c)
-    named = out
-    for entity, char in ENTITIES.items():
-        named = F.replace(named, F.lit(entity), F.lit(char))
-    named = F.replace(named, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(c, F.lit("&")), named).otherwise(c)
+    """Numeric and common named character references, each once and from left to right."""
+    names = text_map(ENTITIES)
+
+    def piece(p: Column) -> Column:
+        return F.when(p.startswith("&#"), _numeric_entity(p)).otherwise(F.coalesce(F.try_element_at(names, p), p))
+
+    pieces = F.regexp_extract_all(c, F.lit(r"&#?[0-9a-zA-Z]+;|&|[^&]+"), F.lit(0))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
 
 
 def visible_html(html: Column) -> Column:
@@ -133,7 +133,7 @@ def element_end(tokens: Column, opened: Column) -> Column:
         )
 
     scanned = F.aggregate(same, start, step)["end"]
-    return F.when(opened["tag"].isin(VOID_TAGS), opened["pos"]).otherwise(F.coalesce(scanned, F.size(tokens)))
+    return F.when(one_of(opened["tag"], VOID_TAGS), opened["pos"]).otherwise(F.coalesce(scanned, F.size(tokens)))
 
 
 def span(tokens: Column, opened: Column) -> Column:
@@ -159,7 +159,7 @@ def lines_of(part: Column) -> Column:
     printed = F.transform(
         part,
         lambda t: F.when(t["tag"].isNull(), F.regexp_replace(t["text"], r"\s+", " ")).when(
-            t["tag"].isin(BLOCK_TAGS), F.lit("\n")
+            one_of(t["tag"], BLOCK_TAGS), F.lit("\n")
         ).otherwise(""),
     )
     return strip_ws(F.regexp_replace(F.array_join(printed, ""), r"[ ]*\n\s*", "\n"))
@@ -229,13 +229,11 @@ def _label_name(text: Column) -> Column:
 
 def label_value_grid(tokens: Column) -> Column:
     """Array `{field, value, pos}`: each known label cell with the value next to it."""
-    from adloom.functions.normalize import literal_map
-
-    fields = literal_map(vocab.GRID_LABELS)
+    fields = text_map(vocab.GRID_LABELS)
     names = list(vocab.GRID_LABELS)
 
     def acceptable(text: Column) -> Column:
-        return F.when((F.length(text) < 200) & ~F.lower(text).isin(names), null_if_empty(text))
+        return F.when((F.length(text) < 200) & ~one_of(F.lower(text), names), null_if_empty(text))
 
     def open_text(tag: Column) -> Column:
         return F.when(~tag["close"], element_text(tokens, tag, lines_of))
@@ -254,7 +252,7 @@ def label_value_grid(tokens: Column) -> Column:
         return let(next_tag(tokens, cell["pos"]), from_sibling)
 
     labels = F.filter(
-        tokens, lambda t: t["tag"].isNull() & (F.length(t["text"]) <= 60) & _label_name(t["text"]).isin(names)
+        tokens, lambda t: t["tag"].isNull() & (F.length(t["text"]) <= 60) & one_of(_label_name(t["text"]), names)
     )
 
     def pair(label: Column) -> Column:
@@ -263,10 +261,10 @@ def label_value_grid(tokens: Column) -> Column:
             first_where(
                 tokens,
                 lambda t: (t["pos"] > label["pos"])
-                & ~(t["close"] & ~t["tag"].isin(_LABEL_TAGS))
+                & ~(t["close"] & ~one_of(t["tag"], _LABEL_TAGS))
                 & ~(t["tag"].isNull() & (strip_ws(t["text"]) == "")),
             ),
-            lambda t: F.when(t["close"] & t["tag"].isin(_LABEL_TAGS), t),
+            lambda t: F.when(t["close"] & one_of(t["tag"], _LABEL_TAGS), t),
         )
         return F.struct(
             F.try_element_at(fields, _label_name(label["text"])).alias("field"),
@@ -304,7 +302,7 @@ def section_items(tokens: Column, heading: str) -> Column:
 
     def opener(label: Column) -> Column:
         before = F.get(tokens, label["pos"] - 1)
-        ok = ~before["close"] & (before["tag"].isin(_HEADINGS) | _any_class(before, _HEADING_CLASSES))
+        ok = ~before["close"] & (one_of(before["tag"], _HEADINGS) | _any_class(before, _HEADING_CLASSES))
         return F.when(F.coalesce(ok, F.lit(False)), before)
 
     found = first_where(F.transform(titled, opener), lambda o: o.isNotNull())

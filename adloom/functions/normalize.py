@@ -8,7 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adloom.functions import vocab
-from adloom.functions.text import first_nonempty, first_where, grab, last_where, let, null_if_blank, strip_ws
+from adloom.functions.text import (
+    first_where, grab, last_where, let, null_if_blank, strip_ws, text_array, text_map,
+)
 
 MONEY = "decimal(12,2)"
 
@@ -109,20 +111,16 @@ def format_date(d: Column) -> Column:
 # ---- lookups --------------------------------------------------------------------------------
 
 
-def literal_map(table: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-
-
 def property_type(c: Column) -> Column:
     key = F.regexp_replace(F.lower(strip_ws(c)), r"\s+", " ")
-    return F.try_element_at(literal_map(vocab.PROPERTY_TYPES), key)
+    return F.try_element_at(text_map(vocab.PROPERTY_TYPES), key)
 
 
 def match_option(c: Column, options: list[str]) -> Column:
     """The option equal to the text, else the longest option that contains it or is contained in it."""
     s = F.lower(strip_ws(null_if_blank(c)))
-    in_order = F.array(*[F.lit(o) for o in options])
-    longest_first = F.array(*[F.lit(o) for o in sorted(options, key=len, reverse=True)])
+    in_order = text_array(options)
+    longest_first = text_array(sorted(options, key=len, reverse=True))
     return let(
         s,
         lambda x: F.coalesce(
@@ -279,7 +277,3 @@ def legacy_amenity_keys(keys: Column) -> Column:
         last_hit(r"(?i)^bedrooms?[_\s](\d+)").try_cast("int").alias("beds"),
         F.when(day_text.isNotNull(), F.try_to_date(iso, "d MMM yyyy")).alias("available_from"),
     )
-
-
-def prefer(*cols: Column) -> Column:
-    return first_nonempty(*cols)

@@ -41,6 +41,25 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(values) -> Column:
+    """Constant array; one parsed literal instead of one JVM call per element."""
+    return F.expr(f"array({', '.join(map(_quoted, values))})")
+
+
+def text_map(table: dict[str, str]) -> Column:
+    """Constant map."""
+    return F.expr(f"map({', '.join(_quoted(x) for pair in table.items() for x in pair)})")
+
+
+def one_of(c: Column, words) -> Column:
+    """Is the text one of some plain words?"""
+    return c.rlike(f"^(?:{'|'.join(words)})$")
+
+
 def first_where(arr: Column, pred) -> Column:
     return F.get(F.filter(arr, pred), F.lit(0))
 

@@ -10,7 +10,7 @@ from adloom.plans.registry import query
 from adloom.plans.scalars import items
 from adloom.session import new_table_path
 from adloom.sources import tables as S
-from adloom.sources.fixtures import fixture, with_fixtures
+from adloom.sources.fixtures import fixture, table, with_fixtures
 
 c = F.col
 OWNER = D.Owner(uid="owner-1", display_name="Front desk")
@@ -19,7 +19,7 @@ OWNER = D.Owner(uid="owner-1", display_name="Front desk")
 def ad_records(spark, d):
     """The ads fixture in the shape of the record builders."""
     none = F.lit(None).cast("string")
-    return S.spread(fixture(spark, d, "f_ads")).select(
+    return S.spread(fixture(spark, d, "f_ads"), scan=table(spark, d, "part")).select(
         "ad_id",
         F.struct(
             c("title"), c("json_rent").cast("string").alias("rent_amount"), c("json_beds").cast("string").alias("beds"), none.alias("rent_currency")

@@ -16,14 +16,15 @@ from adloom.functions.urls import SiteProfile, route_label
 ZIP_SCHEMA = "zip STRING, city STRING, county STRING, state_code STRING, lat DOUBLE, lng DOUBLE, raw_msa STRING"
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None, scan: DataFrame | None = None) -> DataFrame:
     """Repartition only if the scan has fewer splits than the cluster has cores.
 
     A large table already arrives in many splits; moving it through a shuffle would be waste. Without a
-    unique `key` rows are dealt out evenly, so that no busy key fills a partition.
+    unique `key` rows are dealt out evenly, so that no busy key fills a partition. `scan` names the table
+    whose splits count where `df` already joins: asking a join for its partitions would start it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if (df if scan is None else scan).rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)
 
