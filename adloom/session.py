@@ -7,9 +7,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Largest dimension we are willing to copy to every executor.
 BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 
 # PySpark's call-site capture costs some twenty JVM calls per column operation; our expressions are large
@@ -62,13 +64,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint, but only after counting that the side stays within `max_rows`.
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint, but only after measuring that the side stays within `max_rows` and `max_bytes` (as JSON text).
 
-    The count stops at `max_rows + 1`. Larger sides get no hint and are shuffled (with AQE skew splitting).
+    The measurement reads at most `max_rows + 1` rows. Larger sides get no hint and are shuffled (with AQE
+    skew splitting).
     """
-    from pyspark.sql import functions as F
-
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    width = F.octet_length(F.to_json(F.struct("*")))
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size.n <= max_rows and size.b <= max_bytes else df

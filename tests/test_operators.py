@@ -145,6 +145,7 @@ def test_small_side_checks_the_size(spark):
     plan = lambda df: spark.range(1000).join(df, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in plan(small_side(spark.range(10), 10))
     assert "strategy=broadcast" not in plan(small_side(spark.range(11), 10))
+    assert "strategy=broadcast" not in plan(small_side(spark.range(10), 10, max_bytes=20))
 
 
 def test_document_variants_are_valid(spark):
