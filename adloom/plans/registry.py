@@ -15,7 +15,7 @@ ORACLES: dict[str, str] = {}
 def query(key: str, oracle: str | None = None):
     def register(fn):
         def run(spark, sf_dir):
-            without_call_sites(spark)
+            without_call_sites()
             return fn(spark, sf_dir)
 
         QUERIES[key] = run

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import utils as pyspark_errors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +38,14 @@ def build_session(master: str | None = None, app: str = "adloom", **conf) -> Spa
     return builder.getOrCreate()
 
 
-def without_call_sites(spark: SparkSession) -> None:
-    """Switch call-site capture off in a session that somebody else built."""
-    if spark.conf.get(CALL_SITES, "true") != "false":
-        spark.conf.set(CALL_SITES, "false")
+def without_call_sites() -> None:
+    """Switch call-site capture off in a session that somebody else built.
+
+    The setting is static there, so this overrides PySpark's cached copy of it; error messages lose only
+    the Python line of the failing expression.
+    """
+    if hasattr(pyspark_errors, "_enable_debugging_cache"):
+        pyspark_errors._enable_debugging_cache = False
 
 
 def shared_dir(spark: SparkSession) -> str:
