@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,9 +50,14 @@ def without_call_sites() -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`, or a new local one if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor can reach: `spark.checkpoint.dir`, or else the checkpoint folder of the context.
+
+    Only a session whose driver and executors are one process gets a new local folder when neither is set.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="adloom-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
