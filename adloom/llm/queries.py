@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from adloom.llm.chat_format import format_chats, parse, unescape
 from adloom.llm.common import table
 from adloom.llm.exact_dedup import exact_groups
+from adloom.llm.license_scan import scan_licenses
+from adloom.llm.url_filter import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+URL_RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))
+
 
 def query(oracle: str | None = None):
     def register(fn):
@@ -74,3 +78,26 @@ WINDOW g AS (PARTITION BY norm)
 """)
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page urls. The number in a path names a document; low quality or toxic documents label their page as bad."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    told = labels.groupBy("doc_id").agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
+    number = F.expr("try_cast(regexp_extract(url, '^[^?#]*?://[^/?#]*[^?#]*/([0-9]+)', 1) AS BIGINT)")
+    rows = pages.select("page_id", "url", number.alias("doc_id"))
+    has = F.col("doc_id").isNotNull()
+    marked = rows.where(has).join(told, "doc_id", "left").select("page_id", "url", "bad")
+    marked = marked.unionByName(rows.where(~has).select("page_id", "url", F.lit(None).cast("int").alias("bad")))
+    return judge_urls(marked, URL_RULES)
+
+
+@query()
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as files below source, language and thousand of ids; short ones with a licence line are the licence files."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("und")), F.expr("doc_id div 1000").cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    short = F.char_length("text") <= 400
+    files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text", short.alias("is_license_file"))
+    return scan_licenses(files).withColumnRenamed("file_id", "doc_id")
