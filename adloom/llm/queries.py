@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm.bpe import encode_decode, tokenizer_file
 from adloom.llm.chat_format import format_chats, parse, unescape
 from adloom.llm.common import table
 from adloom.llm.exact_dedup import exact_groups
@@ -101,3 +102,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.char_length("text") <= 400
     files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text", short.alias("is_license_file"))
     return scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
+
+@query()
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), ("ids_sha256", "decoded_sha256"))
