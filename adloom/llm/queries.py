@@ -12,6 +12,7 @@ from adloom.llm.chat_format import format_chats, parse, unescape
 from adloom.llm.common import table
 from adloom.llm.exact_dedup import exact_groups
 from adloom.llm.license_scan import scan_licenses
+from adloom.llm.minhash import near_duplicates
 from adloom.llm.url_filter import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), ("ids_sha256", "decoded_sha256"))
+
+
+@query()
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
