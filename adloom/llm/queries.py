@@ -14,6 +14,8 @@ from adloom.llm.exact_dedup import exact_groups
 from adloom.llm.license_scan import scan_licenses
 from adloom.llm.minhash import near_duplicates
 from adloom.llm.url_filter import Rule, judge_urls
+from adloom.llm.warc import read_warc, write_warc
+from adloom.session import new_table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +115,21 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("""
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, html, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS first FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages into archives in the shared folder and back; every column is read from the archives."""
+    archives = new_table_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("payload")), archives)
+    page = lambda c: F.regexp_extract(c, "<urn:page:(-?[0-9]+)>", 1).cast("long")
+    got = read_warc(spark, archives)
+    return got.select(
+        page("record_id").alias("page_id"), "payload_bytes", F.coalesce("real_digest", "digest").alias("payload_digest"), F.col("kind").alias("record_type"),
+        F.when(F.col("kind") == "revisit", page("refers_to")).alias("refers_to"),
+    )
