@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm import language_id, toxicity
 from adloom.llm.bpe import encode_decode, tokenizer_file
 from adloom.llm.chat_format import format_chats, parse, unescape
-from adloom.llm.common import table
+from adloom.llm.common import HELD_OUT, fold_of, table
+from adloom.llm.decontaminate import find_leaks, split_items
 from adloom.llm.exact_dedup import exact_groups
 from adloom.llm.license_scan import scan_licenses
 from adloom.llm.minhash import near_duplicates
@@ -133,3 +135,25 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page("record_id").alias("page_id"), "payload_bytes", F.coalesce("real_digest", "digest").alias("payload_digest"), F.col("kind").alias("record_type"),
         F.when(F.col("kind") == "revisit", page("refers_to")).alias("refers_to"),
     )
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = fold_of(F.col("doc_id")) == HELD_OUT
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= model.params.threshold).cast("int"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs)
+    held_out = fold_of(F.col("doc_id")) == HELD_OUT
+    return docs.select("doc_id", held_out.alias("held_out"), language_id.language(F.col("text"), model).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+@query()
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), split_items(table(spark, sf_dir, "benchmark")))
