@@ -23,7 +23,8 @@ class NearParams:
     percent: int = 75
     hashes: int = 128
     bands: int = 32
-    block: int = 1024
+    first_bands: int = 4
+    block: int = 256
     seed: int = 20_011
 
     @property
@@ -116,24 +117,29 @@ def _with(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, keys: DataFrame, p: NearParams) -> DataFrame:
-    """The links among candidate pairs, by their full sets; these are made for documents in pairs only. `keys`: id, key."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def linked(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two full sets reach the similarity."""
+    s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+        return False
+    both = np.concatenate([s, t])
+    both.sort(kind="stable")
+    inter = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * inter >= percent * (len(both) - inter)
+
+
+def sets_of(ids: DataFrame, docs: DataFrame, keys: DataFrame, p: NearParams) -> DataFrame:
+    """id, key, set of the given ids only, made anew from their texts. `keys`: id, key."""
     wanted = stored(keys.join(ids, "id", "left_semi"), "near-wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = stored(shingle_sets(texts, p).join(wanted, ["id", "key"], "left_semi"), "near-sets")
-    percent = p.percent
+    return stored(shingle_sets(texts, p).join(wanted, ["id", "key"], "left_semi"), "near-sets")
 
-    def linked(x: bytes, y: bytes) -> bool:
-        s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
-            return False
-        both = np.concatenate([s, t])
-        both.sort(kind="stable")
-        inter = int(np.count_nonzero(both[1:] == both[:-1]))
-        return 100 * inter >= percent * (len(both) - inter)
 
-    return _filtered(_with(pairs, sets, "set"), linked).distinct()
+def confirmed(pairs: DataFrame, docs: DataFrame, keys: DataFrame, p: NearParams) -> DataFrame:
+    """The links among candidate pairs, by their full sets."""
+    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, keys, p)
+    percent = p.percent
+    return _filtered(_with(pairs, sets, "set"), lambda x, y: linked(x, y, percent)).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -166,11 +172,12 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots).distinct()
 
 
-def _crossing(members: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: DataFrame, p: NearParams) -> DataFrame:
-    """Candidate pairs (a, b) that share a bucket, lie in different components and have near signatures.
+def _crossing(members: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: DataFrame, docs: DataFrame, p: NearParams) -> DataFrame:
+    """Links (a, b) between documents that share a bucket and lie in different components; `sigs`: id, key, sig.
 
     In a bucket, all but the members of its most frequent component are compared with every member, in units of a block of
-    the former and a part of the latter. Only near pairs leave a unit.
+    the former and a part of the latter: by signature first, then by the full sets, which come along. Only links leave a unit, and for each
+    document one link to each component, as further ones join nothing new.
     """
     placed = members.join(buckets.where("n > 2").select("h"), "h", "left_semi").join(comp, "id", "left").select("h", "id", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "near-placed")
@@ -178,7 +185,9 @@ def _crossing(members: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: Dat
     mixed = per.groupBy("h").agg(F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     blocks = lambda n: F.ceil(n / p.block).cast("int")
     mixed = stored(mixed.select("h", F.col("big.component").alias("big"), blocks(F.col("n") - F.col("big.n")).alias("n_i"), blocks(F.col("n")).alias("n_p")), "near-mixed")
-    rows = placed.join(mixed, "h").join(sigs, "id")
+    mixed_rows = placed.join(mixed, "h")
+    sets = sets_of(mixed_rows.select("id").distinct(), docs, sigs.select("id", "key"), p)
+    rows = mixed_rows.join(sigs, "id").join(sets, ["id", "key"])
 
     def spot(n: Column) -> Column:
         return F.pmod(F.xxhash64("id"), n).cast("int")
@@ -188,9 +197,9 @@ def _crossing(members: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: Dat
         other, own = ("n_p", spot(F.col("n_i"))) if first else ("n_i", spot(F.col("n_p")))
         far = chosen.withColumn("own", own).withColumn("far", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         i, part = ("own", "far") if first else ("far", "own")
-        return far.select("h", F.col(i).alias("i"), F.col(part).alias("p"), F.lit(first).alias("first"), "id", "component", "sig")
+        return far.select("h", F.col(i).alias("i"), F.col(part).alias("p"), F.lit(first).alias("first"), "id", "component", "sig", "set")
 
-    least, hashes = p.least_equal, p.hashes
+    least, hashes, percent = p.least_equal, p.hashes, p.percent
 
     def near(rows_: list[dict]) -> Iterator[tuple[int, int]]:
         first = [r for r in rows_ if r["first"]]
@@ -198,12 +207,15 @@ def _crossing(members: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: Dat
         if not first or not rest:
             return
         sig = np.frombuffer(b"".join(r["sig"] for r in rest), "<u4").reshape(-1, hashes)
-        comp_, ids = np.array([r["component"] for r in rest]), np.array([r["id"] for r in rest])
+        comp_ = np.array([r["component"] for r in rest])
         for r in first:
-            other = comp_ != r["component"]
+            other = np.flatnonzero(comp_ != r["component"])
             equal = (sig[other] == np.frombuffer(r["sig"], "<u4")).sum(axis=1)
-            for b in ids[other][equal >= least].tolist():
-                yield min(r["id"], b), max(r["id"], b)
+            joined = set()
+            for k in other[np.argsort(-equal, kind="stable")][: int((equal >= least).sum())].tolist():
+                if comp_[k] not in joined and linked(r["set"], rest[k]["set"], percent):
+                    joined.add(comp_[k])
+                    yield r["id"], rest[k]["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key, out = [], None, []
@@ -226,8 +238,9 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id integer, text; other columns are ignored).
 
     1. Documents with one set are represented by the least of their ids; from here on only these take part.
-    2. Bands of the signature deal representatives into buckets. Everyone is compared with the least of the bucket, first by signature,
-       then by the full sets; the links give components.
+    2. Bands of the signature deal representatives into buckets. In the first bands everyone is compared with the least of the bucket, first
+       by signature, then by the full sets; the links give components. Then the same in all bands, but only where the least is in another
+       component: a large group, which has another least in each band, is not compared over and over.
     3. Members of one bucket that ended up in different components are compared too (`_crossing`), so no link that the bands
        show is missed, while members of one component, however many, are never paired with each other.
 
@@ -242,7 +255,7 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     reps = usable.join(member.select(F.col("a").alias("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "key", "sig").dropDuplicates(["id", "key"])
 
     band = F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * p.band_bytes + 1, F.lit(p.band_bytes))))
-    banded = reps.select("id", F.explode(band).alias("h"))
+    banded = reps.select("id", F.posexplode(band).alias("band", "h"))
     buckets = stored(banded.groupBy("h").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets")
     members = stored(banded.join(buckets.select("h", "least"), "h"), "near-bucketed")
     sigs = stored(reps.join(members.select("id").distinct(), "id", "left_semi"), "near-signatures")
@@ -253,14 +266,19 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     def near(x: bytes, y: bytes) -> bool:
         return int(np.count_nonzero(np.frombuffer(x, "<u4") == np.frombuffer(y, "<u4"))) >= least
 
-    def links(pairs: DataFrame) -> DataFrame:
-        return stored(confirmed(stored(pairs, "near-pairs"), docs, keys, p), "near-links")
-
-    stars = members.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    first = links(_filtered(_with(stars, sigs, "sig"), near))
-    comp = stored(components(first), "near-components")
-    second = links(_crossing(members.select("h", "id"), buckets, comp, sigs.select("id", "sig"), p))
-    comp = stored(components(first.union(second).union(member)), "near-components")
+    def stars(of: DataFrame) -> DataFrame:
+        pairs = of.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+        close = stored(_filtered(_with(pairs, sigs, "sig"), near), "near-pairs")
+        return stored(confirmed(close, docs, keys, p), "near-links")
+
+    known = stars(members.where(F.col("band") < p.first_bands))
+    comp = stored(components(known), "near-components")
+    placed = members.where("id != least").join(comp, "id", "left").withColumnRenamed("component", "own")
+    placed = placed.join(comp.select(F.col("id").alias("least"), F.col("component").alias("other")), "least", "left")
+    known = known.union(stars(placed.where(F.coalesce("own", "id") != F.coalesce("other", "least"))))
+    comp = stored(components(known), "near-components")
+    known = known.union(stored(_crossing(members.select("h", "id"), buckets, comp, sigs, docs, p), "near-links"))
+    comp = stored(components(known.union(member)), "near-components")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return made.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")
