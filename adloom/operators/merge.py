@@ -13,18 +13,23 @@ from pyspark.sql import functions as F
 from adloom.functions.jsonx import is_object
 from adloom.session import checkpointed, small_side
 
-MAX_DEPTH = 8
+# levels that are expanded before it is asked whether any object is left
+BLOCK = 8
 
 
-def json_leaves(df: DataFrame, keep: list[str], body: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """`keep…, path, value, empty`: one row per leaf of an object; deeper values stay as one leaf.
+def json_leaves(df: DataFrame, keep: list[str], body: str) -> DataFrame:
+    """`keep…, path, value, empty`: one row per leaf of an object, at any depth.
+
+    Levels are expanded in blocks until no object with members is left, which takes a small job per block.
 
     `empty` marks an object without members. Bodies that are no objects give no rows.
     """
     out = df.where(is_object(F.col(body))).select(
         *keep, F.array().cast("array<string>").alias("path"), F.col(body).alias("v")
     )
-    for _ in range(max_depth):
+    level = 0
+    while level % BLOCK or level == 0 or not out.where(is_object(F.col("v")) & (F.to_json("v") != "{}")).isEmpty():
+        level += 1
         members = F.try_variant_get("v", "$", "map<string,variant>")
         out = out.select(*keep, "path", "v", F.explode_outer(F.when(is_object(F.col("v")), members)).alias("k", "child"))
         named = F.col("k").isNotNull()

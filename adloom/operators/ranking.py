@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adloom.session import checkpointed
 
 # up to here every task keeps its own n best rows and one small merge follows
-TOP_K_MAX = 100_000
+TOP_K_MAX = 5_000
 _ROW_BITS = 33
 
 
@@ -29,9 +29,9 @@ def first_n(df: DataFrame, order: list, n: int) -> DataFrame:
     )
     # one row per range partition: as many rows as tasks, independent of the data
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.alias("a").join(F.broadcast(counts.alias("b")), F.col("b._part") < F.col("a._part"), "left")
-    offsets = before.groupBy(F.col("a._part").alias("_part")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_offset"))
-    kept = placed.join(F.broadcast(offsets), "_part").where(F.col("_offset") + F.col("_row") < n)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    kept = placed.join(offsets, "_part").where(F.col("_offset") + F.col("_row") < n)
     return kept.drop("_part", "_row", "_offset")
 
 

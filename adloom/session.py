@@ -7,7 +7,6 @@ import re
 import tempfile
 import uuid
 
-from pyspark.errors import utils as pyspark_errors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +18,9 @@ BROADCAST_MAX_BYTES = 128 << 20
 # PySpark's call-site capture costs some twenty JVM calls per column operation; our expressions are large
 CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
 
+# of a repeated key in a JSON object the last one counts; otherwise the whole document would be unreadable
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
 
 def build_session(master: str | None = None, app: str = "adloom", **conf) -> SparkSession:
     """A session with the settings the library is tuned for; `conf` overrides."""
@@ -29,6 +31,7 @@ def build_session(master: str | None = None, app: str = "adloom", **conf) -> Spa
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
         CALL_SITES: "false",
+        DUPLICATE_KEYS: "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)
@@ -39,16 +42,6 @@ def build_session(master: str | None = None, app: str = "adloom", **conf) -> Spa
     return builder.getOrCreate()
 
 
-def without_call_sites() -> None:
-    """Switch call-site capture off in a session that somebody else built.
-
-    The setting is static there, so this overrides PySpark's cached copy of it; error messages lose only
-    the Python line of the failing expression.
-    """
-    if hasattr(pyspark_errors, "_enable_debugging_cache"):
-        pyspark_errors._enable_debugging_cache = False
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, or else the checkpoint folder of the context.
 
