@@ -29,7 +29,8 @@ class Rule:
 @dataclass(frozen=True)
 class TreeParams:
     """`fan_out` distinct values make a segment variable, unless one holds `heavy` of its siblings' rows. Branches are similar if their
-    children overlap by `overlap` and their labels differ by less than `z` standard errors. `smoothing` is the weight of the prior in rows."""
+    children overlap by `overlap` and their labels differ by less than `z` standard errors. `smoothing` is the weight of the prior in rows.
+    Templates with a bad share over `reject` are rejected."""
 
     fan_out: int = 20
     heavy: float = 0.05
@@ -108,7 +109,7 @@ def templates(shapes: DataFrame, params: TreeParams = TreeParams()) -> DataFrame
     def smooth(prior: Column, a: str, b: str) -> Column:
         return (F.col(a) + params.smoothing * prior) / (F.col(b) + params.smoothing)
 
-    total = named.agg(F.coalesce(F.sum("bad") / F.sum("labelled"), F.lit(0.0)).alias("rate")).first()["rate"] or 0.0
+    total = named.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("rate")).first()["rate"] or 0.0
     hosts = named.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("labelled").alias("host_labelled"))
     scored = named.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).join(hosts, "host")
     purity = smooth(smooth(F.lit(float(total)), "host_bad", "host_labelled"), "bad", "labelled")
@@ -129,5 +130,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], params: TreeParams = Tre
     found = stored(templates(shapes, params), "url-verdicts")
     # both sides of this join are exchanged, so that adaptive execution can split a hot host
     judged = rows.drop("bad").join(found, ["host", "shape"], "left").withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
-    method = F.when(F.col("bad_share") >= params.reject, "block").otherwise("allow")
+    method = F.when(F.col("bad_share") > params.reject, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", F.col("fit.text").alias("rule"), F.coalesce("fit.verdict", method).alias("verdict"), "template", "bad_share")
