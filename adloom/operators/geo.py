@@ -7,6 +7,7 @@ coordinates, so a spot with very many ads is looked up once.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -64,15 +65,13 @@ def geo_fallback_chain(ads: DataFrame, providers: list[DataFrame]) -> DataFrame:
     """Adds `geo`, the first hit among tables `(zip, country_code, geo)` in order of preference.
 
     The tables are united with their rank and reduced to one row per key first, so the ads take part in a
-    single join however many providers there are.
+    single join however many providers there are. Of several hits in one table the least counts.
     """
     ranked = None
     for rank, p in enumerate(providers):
         one = p.select("zip", F.upper("country_code").alias("country_code"), F.lit(rank).alias("rank"), "geo")
         ranked = one if ranked is None else ranked.unionByName(one)
-    best = ranked.where(F.col("geo").isNotNull()).groupBy("zip", "country_code").agg(
-        F.min_by(F.struct("rank", "geo"), "rank").alias("best")
-    )
+    best = ranked.where(F.col("geo").isNotNull()).groupBy("zip", "country_code").agg(F.min(F.struct("rank", "geo")).alias("best"))
     lookup = best.select(F.col("zip"), F.col("country_code").alias("_cc"), F.col("best.geo").alias("geo"), F.col("best.rank").alias("geo_rank"))
     keyed = ads.withColumn("_cc", F.upper(F.coalesce(F.col("country_code"), F.lit("US"))))
     return keyed.join(small_side(lookup), ["zip", "_cc"], "left").drop("_cc")
@@ -215,17 +214,49 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
+def _left_known(ads: DataFrame, found: DataFrame) -> DataFrame:
+    """`ads` left-joined with `found` on lat and lng; rows without a point stay out of the join, where they would be one hot key."""
+    known = F.col("lat").isNotNull() & F.col("lng").isNotNull()
+    added = [c for c in found.columns if c not in ("lat", "lng")]
+    joined = ads.where(known).join(found, ["lat", "lng"], "left").select(*ads.columns, *added)
+    return joined.unionByName(ads.where(~known), allowMissingColumns=True)
+
+
+def _nearest_anywhere(points: DataFrame, spots: DataFrame, size: float) -> DataFrame:
+    """`lat, lng, b` (distance_km, place): the nearest of all spots for points that may be far from every one.
+
+    Cells of `size` degrees cover the globe with at most 360 / size times 180 / size + 1 of them, so the occupied ones, each with one of
+    its spots, fit in a literal. The nearest of these spots bounds the distance; only cells that may hold one as near are joined.
+    """
+    lng = F.pmod("lng", F.lit(360.0))
+    placed = spots.select(F.col("lat").alias("plat"), F.col("lng").alias("plng"), "place", _cell(F.col("lat"), size).alias("cy"), _cell(lng, size).alias("cx"))
+    held = placed.groupBy("cy", "cx").agg(F.min(F.struct("plat", "plng")).alias("s")).select("cy", "cx", "s.plat", "s.plng").collect()
+    cells = F.from_json(F.lit(json.dumps([r.asDict() for r in held])), "array<struct<cy:bigint,cx:bigint,plat:double,plng:double>>")
+    here = F.col("lat"), F.col("lng")
+    # written, so that the bound is computed once per point and not inside the filter below
+    bounded = checkpointed(points.select("lat", "lng", F.array_min(F.transform(cells, lambda x: haversine_km(*here, x["plat"], x["plng"]))).alias("most")))
+    reach = EARTH_KM * math.radians(size) * math.sqrt(0.5) + 1e-6
+
+    def open_(x: Column) -> Column:
+        return haversine_km(*here, (x["cy"] + 0.5) * size, (x["cx"] + 0.5) * size) - reach <= F.col("most")
+
+    probes = bounded.select("lat", "lng", F.explode(F.filter(cells, open_)).alias("c")).select("lat", "lng", "c.cy", "c.cx")
+    hits = probes.join(placed, ["cy", "cx"]).select("lat", "lng", haversine_km(*here, F.col("plat"), F.col("plng")).alias("distance_km"), "place")
+    return hits.groupBy("lat", "lng").agg(F.min(F.struct("distance_km", "place")).alias("b"))
+
+
 def nearest_place(ads: DataFrame, places: DataFrame, levels: tuple[float, ...] = (0.25, 1.0, 4.0)) -> DataFrame:
-    """Adds `place, distance_km`: the nearest place (`place, lat, lng`), NULL beyond the coarsest cell size.
+    """Adds `place, distance_km`: the nearest place (`place, lat, lng`), however far; NULL only without a point or without places.
 
     Distinct points look into the 3 x 3 cells around them, fine cells first. A hit closer than the cell is
     wide (in km at that latitude) is final; only the other points go on to the next, coarser level. So dense
-    areas are settled with few candidates. Ties go to the smaller name.
+    areas are settled with few candidates. Points that no level settles are compared over the whole globe, by cells.
+    Ties go to the smaller name.
     """
     points = ads.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select("lat", "lng").distinct()
-    spots = places.groupBy("lat", "lng").agg(F.min("place").alias("place"))
+    spots = places.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).groupBy("lat", "lng").agg(F.min("place").alias("place"))
     open_points, settled = points, None
-    for level, size in enumerate(levels):
+    for size in levels:
         wrap = round(360 / size)
         dim = spots.select(
             "place", F.col("lat").alias("plat"), F.col("lng").alias("plng"),
@@ -243,9 +274,9 @@ def nearest_place(ads: DataFrame, places: DataFrame, levels: tuple[float, ...] =
         # written once: these points are both a result and what the next level leaves out
         done = checkpointed(best.where(F.col("b.distance_km") <= sure).select("lat", "lng", "b.place", "b.distance_km"))
         settled = done if settled is None else settled.unionByName(done)
-        if level + 1 < len(levels):
-            open_points = open_points.join(done.select("lat", "lng"), ["lat", "lng"], "left_anti")
-    return ads.join(settled, ["lat", "lng"], "left").select(*ads.columns, "place", "distance_km")
+        open_points = open_points.join(done.select("lat", "lng"), ["lat", "lng"], "left_anti")
+    far = _nearest_anywhere(open_points, spots, max(4.0, *levels)).select("lat", "lng", "b.place", "b.distance_km")
+    return _left_known(ads, far if settled is None else settled.unionByName(far))
 
 
 def ring_points(ring: Column) -> Column:
@@ -292,4 +323,4 @@ def metro_from_point(ads: DataFrame, shapes: DataFrame, cell: float = 1.0) -> Da
     boxes = (F.col("lng").between(F.col("x0"), F.col("x1"))) & (F.col("lat").between(F.col("y0"), F.col("y1")))
     hits = probes.join(small_side(celled), ["cx", "cy"]).where(boxes).where(point_in_ring(F.col("lng"), F.col("lat"), F.col("pts")))
     best = hits.groupBy("lat", "lng").agg(F.min_by("metro", F.struct("layer", "metro_id")).alias("point_metro"))
-    return ads.join(best, ["lat", "lng"], "left").select(*ads.columns, "point_metro")
+    return _left_known(ads, best)

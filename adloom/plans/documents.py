@@ -19,7 +19,7 @@ OWNER = D.Owner(uid="owner-1", display_name="Front desk")
 def ad_records(spark, d):
     """The ads fixture in the shape of the record builders."""
     none = F.lit(None).cast("string")
-    return S.spread(fixture(spark, d, "f_ads"), scan=table(spark, d, "part")).select(
+    return S.spread(fixture(spark, d, "f_ads"), scan=table(spark, d, "orders")).select(
         "ad_id",
         F.struct(
             c("title"), c("json_rent").cast("string").alias("rent_amount"), c("json_beds").cast("string").alias("beds"), none.alias("rent_currency")
@@ -160,7 +160,7 @@ def _broken(spark, d):
         .withField("user.role", F.when(n % 5 != 0, c("doc.user.role")))
         .withField("details.rent.mode", F.when(n % 11 == 0, F.lit("per_hour")).otherwise(c("doc.details.rent.mode")))
         .withField("details.amenities", F.when(n % 13 == 0, F.array(F.lit("helipad"))).otherwise(c("doc.details.amenities")))
-        .withField("seeker", F.when(n % 3 != 0, c("doc.seeker")).when(n % 2 == 0, c("doc.seeker")))
+        .withField("seeker", F.when(n % 2 == 0, c("doc.seeker")))
         .alias("doc"),
     )
 

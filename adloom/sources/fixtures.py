@@ -77,7 +77,7 @@ SELECT c_custkey AS geo_id,
   || '"address_components":[{"long_name":"Hudson County","short_name":"Hudson","types":["administrative_area_level_2","political"]},{"long_name":"'
   || c_name || '","short_name":"N","types":["' || (CASE WHEN c_custkey % 2 = 0 THEN 'locality' ELSE 'sublocality_level_1' END)
   || '"]},{"long_name":"New Jersey","short_name":"NJ","types":["administrative_area_level_1","political"]},{"long_name":"United States","short_name":"US","types":["country","political"]}]}]}' AS components_json,
-  CAST(10000 + c_custkey % 90000 AS STRING) AS zip
+  CAST(10000 + c_custkey AS STRING) AS zip
 FROM customer
 """
 
@@ -172,14 +172,16 @@ SELECT p_partkey AS ad_id, (CASE WHEN p_size % 2 = 0 THEN 'Gym|Swimming Pool|Fit
 FROM part
 """
 
+# one ad per order; its customer gives the place, a part the flat
 F_ADS = """
-SELECT p.p_partkey AS ad_id, p.p_name AS title, CASE p.p_partkey % 3 WHEN 0 THEN 'Property Wanted' WHEN 1 THEN 'Property Offered' END AS ad_type,
+SELECT o.o_orderkey AS ad_id, p.p_name AS title, CASE p.p_partkey % 3 WHEN 0 THEN 'Property Wanted' WHEN 1 THEN 'Property Offered' END AS ad_type,
   CASE WHEN p.p_size % 4 <> 0 THEN CAST(p.p_retailprice AS DECIMAL(12,2)) END AS json_rent, '$' || CAST(p.p_size * 100 AS STRING) || ' /Week' AS details_rent,
   CASE WHEN p.p_size % 3 = 0 THEN p.p_size % 6 END AS json_beds, CAST(p.p_size % 5 AS STRING) || ' Beds' AS details_beds,
   substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(o.o_orderdate) * 3 - 2 AS INT), 3) || ' ' || lpad(CAST(day(o.o_orderdate) AS STRING), 2, '0') || ', ' || CAST(year(o.o_orderdate) AS STRING) AS posted_on,
   o.o_orderstatus AS raw_status, CASE c.c_nationkey % 3 WHEN 0 THEN 'TX' WHEN 1 THEN 'NJ' ELSE 'CA' END AS state_code, CAST(10000 + c.c_custkey AS STRING) AS zip,
-  CASE WHEN p.p_size % 2 = 0 THEN 'Scraped Metro' END AS metro, CAST(25 + c.c_custkey % 20 AS DOUBLE) AS lat, CAST(-120 + c.c_custkey % 50 AS DOUBLE) AS lng
-FROM part p JOIN customer c ON c.c_custkey = p.p_partkey % 150 JOIN orders o ON o.o_orderkey = p.p_partkey
+  CASE WHEN p.p_size % 2 = 0 THEN 'Scraped Metro' END AS metro, CAST(25 + c.c_custkey % 20 AS DOUBLE) + CAST(c.c_custkey % 65536 AS DOUBLE) / 65536 AS lat, CAST(-120 + c.c_custkey % 50 AS DOUBLE) AS lng
+FROM (SELECT *, o_orderkey % (SELECT count(*) FROM part) AS part_key FROM orders) o
+JOIN part p ON p.p_partkey = o.part_key JOIN customer c ON c.c_custkey = o.o_custkey
 """
 
 _ALL = {name.lower(): text for name, text in list(globals().items()) if name.startswith("F_")}

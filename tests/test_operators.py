@@ -129,16 +129,24 @@ def test_nearest_place_against_all_pairs(spark):
     rng = random.Random(3)
     places = [(f"p{i}", rng.uniform(-60, 70), rng.uniform(-180, 180)) for i in range(300)]
     ads = [(i, rng.uniform(-60, 70), rng.uniform(-180, 180)) for i in range(200)] + [(1000 + i, 10.0, 179.9) for i in range(100)]
-    got = G.nearest_place(spark.createDataFrame(ads, "ad_id int, lat double, lng double"), spark.createDataFrame(places, "place string, lat double, lng double"), levels=(1.0, 5.0, 20.0))
+    ads += [(2000, 89.5, 3.0), (2001, -90.0, 0.0), (2002, -75.0, -179.9), (2003, None, 1.0), (2004, None, None)]
+    got = G.nearest_place(spark.createDataFrame(ads, "ad_id int, lat double, lng double"), spark.createDataFrame(places, "place string, lat double, lng double"), levels=(1.0, 5.0)).collect()
 
     def km(a, b, c, d):
         a, b, c, d = map(math.radians, (a, b, c, d))
         return 2 * G.EARTH_KM * math.asin(math.sqrt(math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2))
 
-    for r in got.collect():
-        best = min((km(r.lat, r.lng, la, lo), p) for p, la, lo in places)
-        within = G.EARTH_KM * math.asin(math.sin(math.radians(20.0)) * math.cos(math.radians(r.lat)))
-        assert r.place == (best[1] if best[0] <= within else None)
+    assert sorted(r.ad_id for r in got) == sorted(a[0] for a in ads)
+    for r in got:
+        known = r.lat is not None and r.lng is not None
+        assert r.place == (min((km(r.lat, r.lng, la, lo), p) for p, la, lo in places)[1] if known else None)
+
+
+def test_nearest_place_far_away(spark):
+    ads = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 0.0)], "ad_id int, lat double, lng double")
+    one = spark.createDataFrame([("only", 0.0, 6.0), ("nowhere", None, 1.0)], "place string, lat double, lng double")
+    assert sorted((r.ad_id, r.place) for r in G.nearest_place(ads, one).collect()) == [(1, "only"), (2, None)]
+    assert [r.place for r in G.nearest_place(ads, one.limit(0)).collect()] == [None, None]
 
 
 def test_small_side_checks_the_size(spark):
