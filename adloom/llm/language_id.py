@@ -78,7 +78,7 @@ def _forward(x: np.ndarray, e: np.ndarray, u: np.ndarray, order, trace: list | N
 
 def _backward(x: np.ndarray, u: np.ndarray, d_states: np.ndarray, trace: list, de: np.ndarray, du: np.ndarray) -> None:
     """Backpropagation through time of one direction."""
-    dh = np.zeros_like(d_states[0])
+    dh, das = np.zeros_like(d_states[0]), np.empty((*x.shape, u.shape[1]), np.float32)
     for t, h, z, r, c, rec in reversed(trace):
         dh = dh + d_states[t]
         dc = dh * z * (np.abs(c) < 1)
@@ -87,8 +87,11 @@ def _backward(x: np.ndarray, u: np.ndarray, d_states: np.ndarray, trace: list, d
         da = np.concatenate([dz, dr, dc], axis=1)
         dg = np.concatenate([dz, dr, dc * r], axis=1)
         du += h.T @ dg
-        np.add.at(de, x[t], da)
+        das[t] = da
         dh = dh * (1 - z) + dg @ u.T
+    order = np.argsort(x, axis=None, kind="stable")  # what belongs to one byte is summed together
+    seen, first = np.unique(x.ravel()[order], return_index=True)
+    de[seen] += np.add.reduceat(das.reshape(-1, u.shape[1])[order], first)
 
 
 def _logits(x: np.ndarray, w: dict[str, np.ndarray], traces: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
