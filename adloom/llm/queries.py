@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm import language_id, toxicity
+from adloom.llm.align import align_corpus
 from adloom.llm.bpe import encode_decode, tokenizer_file
 from adloom.llm.chat_format import format_chats, parse, unescape
 from adloom.llm.common import HELD_OUT, fold_of, table
+from adloom.llm.conversation_repair import damage, repair, turn_digests
 from adloom.llm.decontaminate import find_leaks, split_items
 from adloom.llm.exact_dedup import exact_groups
 from adloom.llm.license_scan import scan_licenses
 from adloom.llm.minhash import near_duplicates
+from adloom.llm.pii import find_personal
 from adloom.llm.url_filter import Rule, judge_urls
 from adloom.llm.warc import read_warc, write_warc
 from adloom.session import new_table_path
@@ -157,3 +160,27 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), split_items(table(spark, sf_dir, "benchmark")))
+
+
+@query()
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; the counts are of the spans as they stand, n_disguised of those that the transducers add."""
+    columns = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "span_list", "n_disguised")
+    return find_personal(table(spark, sf_dir, "documents"), columns).withColumnRenamed("span_list", "spans")
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return align_corpus(table(spark, sf_dir, "documents"), files, hashed=True).withColumnRenamed("groups", "groups_sha256")
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged, then repaired; one row per conversation that was there before the damage."""
+    chats = table(spark, sf_dir, "conversations")
+    fixed = repair(damage(chats))
+    told = fixed.reports.join(turn_digests(fixed.turns).withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c")), "left").drop("c")
+    met = chats.select("conv_id").distinct().join(told, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return met.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", sha(F.lit(""))).alias("repaired_sha256"))
