@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.bpe import WORDS, byte_symbols
-from adloom.llm.common import stored
+from adloom.llm.common import stored, text_batches, tidy
 
 #: A space between two word characters: neither tokenizer lets a token reach over it from the left.
 CUT = re.compile(r"(?<=\w) (?=\w)")
@@ -259,19 +259,6 @@ def split_text(text: str, size: int) -> Iterator[str]:
     yield text[at:]
 
 
-def _batches(rows: Iterator[pa.RecordBatch], text: int, size: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of bounded bytes (or one row), with their texts."""
-    for batch in rows:
-        at = seen = 0
-        texts: list[str] = []
-        for k in range(batch.num_rows):
-            texts.append(batch.column(text)[k].as_py() or "")
-            seen += len(texts[-1])
-            if seen >= size or k + 1 == batch.num_rows:
-                yield batch.slice(at, k + 1 - at), texts
-                at, seen, texts = k + 1, 0, []
-
-
 FIELDS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, pairs array<bigint>, times array<bigint>"
 OPEN = "cut boolean, lossy boolean, prefix_a array<bigint>, prefix_b array<bigint>, suffix_a array<bigint>, suffix_b array<bigint>"
 
@@ -321,13 +308,13 @@ def align(docs: DataFrame, files: tuple[str, str], p: AlignParams = AlignParams(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = token_pair(*files)
-        for batch, texts in _batches(batches, 2, p.batch):
+        for batch, texts in text_batches(batches, 2, p.batch):
             made = leaves(v, [t for t in texts if t], [True] * len(texts), p.leaf)
             found = iter(made)
             done = [_finished(next(found) if t else LOSSY, hashed) for t in texts]
             yield pa.record_batch([batch.column(0), batch.column(1), *_columns(done)], names=["row", "doc_id", *NAMES])
 
-    short = rows.where(~is_long).mapInArrow(whole, f"row bigint, doc_id {id_type}, {FIELDS}")
+    short = rows.where(~is_long).mapInArrow(tidy(whole), f"row bigint, doc_id {id_type}, {FIELDS}")
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,14 +324,14 @@ def align(docs: DataFrame, files: tuple[str, str], p: AlignParams = AlignParams(
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = token_pair(*files)
-        for batch, texts in _batches(batches, 3, p.batch):
+        for batch, texts in text_batches(batches, 3, p.batch):
             parts = leaves(v, texts, [n == 0 for n in batch.column(2).to_pylist()], p.leaf)
             yield pa.record_batch([*batch.columns[:3], *_open_columns(parts)], names=["row", "doc_id", "part", *NAMES, *OPEN_NAMES])
 
     schema = f"row bigint, doc_id {id_type}, part bigint, {FIELDS}, {OPEN}"
     # the two scans number rows on their own, so the long ones take the negative numbers
     parts = rows.where(is_long).withColumn("row", -1 - F.col("row")).mapInArrow(cut_up, f"row bigint, doc_id {id_type}, part bigint, text string")
-    parts = stored(stored(parts, "align-parts").repartition("row", "part").mapInArrow(read, schema), "align-fragments")
+    parts = stored(stored(parts, "align-parts").repartition("row", "part").mapInArrow(tidy(read), schema), "align-fragments")
     last = parts.agg(F.max("part")).first()[0] or 0
 
     def join(table: pa.Table) -> pa.Table:

@@ -13,11 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.llm.common import text_batches, tidy
+
 #: Fixed value: the split into words that byte-level BPE vocabularies of this kind are made with.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: What a worker remembers: at most so many pieces of text, none longer than this.
-CACHE_PIECES, CACHE_CHARS = 800_000, 40
+#: What a worker remembers: pieces of text of so many bytes in all (two generations), none longer than so many characters, and so many pairs.
+CACHE_BYTES, CACHE_CHARS, CACHE_PAIRS = 56 << 20, 40, 1 << 17
+#: What an entry takes besides the bytes of its value and its key: both objects, and its share of the table.
+ENTRY_BYTES = 210
 
 
 def byte_symbols() -> dict[str, int]:
@@ -32,16 +36,23 @@ CUT = re.compile(r" (?=\S)")
 
 
 class Remembered(dict):
-    """Values of a function of a string, as many as fit."""
+    """Values of a function of a string, as many as fit into `limit` bytes.
+
+    There are two generations: once the young one holds half of the limit it becomes the old one, and what is asked for again moves back.
+    """
 
-    def __init__(self, make):
+    def __init__(self, make, limit: int):
         super().__init__()
-        self.make = make
+        self.make, self.limit, self.old, self.held = make, limit // 2, {}, 0
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
         if len(key) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
+            self.held += ENTRY_BYTES + len(key) + len(value)
+            if self.held > self.limit:
+                self.old, self.held = dict(self), 0
                 self.clear()
             self[key] = value
         return value
@@ -88,14 +99,15 @@ class Vocabulary:
         self.matcher.make_automaton()
         #: the longest token that is a proper prefix of a token, or -1
         self.shorter = {i: next((by_text[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in by_text), -1) for t, i in ordinary}
-        self.compatible: dict[tuple[int, int], bool] = {}
+        #: left * size + right -> whether the pair is compatible
+        self.compatible: dict[int, bool] = {}
 
         import regex
 
         self.words = regex.compile(WORDS)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words_seen = Remembered(self._word)
-        self.pieces = Remembered(self._after_space)
+        self.words_seen = Remembered(self._word, CACHE_BYTES // 4)
+        self.pieces = Remembered(self._after_space, CACHE_BYTES * 3 // 4)
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens yields just these two; kept in the pair-compatibility table.
@@ -103,7 +115,8 @@ class Vocabulary:
         The last parts of `left` and the first parts of `right` exist for a while during merging. A merge across the border
         happens if such parts meet before either has gone into a larger part. Undoing the later merge first, the right one of equals, visits all that meet.
         """
-        known = self.compatible.get((left, right))
+        at = left * len(self.token) + right
+        known = self.compatible.get(at)
         if known is None:
             a, b, until = left, right, None
             known = True
@@ -120,9 +133,9 @@ class Vocabulary:
                     until, a = ra[0], ra[2]
                 else:
                     until, b = rb[0] + 1, rb[1]
-            if len(self.compatible) > 2_000_000:
+            if len(self.compatible) >= CACHE_PAIRS:
                 self.compatible.clear()
-            self.compatible[left, right] = known
+            self.compatible[at] = known
         return known
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -205,8 +218,10 @@ def vocabulary(path: str) -> Vocabulary:
 def encode_decode(docs: DataFrame, tokenizer_path: str, columns: tuple[str, ...] = ("ids", "decoded"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_tokens, and the asked-for columns out of ids (array<int>), ids_sha256, decoded, decoded_sha256.
 
-    Null text is empty text, which has no tokens. Strings of special tokens inside a text are those tokens. Narrow: no shuffle, and
-    nothing is kept between rows but the bounded caches of a worker. Other columns of `docs` do not get in the way.
+    Null text is empty text, which has no tokens. Strings of special tokens inside a text are those tokens. Texts of any length are encoded
+    whole, in time linear in their length. Of tokens that fit equally well the merges decide, so there are no ties; repeated rows give repeated rows, an
+    empty table an empty result, and other columns of `docs` do not get in the way. Narrow: no shuffle, and nothing is kept between rows
+    but caches of `CACHE_BYTES` a worker.
     """
     kinds = {"ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -214,21 +229,21 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, columns: tuple[str, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(tokenizer_path)
-        for batch in batches:
+        for batch, texts in text_batches(batches, 1):
             made = {c: [] for c in ("n_tokens", *columns)}
-            for value in batch.column(1):
-                ids = v.encode(value.as_py() or "")
+            for text in texts:
+                ids = v.encode(text)
                 made["n_tokens"].append(len(ids))
                 if "ids" in made:
                     made["ids"].append(ids)
                 if "ids_sha256" in made:
                     made["ids_sha256"].append(hashlib.sha256(",".join(map(v.name.__getitem__, ids.tolist())).encode()).hexdigest())
                 if "decoded" in made or "decoded_sha256" in made:
-                    text = v.decode(ids)
-                    for c, x in (("decoded", text), ("decoded_sha256", hashlib.sha256(text.encode()).hexdigest())):
+                    back = v.decode(ids)
+                    for c, x in (("decoded", back), ("decoded_sha256", hashlib.sha256(back.encode()).hexdigest())):
                         if c in made:
                             made[c].append(x)
             types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
             yield pa.record_batch([batch.column(0), *[pa.array(x, types.get(c, pa.string())) for c, x in made.items()]], names=["doc_id", *made])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)

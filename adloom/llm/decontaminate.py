@@ -14,6 +14,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from adloom.llm.common import tidy
 
 #: ASCII letters and digits and everything beyond ASCII make words.
 BLANKED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
@@ -217,6 +220,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, p: LeakParams = LeakParams())
     spark, out = docs.sparkSession, None
     kind = {f.name: f.dataType.simpleString() for f in [docs.schema["doc_id"], items.schema["item_id"]]}
     schema = f"doc_id {kind['doc_id']}, item_id {kind['item_id']}, score double, question_overlap double, answer_overlap double, first_word bigint, n_words bigint"
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
     for index in build_indexes(items, p):
         shared = spark.sparkContext.broadcast(index)
 
@@ -224,11 +228,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, p: LeakParams = LeakParams())
             for batch in batches:
                 rows = [(i, *hit) for i, text in enumerate(batch.column(1)) for hit in shared.value.leaks(text.as_py())]
                 at, *cols = zip(*rows) if rows else [()] * 7
-                item_type = pa.int64() if kind["item_id"] in ("bigint", "int") else pa.string()
                 types = (item_type, pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, t) for c, t in zip(cols, types)]], names=[c.split(" ")[0] for c in schema.split(", ")])
 
-        found = docs.select("doc_id", "text").mapInArrow(run, schema)
+        found = docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
         out = found if out is None else out.unionByName(found)
     return out
 

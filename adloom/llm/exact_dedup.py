@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.common import ascii_lower, stored
+from adloom.llm.common import ascii_lower, free_name, stored
 
 
 def sha256(norm: Column) -> Column:
@@ -63,13 +63,18 @@ def exact_groups(docs: DataFrame, text_col: str = "text", digest: Callable[[Colu
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """`docs` with one row of each group of equal texts, all columns kept. Rows that repeat id and text become one."""
+    """`docs` with one row of each group of equal texts, all columns kept. Rows that repeat id and text become one.
+
+    Null text is empty text; a row without id stays only if no row of its group has one. Columns of any name come back as they were. An
+    empty table stays empty. Texts are compared by digest and, where a digest is shared by different texts, by content (`exact_groups`).
+    """
     groups = stored(exact_groups(docs), "exact-groups")
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumns({"_key": F.col("doc_id"), "_digest": sha256(ascii_lower(F.col("text")))})
-    left = keyed.join(gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_anti")
-    repeated = stored(groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), "repeated")
+    key, digest, gone_id, gone_digest = (free_name(n, docs) for n in ("_key", "_digest", "_gone_id", "_gone_digest"))
+    named = lambda df: df.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_digest))
+    same = F.col(key).eqNullSafe(F.col(gone_id)) & (F.col(digest) == F.col(gone_digest))
+    keyed = docs.withColumns({key: F.col("doc_id"), digest: sha256(ascii_lower(F.col("text")))})
+    left = keyed.join(named(groups.where(~F.col("kept"))), same, "left_anti")
+    repeated = stored(named(groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")), "repeated")
     if not repeated.isEmpty():
-        same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
-        left = left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["_key", "_digest"]))
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+        left = left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates([key, digest]))
+    return left.drop(key, digest)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.common import stored
+from adloom.llm.common import free_name, stored, text_batches, tidy
 
 
 @dataclass(frozen=True)
@@ -87,17 +87,17 @@ def sketches(docs: DataFrame, p: NearParams) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n", "key", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, key binary, sig binary")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, n bigint, key binary, sig binary")
 
 
 def shingle_sets(docs: DataFrame, p: NearParams) -> DataFrame:
     """id, key, set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(v.as_py(), p) for v in batch.column(1)]
+        for batch, texts in text_batches(batches, 1, 1 << 22):
+            sets = [shingle_set(t, p) for t in texts]
             yield pa.record_batch([batch.column(0), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], names=["id", "key", "set"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).mapInArrow(run, "id bigint, key binary, set binary")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).mapInArrow(tidy(run), "id bigint, key binary, set binary")
 
 
 def _filtered(pairs: DataFrame, test) -> DataFrame:
@@ -107,7 +107,7 @@ def _filtered(pairs: DataFrame, test) -> DataFrame:
             keep = [test(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return pairs.select("a", "b", "x", "y").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _with(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
@@ -231,7 +231,7 @@ def _crossing(members: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: Dat
         yield pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
     units = unit(True).unionByName(unit(False)).repartition("h", "i", "p").sortWithinPartitions("h", "i", "p")
-    return units.mapInArrow(run, "a bigint, b bigint").distinct()
+    return units.mapInArrow(tidy(run), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
@@ -286,6 +286,7 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
-    """`docs` with one document of each group of near copies, all columns kept."""
-    gone = stored(near_duplicates(docs, p).where("NOT kept").select("doc_id").distinct(), "near-dropped")
-    return docs.join(gone.withColumnRenamed("doc_id", "_gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """`docs` with one document of each group of near copies, all columns kept, whatever their names. Rows without id or without words stay; an
+    empty table stays empty."""
+    gone, name = stored(near_duplicates(docs, p).where("NOT kept").select("doc_id").distinct(), "near-dropped"), free_name("_gone", docs)
+    return docs.join(gone.withColumnRenamed("doc_id", name), F.col("doc_id") == F.col(name), "left_anti")

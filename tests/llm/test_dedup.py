@@ -88,3 +88,16 @@ def test_near_duplicates_on_nothing_and_columns_of_the_filter(spark):
     docs = spark.createDataFrame([(5, "a b c d e f g", "x"), (2, "A b c d e f g", "y"), (None, "a b c d e f g", "z")], "doc_id long, text string, component string")
     got = drop_near_copies(docs)
     assert got.columns == docs.columns and sorted((r.doc_id or 0) for r in got.collect()) == [0, 2]
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    names = ["_key", "_digest", "_id", "_sha", "_gone", "_GONE_", "_gone_id", "keep_id", "component", "hot", "salt"]
+    rows = [(1, "a b c d e f g", *names), (2, "A B c d e f g", *names), (3, "other words that are not the same", *names), (None, None, *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for stage in (drop_copies, drop_near_copies):
+        got = stage(docs)
+        assert got.columns == docs.columns
+        kept = got.collect()
+        assert sorted(r.doc_id or 0 for r in kept) == ([0, 2, 3] if stage is drop_copies else [0, 1, 3])
+        assert all([r[n] for n in names] == names for r in kept)
+        assert stage(docs.limit(0)).count() == 0

@@ -160,3 +160,30 @@ def test_leaks_are_found_wherever_they_stand(spark, shard):
     assert {(r.doc_id, r.item_id) for r in find_leaks(df, items, p).collect()} == {(k, k) for k in range(10)} | {(54, 2)}
     assert sorted(r.doc_id for r in drop_leaks(df, items, p).collect()) == [0, 50, 51, 52, 53]
     assert find_leaks(df, items.limit(0)).count() == 0 and find_leaks(df.limit(0), items).count() == 0
+
+
+def test_caches_of_a_worker_hold_their_bound():
+    from adloom.llm import bpe
+
+    made = []
+    seen = bpe.Remembered(lambda key: made.append(key) or key.encode() * 4, 100_000)
+    for k in range(5_000):
+        assert seen[f"word {k}"] == f"word {k}".encode() * 4
+        assert len(seen) + len(seen.old) <= 100_000 / bpe.ENTRY_BYTES
+    before = len(made)
+    assert seen["word 4999"] and len(made) == before and seen["x" * 100] and "x" * 100 not in seen
+    for k in range(3_000):
+        seen["often"], seen[f"other {k}"]
+    assert made.count("often") == 1  # what is asked for again stays
+    v = vocabulary(BPE)
+    for k in range(bpe.CACHE_PAIRS + 5_000):
+        v.fits(k % 50_000, (k * 7) % 50_000)
+    assert len(v.compatible) <= bpe.CACHE_PAIRS
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "smallint"])
+def test_leaks_with_items_of_any_id(spark, kind):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten. eleven twelve thirteen.")], "item_id int, text string").withColumn("item_id", F.col("item_id").cast(kind))
+    docs = spark.createDataFrame([(7, "x one two three four five six seven eight nine ten. eleven twelve thirteen. y", "a"), (8, "z", "b")], "doc_id long, text string, score string")
+    got = find_leaks(docs, split_items(items))
+    assert [(r.doc_id, str(r.item_id)) for r in got.collect()] == [(7, "1")] and dict(got.dtypes)["item_id"] == kind
