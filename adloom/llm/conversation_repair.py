@@ -102,17 +102,25 @@ def trace(chunk: str, after: np.ndarray, last: bool) -> list[tuple[str, int]]:
     Letters are tried in ASCII order. State and letter determine what follows, so taking the least one is taking the least audit.
     """
     role, fault = symbols(chunk)
-    n = len(chunk)
-    costs = np.empty((n + 1, STATES), np.int64)
-    costs[n] = after
-    for i in range(n - 1, -1, -1):
-        costs[i] = insertions(step(costs[i + 1][None], role[i : i + 1], fault[i : i + 1]))[0]
-    cost, roles, faults = costs.tolist(), role.tolist(), fault.tolist()
+    roles, faults, n = role.tolist(), fault.tolist(), len(chunk)
+    follow, forced = NEXT.tolist(), FORCED.tolist()
+    cost = [list(map(int, after))]
+    for r, f in zip(reversed(roles), reversed(faults)):
+        v, extra = cost[-1], TRUNCATED if f == CUT_OFF else 0
+        best = [x + DELETE for x in v]
+        if f == OK or f == CUT_OFF:
+            for q in range(STATES):
+                kept = follow[q][r] if r != OTHER else -1
+                best[q] = min(best[q], v[forced[q]] + REROLE + extra, v[kept] + extra if kept >= 0 else FAR)
+        for _ in range(2):
+            best = [min(x, best[to] + INSERT) for x, to in zip(best, forced)]
+        cost.append(best)
+    cost.reverse()
     out = []
     for state in range(STATES):
         i, q, audit = 0, state, []
         while i < n or (last and cost[n][q]):
-            here, to = cost[i][q], int(FORCED[q])
+            here, to = cost[i][q], forced[q]
             if i < n and cost[i + 1][q] + DELETE == here:
                 audit.append("D")
                 i += 1
@@ -121,7 +129,7 @@ def trace(chunk: str, after: np.ndarray, last: bool) -> list[tuple[str, int]]:
                 q = to
             else:
                 extra = TRUNCATED if faults[i] == CUT_OFF else 0
-                kept = int(NEXT[q][roles[i]]) if roles[i] != OTHER else -1
+                kept = follow[q][roles[i]] if roles[i] != OTHER else -1
                 if kept >= 0 and cost[i + 1][kept] + extra == here:
                     audit.append("K")
                     q = kept

@@ -18,10 +18,12 @@ LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class LangParams:
-    """The sample that is fitted: `docs` documents of each language, none longer than `sample_bytes`, and of each at most `windows`
-    windows of `length` bytes, wherever they stand."""
+    """The sample that is fitted: the `langs` most frequent languages, `docs` documents of each and `all_docs` in all, none longer than `sample_bytes`,
+    and of each at most `windows` windows of `length` bytes, wherever they stand."""
 
     docs: int = 400
+    all_docs: int = 8_000
+    langs: int = 100
     sample_bytes: int = 40_000
     windows: int = 24
     length: int = 32
@@ -206,17 +208,32 @@ def probabilities(texts: Sequence[str | None], m: LangModel, block: int = 1024)
 
 
 def train(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
-    """Fits on a bounded sample of documents with a language outside the held-out fold, `docs` of each language by hash of the id."""
-    known = docs.where(F.col("lang").isNotNull() & F.octet_length("text").between(1, p.sample_bytes) & (fold_of(F.col("doc_id")) != HELD_OUT))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id"))
-    chosen = known.select("lang", "doc_id").withColumn("place", place).where(F.col("place") <= p.docs).select("doc_id", "lang")
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
-    got = sorted(rows.collect())
+    """Fits on a bounded sample of documents with a language outside the held-out fold, for each language those with the least hashes of their ids.
+
+    Languages are counted first. The count tells below which hash some four times the wanted documents of a language lie; only those are ranked, so no
+    task gets more, however many documents a language has. Ties of hash and id go by text. Null and empty texts, null languages and longer documents take no part, rows that
+    repeat are one, and without any row nothing is learned.
+    """
+    known = docs.where(F.col("lang").isNotNull() & F.octet_length("text").between(1, p.sample_bytes) & (fold_of(F.col("doc_id")) != HELD_OUT)).select("doc_id", "lang")
+    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(p.langs)
+    # at most `langs` rows
+    rows = {r["lang"]: r["n"] for r in frequent.collect()}
+    if not rows:
+        return fit([], [], p)
+    each = min(p.docs, max(1, p.all_docs // len(rows)))
+    below = docs.sparkSession.createDataFrame([(lang, min(1.0, 4.0 * each / n)) for lang, n in rows.items()], "lang string, share double")
+    place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))
+    near = known.join(F.broadcast(below), "lang").where(place < F.col("share") * (1 << 30)).select("doc_id", "lang", place.alias("place"))
+    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))).where(F.col("nth") <= each)
+    # at most `all_docs` rows, or one a language
+    chosen = F.broadcast(ranked.select("doc_id", "lang").distinct())
+    got = sorted(set(docs.where(F.octet_length("text") <= p.sample_bytes).select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).collect()))
     return fit([r.text for r in got], [r.lang for r in got], p)
 
 
 def language(text: Column, model: LangModel) -> Column:
-    """struct(lang_pred, score) of every whole text; `und` with score 0 if it is null, has no letter, or nothing was learned."""
+    """struct(lang_pred, score) of every whole text; `und` with score 0 if it is null, has no letter, or nothing was learned. Texts of any
+    length are read whole, a megabyte or one text at a time; of equally likely languages the first in order of name counts; equal texts get equal results."""
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
