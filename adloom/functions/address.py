@@ -1,68 +1,55 @@
-"""Address text to structured parts."""
+"""Address text to structured parts, by the tables of patterns in `vocab`."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions import vocab
-from adloom.functions.text import grab, strip_ws, text_map
-
-
-def unglue(c: Column) -> Column:
-    """Put back the blank that is missing after a ZIP code and after a state code."""
-    spaced = F.regexp_replace(c, r"(\d{5})([A-Za-z])", "$1 $2")
-    return F.regexp_replace(spaced, r"\b([A-Z]{2})([A-Z][a-z])", "$1 $2")
-
+from adloom.functions.text import grab, let, strip_ws, text_map
 
-def _country(text: Column, which: int) -> Column:
-    chain = None
-    for row in vocab.COUNTRIES:
-        hit = text.rlike(rf"(?i)\b{row[0]}\b")
-        chain = F.when(hit, row[which]) if chain is None else chain.when(hit, row[which])
-    return chain
+PARTS = ["zip_code", "country", "country_code", "state_code", "state", "city", "county", "formatted_address"]
 
 
-def zip_in(text: Column) -> Column:
-    return grab(text, r"\b(\d{5})(?:-\d{4})?\b")
+def state_name(code: Column) -> Column:
+    return F.coalesce(F.try_element_at(text_map(vocab.US_STATES), code), code)
 
 
-def state_code_in(text: Column) -> Column:
-    return grab(text, r",\s*([A-Z]{2})(?:[,\s]|$)")
+def _land(text: Column) -> Column:
+    """`{country, country_code}` of the first keyword, in table order, that the text holds as a word; NULL without one."""
+    rows = [
+        F.when(text.rlike(rf"(?i)\b{word}\b"), F.struct(F.lit(name).alias("country"), F.lit(code).alias("country_code")))
+        for word, name, code in vocab.COUNTRIES
+    ]
+    return F.coalesce(*rows)
 
 
-def city_before(text: Column, code: Column) -> Column:
-    pattern = F.concat(F.lit(r"([A-Za-z][A-Za-z ]{1,35}?),\s*"), code, F.lit(r"(?:[,\s]|$)"))
-    return strip_ws(grab(text, pattern))
+def address_parts(address: Column) -> Column:
+    """Struct of `PARTS`. The line of the address is city, state code, ZIP code and country, as far as there are two of them."""
+    before, after = vocab.ADDRESS_CITY
 
+    def read(text: Column) -> Column:
+        return let(grab(text, vocab.ADDRESS_STATE_CODE), lambda code: let(_land(text), lambda land: told(text, code, land)))
 
-def county_in(text: Column) -> Column:
-    return strip_ws(grab(text, r"\b([A-Z][a-z][a-zA-Z]*(?:\s+[A-Za-z]+)*\s+County)\b"))
+    def told(text: Column, code: Column, land: Column) -> Column:
+        found = {
+            "zip_code": grab(text, vocab.ADDRESS_ZIP), "country": land["country"], "country_code": land["country_code"],
+            "state_code": code, "state": state_name(code), "county": strip_ws(grab(text, vocab.ADDRESS_COUNTY)),
+            "city": F.when(code.isNotNull(), strip_ws(grab(text, F.concat(F.lit(before), code, F.lit(after))))),
+        }
+        return let(F.struct(*[v.alias(f) for f, v in found.items()]), with_line)
 
+    def with_line(p: Column) -> Column:
+        known = F.array_compact(F.array(p["city"], p["state_code"], p["zip_code"], p["country"]))
+        line = F.when(F.size(known) > 1, F.array_join(known, ", ")).alias("formatted_address")
+        return F.struct(*[line if f == "formatted_address" else p[f].alias(f) for f in PARTS])
 
-def state_name(code: Column) -> Column:
-    return F.coalesce(F.try_element_at(text_map(vocab.US_STATES), code), code)
+    spaced = reduce(lambda text, rule: F.regexp_replace(text, *rule), vocab.ADDRESS_GLUE, address)
+    return let(spaced, read)
 
 
-def with_parsed_address(df, source: str, out: str):
-    """Adds struct column `out` parsed from text column `source`.
-
-    Three projections, so that every expensive expression is written (and evaluated) once.
-    """
-    t, code = F.col("_addr_text"), F.col("_addr_code")
-    step1 = df.withColumn("_addr_text", unglue(F.col(source)))
-    step2 = step1.withColumns({"_addr_code": state_code_in(t), "_addr_zip": zip_in(t), "_addr_cc": _country(t, 2)})
-    step3 = step2.withColumn("_addr_city", city_before(t, code))
-    zip_code, cc, city, country = F.col("_addr_zip"), F.col("_addr_cc"), F.col("_addr_city"), _country(t, 1)
-    parts = F.filter(F.array(city, code, zip_code, country), lambda x: x.isNotNull())
-    parsed = F.struct(
-        zip_code.alias("zip_code"),
-        country.alias("country"),
-        cc.alias("country_code"),
-        code.alias("state_code"),
-        state_name(code).alias("state"),
-        city.alias("city"),
-        county_in(t).alias("county"),
-        F.when(F.size(parts) >= 2, F.array_join(parts, ", ")).alias("formatted_address"),
-    )
-    return step3.withColumn(out, parsed).drop("_addr_text", "_addr_code", "_addr_zip", "_addr_cc", "_addr_city")
+def with_parsed_address(df: DataFrame, source: str, out: str) -> DataFrame:
+    """Adds struct column `out`, the parts of text column `source`."""
+    return df.withColumn(out, address_parts(F.col(source)))

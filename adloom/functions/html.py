@@ -1,13 +1,19 @@
 """Stored HTML as an ordered token array, and the few selectors the extractors need.
 
-A token is `{pos, close, tag, attrs, cls, text}`: either a tag (with `tag`, raw `attrs` and the class
-attribute) or a run of text. Tokens stay in the row of their page, so no page ever crosses a shuffle.
+A token is `{pos, close, tag, attrs, cls, text, end, next}`: either a tag (with `tag`, raw `attrs` and the
+class attribute) or a run of text. Tokens stay in the row of their page, so no page ever crosses a shuffle.
 An element reaches from its opening tag to the matching closing tag of the same name; that tolerates
 unclosed inline tags. `<p>` also ends at the next `<p>`. Void elements contain nothing.
+
+`end` is where the element of an opening tag ends, `next` the position of the next tag. Both come from
+sorted arrays and running folds over the tokens of the page, so a page of any size costs little more than
+its length, and no reader has to search for the end of an element.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,7 +34,18 @@ ENTITIES = {
     "&euro;": "€", "&pound;": "£", "&cent;": "¢", "&yen;": "¥", "&deg;": "°", "&times;": "×",
 }
 
-TOKEN = "struct<pos:int,close:boolean,tag:string,attrs:string,cls:string,text:string>"
+# array elements per block of a running fold
+BLOCK = 128
+
+
+def over_tokens(reader):
+    """A reader of tokens that binds them first, so that an expression for tokens is computed once however often the reader mentions it."""
+
+    @wraps(reader)
+    def read(tokens: Column, *args, **kwargs) -> Column:
+        return let(tokens, lambda t: reader(t, *args, **kwargs))
+
+    return read
 
 
 def _numeric_entity(piece: Column) -> Column:
@@ -73,7 +90,129 @@ def html_tokens(html: Column) -> Column:
         )
 
     # text between two tags that is only a doctype or a stray bracket stays a text token
-    return F.transform(pieces, token)
+    return let(F.transform(pieces, token), _with_spans)
+
+
+def running(values: Column, op, zero: Column) -> Column:
+    """Running fold of a number array, each entry included. Blocks are folded on their own, then again from
+    what the blocks before them add up to, so the appends stay short and the cost linear."""
+
+    def grown(start: Column, block: Column) -> Column:
+        return F.aggregate(block, F.array(start), lambda acc, x: F.array_append(acc, op(F.element_at(acc, -1), x)))
+
+    def over(a: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(a) / BLOCK).cast("int") - 1, F.lit(0))
+        return let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * BLOCK + 1, BLOCK)), joined)
+
+    def joined(blocks: Column) -> Column:
+        carried = grown(zero, F.transform(blocks, lambda b: F.aggregate(b, zero, lambda x, y: op(x, y))))
+        return let(carried, lambda c: F.flatten(F.transform(blocks, lambda b, i: F.slice(grown(F.get(c, i), b), 2, BLOCK))))
+
+    return let(values, over)
+
+
+_NOWHERE = 1 << 30
+
+
+def running_max(values: Column) -> Column:
+    return running(values, F.greatest, F.lit(-1))
+
+
+def next_where(tokens: Column, pred) -> Column:
+    """Per token the position of the first later token that matches, or NULL."""
+    backwards = F.transform(F.reverse(tokens), lambda t: F.when(pred(t), t["pos"]).otherwise(_NOWHERE))
+    nearest = F.reverse(running(backwards, F.least, F.lit(_NOWHERE)))
+    return let(nearest, lambda a: F.transform(a, lambda _, i: F.nullif(F.get(a, i + 1), F.lit(_NOWHERE))))
+
+
+def _with_spans(tokens: Column) -> Column:
+    """Tokens with `end` and `next`.
+
+    Sorted by tag name, the running sum of +1 per opening and -1 per closing tag is a level; an opening tag and the closing tag that
+    brings its level back are neighbours once the tokens are sorted by name, level and position.
+    """
+
+    def step(t: Column) -> Column:
+        return F.when(t["tag"].isNull() | one_of(t["tag"], VOID_TAGS), 0).when(t["close"], -1).otherwise(1)
+
+    by_name = F.array_sort(
+        F.transform(tokens, lambda t: F.struct(F.coalesce(t["tag"], F.lit("")).alias("tag"), t["pos"].alias("pos"), F.coalesce(step(t), F.lit(0)).alias("step")))
+    )
+
+    def levelled(a: Column) -> Column:
+        sums = running(F.transform(a, lambda x: x["step"]), lambda x, y: x + y, F.lit(0))
+
+        def row(x: Column, i: Column, level: Column) -> Column:
+            after = F.get(a, i + 1)
+            return F.struct(
+                x["tag"].alias("tag"), (level + F.when(x["step"] < 0, 1).otherwise(0)).alias("level"), x["pos"].alias("pos"), x["step"].alias("step"),
+                F.when(after["tag"] == x["tag"], after["pos"]).alias("after"),
+            )
+
+        return let(sums, lambda l: F.array_sort(F.transform(a, lambda x, i: row(x, i, F.get(l, i)))))
+
+    def ended(b: Column) -> Column:
+        def end(x: Column, n: Column) -> Column:
+            closed = F.when((n["tag"] == x["tag"]) & (n["level"] == x["level"]) & (n["step"] < 0), n["pos"])
+            return F.when(x["step"] != 1, x["pos"]).otherwise(F.coalesce(F.when(x["tag"] == "p", x["after"]).otherwise(closed), F.size(tokens)))
+
+        spans = F.transform(b, lambda x, i: F.struct(x["pos"].alias("pos"), end(x, F.get(b, i + 1)).alias("end")))
+        return F.transform(F.array_sort(spans), lambda x: x["end"])
+
+    def put(ends: Column, nexts: Column) -> Column:
+        return F.transform(
+            tokens,
+            lambda t, i: F.struct(*[t[f].alias(f) for f in ("pos", "close", "tag", "attrs", "cls", "text")], F.get(ends, i).alias("end"), F.get(nexts, i).alias("next")),
+        )
+
+    nexts = next_where(tokens, lambda t: t["tag"].isNotNull())
+    return let(let(let(by_name, levelled), ended), lambda e: let(nexts, lambda n: put(e, n)))
+
+
+@over_tokens
+def parents(tokens: Column) -> Column:
+    """Per token the position of the innermost element around it, or -1.
+
+    The depth of a token is a running sum of elements that open and end; its parent is the last opening tag one level up before it,
+    which is the neighbour to the left once opening tags and tokens are sorted by depth and position.
+    """
+    opens = lambda t: t["tag"].isNotNull() & ~t["close"] & (t["end"] > t["pos"])
+
+    def deep(t: Column) -> Column:
+        ends = F.array_sort(F.transform(F.filter(t, opens), lambda x: x["end"]))
+        moves = F.array_sort(F.concat(
+            F.transform(t, lambda x: F.struct(x["pos"].alias("pos"), F.lit(1).alias("kind"), F.when(opens(x), 1).otherwise(0).alias("by"))),
+            F.transform(ends, lambda e: F.struct(e.alias("pos"), F.lit(0).alias("kind"), F.lit(-1).alias("by"))),
+        ))
+        return let(moves, placed)
+
+    def placed(m: Column) -> Column:
+        sums = running(F.transform(m, lambda x: x["by"]), lambda x, y: x + y, F.lit(0))
+
+        def rows(l: Column) -> Column:
+            here = F.transform(m, lambda x, i: F.struct((F.get(l, i) - x["by"]).alias("depth"), x["pos"].alias("pos"), x["kind"].alias("kind"), (x["by"] == 1).alias("opens")))
+            both = F.concat(
+                F.transform(F.filter(here, lambda x: (x["kind"] == 1) & x["opens"]), lambda x: F.struct((x["depth"] + 1).alias("depth"), x["pos"].alias("pos"), F.lit(0).alias("asks"))),
+                F.transform(F.filter(here, lambda x: x["kind"] == 1), lambda x: F.struct(x["depth"].alias("depth"), x["pos"].alias("pos"), F.lit(1).alias("asks"))),
+            )
+            return let(F.array_sort(both), answered)
+
+        return let(sums, rows)
+
+    def answered(b: Column) -> Column:
+        key = lambda x: x["depth"].cast("bigint") * _NOWHERE + x["pos"]
+        last = running(F.transform(b, lambda x: F.when(x["asks"] == 0, key(x)).otherwise(F.lit(-1).cast("bigint"))), F.greatest, F.lit(-1).cast("bigint"))
+
+        def told(l: Column) -> Column:
+            def parent(x: Column, seen: Column) -> Column:
+                return F.when((seen >= 0) & (F.floor(seen / _NOWHERE) == x["depth"]), F.pmod(seen, F.lit(_NOWHERE)).cast("int")).otherwise(-1)
+
+            every = F.transform(b, lambda x, i: F.when(x["asks"] == 1, F.struct(x["pos"].alias("pos"), parent(x, F.get(l, i)).alias("parent"))))
+            return F.transform(F.array_sort(F.filter(every, lambda x: x.isNotNull())), lambda x: x["parent"])
+
+        return let(last, told)
+
+    return let(tokens, deep)
 
 
 def attr(attrs: Column, name: str) -> Column:
@@ -103,9 +242,17 @@ def page_title(html: Column) -> Column:
 # ---- selectors ------------------------------------------------------------------------------
 
 
-def matches(t: Column, selector: tuple[str, str]) -> Column:
-    """Does an opening tag match `("tag", "h1")`, `("class", x)`, `("class*", x)`, `("id", x)` or `("attr:<name>", x)`?"""
-    kind, value = selector
+#: Steps of a selector: a condition `("tag", "h1")`, `("class", x)`, `("class*", x)`, `("id", x)` or `("attr:<name>", x)`, or a list of
+#: conditions that must all hold. A path is a tuple of steps with CHILD or INSIDE between them.
+CHILD, INSIDE = ">", " "
+
+
+def matches(t: Column, step) -> Column:
+    """Does an opening tag match a step?"""
+    if isinstance(step, list):
+        hits = [matches(t, one) for one in step]
+        return hits[0] if len(hits) == 1 else hits[0] & matches(t, step[1:])
+    kind, value = step
     if kind == "tag":
         hit = t["tag"] == value
     elif kind == "class":
@@ -117,31 +264,56 @@ def matches(t: Column, selector: tuple[str, str]) -> Column:
     elif kind.startswith("attr:"):
         hit = F.contains(t["attrs"], F.lit(value)) & (attr(t["attrs"], kind[5:]) == value)
     else:
-        raise ValueError(f"unknown selector {selector}")
+        raise ValueError(f"unknown selector {step}")
     return F.coalesce(~t["close"] & t["tag"].isNotNull() & hit, F.lit(False))
 
 
-def element_end(tokens: Column, opened: Column) -> Column:
-    """Position of the token that closes element `opened` (an opening tag token)."""
-    same = F.filter(tokens, lambda t: (t["pos"] > opened["pos"]) & (t["tag"] == opened["tag"]))
-    start = F.struct(F.lit(1).alias("depth"), F.lit(None).cast("int").alias("end"))
-
-    def step(acc, t):
-        depth = acc["depth"] + F.when(t["close"], -1).when(opened["tag"] == "p", -1).otherwise(1)
-        return F.when(acc["end"].isNotNull(), acc).otherwise(
-            F.struct(depth.alias("depth"), F.when(depth == 0, t["pos"]).alias("end"))
-        )
+def _is_path(selector) -> bool:
+    return isinstance(selector, tuple) and any(s in (CHILD, INSIDE) for s in selector[1::2] if isinstance(s, str)) and len(selector) > 2
+
+
+def covered(tokens: Column, marked: Column, itself: bool = True) -> Column:
+    """Per token whether it lies in an element whose opening tag is marked (a boolean array); with `itself`, that tag counts as inside."""
+    reach = running_max(F.zip_with(tokens, marked, lambda t, m: F.when(m, t["end"]).otherwise(-1)))
+
+    def inside_any(r: Column) -> Column:
+        return F.transform(tokens, lambda t, i: F.coalesce((F.get(r, i) if itself else F.get(r, i - 1)) > t["pos"], F.lit(False)))
+
+    return let(reach, inside_any)
+
 
-    scanned = F.aggregate(same, start, step)["end"]
-    return F.when(one_of(opened["tag"], VOID_TAGS), opened["pos"]).otherwise(F.coalesce(scanned, F.size(tokens)))
+def marks(tokens: Column, selector) -> Column:
+    """Per token whether it is an opening tag that the selector matches."""
+    if not _is_path(selector):
+        return F.transform(tokens, lambda t: matches(t, selector))
+    found = F.transform(tokens, lambda t: matches(t, selector[0]))
+
+    def narrowed(reached: Column, step) -> Column:
+        return let(reached, lambda w: F.transform(tokens, lambda t, i: matches(t, step) & F.get(w, i)))
+
+    def child(m: Column) -> Column:
+        return let(parents(tokens), lambda p: F.transform(p, lambda at: F.coalesce(F.get(m, F.nullif(at, F.lit(-1))), F.lit(False))))
+
+    for way, step in zip(selector[1::2], selector[2::2]):
+        found = narrowed(let(found, child) if way == CHILD else covered(tokens, found, itself=False), step)
+    return found
+
+
+def select_all(tokens: Column, selector) -> Column:
+    """All opening tags that the selector matches, in page order."""
+    if not _is_path(selector):
+        return F.filter(tokens, lambda t: matches(t, selector))
+    return let(marks(tokens, selector), lambda m: F.filter(tokens, lambda t, i: F.get(m, i)))
+
+
+def element_end(tokens: Column, opened: Column) -> Column:
+    """Position of the token that ends element `opened` (an opening tag token)."""
+    return opened["end"]
 
 
 def span(tokens: Column, opened: Column) -> Column:
-    """`{from, to, opened}` of an element; NULL for a missing one."""
-    return F.when(
-        opened.isNotNull(),
-        F.struct(opened["pos"].alias("from"), element_end(tokens, opened).alias("to")),
-    )
+    """`{from, to}` of an element; NULL for a missing one."""
+    return F.when(opened.isNotNull(), F.struct(opened["pos"].alias("from"), opened["end"].alias("to")))
 
 
 def inside(tokens: Column, rng: Column) -> Column:
@@ -171,9 +343,10 @@ def element_text(tokens: Column, opened: Column, render=text_of) -> Column:
 
 
 def first_element(tokens: Column, selector) -> Column:
-    return first_where(tokens, lambda t: matches(t, selector))
+    return F.get(select_all(tokens, selector), F.lit(0))
 
 
+@over_tokens
 def select_text(tokens: Column, selectors, render=text_of) -> Column:
     """Text of the first element of the first selector that gives any."""
     return F.coalesce(
@@ -184,11 +357,13 @@ def select_text(tokens: Column, selectors, render=text_of) -> Column:
     )
 
 
+@over_tokens
 def select_attr(tokens: Column, selectors, name: str) -> Column:
     """Attribute of the first element of the first selector that has it."""
     return F.coalesce(*[null_if_empty(attr(first_element(tokens, s)["attrs"], name)) for s in selectors])
 
 
+@over_tokens
 def anchors(tokens: Column) -> Column:
     """Every `<a href>` as `{pos, href, rel, text}`, in page order."""
     opened = F.filter(tokens, lambda t: matches(t, ("tag", "a")))
@@ -217,7 +392,7 @@ def hrefs(html: Column) -> Column:
 
 def next_tag(tokens: Column, pos: Column) -> Column:
     """First tag token after a position: an opening one is the next sibling, a closing one ends the parent."""
-    return let(pos, lambda p: first_where(tokens, lambda t: (t["pos"] > p) & t["tag"].isNotNull()))
+    return F.get(tokens, F.get(tokens, pos)["next"])
 
 
 _LABEL_TAGS = ["span", "p", "div", "label", "td", "th", "dt", "h5", "h6", "small"]
@@ -227,6 +402,7 @@ def _label_name(text: Column) -> Column:
     return strip_ws(F.regexp_replace(F.lower(strip_ws(text)), ":$", ""))
 
 
+@over_tokens
 def label_value_grid(tokens: Column) -> Column:
     """Array `{field, value, pos}`: each known label cell with the value next to it."""
     fields = text_map(vocab.GRID_LABELS)
@@ -255,24 +431,21 @@ def label_value_grid(tokens: Column) -> Column:
         tokens, lambda t: t["tag"].isNull() & (F.length(t["text"]) <= 60) & one_of(_label_name(t["text"]), names)
     )
 
-    def pair(label: Column) -> Column:
-        # the closing tag of the label's cell; inline tags such as <b> around the label are skipped
-        closer = let(
-            first_where(
-                tokens,
-                lambda t: (t["pos"] > label["pos"])
-                & ~(t["close"] & ~one_of(t["tag"], _LABEL_TAGS))
-                & ~(t["tag"].isNull() & (strip_ws(t["text"]) == "")),
-            ),
-            lambda t: F.when(t["close"] & one_of(t["tag"], _LABEL_TAGS), t),
-        )
-        return F.struct(
-            F.try_element_at(fields, _label_name(label["text"])).alias("field"),
-            let(closer, lambda cell: F.when(cell.isNotNull(), value_after(cell))).alias("value"),
-            label["pos"].alias("pos"),
-        )
+    def pairs(stops: Column) -> Column:
+        def pair(label: Column) -> Column:
+            # the closing tag of the label's cell; inline tags such as <b> around the label are skipped
+            closer = let(F.get(tokens, F.get(stops, label["pos"])), lambda t: F.when(t["close"] & one_of(t["tag"], _LABEL_TAGS), t))
+            return F.struct(
+                F.try_element_at(fields, _label_name(label["text"])).alias("field"),
+                let(closer, lambda cell: F.when(cell.isNotNull(), value_after(cell))).alias("value"),
+                label["pos"].alias("pos"),
+            )
+
+        return F.transform(labels, pair)
 
-    return F.filter(F.transform(labels, pair), lambda p: p["value"].isNotNull())
+    skipped = lambda t: (t["close"] & ~one_of(t["tag"], _LABEL_TAGS)) | (t["tag"].isNull() & (strip_ws(t["text"]) == ""))
+    stops = next_where(tokens, lambda t: ~F.coalesce(skipped(t), F.lit(False)))
+    return F.filter(let(stops, pairs), lambda p: p["value"].isNotNull())
 
 
 def grid_fields(grid: Column) -> Column:
@@ -292,6 +465,7 @@ _HEADING_CLASSES = ["section-title", "section-heading", "heading"]
 _ITEM_CLASSES = ["item", "tag", "badge", "chip", "feature", "amenity"]
 
 
+@over_tokens
 def section_items(tokens: Column, heading: str) -> Column:
     """Distinct item texts (2 to 80 characters) of the section under a heading that matches."""
     # `heading` is a lower-case pattern over the trimmed heading text
@@ -349,14 +523,19 @@ OVERVIEW_LIVE = [
     ("class*", "description"), ("class*", "overview"), ("class*", "ad-detail"), ("attr:itemprop", "description"),
 ]
 OVERVIEW_DETAILS = [
-    ("class*", "overview-content"), ("class*", "description-content"), ("class*", "ad-description"),
-    ("class*", "description"), ("attr:itemprop", "description"),
+    ("class*", "overview-content"), (("class*", "overview"), CHILD, ("tag", "p")), ("class*", "description-content"),
+    ("class*", "ad-description"), ("class*", "description"), ("attr:itemprop", "description"),
 ]
 
 
-def overview_pick(tokens: Column, selectors=OVERVIEW_DETAILS, longer_than: int = 30) -> Column:
+@over_tokens
+def overview_pick(tokens: Column, selectors=OVERVIEW_DETAILS, longer_than: int = 30, below_heading: bool = True) -> Column:
     """Rendered text of the first description block that is long enough, else what follows an "Overview" heading."""
-    blocks = [let(select_text(tokens, [s], lines_of), lambda x: F.when(F.length(x) > longer_than, x)) for s in selectors]
+    firsts = F.array(*[first_element(tokens, s) for s in selectors])
+    printed = F.transform(firsts, lambda o: element_text(tokens, o, lines_of))
+    block = first_where(printed, lambda x: F.length(x) > longer_than)
+    if not below_heading:
+        return block
     heading = first_where(
         tokens,
         lambda t: t["tag"].isNull()
@@ -367,63 +546,92 @@ def overview_pick(tokens: Column, selectors=OVERVIEW_DETAILS, longer_than: int =
         heading,
         lambda h: let(next_tag(tokens, h["pos"] + 1), lambda n: F.when(~n["close"], element_text(tokens, n, lines_of))),
     )
-    return F.coalesce(*blocks, null_if_empty(below))
+    return F.coalesce(block, null_if_empty(below))
+
+
+POSTER_BLOCKS = [("class*", k) for k in ("info", "meta", "footer", "detail", "overview")] + [("tag", "table"), ("class*", "posted")]
+_POSTER_LABELS = ["span", "label", "div", "p", "td", "th", "li"]
 
 
+@over_tokens
 def posted_by_cascade(tokens: Column, text: Column) -> Column:
-    """Poster: from the page text, else from an info block, else from the element beside a "Posted by" label."""
+    """Poster: from the page text, else from any info block, else from what stands beside any "Posted by" label: the next
+    element, or the text that follows."""
     from adloom.functions.pagetext import posted_by_rest_of_line
 
-    info = [("class*", k) for k in ("info", "meta", "footer", "detail", "overview")] + [("tag", "table"), ("class*", "posted")]
-    blocks = [posted_by_rest_of_line(select_text(tokens, [s], lines_of)) for s in info]
-    label = first_where(tokens, lambda t: t["tag"].isNull() & strip_ws(t["text"]).rlike(r"(?i)^posted\s+by[:\s]*$"))
-    beside = let(
-        label,
-        lambda l: let(
-            next_tag(tokens, l["pos"] + 1),
-            lambda n: F.when(~n["close"], null_if_empty(element_text(tokens, n, lines_of))),
-        ),
+    def in_blocks(hits: Column) -> Column:
+        said = lambda o: null_if_empty(posted_by_rest_of_line(element_text(tokens, o, lines_of)))
+        of_kind = lambda k: F.transform(F.filter(tokens, lambda t: F.array_contains(F.get(hits, t["pos"]), k)), said)
+        found = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(len(POSTER_BLOCKS) - 1)), of_kind))
+        return first_where(found, lambda x: x.isNotNull())
+
+    labels = F.filter(
+        tokens,
+        lambda t: t["tag"].isNull() & t["text"].rlike(vocab.POSTED_BY_LABEL) & F.coalesce(one_of(F.get(tokens, t["pos"] - 1)["tag"], _POSTER_LABELS), F.lit(False)),
+    )
+
+    def beside(label: Column) -> Column:
+        def after(closing: Column) -> Column:
+            sibling = let(F.get(tokens, closing["next"]), lambda n: F.when(~n["close"], null_if_empty(element_text(tokens, n, lines_of))))
+            loose = let(F.get(tokens, closing["pos"] + 1), lambda n: F.when(n["tag"].isNull(), null_if_empty(strip_ws(n["text"]))))
+            return F.when(closing["close"], F.coalesce(sibling, loose))
+
+        return let(F.get(tokens, label["pos"] + 1), after)
+
+    return F.coalesce(
+        posted_by_rest_of_line(text), let(_hits(tokens, POSTER_BLOCKS), in_blocks), first_where(F.transform(labels, beside), lambda x: x.isNotNull())
     )
-    return F.coalesce(posted_by_rest_of_line(text), *blocks, beside)
+
+
+@over_tokens
+def neighborhood_links(tokens: Column) -> Column:
+    """Distinct texts of the links inside neighbourhood blocks, in page order."""
+    links = select_all(tokens, (("class*", "neighborhood"), INSIDE, ("tag", "a")))
+    return F.array_distinct(F.filter(F.transform(links, lambda a: element_text(tokens, a, lines_of)), lambda x: x != ""))
+
+
+@over_tokens
+def amenity_labels(tokens: Column) -> Column:
+    """Texts of everything that is styled as an amenity, a feature or a facility."""
+    styled = F.filter(tokens, lambda t: ~t["close"] & _any_class(t, ["amenity", "amenities", "feature", "facility"]))
+    return F.transform(styled, lambda o: element_text(tokens, o))
 
 
 def address_text_near_h1(tokens: Column) -> Column:
     """Text of the first of five elements after the `h1` that looks like an address."""
-    start = let(first_element(tokens, ("tag", "h1")), lambda h: F.when(h.isNotNull(), element_end(tokens, h)))
+    start = first_element(tokens, ("tag", "h1"))["end"]
     state = F.struct(start.alias("at"), F.lit(None).cast("string").alias("hit"))
 
     def step(acc, _):
         def look(n: Column) -> Column:
             text = F.when(~n["close"], element_text(tokens, n, lines_of))
-            end = F.when(~n["close"], element_end(tokens, n))
-            return F.struct(end.alias("at"), F.when(text.rlike(r",\s*[A-Z]{2}[,\s]|\b\d{5}\b"), text).alias("hit"))
+            end = F.when(~n["close"], n["end"])
+            return F.struct(end.alias("at"), F.when(text.rlike(vocab.ADDRESS_NEAR_TITLE), text).alias("hit"))
 
         return F.when(acc["hit"].isNotNull() | acc["at"].isNull(), acc).otherwise(let(next_tag(tokens, acc["at"]), look))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(5)), state, step)["hit"]
 
 
+@over_tokens
 def address_near_h1(tokens: Column) -> Column:
     """`{full_address, city, state, zipcode, county, nearby_university}`."""
 
     def parts(t: Column) -> Column:
         fallback = select_text(tokens, [("attr:itemprop", "address"), ("class*", "address")], lines_of)
-        cut = strip_ws(F.regexp_replace(F.regexp_replace(t, r"(?s)\s*\|.*", ""), r"(?is)\s*View on Map.*", ""))
-        pair = r"([A-Za-z][A-Za-z ]{1,35}?),\s*([A-Z]{2})(?:[,\s]|$)"
-        return F.struct(
-            F.coalesce(null_if_empty(cut), fallback).alias("full_address"),
-            strip_ws(grab(t, pair, 1)).alias("city"),
-            grab(t, pair, 2).alias("state"),
-            grab(t, r"\b(\d{5})\b").alias("zipcode"),
-            strip_ws(grab(t, r"\b([A-Z][a-zA-Z]+(?:\s+[A-Za-z]+)*\s+County)\b")).alias("county"),
-            strip_ws(grab(t, r"(?i)(?:University|College)[^:]*?(?:from|:)\s*([^|\n,]{3,60})")).alias("nearby_university"),
-        )
+        cut = t
+        for tail in vocab.ADDRESS_TAILS:
+            cut = F.regexp_replace(cut, tail, "")
+        found = [strip_ws(grab(t, pattern, group)).alias(field) for field, (pattern, group) in vocab.TITLE_ADDRESS.items()]
+        return F.struct(F.coalesce(null_if_empty(strip_ws(cut)), fallback).alias("full_address"), *found)
 
     return let(address_text_near_h1(tokens), parts)
 
 
 # ---- photos ---------------------------------------------------------------------------------
 
+PHOTO = "array<struct<index:int,url:string,alt:string>>"
+
 
 def image_reject(url: Column, alt: Column | None = None, side: Column | None = None,
                  pattern: str = vocab.IMAGE_REJECT, alt_pattern: str | None = None) -> Column:
@@ -436,67 +644,159 @@ def image_reject(url: Column, alt: Column | None = None, side: Column | None = N
     return F.coalesce(bad, F.lit(True))
 
 
-def foreign_spans(tokens: Column) -> Column:
-    """Spans of sections about other ads."""
-    roots = F.filter(tokens, lambda t: ~t["close"] & _any_class(t, vocab.FOREIGN_SECTIONS))
-    return F.transform(roots, lambda o: span(tokens, o))
+def _source(attrs: Column, names) -> Column:
+    return F.coalesce(*[null_if_empty(attr(attrs, a)) for a in names])
 
 
-def _covered(spans: Column, pos: Column) -> Column:
-    return F.exists(spans, lambda s: (s["from"] <= pos) & (pos <= s["to"]))
+def images(tokens: Column) -> Column:
+    """Every image as `{pos, source, plain, alt, tiny, href}`; `href` is that of the link around it, unless that is a script or a fragment."""
 
+    def rows(last_link: Column) -> Column:
+        def row(t: Column) -> Column:
+            side = lambda name: F.regexp_substr(attr(t["attrs"], name), F.lit(r"^\d+")).try_cast("int")
+            tiny = F.exists(F.array(side("width"), side("height")), lambda x: F.coalesce(x.between(1, vocab.MIN_IMAGE_SIDE - 1), F.lit(False)))
+            link = let(F.get(tokens, F.nullif(F.get(last_link, t["pos"]), F.lit(-1))), lambda a: F.when(a["end"] > t["pos"], strip_ws(attr(a["attrs"], "href"))))
+            return F.struct(
+                t["pos"].alias("pos"), _source(t["attrs"], vocab.IMAGE_SOURCES).alias("source"), _source(t["attrs"], vocab.IMAGE_SOURCES[:2]).alias("plain"),
+                attr(t["attrs"], "alt").alias("alt"), tiny.alias("tiny"), let(link, lambda h: F.when((h != "") & ~h.rlike("^(javascript:|#)"), h)).alias("href"),
+            )
 
-def _image_source(attrs: Column) -> Column:
-    return F.coalesce(*[null_if_empty(attr(attrs, a)) for a in vocab.IMAGE_SOURCES])
+        return F.transform(F.filter(tokens, lambda t: matches(t, ("tag", "img"))), row)
 
+    return let(running_max(F.transform(tokens, lambda t: F.when(matches(t, ("tag", "a")), t["pos"]).otherwise(-1))), rows)
 
-def photos_from_html(tokens: Column) -> Column:
-    """Photo URLs of the first gallery on the page that yields any; sections about other ads are left out."""
 
-    def within(foreign: Column) -> Column:
-        opened = F.filter(tokens, lambda t: ~t["close"] & t["tag"].isNotNull() & ~_covered(foreign, t["pos"]))
-        return let(opened, lambda own: let(links_of(own), lambda ls: shots(own, ls)))
+def _within(rows: Column, box: Column, hidden: Column) -> Column:
+    return F.filter(rows, lambda x: (x["pos"] > box["from"]) & (x["pos"] < box["to"]) & ~F.get(hidden, x["pos"]))
 
-    def links_of(own: Column) -> Column:
-        return F.transform(
-            F.filter(own, lambda t: t["tag"] == "a"),
-            lambda a: F.struct(
-                a["pos"].alias("from"), element_end(tokens, a).alias("to"), attr(a["attrs"], "href").alias("href")
-            ),
+
+def _boxes(tokens: Column, selectors, hidden: Column) -> Column:
+    """Per selector the span of the first element that it finds outside hidden parts, or NULL. The selectors are data to one expression."""
+
+    def found(hits: Column) -> Column:
+        first = lambda k: first_where(tokens, lambda t: F.array_contains(F.get(hits, t["pos"]), k) & ~F.get(hidden, t["pos"]))
+        return F.transform(F.sequence(F.lit(0), F.lit(len(selectors) - 1)), lambda k: let(first(k), lambda o: span(tokens, o)))
+
+    return let(_hits(tokens, selectors), found)
+
+
+def _hits(tokens: Column, selectors) -> Column:
+    """Per token the numbers of the selectors that match it."""
+    return F.transform(tokens, lambda t: F.array_compact(F.array(*[F.when(matches(t, s), F.lit(k)) for k, s in enumerate(selectors)])))
+
+
+def _foreign(tokens: Column, classes, itself: bool = True) -> Column:
+    return covered(tokens, F.transform(tokens, lambda t: F.coalesce(~t["close"], F.lit(False)) & _any_class(t, classes)), itself)
+
+
+def _first_gallery(galleries: Column, result: str) -> Column:
+    """Of an array of `{urls, n}`, one per gallery: all urls up to and including the first gallery that counts any."""
+    start = F.struct(F.array().cast(result).alias("urls"), F.lit(False).alias("done"))
+
+    def step(acc, g):
+        return F.when(acc["done"] | g.isNull(), acc).otherwise(F.struct(F.array_union(acc["urls"], g["urls"]).alias("urls"), (g["n"] > 0).alias("done")))
+
+    return F.aggregate(galleries, start, step)["urls"]
+
+
+@over_tokens
+def photos_from_html(tokens: Column) -> Column:
+    """Photo URLs of the first gallery on the rendered page that yields any; sections about other ads are left out. A link around an
+    image leads to the large photo; background images count."""
+
+    def of(shots: Column, hidden: Column) -> Column:
+        styled = F.transform(
+            F.filter(tokens, lambda t: F.coalesce(~t["close"] & F.contains(attr(t["attrs"], "style"), F.lit("background-image")), F.lit(False))),
+            lambda t: F.struct(t["pos"].alias("pos"), grab(attr(t["attrs"], "style"), vocab.BACKGROUND_URL).alias("url")),
         )
 
-    def shots(own: Column, links: Column) -> Column:
-        def of_image(t: Column) -> Column:
-            source, alt = _image_source(t["attrs"]), attr(t["attrs"], "alt")
-            tiny = F.exists(
-                F.array(attr(t["attrs"], "width"), attr(t["attrs"], "height")),
-                lambda x: F.coalesce(F.regexp_substr(x, F.lit(r"^\d+")).try_cast("int").between(1, vocab.MIN_IMAGE_SIDE - 1), F.lit(False)),
-            )
-            href = F.try_element_at(F.filter(links, lambda a: (a["from"] < t["pos"]) & (t["pos"] < a["to"])), F.lit(-1))["href"]
-            real_link = F.when(~href.rlike("^(javascript:|#)") & ~tiny & ~image_reject(href, pattern=vocab.IMAGE_REJECT_LIVE), href)
-            photo = F.when(
-                ~tiny & ~image_reject(source, alt, pattern=vocab.IMAGE_REJECT_LIVE, alt_pattern=vocab.IMAGE_REJECT_LIVE_ALT),
-                source,
+        def photo(x: Column) -> Column:
+            good = ~x["tiny"] & ~image_reject(x["source"], x["alt"], pattern=vocab.IMAGE_REJECT_LIVE, alt_pattern=vocab.IMAGE_REJECT_LIVE_ALT)
+            return F.when(good, x["source"])
+
+        def large(x: Column) -> Column:
+            return F.when(~x["tiny"] & ~image_reject(x["href"], pattern=vocab.IMAGE_REJECT_LIVE), x["href"])
+
+        def in_box(box: Column) -> Column:
+            here = _within(shots, box, hidden)
+            paired = F.flatten(F.transform(here, lambda x: F.array(photo(x), large(x))))
+            back = F.filter(F.transform(_within(styled, box, hidden), lambda x: x["url"]), lambda u: u.isNotNull())
+            n = F.size(F.filter(here, lambda x: photo(x).isNotNull())) + F.size(back)
+            urls = F.filter(F.concat(paired, back), lambda u: u.isNotNull() & ~u.startswith("data:"))
+            return F.when(box.isNotNull(), F.struct(urls.alias("urls"), n.alias("n")))
+
+        return _first_gallery(F.transform(_boxes(tokens, vocab.GALLERIES, hidden), in_box), "array<string>")
+
+    return let(images(tokens), lambda shots: let(_foreign(tokens, vocab.FOREIGN_SECTIONS), lambda hidden: of(shots, hidden)))
+
+
+@over_tokens
+def photos_static(tokens: Column) -> Column:
+    """Photos `{index, url, alt}` of the first gallery in the page source that yields any: the rule for ads without a photo list."""
+
+    def of(shots: Column, hidden: Column) -> Column:
+        good = lambda x: ~image_reject(x["source"], x["alt"], pattern=vocab.IMAGE_REJECT_STATIC, alt_pattern=vocab.IMAGE_REJECT_STATIC_ALT)
+        nothing_hidden = F.transform(tokens, lambda t: F.lit(False))
+
+        def in_box(box: Column) -> Column:
+            kept = F.filter(_within(shots, box, hidden), good)
+            rows = F.transform(kept, lambda x, i: F.struct(i.cast("int").alias("index"), x["source"].alias("url"), null_if_empty(x["alt"]).alias("alt")))
+            return F.when(box.isNotNull(), F.struct(rows.alias("urls"), F.size(rows).alias("n")))
+
+        return _first_gallery(F.transform(_boxes(tokens, vocab.GALLERIES[: vocab.N_STATIC_GALLERIES], nothing_hidden), in_box), PHOTO)
+
+    cards = lambda: marks(tokens, (("class*", "carousel-item"), INSIDE, ("class*", "card")))
+    foreign = F.zip_with(tokens, cards(), lambda t, card: card | (F.coalesce(~t["close"], F.lit(False)) & _any_class(t, vocab.FOREIGN_SECTIONS)))
+    return let(images(tokens), lambda shots: let(covered(tokens, foreign, itself=False), lambda hidden: of(shots, hidden)))
+
+
+@over_tokens
+def photos_of_details(tokens: Column, photo_path: str = "") -> Column:
+    """Photo URLs of the site's own photo block: marked images, images in figures with the links around them, and, with the path of the
+    site's photo store, links to it and images of an opened viewer. Only without any of these, other galleries."""
+
+    def of(shots: Column, hidden: Column, figured: Column) -> Column:
+        nothing_hidden = F.transform(tokens, lambda t: F.lit(False))
+        good = lambda urls: F.array_distinct(F.filter(urls, lambda u: ~image_reject(u, pattern=vocab.IMAGE_REJECT_DETAILS)))
+
+        def own(box: Column) -> Column:
+            here = _within(shots, box, nothing_hidden)
+            marked = F.transform(
+                F.filter(here, lambda x: F.coalesce(attr(F.get(tokens, x["pos"])["attrs"], "itemprop") == "photo", F.lit(False))), lambda x: x["plain"]
             )
-            return F.array(photo, real_link)
+            framed = F.flatten(F.transform(F.filter(here, lambda x: F.get(figured, x["pos"])), lambda x: F.array(x["source"], x["href"])))
+            stored = F.array().cast("array<string>")
+            if photo_path:
+                links = F.filter(tokens, lambda t: (t["pos"] > box["from"]) & (t["pos"] < box["to"]) & matches(t, ("tag", "a")))
+                stored = F.filter(F.transform(links, lambda a: attr(a["attrs"], "href")), lambda u: F.contains(u, F.lit(photo_path)))
+            return F.coalesce(F.concat(marked, framed, stored), F.array().cast("array<string>"))
+
+        def viewed() -> Column:
+            if not photo_path:
+                return F.array().cast("array<string>")
 
-        def of_background(t: Column) -> Column:
-            return F.array(grab(attr(t["attrs"], "style"), r"""url\(['"]?([^'")\s]+)['"]?\)"""))
+            def in_order(hits: Column) -> Column:
+                of_viewer = lambda k: F.filter(tokens, lambda t: F.array_contains(F.get(hits, t["pos"]), k))
+                opened = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(len(vocab.VIEWERS) - 1)), of_viewer))
+                return F.flatten(F.transform(opened, shown))
+
+            return F.filter(let(_hits(tokens, vocab.VIEWERS), in_order), lambda u: F.contains(u, F.lit(photo_path)))
+
+        def shown(o: Column) -> Column:
+            inner = F.filter(shots, lambda x: ((x["pos"] > o["pos"]) & (x["pos"] < o["end"])) | ((x["pos"] == o["pos"]) & (o["tag"] == "img")))
+            return F.transform(inner, lambda x: x["plain"])
 
         def in_box(box: Column) -> Column:
-            part = F.filter(own, lambda t: (t["pos"] > box["from"]) & (t["pos"] < box["to"]))
-            images = F.flatten(F.transform(F.filter(part, lambda t: t["tag"] == "img"), of_image))
-            styled = F.filter(part, lambda t: F.contains(t["attrs"], F.lit("background-image")))
-            urls = F.concat(images, F.flatten(F.transform(styled, of_background)))
-            return F.array_distinct(F.filter(urls, lambda u: u.isNotNull()))
-
-        boxes = F.array(
-            *[let(first_element(own, g), lambda o: span(tokens, o)) for g in vocab.GALLERIES]
-        )
-        per_box = F.transform(F.filter(boxes, lambda b: b.isNotNull()), in_box)
-        return first_where(per_box, lambda urls: F.size(urls) > 0)
+            urls = good(F.transform(_within(shots, box, hidden), lambda x: x["source"]))
+            return F.when(box.isNotNull(), F.struct(urls.alias("urls"), F.size(urls).alias("n")))
+
+        block = first_where(_boxes(tokens, vocab.GALLERIES[:2], nothing_hidden), lambda b: b.isNotNull())
+        first = let(let(block, lambda b: F.when(b.isNotNull(), own(b)).otherwise(F.array().cast("array<string>"))), lambda a: good(F.concat(a, viewed())))
+        other = _first_gallery(F.transform(_boxes(tokens, vocab.DETAIL_GALLERIES, hidden), in_box), "array<string>")
+        return let(first, lambda f: F.when(F.size(f) > 0, f).otherwise(other))
 
-    return F.coalesce(let(foreign_spans(tokens), within), F.array().cast("array<string>"))
+    figures = covered(tokens, F.transform(tokens, lambda t: matches(t, ("tag", "figure"))), itself=False)
+    return let(images(tokens), lambda s: let(_foreign(tokens, vocab.FOREIGN_TO_DETAILS), lambda h: let(figures, lambda f: of(s, h, f))))
 
 
 def photos_merge(json_urls: Column, page_urls: Column) -> Column:

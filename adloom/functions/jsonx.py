@@ -43,27 +43,13 @@ def _first_json(html: Column, patterns: list[str]) -> Column:
 
 def json_next_data(html: Column) -> Column:
     """Framework state: the body of `script#__NEXT_DATA__`, else an assignment of that name."""
-    return _first_json(
-        html,
-        [
-            r"""(?s)<script[^>]*\sid=["']?__NEXT_DATA__["']?[^>]*>(.*?)</script>""",
-            r"window\.__NEXT_DATA__\s*=\s*(\{[\s\S]*?\});\s*(?:window|</script>)",
-            r"__NEXT_DATA__\s*=\s*(\{[\s\S]*?\})\s*;",
-        ],
-    )
+    return _first_json(html, vocab.NEXT_DATA)
 
 
 def json_window_var(html: Column, name: str) -> Column:
     """Value of `window.<name> = {…};` in any of its spellings. `name` is plain text."""
     quoted = "".join(ch if ch.isalnum() or ch == "_" else "\\" + ch for ch in name)
-    return _first_json(
-        html,
-        [
-            rf"window\.{quoted}\s*=\s*(\{{[\s\S]*?\}});\s*(?:window|</script>)",
-            rf"window\.{quoted}\s*=\s*(\{{[\s\S]*?\}})\s*;",
-            rf"{quoted}\s*=\s*(\{{[\s\S]*?\}})\s*;",
-        ],
-    )
+    return _first_json(html, [before + quoted + after for before, after in vocab.WINDOW_VAR])
 
 
 def _parsed(texts: Column) -> Column:
@@ -72,9 +58,7 @@ def _parsed(texts: Column) -> Column:
 
 def json_ld(html: Column) -> Column:
     """Every linked-data block that parses, in page order."""
-    blocks = F.regexp_extract_all(
-        html, F.lit(r"""(?is)<script[^>]*type=["']?application/ld\+json["']?[^>]*>(.*?)</script>"""), F.lit(1)
-    )
+    blocks = F.regexp_extract_all(html, F.lit(vocab.LINKED_DATA), F.lit(1))
     return _parsed(F.transform(blocks, strip_ws))
 
 
@@ -86,18 +70,11 @@ def inline_scripts(html: Column) -> Column:
     return F.array_distinct(F.filter(bodies, lambda b: F.length(b) >= 20))
 
 
-_ASSIGNMENTS = [
-    r"(?:var|const|let)\s+\w+\s*=\s*(\{[\s\S]{10,}\})\s*;",
-    r"window\.\w+\s*=\s*(\{[\s\S]{10,}\})\s*;",
-    r"self\.\w+\s*=\s*(\{[\s\S]{10,}\})\s*;",
-]
-
-
 def json_embedded(html: Column) -> Column:
     """Objects assigned in inline scripts, scripts that are JSON as a whole, and JSON in meta content; page order."""
 
     def of_script(body: Column) -> Column:
-        assigned = F.flatten(F.array(*[F.regexp_extract_all(body, F.lit(p), F.lit(1)) for p in _ASSIGNMENTS]))
+        assigned = F.flatten(F.array(*[F.regexp_extract_all(body, F.lit(p), F.lit(1)) for p in vocab.ASSIGNMENTS]))
         objects = F.filter(_parsed(assigned), is_object)
         whole = F.filter(F.array(json_safe_parse(body)), lambda v: v.isNotNull() & is_container(v))
         return F.concat(objects, whole)
@@ -168,20 +145,21 @@ def at_path(raw: Column, path: Column) -> Column:
     return chain.otherwise(raw)
 
 
-def alias_value(roots: dict[str, Column], aliases: list[tuple[str, str]], default: str | None = None) -> Column:
-    """First non-empty value among `(root, path)` aliases, as text."""
-    candidates = F.array(*[F.try_variant_get(roots[root], path, "string") for root, path in aliases])
-    found = first_where(candidates, lambda v: v != "")
-    return F.coalesce(found, F.lit(default)) if default is not None else found
-
-
 # ---- photos and amenities in the ad object --------------------------------------------------
 
 
 def photos_from_json(ad: Column) -> Column:
-    """Photos of the first non-empty photo list as `{index, url, alt}`."""
-    lists = [F.try_variant_get(ad, f"$.{k}", "array<variant>") for k in vocab.PHOTO_LIST_KEYS]
-    chosen = F.coalesce(*[F.when(F.size(a) > 0, a) for a in lists])
+    """Photos of the first non-empty photo list of an ad as `{index, url, alt}`."""
+    return photos_of_lists([F.try_variant_get(ad, f"$.{k}", "array<variant>") for k in vocab.PHOTO_LIST_KEYS])
+
+
+def photos_of_lists(lists: list[Column]) -> Column:
+    """Photos of the first list that is not empty as `{index, url, alt}`."""
+    return photos_of(F.coalesce(*[F.when(F.size(a) > 0, a) for a in lists]))
+
+
+def photos_of(chosen: Column) -> Column:
+    """Photos of one list of texts and objects as `{index, url, alt}`."""
 
     def photo(p: Column, i: Column) -> Column:
         def of(keys: list[str]) -> Column:
@@ -232,39 +210,40 @@ def photos_from_ld(blocks: Column) -> Column:
 
 def amenity_bag(ad: Column, labels: Column | None = None) -> Column:
     """Map of amenity key to value over all amenity lists and objects, later ones win; else from page labels."""
-    entry = "array<struct<key:string,value:string>>"
 
-    def key_of(s: Column) -> Column:
-        return F.regexp_replace(F.lower(s), r"\s+", "_")
+    def entries(path: str) -> Column:
+        members = F.map_entries(F.try_variant_get(ad, path, "map<string,variant>"))
+        return F.transform(members, lambda e: F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value")))
 
-    def from_list(a: Column) -> Column:
-        def one(v: Column) -> Column:
-            name = F.try_variant_get(v, "$.name", "string")
-            value = F.coalesce(
-                F.try_variant_get(v, "$.available", "string"), F.try_variant_get(v, "$.value", "string"), F.lit("true")
-            )
-            return F.when(
-                kind(v) == "STRING", F.struct(key_of(F.try_variant_get(v, "$", "string")).alias("key"), F.lit("true").alias("value"))
-            ).when(is_object(v) & (name != ""), F.struct(key_of(name).alias("key"), value.alias("value")))
+    return amenities_of(F.concat(*[amenity_entries(F.try_variant_get(ad, f"$.{k}", "array<variant>"), entries(f"$.{k}")) for k in vocab.AMENITY_LIST_KEYS]), labels)
 
-        return F.filter(F.transform(a, one), lambda e: e.isNotNull())
 
-    def from_object(m: Column) -> Column:
-        return F.transform(
-            F.map_entries(m), lambda e: F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value"))
-        )
+ENTRIES = "array<struct<key:string,value:string>>"
+
+
+def _amenity_key(s: Column) -> Column:
+    return F.regexp_replace(F.lower(s), r"\s+", "_")
+
+
+def amenity_entries(as_list: Column, members: Column) -> Column:
+    """`{key, value}` of one amenity source: a list of names and of objects with names, or else the members of an object."""
+
+    def one(v: Column) -> Column:
+        name = F.try_variant_get(v, "$.name", "string")
+        value = F.coalesce(F.try_variant_get(v, "$.available", "string"), F.try_variant_get(v, "$.value", "string"), F.lit("true"))
+        return F.when(
+            kind(v) == "STRING", F.struct(_amenity_key(F.try_variant_get(v, "$", "string")).alias("key"), F.lit("true").alias("value"))
+        ).when(is_object(v) & (name != ""), F.struct(_amenity_key(name).alias("key"), value.alias("value")))
+
+    return F.coalesce(F.filter(F.transform(as_list, one), lambda e: e.isNotNull()), members, F.array().cast(ENTRIES))
+
 
-    none = F.array().cast(entry)
-    parts = []
-    for k in vocab.AMENITY_LIST_KEYS:
-        as_list = F.try_variant_get(ad, f"$.{k}", "array<variant>")
-        as_map = F.try_variant_get(ad, f"$.{k}", "map<string,variant>")
-        parts.append(F.coalesce(from_list(as_list), from_object(as_map), none))
-    entries = F.concat(*parts)
+def amenities_of(entries: Column, labels: Column | None = None) -> Column:
+    """Map out of `{key, value}` entries, later ones win; out of page labels if there is no entry."""
     if labels is not None:
         short = F.filter(labels, lambda s: (s != "") & (F.length(s) < 60))
-        shown = F.transform(short, lambda s: F.struct(key_of(s).alias("key"), F.lit("true").alias("value")))
-        entries = F.when(F.size(entries) > 0, entries).otherwise(shown)
+        shown = F.transform(short, lambda s: F.struct(_amenity_key(s).alias("key"), F.lit("true").alias("value")))
+        entries = let(entries, lambda e: F.when(F.size(e) > 0, e).otherwise(shown))
     return last_wins_map(entries)
 
 

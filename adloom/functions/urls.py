@@ -24,6 +24,7 @@ class SiteProfile:
     detail_path: str = r"^/[^/]+_rentals_[^/]+_\d+/?$"
     ad_id_path: str = r"_(\d+)/?$"
     listing_root: str = "/rentals"
+    photo_path: str = ""
 
 
 def is_absolute(u: Column) -> Column:

@@ -30,6 +30,24 @@ US_STATES = {
     "VA": "Virginia", "WA": "Washington", "WV": "West Virginia", "WI": "Wisconsin", "WY": "Wyoming",
 }
 
+# blanks that are missing after a ZIP code and after a state code: pattern, what to put
+ADDRESS_GLUE = [(r"(\d{5})([A-Za-z])", "$1 $2"), (r"\b([A-Z]{2})([A-Z][a-z])", "$1 $2")]
+ADDRESS_ZIP = r"\b(\d{5})(?:-\d{4})?\b"
+ADDRESS_STATE_CODE = r",\s*([A-Z]{2})(?:[,\s]|$)"
+# the city stands before its state code; these two enclose the code
+ADDRESS_CITY = (r"([A-Za-z][A-Za-z ]{1,35}?),\s*", r"(?:[,\s]|$)")
+ADDRESS_COUNTY = r"\b([A-Z][a-z][a-zA-Z]*(?:\s+[A-Za-z]+)*\s+County)\b"
+# what an address below the title looks like, what is cut off its end, and its parts: pattern, group
+ADDRESS_NEAR_TITLE = r",\s*[A-Z]{2}[,\s]|\b\d{5}\b"
+ADDRESS_TAILS = [r"(?s)\s*\|.*", r"(?is)\s*View on Map.*"]
+TITLE_ADDRESS = {
+    "city": (r"([A-Za-z][A-Za-z ]{1,35}?),\s*([A-Z]{2})(?:[,\s]|$)", 1),
+    "state": (r"([A-Za-z][A-Za-z ]{1,35}?),\s*([A-Z]{2})(?:[,\s]|$)", 2),
+    "zipcode": (r"\b(\d{5})\b", 1),
+    "county": (r"\b([A-Z][a-zA-Z]+(?:\s+[A-Za-z]+)*\s+County)\b", 1),
+    "nearby_university": (r"(?i)(?:University|College)[^:]*?(?:from|:)\s*([^|\n,]{3,60})", 1),
+}
+
 # most local name first
 LOCALITY_LEVELS = ["neighbourhood", "suburb", "city_district", "quarter", "village", "hamlet", "town", "city"]
 
@@ -222,6 +240,20 @@ TENANT_PREFS = [
     ("age_range", r"\d+\s+to\s+\d+|age"),
 ]
 
+# the line "Posted on: … | AD ID: … | Posted by: …"
+POSTED_LINE = {
+    "posted_on": r"(?i)Posted\s+on[:\s]+([A-Za-z]+\.?\s+\d{1,2},?\s*\d{4})",
+    "ad_id": r"(?i)AD\s+ID[:\s#]+(\d+)",
+    "posted_by": r"(?i)Posted\s+by[:\s]+([^\n|<]{2,60}?)(?:\s*\||\n|$)",
+}
+POSTED_BY_REST = r"(?i)Posted\s+by[:\s]+([^\n]+)"
+POSTED_BY_LABEL = r"(?i)^\s*posted\s+by[:\s]*$"
+NEIGHBORHOOD_LINE = r"(?i)Nearby\s+Neighborhood[s]?[:\s]+([^\n]+)"
+NEIGHBORHOOD_BREAK = "[,|]"
+VERIFIED_PHRASE = r"(?i)(?:Phone|Mail|Email|Identity|Address)\s+Verified"
+CONTACT_PHONE = r"(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}"
+CONTACT_EMAIL = r"(?i)[\w.+\-]+@[\w\-]+\.[a-z]{2,}"
+
 # ---- images ---------------------------------------------------------------------------------
 
 IMAGE_REJECT = "logo|icon|banner|ad[_-]?img|sponsor|avatar|profile|badge|star|rating|pixel|tracker|beacon"
@@ -251,12 +283,48 @@ FOREIGN_SECTIONS = [
     "similar", "related", "explore", "nearby", "browse", "recommend", "sponsor", "advertisement", "other-listing",
     "more-listing",
 ]
+# the page source is read with the first of these galleries only
+N_STATIC_GALLERIES = 10
+DETAIL_GALLERIES = [
+    ("class*", "photo-gallery"), ("class*", "listing-photo"), ("class*", "property-photo"), ("class*", "image-gallery"),
+    ("class*", "gallery"), ("class*", "carousel"), ("class*", "swiper"),
+]
+FOREIGN_TO_DETAILS = ["similar", "related", "explore", "nearby-listing", "browse", "recommend", "sponsor"]
+# photo viewers that lie over a page
+VIEWERS = [
+    ("id", "fancybox-inner"), ("class", "fancybox-inner"), ("id", "fancybox-wrap"), ("class", "fancybox-wrap"),
+    ("class", "fancybox-container"), ("class", "fancybox-slide"), ("id", "lightbox"), ("class", "lightbox"),
+    ("class", "pswp"), ("class", "pswp__item"), ("class*", "gallery-popup"), ("class*", "photo-popup"),
+    ("class*", "gallery-modal"), ("class*", "photo-modal"), ("class*", "image-viewer"), ("class*", "photo-viewer"),
+    ("class*", "carousel-inner"), [("class", "modal"), ("class", "show")], [("class", "modal"), ("class", "in")],
+]
+BACKGROUND_URL = r"""url\(['"]?([^'")\s]+)['"]?\)"""
 IMAGE_SOURCES = ["src", "data-src", "data-lazy-src", "data-original"]
 PHOTO_URL_KEYS = ["url", "src", "imageUrl", "photoUrl", "original", "large", "medium", "thumb"]
 PHOTO_ALT_KEYS = ["alt", "caption", "title", "description"]
 PHOTO_LIST_KEYS = ["photos", "images", "imageUrls", "photoUrls", "gallery", "media", "pictures"]
 AMENITY_LIST_KEYS = ["amenities", "facilities", "features", "houseFeatures", "roomFeatures", "utilities", "included"]
 
+# ---- where JSON sits in a page ----------------------------------------------------------------
+
+NEXT_DATA = [
+    r"""(?s)<script[^>]*\sid=["']?__NEXT_DATA__["']?[^>]*>(.*?)</script>""",
+    r"window\.__NEXT_DATA__\s*=\s*(\{[\s\S]*?\});\s*(?:window|</script>)",
+    r"__NEXT_DATA__\s*=\s*(\{[\s\S]*?\})\s*;",
+]
+# what goes before and after the escaped name of a state variable
+WINDOW_VAR = [
+    (r"window\.", r"\s*=\s*(\{[\s\S]*?\});\s*(?:window|</script>)"),
+    (r"window\.", r"\s*=\s*(\{[\s\S]*?\})\s*;"),
+    (r"", r"\s*=\s*(\{[\s\S]*?\})\s*;"),
+]
+LINKED_DATA = r"""(?is)<script[^>]*type=["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
+ASSIGNMENTS = [
+    r"(?:var|const|let)\s+\w+\s*=\s*(\{[\s\S]{10,}\})\s*;",
+    r"window\.\w+\s*=\s*(\{[\s\S]{10,}\})\s*;",
+    r"self\.\w+\s*=\s*(\{[\s\S]{10,}\})\s*;",
+]
+
 # ---- where an ad sits in page JSON ----------------------------------------------------------
 
 PAGE_AD_KEYS = ["adDetails", "ad", "listing", "rentalAd", "adData", "postDetails", "post"]

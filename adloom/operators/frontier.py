@@ -12,7 +12,8 @@ from adloom.functions import html as H
 from adloom.functions import jsonx as J
 from adloom.functions import urls as U
 from adloom.functions.text import first_where, let, null_if_empty, squeeze_ws, strip_ws, truncate_text
-from adloom.operators.ranking import first_n, first_per_key
+from adloom.operators.geo import look_up
+from adloom.operators.ranking import first_n, first_per_key, running_sums
 from adloom.session import checkpointed
 
 
@@ -125,30 +126,40 @@ def frontier_limit(links: DataFrame, order: list[str], max_items: int) -> DataFr
     return first_n(links, order, max_items)
 
 
+def listing_progress(listings: DataFrame, site: U.SiteProfile) -> DataFrame:
+    """Adds to listing pages (`listing, url, page_no, detail_urls, total`): `n_new`, the ads that no earlier page of the listing shows,
+    `n_found`, the distinct ads so far, and `listing_total`, the largest total reported so far.
+
+    Pages of a listing come in order of page number, then URL; repeated rows count one after the other. The first page of an ad is a
+    minimum per (listing, ad), the sums run in two steps: neither an ad shown everywhere nor a listing of any length is one task.
+    """
+    # links come out of HTML: extract them once, then read the small table several times
+    rows = checkpointed(listings.withColumn("_row", F.monotonically_increasing_id()))
+    order = F.struct("page_no", "url", "_row")
+    identity = F.coalesce(U.ad_id_from_url(F.col("ad"), site), F.col("ad"))
+    shown = rows.select("listing", order.alias("page"), F.explode("detail_urls").alias("ad")).withColumn("ad", identity)
+    firsts = shown.groupBy("listing", "ad").agg(F.min("page").alias("page"))
+    new = firsts.groupBy(F.col("page._row").alias("_row")).agg(F.count(F.lit(1)).alias("n_new"))
+    counted = rows.join(new, "_row", "left").withColumn("n_new", F.coalesce("n_new", F.lit(0).cast("bigint")))
+    return running_sums(counted, "listing", ["page_no", "url", "_row"], {"n_found": F.col("n_new")}, {"listing_total": F.col("total")}).drop("_row")
+
+
 def pagination_stop(
     listings: DataFrame, seen_urls: DataFrame, site: U.SiteProfile, max_pages: int = 0, max_items: int = 0, admitted: int = 0
 ) -> DataFrame:
-    """Adds `stop_reason` to listing pages (`listing, url, page_no, detail_urls, next_url, total`).
+    """Adds `stop_reason` to listing pages (`listing, url, page_no, detail_urls, next_url, total`), next to their progress.
 
-    NULL means: fetch `next_url`. Progress per listing is the number of distinct ads found on its pages
-    so far; distinct in two steps, so a listing of any size spreads over all tasks.
+    NULL means: fetch `next_url`. A page without a new ad ends its listing, and so does the page at which the distinct ads found so far
+    reach the total reported so far.
     """
-    # links come out of HTML: extract them once, then read the small table three times
-    listings = checkpointed(listings)
-    found = listings.select("listing", F.explode("detail_urls").alias("ad")).distinct()
-    progress = found.groupBy("listing").agg(F.count(F.lit(1)).alias("n_found"))
-    totals = listings.groupBy("listing").agg(F.max("total").alias("listing_total"))
     known = seen_urls.select(U.normalize_url(F.col("url"), site).alias("next_key"), F.lit(True).alias("known")).distinct()
-    joined = (
-        listings.withColumn("next_key", U.normalize_url(F.col("next_url"), site))
-        .join(totals.join(progress, "listing", "left"), "listing", "left")
-        .join(known, "next_key", "left")
-    )
+    progress = listing_progress(listings, site).withColumn("next_key", U.normalize_url(F.col("next_url"), site))
+    joined = look_up(progress, known, ["next_key"])
     target_met = F.lit(bool(max_items > 0 and admitted >= max_items))
     reason = (
         F.when(target_met, "target")
         .when(F.lit(max_pages > 0) & (F.col("page_no") >= max_pages), "max_pages")
-        .when(F.size("detail_urls") == 0, "no_ads")
+        .when(F.col("n_new") == 0, "no_new_ads")
         .when(F.coalesce(F.col("n_found") >= F.col("listing_total"), F.lit(False)), "total_reached")
         .when(F.col("next_url").isNull(), "no_next")
         .when(F.col("next_url") == F.col("url"), "same_page")

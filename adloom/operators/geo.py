@@ -1,13 +1,11 @@
 """Location enrichment: keyed lookups, nearest place, point in polygon, ZIP to metro.
 
-Dimensions are broadcast only after `small_side` has counted them; beyond that bound the same join
-shuffles, and AQE splits a ZIP code that holds a large share of the ads. Spatial joins work on distinct
-coordinates, so a spot with very many ads is looked up once.
+Whether a dimension is broadcast is left to Spark, which measures it as it is made, and splits a ZIP code that holds a large share
+of the ads. Spatial joins work on distinct coordinates, so a spot with very many ads is looked up once.
 """
 
 from __future__ import annotations
 
-import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +13,6 @@ from pyspark.sql import functions as F
 
 from adloom.functions import vocab
 from adloom.functions.text import first_nonempty, grab, let, null_if_empty, strip_ws
-from adloom.session import checkpointed, small_side
 
 EARTH_KM = 6371.0088
 GEO_FIELDS = [
@@ -27,6 +24,16 @@ GEO_FIELDS = [
 # ---- keyed lookups --------------------------------------------------------------------------
 
 
+def look_up(df: DataFrame, found: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """`df` joined with a table of unique keys. Rows without a key match nothing; they are dealt out by the task they come from, as
+    under one key they would all meet in one task. `df` is read once."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    salted = df.withColumn("_salt", F.when(known, 0).otherwise(1 + F.spark_partition_id()))
+    return salted.join(found.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")
+
+
 def zip_geocodes(zip_dim: DataFrame, states: Column | None = None) -> DataFrame:
     """The gazetteer as geocodes `(zip, geo)`."""
     from adloom.functions.address import state_name
@@ -57,8 +64,7 @@ def zip_enrich(ads: DataFrame, zip_dim: DataFrame) -> DataFrame:
     """Adds `geo` to US ads by ZIP code; NULL for other countries and unknown codes. `zip` is unique in the dimension."""
     us = F.upper(F.coalesce(F.col("country_code"), F.lit("US"))) == "US"
     keyed = ads.withColumn("_zip", F.when(us, F.col("zip")))
-    dim = small_side(zip_geocodes(zip_dim).withColumnRenamed("zip", "_zip"))
-    return keyed.join(dim, "_zip", "left").drop("_zip")
+    return look_up(keyed, zip_geocodes(zip_dim).withColumnRenamed("zip", "_zip"), ["_zip"]).drop("_zip")
 
 
 def geo_fallback_chain(ads: DataFrame, providers: list[DataFrame]) -> DataFrame:
@@ -74,7 +80,7 @@ def geo_fallback_chain(ads: DataFrame, providers: list[DataFrame]) -> DataFrame:
     best = ranked.where(F.col("geo").isNotNull()).groupBy("zip", "country_code").agg(F.min(F.struct("rank", "geo")).alias("best"))
     lookup = best.select(F.col("zip"), F.col("country_code").alias("_cc"), F.col("best.geo").alias("geo"), F.col("best.rank").alias("geo_rank"))
     keyed = ads.withColumn("_cc", F.upper(F.coalesce(F.col("country_code"), F.lit("US"))))
-    return keyed.join(small_side(lookup), ["zip", "_cc"], "left").drop("_cc")
+    return look_up(keyed, lookup, ["zip", "_cc"]).select(*ads.columns, "geo", "geo_rank")
 
 
 def backfill_missing(location: Column, geo: Column) -> Column:
@@ -184,15 +190,15 @@ def build_zip_msa(zip_dim: DataFrame, county_metro: DataFrame) -> DataFrame:
     """`zip, msa` for every ZIP code of a county that lies in a metro area (`county, state_code, raw_msa`)."""
     named = county_metro.select("county", "state_code", msa_name_clean(F.col("raw_msa")).alias("msa")).where("msa <> ''")
     one = named.groupBy("county", "state_code").agg(F.min("msa").alias("msa"))
-    return zip_dim.join(small_side(one), ["county", "state_code"]).select("zip", "msa").distinct()
+    return zip_dim.join(one, ["county", "state_code"]).select("zip", "msa").distinct()
 
 
 def metro_from_zip(ads: DataFrame, zip_msa: DataFrame) -> DataFrame:
     """Fills a missing `metro` of US ads from their ZIP code."""
     us = F.upper(F.coalesce(F.col("country_code"), F.lit("US"))) == "US"
     keyed = ads.withColumn("_zip", F.when(us & null_if_empty(F.col("metro")).isNull(), F.col("zip")))
-    dim = small_side(zip_msa.select(F.col("zip").alias("_zip"), "msa"))
-    return keyed.join(dim, "_zip", "left").withColumn("metro", F.coalesce(null_if_empty(F.col("metro")), F.col("msa"))).drop("_zip", "msa")
+    dim = zip_msa.select(F.col("zip").alias("_zip"), "msa")
+    return look_up(keyed, dim, ["_zip"]).withColumn("metro", F.coalesce(null_if_empty(F.col("metro")), F.col("msa"))).drop("_zip", "msa")
 
 
 def metro_precedence(stored: Column, scraped: Column, from_point: Column, country_code: Column) -> Column:
@@ -215,68 +221,70 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
 
 
 def _left_known(ads: DataFrame, found: DataFrame) -> DataFrame:
-    """`ads` left-joined with `found` on lat and lng; rows without a point stay out of the join, where they would be one hot key."""
-    known = F.col("lat").isNotNull() & F.col("lng").isNotNull()
+    """`ads` left-joined with `found` on lat and lng."""
     added = [c for c in found.columns if c not in ("lat", "lng")]
-    joined = ads.where(known).join(found, ["lat", "lng"], "left").select(*ads.columns, *added)
-    return joined.unionByName(ads.where(~known), allowMissingColumns=True)
+    return look_up(ads, found, ["lat", "lng"]).select(*ads.columns, *added)
 
 
-def _nearest_anywhere(points: DataFrame, spots: DataFrame, size: float) -> DataFrame:
-    """`lat, lng, b` (distance_km, place): the nearest of all spots for points that may be far from every one.
+# sides of the cells of the search tree in degrees; a cell has 8 x 8 cells of the next level
+FAN = 8
+LEVELS = tuple(45.0 / FAN**k for k in range(6))
 
-    Cells of `size` degrees cover the globe with at most 360 / size times 180 / size + 1 of them, so the occupied ones, each with one of
-    its spots, fit in a literal. The nearest of these spots bounds the distance; only cells that may hold one as near are joined.
-    """
-    lng = F.pmod("lng", F.lit(360.0))
-    placed = spots.select(F.col("lat").alias("plat"), F.col("lng").alias("plng"), "place", _cell(F.col("lat"), size).alias("cy"), _cell(lng, size).alias("cx"))
-    held = placed.groupBy("cy", "cx").agg(F.min(F.struct("plat", "plng")).alias("s")).select("cy", "cx", "s.plat", "s.plng").collect()
-    cells = F.from_json(F.lit(json.dumps([r.asDict() for r in held])), "array<struct<cy:bigint,cx:bigint,plat:double,plng:double>>")
+
+def _tree_cell(lat: Column, lng: Column, level: int) -> list[Column]:
+    return [_cell(F.least(lat, F.lit(89.999999999)), LEVELS[level]).alias("cy"), _cell(F.pmod(lng, F.lit(360.0)), LEVELS[level]).alias("cx")]
+
+
+def _tree_nodes(spots: DataFrame, level: int) -> DataFrame:
+    """Occupied cells of a level: `cy, cx, node`, the node with its number of spots and one of them."""
+    held = spots.groupBy(*_tree_cell(F.col("lat"), F.col("lng"), level)).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("lat", "lng")).alias("s"))
+    return held.select("cy", "cx", F.struct(F.lit(level).alias("level"), "cy", "cx", "n", F.col("s.lat").alias("lat"), F.col("s.lng").alias("lng")).alias("node"))
+
+
+def _in_reach(nodes: Column) -> Column:
+    """Nodes that may hold the nearest spot of the row's point: none farther than the nearest of the spots that stand for them."""
     here = F.col("lat"), F.col("lng")
-    # written, so that the bound is computed once per point and not inside the filter below
-    bounded = checkpointed(points.select("lat", "lng", F.array_min(F.transform(cells, lambda x: haversine_km(*here, x["plat"], x["plng"]))).alias("most")))
-    reach = EARTH_KM * math.radians(size) * math.sqrt(0.5) + 1e-6
 
-    def open_(x: Column) -> Column:
-        return haversine_km(*here, (x["cy"] + 0.5) * size, (x["cx"] + 0.5) * size) - reach <= F.col("most")
+    def least(x: Column) -> Column:
+        size = F.element_at(F.array(*map(F.lit, LEVELS)), x["level"] + 1)
+        # no point of a cell is farther from its middle than half the diagonal of an equally wide cell at the equator
+        return haversine_km(*here, (x["cy"] + 0.5) * size, (x["cx"] + 0.5) * size) - F.lit(EARTH_KM * math.sqrt(0.5) * math.radians(1.0)) * size - 1e-6
+
+    return let(F.array_min(F.transform(nodes, lambda x: haversine_km(*here, x["lat"], x["lng"]))), lambda most: F.filter(nodes, lambda x: least(x) <= most))
 
-    probes = bounded.select("lat", "lng", F.explode(F.filter(cells, open_)).alias("c")).select("lat", "lng", "c.cy", "c.cx")
-    hits = probes.join(placed, ["cy", "cx"]).select("lat", "lng", haversine_km(*here, F.col("plat"), F.col("plng")).alias("distance_km"), "place")
-    return hits.groupBy("lat", "lng").agg(F.min(F.struct("distance_km", "place")).alias("b"))
 
+def _opened(state: DataFrame, nodes: DataFrame, level: int, crowd: int) -> DataFrame:
+    """Points with their crowded cells of the level above replaced by the occupied cells in them, as far as those are in reach."""
+    up = lambda c: F.floor(F.col(c) / FAN).cast("bigint")
+    below = nodes.groupBy(up("cy").alias("_cy"), up("cx").alias("_cx")).agg(F.collect_list("node").alias("inner"))
+    is_open = lambda x: (x["level"] == level - 1) & (x["n"] > crowd)
+    kept = F.filter("nodes", lambda x: ~is_open(x))
+    asked = state.select("lat", "lng", kept.alias("kept"), F.explode_outer(F.filter("nodes", is_open)).alias("o")).select("lat", "lng", "kept", F.col("o.cy").alias("_cy"), F.col("o.cx").alias("_cx"))
+    met = asked.join(below, ["_cy", "_cx"], "left").groupBy("lat", "lng").agg(F.any_value("kept").alias("kept"), F.flatten(F.collect_list("inner")).alias("inner"))
+    return met.select("lat", "lng", _in_reach(F.concat("kept", "inner")).alias("nodes"))
 
-def nearest_place(ads: DataFrame, places: DataFrame, levels: tuple[float, ...] = (0.25, 1.0, 4.0)) -> DataFrame:
+
+def nearest_place(ads: DataFrame, places: DataFrame, crowd: int = 16) -> DataFrame:
     """Adds `place, distance_km`: the nearest place (`place, lat, lng`), however far; NULL only without a point or without places.
 
-    Distinct points look into the 3 x 3 cells around them, fine cells first. A hit closer than the cell is
-    wide (in km at that latitude) is final; only the other points go on to the next, coarser level. So dense
-    areas are settled with few candidates. Points that no level settles are compared over the whole globe, by cells.
-    Ties go to the smaller name.
+    Places are counted in a tree of cells, and distinct points go down it: at each level they keep the cells that may hold the nearest place,
+    and open those with more than `crowd` places. So a point meets few places wherever it is, in a crowded city as well as at sea, and
+    the earth needs no seams: distances to cells are taken to their middles. At every level a point holds an array of cells, a cell at most 64 below it.
+    One plan, no job before it is asked for. Ties go to the smaller name.
     """
     points = ads.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select("lat", "lng").distinct()
     spots = places.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).groupBy("lat", "lng").agg(F.min("place").alias("place"))
-    open_points, settled = points, None
-    for size in levels:
-        wrap = round(360 / size)
-        dim = spots.select(
-            "place", F.col("lat").alias("plat"), F.col("lng").alias("plng"),
-            _cell(F.col("lat"), size).alias("cy"), F.pmod(_cell(F.col("lng"), size), F.lit(wrap)).alias("cx"),
-        )
-        near = [F.struct((_cell(F.col("lat"), size) + dy).alias("cy"), F.pmod(_cell(F.col("lng"), size) + dx, F.lit(wrap)).alias("cx"))
-                for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
-        probes = open_points.select("lat", "lng", F.explode(F.array(*near)).alias("c")).select("lat", "lng", "c.cy", "c.cx")
-        hits = probes.join(small_side(dim), ["cy", "cx"]).select(
-            "lat", "lng", haversine_km(F.col("lat"), F.col("lng"), F.col("plat"), F.col("plng")).alias("distance_km"), "place"
-        )
-        best = hits.groupBy("lat", "lng").agg(F.min(F.struct("distance_km", "place")).alias("b"))
-        # everything within this many km is certain to be in the nine cells
-        sure = F.lit(EARTH_KM) * F.asin(F.lit(math.sin(math.radians(size))) * F.cos(F.radians("lat")))
-        # written once: these points are both a result and what the next level leaves out
-        done = checkpointed(best.where(F.col("b.distance_km") <= sure).select("lat", "lng", "b.place", "b.distance_km"))
-        settled = done if settled is None else settled.unionByName(done)
-        open_points = open_points.join(done.select("lat", "lng"), ["lat", "lng"], "left_anti")
-    far = _nearest_anywhere(open_points, spots, max(4.0, *levels)).select("lat", "lng", "b.place", "b.distance_km")
-    return _left_known(ads, far if settled is None else settled.unionByName(far))
+    # at most 40 cells in one row
+    top = _tree_nodes(spots, 0).agg(F.collect_list("node").alias("nodes")).withColumn("_all", F.lit(0))
+    state = points.withColumn("_all", F.lit(0)).join(F.broadcast(top), "_all").select("lat", "lng", _in_reach(F.col("nodes")).alias("nodes"))
+    for level in range(1, len(LEVELS)):
+        state = _opened(state, _tree_nodes(spots, level), level, crowd)
+    chosen = state.select("lat", "lng", F.explode("nodes").alias("n")).select("lat", "lng", F.col("n.level").alias("level"), F.col("n.cy").alias("cy"), F.col("n.cx").alias("cx"))
+    cells = F.array(*[F.struct(F.lit(k).alias("level"), *_tree_cell(F.col("lat"), F.col("lng"), k)) for k in range(len(LEVELS))])
+    listed = spots.select(F.col("lat").alias("plat"), F.col("lng").alias("plng"), "place", F.explode(cells).alias("c")).select("plat", "plng", "place", "c.*")
+    hits = chosen.join(listed, ["level", "cy", "cx"]).select("lat", "lng", haversine_km(F.col("lat"), F.col("lng"), F.col("plat"), F.col("plng")).alias("distance_km"), "place")
+    best = hits.groupBy("lat", "lng").agg(F.min(F.struct("distance_km", "place")).alias("b"))
+    return _left_known(ads, best.select("lat", "lng", "b.place", "b.distance_km"))
 
 
 def ring_points(ring: Column) -> Column:
@@ -289,38 +297,70 @@ def ring_points(ring: Column) -> Column:
     )
 
 
+def crossings(x: Column, y: Column, edges: Column) -> Column:
+    """Even-odd rule: whether a ray from a point to the right crosses an odd number of edges `{px, py, qx, qy}`."""
+
+    def crosses(e: Column) -> Column:
+        straddles = (e["py"] > y) != (e["qy"] > y)
+        at = (e["qx"] - e["px"]) * (y - e["py"]) / F.nullif(e["qy"] - e["py"], F.lit(0.0)) + e["px"]
+        return straddles & F.coalesce(x < at, F.lit(False))
+
+    return F.aggregate(edges, F.lit(False), lambda acc, e: acc != crosses(e))
+
+
 def point_in_ring(x: Column, y: Column, pts: Column) -> Column:
-    """Even-odd rule over an implicitly closed ring, by one fold over its edges."""
-    first = F.struct(F.lit(False).alias("inside"), F.element_at(pts, -1).alias("prev"))
+    """Even-odd rule over an implicitly closed ring."""
+    return crossings(x, y, ring_edges(pts))
+
+
+def ring_edges(pts: Column) -> Column:
+    """Edges `{px, py, qx, qy}` of an implicitly closed ring, from each point back to the one before it."""
 
-    def edge(acc: Column, p: Column) -> Column:
-        q = acc["prev"]
-        straddles = (p["y"] > y) != (q["y"] > y)
-        at = (q["x"] - p["x"]) * (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) + p["x"]
-        crosses = straddles & F.coalesce(x < at, F.lit(False))
-        return F.struct((acc["inside"] != crosses).alias("inside"), p.alias("prev"))
+    def edge(p: Column, i: Column) -> Column:
+        q = F.when(i == 0, F.element_at(pts, -1)).otherwise(F.get(pts, i - 1))
+        return F.struct(p["x"].alias("px"), p["y"].alias("py"), q["x"].alias("qx"), q["y"].alias("qy"))
 
-    return F.aggregate(pts, first, edge, lambda acc: acc["inside"])
+    return F.transform(pts, edge)
+
+
+def ring_bands(shapes: DataFrame, size: float) -> DataFrame:
+    """`metro_id, metro, layer, band, edges`: per shape and horizontal band of `size` degrees the edges that touch it, with the longitudes
+    `lo` to `hi` they cover there. An edge is listed once per band it touches, so all bands of a shape hold little more than its edges."""
+    edges = shapes.select("metro_id", "metro", "layer", F.explode(ring_edges(ring_points(F.col("ring")))).alias("e"))
+    low, high = F.least("e.py", "e.qy"), F.greatest("e.py", "e.qy")
+    cut = edges.withColumn("band", F.explode(F.sequence(_cell(low, size), _cell(high, size))))
+
+    def x_at(y: Column) -> Column:
+        inside = F.greatest(F.least(y, high), low)
+        return F.coalesce(F.col("e.px") + (F.col("e.qx") - F.col("e.px")) * (inside - F.col("e.py")) / F.nullif(F.col("e.qy") - F.col("e.py"), F.lit(0.0)), F.col("e.px"))
+
+    ends = [x_at(F.col("band") * size), x_at((F.col("band") + 1) * size)]
+    level = F.col("e.py") == F.col("e.qy")
+    ends = [F.when(level, F.col(f"e.{c}")).otherwise(x) for c, x in zip(("px", "qx"), ends)]
+    placed = cut.select("metro_id", "metro", "layer", "band", F.struct("e.*", (F.least(*ends) - 1e-9).alias("lo"), (F.greatest(*ends) + 1e-9).alias("hi")).alias("e"))
+    return placed.groupBy("metro_id", "metro", "layer", "band").agg(F.collect_list("e").alias("edges"))
 
 
 def metro_from_point(ads: DataFrame, shapes: DataFrame, cell: float = 1.0) -> DataFrame:
     """Adds `point_metro`: the shape (`metro_id, metro, layer, ring`) around a point, lowest layer first.
 
-    A range join as an equi join: shapes are listed under every grid cell their bounding box touches, and
-    distinct points meet only the shapes of their own cell.
+    A range join as equi joins. Shapes are listed, without their edges, under the grid cells of their bands: a cell that no edge touches lies wholly inside or
+    outside, so its points need no test and outer cells no row. Distinct points in the other cells are tested against the edges of the shape in their band, and the edges
+    of a band move once, not once per cell.
     """
-    pts = ring_points(F.col("ring"))
-    boxed = shapes.select("metro_id", "metro", "layer", pts.alias("pts")).select(
-        "*",
-        F.array_min(F.transform("pts", lambda p: p["x"])).alias("x0"), F.array_max(F.transform("pts", lambda p: p["x"])).alias("x1"),
-        F.array_min(F.transform("pts", lambda p: p["y"])).alias("y0"), F.array_max(F.transform("pts", lambda p: p["y"])).alias("y1"),
-    )
-    celled = boxed.withColumn("cx", F.explode(F.sequence(_cell(F.col("x0"), cell), _cell(F.col("x1"), cell)))).withColumn(
-        "cy", F.explode(F.sequence(_cell(F.col("y0"), cell), _cell(F.col("y1"), cell)))
-    )
+    bands = ring_bands(shapes, cell)
+    column = lambda x: _cell(x, cell)
+    touched = F.array_distinct(F.flatten(F.transform("edges", lambda e: F.sequence(column(e["lo"]), column(e["hi"])))))
+    wide = F.sequence(column(F.array_min(F.transform("edges", lambda e: e["lo"]))), column(F.array_max(F.transform("edges", lambda e: e["hi"]))))
+    marked = bands.select("*", touched.alias("touched"), F.explode(wide).alias("cx"))
+    tested = F.array_contains("touched", F.col("cx"))
+    middle = crossings((F.col("cx") + 0.5) * cell, (F.col("band") + 0.5) * cell, F.col("edges"))
+    cells = marked.select("metro_id", "metro", "layer", "cx", F.col("band").alias("cy"), tested.alias("tested"), (tested | middle).alias("any")).where("any").drop("any")
     points = ads.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select("lat", "lng").distinct()
-    probes = points.withColumns({"cx": _cell(F.col("lng"), cell), "cy": _cell(F.col("lat"), cell)})
-    boxes = (F.col("lng").between(F.col("x0"), F.col("x1"))) & (F.col("lat").between(F.col("y0"), F.col("y1")))
-    hits = probes.join(small_side(celled), ["cx", "cy"]).where(boxes).where(point_in_ring(F.col("lng"), F.col("lat"), F.col("pts")))
-    best = hits.groupBy("lat", "lng").agg(F.min_by("metro", F.struct("layer", "metro_id")).alias("point_metro"))
+    hits = points.withColumns({"cx": _cell(F.col("lng"), cell), "cy": _cell(F.col("lat"), cell)}).join(cells, ["cx", "cy"])
+    edges = bands.select("metro_id", "layer", F.col("band").alias("cy"), "edges")
+    proved = hits.where("tested").join(edges, ["metro_id", "layer", "cy"]).where(crossings(F.col("lng"), F.col("lat"), F.col("edges")))
+    columns = ["lat", "lng", "metro_id", "metro", "layer"]
+    inside = hits.where(~F.col("tested")).select(*columns).unionByName(proved.select(*columns))
+    best = inside.groupBy("lat", "lng").agg(F.min_by("metro", F.struct("layer", "metro_id")).alias("point_metro"))
     return _left_known(ads, best)

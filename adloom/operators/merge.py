@@ -2,7 +2,7 @@
 
 A document is the set of its leaves. A later source wins per path; it also removes earlier leaves below
 a path it sets to a scalar, and an earlier scalar where it puts an object. No document is ever gathered
-into one row, so one page may own any share of the input.
+into one row, so one page may own any share of the input. Sources that sit in one row already are merged there (`merge_in_row`).
 """
 
 from __future__ import annotations
@@ -10,36 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adloom.functions.jsonx import is_object
-from adloom.session import checkpointed, small_side
-
-# levels that are expanded before it is asked whether any object is left
-BLOCK = 8
+from adloom.functions import overlay as O
+from adloom.session import checkpointed
 
 
 def json_leaves(df: DataFrame, keep: list[str], body: str) -> DataFrame:
-    """`keep…, path, value, empty`: one row per leaf of an object, at any depth.
-
-    Levels are expanded in blocks until no object with members is left, which takes a small job per block.
+    """`keep…, path, value, empty`: one row per leaf of an object, at any depth; opened inside the row.
 
     `empty` marks an object without members. Bodies that are no objects give no rows.
     """
-    out = df.where(is_object(F.col(body))).select(
-        *keep, F.array().cast("array<string>").alias("path"), F.col(body).alias("v")
-    )
-    level = 0
-    while level % BLOCK or level == 0 or not out.where(is_object(F.col("v")) & (F.to_json("v") != "{}")).isEmpty():
-        level += 1
-        members = F.try_variant_get("v", "$", "map<string,variant>")
-        out = out.select(*keep, "path", "v", F.explode_outer(F.when(is_object(F.col("v")), members)).alias("k", "child"))
-        named = F.col("k").isNotNull()
-        out = out.select(
-            *keep,
-            F.when(named, F.array_append("path", F.col("k"))).otherwise(F.col("path")).alias("path"),
-            F.when(named, F.col("child")).otherwise(F.col("v")).alias("v"),
-        )
-    text = F.coalesce(F.to_json("v"), F.lit("null"))
-    return out.where(F.size("path") > 0).select(*keep, "path", text.alias("value"), (text == "{}").alias("empty"))
+    found = df.select(*keep, F.explode(O.leaves(O.layers(F.array(F.col(body))))).alias("l"))
+    return found.where(F.size("l.path") > 0).select(*keep, F.col("l.path").alias("path"), F.col("l.value").alias("value"), (F.col("l.value") == "{}").alias("empty"))
+
+
+def merge_in_row(df: DataFrame, keys: list[str], documents: str) -> DataFrame:
+    """`keys…, path, value` of the document that each row's array of VARIANT documents, strongest first, merges to. Narrow: sources that sit in one row stay there."""
+    found = df.select(*keys, F.explode(O.leaves(O.layers(F.col(documents)))).alias("l"))
+    return found.where(F.size("l.path") > 0).select(*keys, F.col("l.path").alias("path"), F.col("l.value").alias("value"))
 
 
 def _proper_prefixes(path: Column) -> Column:
@@ -98,12 +85,12 @@ def json_deep_merge(df: DataFrame, keys: list[str], rank: str, body: str) -> Dat
     nested = alive.where(F.size("path") > 1).select(
         *keys, "path", "at", F.explode(_proper_prefixes(F.col("path"))).alias("above")
     )
-    overruled = nested.join(small_side(scalars), [*keys, "above"]).where("blocked_at > at").select(*keys, "path").distinct()
+    overruled = nested.join(scalars, [*keys, "above"]).where("blocked_at > at").select(*keys, "path").distinct()
     survivors = alive.join(overruled, [*keys, "path"], "left_anti")
     # an empty object stays only if nothing below it is left
     doubtful = survivors.where("bare AND below").select(*keys, "path")
     parents = survivors.where("size(path) > 1").select(*keys, F.explode(_proper_prefixes(F.col("path"))).alias("path"))
-    filled = parents.join(small_side(doubtful), [*keys, "path"], "left_semi").distinct()
+    filled = parents.join(doubtful, [*keys, "path"], "left_semi").distinct()
     return survivors.join(filled, [*keys, "path"], "left_anti").select(*keys, "path", "value")
 
 

@@ -17,6 +17,7 @@ from adloom.functions import jsonx as J
 from adloom.functions import pagetext as P
 from adloom.functions import vocab
 from adloom.functions.address import with_parsed_address
+from adloom.functions.text import first_where
 from adloom.functions.urls import SiteProfile, ad_id_from_url
 
 
@@ -26,42 +27,65 @@ def with_ad_node(df: DataFrame, raw: str = "raw") -> DataFrame:
     located = df.withColumn("ad_path", J.ad_node_path(r))
     node = located.withColumn("ad", J.at_path(r, F.col("ad_path")))
 
-    def nested(keys: str) -> Column:
-        members = [F.try_variant_get("ad", f"$.{k}", "variant") for k in keys.split()]
+    def nested(keys) -> Column:
+        members = [F.try_variant_get("ad", f"$.{k}", "variant") for k in keys]
         return F.coalesce(*[F.when(~F.is_variant_null(m) & (F.to_json(m) != '""'), m) for m in members])
 
     return node.withColumns({root: nested(keys) for root, keys in A.ROOTS.items()})
 
 
-def _value(aliases: str, default: str | None = None) -> Column:
-    pairs = [(a.split(".", 1)[0], "$." + a.split(".", 1)[1]) for a in aliases.split()]
-    roots = {root: F.col(root) for root, _ in pairs}
-    return J.alias_value(roots, pairs, default)
+class Merged:
+    """Reads record fields from VARIANT columns that hold one merged document (`with_ad_node`)."""
 
+    def first_text(self, aliases) -> Column:
+        """First non-empty value among aliases `<root>.<path>`, as text."""
+        found = [F.try_variant_get(F.col(a.split(".", 1)[0]), "$." + a.split(".", 1)[1], "string") for a in aliases]
+        return first_where(F.array(*found), lambda v: v != "")
 
-def resolve_aliases(spec: dict[str, str], **overrides: Column) -> Column:
+    def json(self, root: str) -> Column:
+        return F.to_json(root)
+
+    def has_object(self, root: str) -> Column:
+        return J.is_object(F.col(root))
+
+    def photos(self) -> Column:
+        return J.photos_from_json(F.col("ad"))
+
+    def amenities(self, labels: Column | None) -> Column:
+        return J.amenity_bag(F.col("ad"), labels)
+
+
+MERGED = Merged()
+
+
+def _value(aliases, default: str | None = None, read: Merged = MERGED) -> Column:
+    found = read.first_text(aliases)
+    return found if default is None else F.coalesce(found, F.lit(default))
+
+
+def resolve_aliases(spec, read: Merged = MERGED, **overrides: Column) -> Column:
     """Struct with every field of `spec` as text; `overrides` replace single fields."""
-    return F.struct(*[overrides.get(f, _value(a, A.DEFAULTS.get(f))).alias(f) for f, a in spec.items()])
+    return F.struct(*[overrides[f].alias(f) if f in overrides else _value(a, A.DEFAULTS.get(f), read).alias(f) for f, a in spec.items()])
 
 
-def rec_property(title_fallback: Column | None = None) -> Column:
-    title = _value(A.PROPERTY["title"])
-    return resolve_aliases(A.PROPERTY, title=title if title_fallback is None else F.coalesce(title, title_fallback))
+def rec_property(title_fallback: Column | None = None, read: Merged = MERGED) -> Column:
+    title = _value(A.PROPERTY["title"], read=read)
+    return resolve_aliases(A.PROPERTY, read, title=title if title_fallback is None else F.coalesce(title, title_fallback))
 
 
-def rec_description(text_fallback: Column | None = None) -> Column:
-    full = _value(A.DESCRIPTION["full_description"])
+def rec_description(text_fallback: Column | None = None, read: Merged = MERGED) -> Column:
+    full = _value(A.DESCRIPTION["full_description"], read=read)
     full = full if text_fallback is None else F.coalesce(full, text_fallback)
-    return resolve_aliases(A.DESCRIPTION, full_description=P.strip_quick_facts(full))
+    return resolve_aliases(A.DESCRIPTION, read, full_description=P.strip_quick_facts(full))
 
 
-def rec_availability() -> Column:
-    return resolve_aliases(A.AVAILABILITY)
+def rec_availability(read: Merged = MERGED) -> Column:
+    return resolve_aliases(A.AVAILABILITY, read)
 
 
-def with_location(df: DataFrame, out: str = "location", address_fallback: Column | None = None) -> DataFrame:
+def with_location(df: DataFrame, out: str = "location", address_fallback: Column | None = None, read: Merged = MERGED) -> DataFrame:
     """Adds the location struct; fields missing in JSON come from the parsed address text."""
-    stage = df.withColumn("_loc", resolve_aliases(A.LOCATION))
+    stage = df.withColumn("_loc", resolve_aliases(A.LOCATION, read))
     full = F.col("_loc.full_address")
     full = full if address_fallback is None else F.coalesce(full, address_fallback)
     stage = with_parsed_address(stage.withColumn("_full", full), "_full", "_parsed")
@@ -75,20 +99,20 @@ def with_location(df: DataFrame, out: str = "location", address_fallback: Column
         if f in from_text:
             value = F.coalesce(value, F.col(f"_parsed.{from_text[f]}"))
         fields.append(value.alias(f))
-    raw_location = F.to_json("loc").alias("raw_location") if "loc" in df.columns else F.lit(None).cast("string").alias("raw_location")
+    raw_location = (read.json("loc") if "loc" in df.columns else F.lit(None).cast("string")).alias("raw_location")
     return stage.withColumn(out, F.struct(*fields, raw_location)).drop("_loc", "_full", "_parsed")
 
 
-def rec_preferences() -> Column:
-    raw = F.when(J.is_object(F.col("prefs")), F.to_json("prefs")).alias("raw_preferences")
-    return F.struct(resolve_aliases(A.PREFERENCES).alias("p"), raw).withField("p.raw_preferences", raw)["p"]
+def rec_preferences(read: Merged = MERGED) -> Column:
+    raw = F.when(read.has_object("prefs"), read.json("prefs")).alias("raw_preferences")
+    return F.struct(resolve_aliases(A.PREFERENCES, read).alias("p"), raw).withField("p.raw_preferences", raw)["p"]
 
 
-def rec_metadata(tokens: Column | None = None) -> Column:
+def rec_metadata(tokens: Column | None = None, read: Merged = MERGED) -> Column:
     def meta(selector: tuple[str, str], attribute: str) -> Column:
         return F.lit(None).cast("string") if tokens is None else H.select_attr(tokens, [selector], attribute)
 
-    fields = [_value(a, A.DEFAULTS.get(f)).alias(f) for f, a in A.METADATA.items()]
+    fields = [_value(a, A.DEFAULTS.get(f), read).alias(f) for f, a in A.METADATA.items()]
     return F.struct(
         *fields,
         F.col("url").alias("page_url"),
@@ -99,22 +123,22 @@ def rec_metadata(tokens: Column | None = None) -> Column:
     )
 
 
-def rec_poster(mask: bool = True) -> Column:
+def rec_poster(mask: bool = True, read: Merged = MERGED) -> Column:
     """Poster fields; e-mail and phone are SHA-256 digests unless `mask` is off."""
-    hidden = {f: F.sha2(_value(A.POSTER[f]), 256) for f in A.MASKED} if mask else {}
-    return resolve_aliases(A.POSTER, **hidden)
+    hidden = {f: F.sha2(_value(A.POSTER[f], read=read), 256) for f in A.MASKED} if mask else {}
+    return resolve_aliases(A.POSTER, read, **hidden)
 
 
-def rec_payment() -> Column:
-    return resolve_aliases(A.PAYMENT)
+def rec_payment(read: Merged = MERGED) -> Column:
+    return resolve_aliases(A.PAYMENT, read)
 
 
-def rec_privacy() -> Column:
-    return resolve_aliases(A.PRIVACY)
+def rec_privacy(read: Merged = MERGED) -> Column:
+    return resolve_aliases(A.PRIVACY, read)
 
 
-def rec_ad_id(site: SiteProfile) -> Column:
-    return F.coalesce(_value(A.AD_ID), ad_id_from_url(F.col("url"), site))
+def rec_ad_id(site: SiteProfile, read: Merged = MERGED) -> Column:
+    return F.coalesce(_value(A.AD_ID, read=read), ad_id_from_url(F.col("url"), site))
 
 
 def rec_unknown_fields(known: list[str], ad: str = "ad") -> Column:
@@ -124,39 +148,42 @@ def rec_unknown_fields(known: list[str], ad: str = "ad") -> Column:
     return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], F.to_json(e["value"]))))
 
 
-def rec_ad(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at") -> DataFrame:
-    """The ad record: eight sections plus id, source URL and scrape time."""
+TITLES = [("tag", "h1"), ("class", "ad-title"), ("class", "listing-title"), ("class*", "title")]
+PROSE = [("class", "ad-description"), ("class", "description"), ("class*", "description"), ("attr:itemprop", "description")]
+ADDRESSES = [("attr:itemprop", "address"), ("class", "address"), ("class*", "address")]
+
+
+def rec_photos(tokens: Column | None = None, read: Merged = MERGED) -> Column:
+    """Photos of the ad object's first photo list, else of the page source's first gallery."""
+    photos = read.photos()
+    return photos if tokens is None else F.when(F.size(photos) > 0, photos).otherwise(H.photos_static(tokens))
+
+
+def rec_amenities(tokens: Column | None = None, read: Merged = MERGED) -> Column:
+    """Amenities of the ad object; without any, the labels that the page styles as such."""
+    return read.amenities(None if tokens is None else H.amenity_labels(tokens))
+
+
+def rec_ad(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", read: Merged = MERGED) -> DataFrame:
+    """The ad record: eight sections plus id, source URL and scrape time. Whatever else `df` has in the way of page columns stays."""
     tokens = F.col("tokens") if "tokens" in df.columns else None
-    title = H.select_text(tokens, [("tag", "h1"), ("class*", "title")]) if tokens is not None else None
-    prose = (
-        H.select_text(tokens, [("class*", "description"), ("attr:itemprop", "description")], H.lines_of)
-        if tokens is not None
-        else None
-    )
-    address = H.select_text(tokens, [("attr:itemprop", "address"), ("class*", "address")]) if tokens is not None else None
-    photos = J.photos_from_json(F.col("ad"))
-    if tokens is not None:
-        shown = F.transform(
-            H.photos_from_html(tokens),
-            lambda u, i: F.struct(i.cast("int").alias("index"), u.alias("url"), F.lit(None).cast("string").alias("alt")),
-        )
-        photos = F.when(F.size(photos) > 0, photos).otherwise(shown)
-    located = with_location(df, address_fallback=address)
-    keep = [c for c in ("page_id", "html", "tokens", "page_text") if c in df.columns]
+    shown = lambda selectors: None if tokens is None else H.select_text(tokens, selectors)
+    located = with_location(df, address_fallback=shown(ADDRESSES), read=read)
+    keep = [c for c in ("page_id", "html", "tokens", "page_text", "ld_photos") if c in df.columns]
     return located.select(
         *keep,
-        rec_ad_id(site).alias("ad_id"),
+        rec_ad_id(site, read).alias("ad_id"),
         F.col("url").alias("source_url"),
         F.col(scraped_at).alias("scraped_at"),
-        rec_property(title).alias("property"),
-        rec_description(prose).alias("description"),
-        rec_availability().alias("availability"),
+        rec_property(shown(TITLES), read).alias("property"),
+        rec_description(shown(PROSE), read).alias("description"),
+        rec_availability(read).alias("availability"),
         "location",
-        photos.alias("photos"),
-        J.amenity_bag(F.col("ad")).alias("amenities"),
-        rec_preferences().alias("preferences"),
-        rec_metadata(tokens).alias("metadata"),
-        rec_privacy().alias("privacy"),
+        rec_photos(tokens, read).alias("photos"),
+        rec_amenities(tokens, read).alias("amenities"),
+        rec_preferences(read).alias("preferences"),
+        rec_metadata(tokens, read).alias("metadata"),
+        rec_privacy(read).alias("privacy"),
     )
 
 
@@ -181,9 +208,9 @@ def rec_scraped_details(df: DataFrame, site: SiteProfile, scraped_at: str = "scr
             "_near": H.address_near_h1(tokens),
             "_info": H.section_items(tokens, r"^additional\s+info"),
             "_prefs": H.section_items(tokens, r"^tenant\s+pref"),
-            "_photos": H.photos_from_html(tokens),
+            "_photos": H.photos_of_details(tokens, site.photo_path),
             "_contact": P.contacts(text, mask),
-            "_hoods": P.neighborhood_names(text),
+            "_hoods": P.neighborhood_names(text, H.neighborhood_links(tokens)),
         }
     ).withColumn("_facts", P.quick_facts(F.col("_overview")))
     step = with_parsed_address(step.withColumn("_full", F.col("_near.full_address")), "_full", "_parsed")
@@ -270,5 +297,3 @@ def flatten_keys(df: DataFrame) -> DataFrame:
             yield c.alias(prefix)
 
     return df.select(*[col for f in df.schema.fields for col in leaves(f.name, F.col(f"`{f.name}`"), f.dataType)])
-
-

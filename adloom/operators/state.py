@@ -1,4 +1,4 @@
-"""Keyed state across runs: seen ads, one row per ad, upserts into snapshot tables.
+"""Keyed state across runs: seen ads, one row per ad, upserts into a store of hash buckets.
 
 Both sides of an upsert are first reduced to one row per ad with map-side combine. That leaves them
 hash partitioned by ad, so the full outer join needs no further shuffle.
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.text import null_if_empty
 from adloom.operators.ranking import first_n, first_per_key
+from adloom.session import checkpointed
 from adloom.sources import tables as S
 
 SCRAPE_ORDER = ["scraped_at", "run_seq", "pos", "payload", "url"]
@@ -84,18 +85,50 @@ def upsert_geo_only(stored: DataFrame, fresh: DataFrame, geo: tuple[str, ...] =
     return joined.select("ad_id", *[pick(f) for f in rest])
 
 
-def upsert_ads(spark: SparkSession, path: str, fresh: DataFrame, schema: str, version: int | None = None) -> DataFrame:
-    """Upsert into the snapshot table at `path`: write the next version, return it.
+# ---- the ad store: rows in hash buckets of their ad ------------------------------------------
 
-    With `version` given (a stream's batch id), a replay reads the version before it and overwrites its own.
+BUCKETS = 64
+
+
+def _bucket(n: int) -> Column:
+    return F.pmod(F.hash("ad_id"), F.lit(n)).alias("bucket")
+
+
+def read_ads(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All ads of the store at `path`, or an empty table."""
+    if not S.has_files(spark, f"{path}/data"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, bucket INT").parquet(f"{path}/data").drop("bucket")
+
+
+def upsert_ads(spark: SparkSession, path: str, fresh: DataFrame, schema: str, version: int | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Upsert into the store at `path` by the rule of `upsert_refresh`; returns the store.
+
+    The store is partitioned by a hash of the ad. Only the buckets that `fresh` touches are read, merged into a staging table, and then
+    put in place by Spark's dynamic partition overwrite, so a batch costs the buckets it touches, not the store. `buckets` is fixed when
+    the store is made; choose it so that a bucket is some hundred MB.
+
+    With `version` given (a stream's batch id), a replay finds its complete staging table and only puts it in place again; a batch that
+    died before its staging table was complete has not touched the store. Versions must come in order; the staging tables of all but the latest
+    two are emptied. Rows of `fresh` without an ad id are kept out of the store.
     """
-    if version is None:
-        stored = S.read_snapshot(spark, path, schema)
-    else:
-        stored = S.read_snapshot_before(spark, path, schema, version)
-    merged = upsert_refresh(stored, latest_by_ad(fresh).select(*stored.columns))
-    S.write_snapshot(merged, path, version)
-    return S.read_snapshot(spark, path, schema)
+    number = version if version is not None else S.next_version(spark, f"{path}/staging")
+    staged = f"{path}/staging/v={number}"
+    if not S.is_complete(spark, staged):
+        latest = checkpointed(latest_by_ad(fresh.where(F.col("ad_id").isNotNull())).withColumn("bucket", _bucket(buckets)))
+        # at most as many rows as there are buckets
+        touched = [r.bucket for r in latest.select("bucket").distinct().collect()]
+        names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
+        if S.has_files(spark, f"{path}/data"):
+            stored = spark.read.schema(f"{schema}, bucket INT").parquet(f"{path}/data").where(F.col("bucket").isin(touched)).select(*names)
+        else:
+            stored = spark.createDataFrame([], schema)
+        merged = upsert_refresh(stored, latest.select(*names)).withColumn("bucket", _bucket(buckets))
+        merged.write.mode("overwrite").parquet(staged)
+    ready = spark.read.schema(f"{schema}, bucket INT").parquet(staged)
+    ready.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{path}/data")
+    S.empty_version(spark, f"{path}/staging", number - 2)
+    return read_ads(spark, path, schema)
 
 
 def load_seen(spark: SparkSession, path: str) -> DataFrame:

@@ -6,9 +6,10 @@ from adloom.functions import normalize as N
 from adloom.functions.text import label_key
 from adloom.operators import document as D
 from adloom.operators import quality as Q
+from adloom.operators.schema import Schema, document_schema
 from adloom.plans.registry import query
 from adloom.plans.scalars import items
-from adloom.session import new_table_path
+from adloom.session import new_table_path, settled
 from adloom.sources import tables as S
 from adloom.sources.fixtures import fixture, table, with_fixtures
 
@@ -192,6 +193,54 @@ def validate_variant(spark, d):
     return _broken(spark, d).select("ad_id", Q.validate_variant(c("doc")).alias("valid"))
 
 
+# every member with a vocabulary, and the intent whose documents have it
+_ENUM_PATHS = [
+    ("metadata.status", None), ("metadata.adexpirystatus", None), ("metadata.intent", None), ("metadata.category", None), ("details.rent.mode", None),
+    ("details.amenities", None), ("details.utilities", None), ("details.furnishing", None), ("property_details.property_type", "list"),
+    *[(f"preferences.{f}", "list") for f in ("occupation", "smoking", "pets", "vegetarian", "age_range", "preferred_gender", "couples_welcome", "alcohol_allowed", "languages")],
+    ("room_details.gender_preference", "find"), ("seeker.gender", "find"), ("seeker.occupation", "find"), ("seeker.languages", "find"),
+]
+_ENUM_LISTS = ("details.amenities", "details.utilities", "preferences.languages", "seeker.languages")
+_DAMAGE = ", ".join(f"({k}, '{p}', {repr(need) if need else 'NULL'})" for k, (p, need) in enumerate(_ENUM_PATHS))
+
+
+@query(
+    "validate_schema",
+    with_fixtures("f_ads")
+    + f""", damage(k, path, need) AS (VALUES {_DAMAGE}), ads AS (SELECT ad_id, ad_id % 25 AS k, CASE WHEN ad_type = 'Property Wanted' THEN 'find' ELSE 'list' END AS intent FROM f_ads)
+SELECT ad_id, path, 'enum' AS rule FROM ads JOIN damage USING (k) WHERE need IS NULL OR need = intent
+UNION ALL SELECT ad_id, 'metadata.role', 'required' FROM ads WHERE k = 22
+UNION ALL SELECT ad_id, CASE intent WHEN 'find' THEN 'room_details' ELSE 'property_details' END, 'required' FROM ads WHERE k = 23
+UNION ALL SELECT ad_id, '', 'not' FROM ads WHERE k = 24 AND intent = 'list'""",
+)
+def validate_schema(spark, d):
+    """Every vocabulary damaged in its own share of the documents, a missing role, a missing section, and a listed ad that seeks."""
+    docs = settled(documents(spark, d).select("ad_id", "doc"))
+    kind, k = docs.schema["doc"].dataType, c("ad_id") % 25
+    bad = F.array(F.lit("English"), F.lit("helipad"))
+    wrong = {path: F.when(k == at, bad if path in _ENUM_LISTS else F.lit("helipad")).otherwise(c(f"doc.{path}")) for at, (path, _) in enumerate(_ENUM_PATHS)}
+    wrong["metadata.role"] = F.when(k != 22, c("doc.metadata.role"))
+    doc = _rebuilt(c("doc"), kind, "", wrong)
+    members = {f.name: doc[f.name] for f in kind.fields}
+    for section in ("room_details", "property_details"):
+        members[section] = F.when(k != 23, members[section])
+    nobody = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind["seeker"].dataType.fields])
+    members["seeker"] = F.when(k == 24, F.coalesce(c("doc.seeker"), nobody)).otherwise(members["seeker"])
+    broken = settled(docs.select("ad_id", F.struct(*[v.alias(f) for f, v in members.items()]).alias("doc")))
+    checked = broken.select("ad_id", F.explode(Schema(document_schema()).violations(c("doc"), kind)).alias("v"))
+    return checked.select("ad_id", "v.path", "v.rule")
+
+
+def _rebuilt(value, kind, path, changes):
+    """A struct with some members, named by dotted paths, replaced; what is NULL stays NULL."""
+    fields = []
+    for f in kind.fields:
+        inner = f"{path}.{f.name}".lstrip(".")
+        below = any(p.startswith(inner + ".") for p in changes)
+        fields.append((_rebuilt(value[f.name], f.dataType, inner, changes) if below else changes.get(inner, value[f.name])).alias(f.name))
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
 # ---- retired shape ---------------------------------------------------------------------------
 
 

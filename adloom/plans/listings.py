@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import jsonx as J
 from adloom.functions import urls as U
+from adloom.operators import crawl
 from adloom.operators import frontier as L
 from adloom.plans.pages import CLEAN
 from adloom.plans.registry import query
@@ -57,8 +58,7 @@ def listing_rows(spark, d):
     return L.listing_pages(spread(fixture(spark, d, "f_list")), ADS_SITE)
 
 
-_NEXT = """CASE WHEN page_id % 3 < 2 THEN listing || '?page=' || CAST(page_no + 1 AS VARCHAR)
-  WHEN page_id % 4 <> 3 THEN 'https://ads.example.com/rentals?page=99' END"""
+_NEXT = "CASE WHEN page_id % 12 <> 11 THEN listing || '?page=' || CAST(page_no + 1 AS VARCHAR) END"
 _SITE = "'https://ads.example.com/"
 
 
@@ -75,8 +75,9 @@ def listing_total(spark, d):
     return listing_rows(spark, d).select("page_id", "total")
 
 
-_URLS = f"""[{_SITE}flat_rentals_town-nj_' || CAST(1000 + page_id AS VARCHAR), {_SITE}room_rentals_city-tx_' || CAST(1001 + page_id AS VARCHAR),
-  {_SITE}flat_rentals_town-nj_' || CAST(2000 + page_id AS VARCHAR)]"""
+_URLS = f"""[{_SITE}flat_rentals_town-nj_' || CAST(1000 + k AS VARCHAR), {_SITE}room_rentals_city-tx_' || CAST(1001 + k AS VARCHAR),
+  {_SITE}flat_rentals_town-nj_' || CAST(2000 + k AS VARCHAR)]"""
+_ADS = "[1000 + k, 1001 + k, 2000 + k]"
 
 
 @query(
@@ -90,18 +91,36 @@ def embedded_listing_links(spark, d):
 @query(
     "pagination_stop",
     with_fixtures("f_list")
-    + f""", p AS (SELECT page_id, listing, url, page_no, {_NEXT} AS next_url, {_TOTAL} AS total, {_URLS} AS urls FROM f_list),
-progress AS (SELECT listing, count(DISTINCT ad) AS n_found, (SELECT max(total) FROM p q WHERE q.listing = x.listing) AS listing_total
-  FROM (SELECT listing, unnest(urls) AS ad FROM p) x GROUP BY listing)
-SELECT page_id, next_url, n_found, listing_total, CASE WHEN page_no >= 100 THEN 'max_pages' WHEN n_found >= listing_total THEN 'total_reached'
+    + f""", p AS (SELECT page_id, listing, url, page_no, {_NEXT} AS next_url, {_TOTAL} AS total, {_ADS} AS ads FROM f_list),
+shown AS (SELECT listing, page_id, page_no, unnest(ads) AS ad FROM p), firsts AS (SELECT page_id FROM shown QUALIFY row_number() OVER (PARTITION BY listing, ad ORDER BY page_no) = 1),
+new AS (SELECT page_id, count(*) AS n_new FROM firsts GROUP BY page_id),
+progress AS (SELECT p.*, coalesce(n_new, 0) AS n_new, CAST(sum(coalesce(n_new, 0)) OVER w AS BIGINT) AS n_found, max(total) OVER w AS listing_total
+  FROM p LEFT JOIN new USING (page_id) WINDOW w AS (PARTITION BY listing ORDER BY page_no))
+SELECT page_id, next_url, n_new, n_found, listing_total, CASE WHEN page_no >= 11 THEN 'max_pages' WHEN n_new = 0 THEN 'no_new_ads' WHEN n_found >= listing_total THEN 'total_reached'
   WHEN next_url IS NULL THEN 'no_next' WHEN next_url IN (SELECT url FROM p WHERE page_no % 5 = 3) THEN 'seen' END AS stop_reason
-FROM p JOIN progress USING (listing)""",
+FROM progress""",
 )
 def pagination_stop(spark, d):
     rows = listing_rows(spark, d).withColumn("total", F.col("total").cast("bigint"))
-    seen = spread(fixture(spark, d, "f_list")).where("page_no % 5 = 3").select("url")
-    out = L.pagination_stop(rows, seen, ADS_SITE, max_pages=100)
-    return out.select("page_id", "next_url", "n_found", "listing_total", "stop_reason")
+    seen = fixture(spark, d, "f_list").where("page_no % 5 = 3").select("url")
+    out = L.pagination_stop(rows, seen, ADS_SITE, max_pages=11)
+    return out.select("page_id", "next_url", "n_new", "n_found", "listing_total", "stop_reason")
+
+
+@query(
+    "crawl_rounds",
+    with_fixtures("f_list")
+    + f""", p AS (SELECT *, generate_subscripts({_URLS}, 1) - 1 AS pos, unnest({_URLS}) AS ad_url, unnest({_ADS}) AS ad FROM f_list),
+ads AS (SELECT page_no AS round, page_no AS page, ad_url AS page_key, CAST(ad AS VARCHAR) AS ad_id FROM p QUALIFY row_number() OVER (PARTITION BY ad ORDER BY page_no, url, pos) = 1)
+SELECT CAST(page_no - 1 AS INTEGER) AS round, 'LISTING' AS label, page_no AS page, url AS page_key, CAST(NULL AS VARCHAR) AS ad_id, true AS captured FROM f_list
+UNION ALL SELECT page_no, 'LISTING', page_no + 1, {_NEXT}, NULL, false FROM f_list f WHERE page_id % 12 <> 11 AND NOT EXISTS (SELECT 1 FROM f_list g WHERE g.page_id = f.page_id + 1)
+UNION ALL SELECT DISTINCT 12, 'LISTING', 13, 'https://ads.example.com/rentals?page=1', NULL, false FROM f_list WHERE page_id % 12 = 11
+UNION ALL SELECT round, 'DETAIL', page, page_key, ad_id, false FROM ads""",
+)
+def crawl_rounds(spark, d):
+    listings = fixture(spark, d, "f_list").select("page_id", "url", "html", "page_no")
+    out = crawl.crawl_rounds(listings.drop("page_no"), listings.where("page_no = 1").select("url"), ADS_SITE)
+    return out.select("round", "label", "page", "page_key", "ad_id", "captured")
 
 
 @query(

@@ -8,6 +8,7 @@ from adloom.functions import jsonx as J
 from adloom.functions import text as T
 from adloom.operators import merge as M
 from adloom.operators import records as R
+from adloom.operators.detail import BODIES, page_layers
 from adloom.plans.pages import html_pages
 from adloom.plans.registry import query
 from adloom.plans.urls import ADS_SITE
@@ -56,11 +57,6 @@ def json_merge_payloads(spark, d):
     return _merged(kept.select("page_id", c("arrival").alias("rank"), J.json_safe_parse(c("body")).alias("body")))
 
 
-def _sources(df):
-    exploded = df.select("page_id", F.explode(J.page_sources(c("html"))).alias("s"))
-    return exploded.select("page_id", J.source_rank(c("s.source"), c("s.seq")).alias("rank"), c("s.body").alias("body"))
-
-
 @query(
     "json_source_priority",
     with_fixtures("f_html")
@@ -74,7 +70,8 @@ src AS (SELECT page_id, rank, CAST(body AS JSON) AS body FROM src0 WHERE body <>
     + MERGE_SQL,
 )
 def json_source_priority(spark, d):
-    return _merged(_sources(html_pages(spark, d)))
+    sources = html_pages(spark, d).select("page_id", page_layers(c("html"), F.lit(None).cast(BODIES)).alias("sources"))
+    return M.merge_in_row(sources, ["page_id"], "sources").select("page_id", M.dotted(c("path")).alias("path"), "value")
 
 
 # ---- records over page JSON ------------------------------------------------------------------
@@ -358,7 +355,7 @@ def rec_scraped_details(spark, d):
   CAST(ad_id AS VARCHAR) AS number_text, {j('extraNotes', default="'not_found'")} AS extra_notes FROM n""",
 )
 def normalize_missing(spark, d):
-    rows = ad_rows(spark, d).withColumns({"property": R.resolve_aliases({**A.PROPERTY, "title": "ad.title ad.adTitle"}), "description": R.rec_description(), "number": c("ad_id")})
+    rows = ad_rows(spark, d).withColumns({"property": R.resolve_aliases({**A.PROPERTY, "title": ("ad.title", "ad.adTitle")}), "description": R.rec_description(), "number": c("ad_id")})
     out = R.normalize_missing(rows.select("ad_id", "property", "description", "number"), ["property", "description", "number"])
     return out.select("ad_id", "property.title", "property.baths", "property.rent_currency", c("number").alias("number_text"), "description.extra_notes")
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from adloom.functions import html as H
 from adloom.functions import urls as U
 from adloom.plans.registry import query
-from adloom.plans.state import HIST_COLUMNS, HIST_SCHEMA
+from adloom.plans.state import _LOG, _STATS, HIST_COLUMNS, HIST_SCHEMA
 from adloom.plans.urls import PAGES_SITE
 from adloom.session import new_table_path
 from adloom.sources.fixtures import F_HIST, table, with_fixtures
@@ -50,7 +50,7 @@ QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY scraped_at DESC, run_seq
 def stream_upsert(spark, d):
     path = new_table_path(spark, "stream-ads")
     X.stream_upsert(_history(spark, d), path, path + "-checkpoint", HIST_SCHEMA)
-    return X.read_snapshot(spark, path, HIST_SCHEMA).select("ad_id", "payload", "lat", "locality", "metro")
+    return X.read_ads(spark, path, HIST_SCHEMA).select("ad_id", "payload", "lat", "locality", "metro")
 
 
 @query("stream_stats", "SELECT event_type, user_id AS run_id, count(*) AS n FROM events GROUP BY ALL")
@@ -59,3 +59,11 @@ def stream_stats(spark, d):
     log = _stream(spark, d, "events").withColumn("run_id", c("user_id"))
     X.stream_stats(log, path, path + "-checkpoint", ["event_type", "run_id"])
     return X.read_snapshot(spark, path, "event_type STRING, run_id BIGINT, n BIGINT")
+
+
+@query("stream_run_stats", _STATS)
+def stream_run_stats(spark, d):
+    path = new_table_path(spark, "stream-run-stats")
+    _stream(spark, d, "events").createOrReplaceTempView("events")
+    X.stream_run_stats(spark.sql(_LOG), path, path + "-checkpoint")
+    return X.read_run_stats(spark, path)

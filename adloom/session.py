@@ -68,6 +68,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`df` with all columns computed here. What comes later sees plain columns: the optimizer traces the keys of a join, and what is
+    mentioned twice, back through all projections below, and large expressions would be written out once per mention."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint, but only after measuring that the side stays within `max_rows` and `max_bytes` (as JSON text).
 

@@ -97,19 +97,19 @@ SELECT event_id AS arrival, user_id AS page_id,
 FROM events
 """
 
-# ten listings of ten-row pages; next page as rel=next, as link text, or only in the page JSON
+# listings of twelve pages; next page as rel=next, as link text, or only in the page JSON; the eighth page repeats the ads of the seventh
 F_LIST = """
-SELECT page_id, listing || '?page=' || CAST(page_no AS STRING) AS url, page_no, listing,
-  '<html><head><title>Rentals ' || CAST(page_no AS STRING) || '</title></head><body><a href="/flat_rentals_town-nj_' || CAST(1000 + page_id AS STRING)
-  || '?x=1">A</a><a href="https://ads.example.com/room_rentals_city-tx_' || CAST(1001 + page_id AS STRING)
+SELECT page_id, listing || '?page=' || CAST(page_no AS STRING) AS url, page_no, listing, k,
+  '<html><head><title>Rentals ' || CAST(page_no AS STRING) || '</title></head><body><a href="/flat_rentals_town-nj_' || CAST(1000 + k AS STRING)
+  || '?x=1">A</a><a href="https://ads.example.com/room_rentals_city-tx_' || CAST(1001 + k AS STRING)
   || '#p">B</a><a href="/about">C</a><a href="/rentals?page=1">1</a>'
   || (CASE page_id % 3 WHEN 0 THEN '<a rel="next" href="' || next_href || '">2</a>' WHEN 1 THEN '<a href="' || next_href || '"> Next </a>' ELSE '' END)
   || '<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{' || (CASE WHEN page_id % 2 = 0 THEN '"totalAds":' || CAST(page_id * 3 AS STRING) || ',' ELSE '' END)
-  || (CASE WHEN page_id % 4 = 3 THEN '' ELSE '"pagination":{"next":"/rentals?page=99"},' END)
-  || '"ads":[{"slug":"/flat_rentals_town-nj_' || CAST(2000 + page_id AS STRING) || '","id":1},{"id":2}]}}}</script></body></html>' AS html
-FROM (SELECT c_custkey AS page_id, CAST(1 + floor(c_custkey / 10) AS INT) AS page_no,
-  'https://ads.example.com/rentals/town' || CAST(c_custkey % 10 AS STRING) AS listing,
-  '/rentals/town' || CAST(c_custkey % 10 AS STRING) || '?page=' || CAST(CAST(2 + floor(c_custkey / 10) AS INT) AS STRING) AS next_href
+  || (CASE WHEN page_id % 4 = 3 THEN '' ELSE '"pagination":{"next":"' || next_href || '"},' END)
+  || '"ads":[{"slug":"/flat_rentals_town-nj_' || CAST(2000 + k AS STRING) || '","id":1},{"id":2}]}}}</script></body></html>' AS html
+FROM (SELECT c_custkey AS page_id, CAST(1 + c_custkey % 12 AS INT) AS page_no, c_custkey - (CASE WHEN c_custkey % 12 = 7 THEN 1 ELSE 0 END) AS k,
+  'https://ads.example.com/rentals/town' || CAST(CAST(floor(c_custkey / 12) AS INT) AS STRING) AS listing,
+  '/rentals/town' || CAST(CAST(floor(c_custkey / 12) AS INT) AS STRING) || '?page=' || CAST(CAST(2 + c_custkey % 12 AS INT) AS STRING) AS next_href
   FROM customer) t
 """
 
@@ -133,6 +133,24 @@ SELECT p_partkey AS page_id, 'https://ads.example.com/flat_rentals_town-nj_' ||
 FROM part
 """
 
+# detail pages whose printed description has a line break, and what their API calls returned: bodies that disagree with the page,
+# half of them with a ZIP code, a third with a point
+F_DETAIL = f"""
+SELECT page_id, url, replace(html, ' place to rent.', ' place to rent.<br>Second line.') AS html FROM ({F_HTML}) h
+"""
+
+F_BODIES = """
+SELECT p_partkey AS page_id, 'https://api.example.com/ad?id=' || CAST(p_partkey AS STRING) AS url, 'application/json' AS content_type, 2 * p_partkey AS arrival,
+  '{"ad":{"title":"api title","deposit":"' || CAST(p_size * 3 AS STRING) || '"' || (CASE WHEN p_partkey % 3 = 1 THEN ',"beds":9' ELSE '' END)
+  || ',"description":"' || (CASE WHEN p_size % 2 = 0 THEN 'One line about ' || p_type ELSE repeat('A long text without any break. ', 12) END) || '","location":{"country":"United States"'
+  || (CASE WHEN p_partkey % 2 = 0 THEN ',"zip":"' || CAST(10000 + p_partkey % 200 AS STRING) || '"' ELSE '' END) || (CASE WHEN p_partkey % 7 = 0 THEN ',"city":"Own Town"' ELSE '' END)
+  || (CASE WHEN p_partkey % 3 = 0 THEN ',"lat":"1.5"' ELSE '' END) || '}}}' AS body FROM part
+UNION ALL SELECT p_partkey, 'https://api.example.com/more', 'text/plain', 2 * p_partkey + 1,
+  '{"ad":{"deposit":"late ' || CAST(p_size AS STRING) || '","location":{"locality":"Quarter ' || CAST(p_size AS STRING) || '"},"amenities":["Gym"]}}' FROM part WHERE p_partkey % 4 = 1
+UNION ALL SELECT p_partkey, 'https://api.example.com/more', 'application/json', 2 * p_partkey + 2, '{"ad":{"deposit":"second call"}}' FROM part WHERE p_partkey % 4 = 1
+UNION ALL SELECT p_partkey, 'https://api.example.com/logo.png', 'application/json', 0, '{"ad":{"deposit":"an asset"}}' FROM part WHERE p_partkey % 6 = 0
+"""
+
 F_JSON = """
 SELECT p_partkey AS ad_id, '{"query":{"adId":"q' || CAST(p_partkey AS STRING) || '","category":"room"},"locale":"en","'
   || (CASE WHEN p_partkey % 7 = 0 THEN 'data":{"' ELSE 'props":{"pageProps":{"' || (CASE p_partkey % 3 WHEN 0 THEN 'adDetails' WHEN 1 THEN 'listing' ELSE 'post' END) || '":{"' END)

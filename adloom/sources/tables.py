@@ -52,12 +52,16 @@ def payload_first_per_url(payloads: DataFrame) -> DataFrame:
     )
 
 
-def capture_filter(payloads: DataFrame) -> DataFrame:
-    """API bodies worth keeping: JSON or plain text, first per page and URL, no asset, ten characters or more."""
+def accepted_bodies(payloads: DataFrame) -> DataFrame:
+    """API bodies that are JSON or plain text and no asset."""
     kind = F.col("content_type")
     accepted = payloads.where(F.contains(kind, F.lit("application/json")) | F.contains(kind, F.lit("text/plain")))
-    no_assets = accepted.where(~F.col("url").rlike(vocab.STATIC_ASSETS))
-    return payload_first_per_url(no_assets).where(F.length("body") >= 10)
+    return accepted.where(~F.col("url").rlike(vocab.STATIC_ASSETS))
+
+
+def capture_filter(payloads: DataFrame) -> DataFrame:
+    """API bodies worth keeping: JSON or plain text, first per page and URL, no asset, ten characters or more."""
+    return payload_first_per_url(accepted_bodies(payloads)).where(F.length("body") >= 10)
 
 
 def scan_zip_dim(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +82,36 @@ def export_documents(documents: DataFrame, path: str) -> None:
     documents.write.mode("append").json(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at `path`."""
+    folder, fs = _folder(spark, path)
+    return fs.exists(folder) and len(fs.listStatus(folder)) > 0
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing the table at `path`."""
+    folder, fs = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(folder)
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    return (_versions(spark, path) or [-1])[-1] + 1
+
+
+def empty_version(spark: SparkSession, path: str, version: int) -> None:
+    """Frees the files of an old version and keeps its marker."""
+    folder, fs = _folder(spark, f"{path}/v={version}")
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            if not status.getPath().getName().startswith("_"):
+                fs.delete(status.getPath(), True)
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())

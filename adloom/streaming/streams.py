@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.operators.state import upsert_ads
+from adloom.functions.urls import SiteProfile, api_endpoint
+from adloom.operators.detail import GeoTables, detail_records
+from adloom.operators.quality import COUNTERS
+from adloom.operators.state import read_ads, upsert_ads
 from adloom.session import new_table_path
-from adloom.sources.tables import read_snapshot, write_snapshot
+from adloom.sources.tables import accepted_bodies, read_snapshot, write_snapshot
 
 SALTS = 16
 
@@ -51,7 +54,7 @@ def stream_dedup_within(ads: DataFrame, key: str, event_time: str, delay: str) -
 
 
 def stream_upsert(ads: DataFrame, path: str, checkpoint: str, schema: str) -> None:
-    """Every micro-batch refreshes the snapshot table at `path`; a replayed batch rewrites its own version."""
+    """Every micro-batch refreshes the buckets it touches of the ad store at `path`; a replayed batch puts the same rows in place again."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         upsert_ads(batch.sparkSession, path, batch, schema, version=batch_id + 1)
@@ -69,6 +72,68 @@ def stream_stats(log: DataFrame, path: str, checkpoint: str, keys: list[str]) ->
     _finish(counts.writeStream.outputMode("complete").foreachBatch(publish), checkpoint)
 
 
+def stream_run_stats(log: DataFrame, path: str, checkpoint: str) -> None:
+    """Live run statistics of `log(run_id, kind, url)`: after every batch the snapshots `path/counts` and `path/endpoints` hold the state so far.
+
+    Two queries over one log. Counters are one aggregate. Endpoints pass two chained steps: state that knows each endpoint of a run lets it
+    through once, then they are counted; so no row and no task ever holds the endpoints of a run.
+    """
+
+    def publish(name: str):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            write_snapshot(batch, f"{path}/{name}", batch_id + 1)
+
+        return write
+
+    counts = log.groupBy("run_id").agg(
+        *[F.count_if(F.col("kind") == k).alias(k) for k in COUNTERS], F.count_if(F.col("kind") == "error").alias("error_count")
+    )
+    _finish(counts.writeStream.outputMode("complete").foreachBatch(publish("counts")), f"{checkpoint}/counts")
+    called = log.where("kind = 'api'").select("run_id", api_endpoint(F.col("url")).alias("endpoint")).where("endpoint IS NOT NULL")
+    endpoints = called.dropDuplicates(["run_id", "endpoint"]).groupBy("run_id").agg(F.count(F.lit(1)).alias("endpoints"))
+    _finish(endpoints.writeStream.outputMode("complete").foreachBatch(publish("endpoints")), f"{checkpoint}/endpoints")
+
+
+def read_run_stats(spark: SparkSession, path: str) -> DataFrame:
+    """The statistics that `stream_run_stats` has published so far, one row per run."""
+    counters = ", ".join(f"{k} BIGINT" for k in (*COUNTERS, "error_count"))
+    counts = read_snapshot(spark, f"{path}/counts", f"run_id BIGINT, {counters}")
+    endpoints = read_snapshot(spark, f"{path}/endpoints", "run_id BIGINT, endpoints BIGINT")
+    return counts.join(endpoints, "run_id", "left").withColumn("endpoints", F.coalesce("endpoints", F.lit(0).cast("bigint")))
+
+
+def join_bodies(pages: DataFrame, bodies: DataFrame, lateness: str, delay: str) -> DataFrame:
+    """Streams of pages (`page_id, url, html, captured_at`) and API bodies (`page_id, url, content_type, arrival, body, received_at`) as
+    `page_id, url, html, captured_at, bodies`.
+
+    A body belongs to its page if it is received at the capture or up to `delay` later. Both sides may be `lateness` out of order. A page comes out
+    once the watermark has passed the time in which its bodies count; only then, and for pages as well as bodies, is its state dropped. Of one URL the first
+    arrival counts.
+    """
+    left = pages.withWatermark("captured_at", lateness)
+    kept = accepted_bodies(bodies).withWatermark("received_at", lateness)
+    right = kept.select(F.col("page_id").alias("of"), F.col("url").alias("endpoint"), F.col("arrival").cast("bigint").alias("arrival"), "body", "received_at")
+    in_time = F.expr(f"of = page_id AND received_at >= captured_at AND received_at <= captured_at + INTERVAL {delay}")
+    met = left.join(right, in_time, "left_outer")
+    body = F.when(F.col("of").isNotNull(), F.struct("endpoint", "arrival", "body"))
+    grouped = met.groupBy("page_id", "captured_at", "url", "html").agg(F.array_sort(F.collect_list(body)).alias("all"))
+    return grouped.select("page_id", "url", "html", "captured_at", _first_per_endpoint(F.col("all")).alias("bodies"))
+
+
+def _first_per_endpoint(bodies):
+    """Bodies by arrival, of each endpoint the first; `bodies` comes sorted by endpoint, then arrival."""
+    firsts = F.filter(bodies, lambda b, i: (i == 0) | (F.get(bodies, i - 1)["endpoint"] != b["endpoint"]))
+    long_enough = F.filter(firsts, lambda b: F.length(b["body"]) >= 10)
+    return F.array_sort(F.transform(long_enough, lambda b: F.struct(b["arrival"].alias("arrival"), b["body"].alias("body"))))
+
+
+def stream_detail_pages(pages: DataFrame, bodies: DataFrame, site: SiteProfile, lateness: str, delay: str, geo: GeoTables | None = None, details: bool = True) -> DataFrame:
+    """Ad records of arriving pages and their late API bodies: `join_bodies`, then the projections of the batch job."""
+    joined = join_bodies(pages, bodies, lateness, delay)
+    rows = joined.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.col("captured_at").alias("scraped_at"), "bodies")
+    return detail_records(rows, site, geo, details)
+
+
 def run_to_files(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream into a new parquet directory and return that as a table."""
     spark = stream.sparkSession
@@ -78,6 +143,6 @@ def run_to_files(stream: DataFrame, name: str) -> DataFrame:
 
 
 __all__ = [
-    "append_to_files", "file_stream", "read_snapshot", "run_to_files", "stream_dedup", "stream_dedup_within", "stream_stats",
-    "stream_upsert",
+    "append_to_files", "file_stream", "join_bodies", "read_ads", "read_run_stats", "read_snapshot", "run_to_files", "stream_dedup", "stream_dedup_within",
+    "stream_detail_pages", "stream_run_stats", "stream_stats", "stream_upsert",
 ]
