@@ -67,27 +67,24 @@ def shape_of(path: Column) -> Column:
     return F.regexp_replace(hexa, r"[0-9]+", "{n}")
 
 
-def _branches(shapes: DataFrame) -> DataFrame:
-    """One row per shape and segment: host, shape, at, prefix (hash of what is before), value, child (the next segment), n, labelled, bad."""
-    segs = F.split("shape", "/")
-    before = F.transform(segs, lambda s, i: F.xxhash64(F.slice(F.col("segs"), F.lit(1), i)))
-    split = shapes.withColumn("segs", segs).withColumn("before", before)
-    node = F.transform("segs", lambda s, i: F.struct(i.alias("at"), F.col("before")[i].alias("prefix"), s.alias("value"), F.coalesce(F.get(F.col("segs"), i + 1), F.lit("")).alias("child")))
-    return split.select("host", "shape", "n", "labelled", "bad", F.explode(node).alias("b")).select("host", "shape", "n", "labelled", "bad", "b.*")
+def _shared(lo: Column, hi: Column) -> Column:
+    """How many segments the least and the greatest of some paths have in common: as many as all of them."""
+    m = F.least(F.size(lo), F.size(hi))
+    differs = F.array_position(F.zip_with(F.slice(lo, F.lit(1), m), F.slice(hi, F.lit(1), m), lambda x, y: x == y), False).cast("int")
+    return F.when(differs == 0, m).otherwise(differs - 1)
 
 
-def templates(shapes: DataFrame, params: TreeParams = TreeParams()) -> DataFrame:
-    """host, shape, template, purity: `shapes` has host, shape, n, labelled, bad, one row per host and shape.
+def _merged(branches: DataFrame, params: TreeParams) -> DataFrame:
+    """host, node, value, merge for the branches (host, node, value, child, n, labelled, bad) of one level.
 
-    Branches are the values of a segment below the same prefix. A branch becomes a wildcard if its segment is variable, or if it is
-    like its siblings taken together: its children are distributed alike and its labels are as bad as theirs. Everything is
-    compared with the pooled siblings, never branch by branch.
+    A branch becomes a wildcard if its segment is variable, or if it is like its siblings taken together: what comes next is distributed alike, and its
+    labels are as bad as theirs. Branches that end here have nothing next to compare; those merge by their labels or not at all. Everything
+    is compared with the pooled siblings, never branch by branch.
     """
-    nodes = _branches(shapes)
-    node, level = ["host", "at", "prefix", "value"], ["host", "at", "prefix"]
+    level, node = ["host", "node"], ["host", "node", "value"]
     sums = (F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    by_child = stored(nodes.groupBy(*node, "child").agg(*sums), "url-children")
-    by_value = by_child.groupBy(*node).agg(*sums)
+    by_child = stored(branches.groupBy(*node, "child").agg(*sums), "url-children")
+    by_value = by_child.groupBy(*node).agg(*sums, F.max(F.col("child") != "").alias("inner"))
     pooled = by_value.groupBy(*level).agg(F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"), F.count("value").alias("values"))
     pooled_child = by_child.groupBy(*level, "child").agg(F.sum("n").alias("child_n"))
     overlap = (
@@ -98,13 +95,47 @@ def templates(shapes: DataFrame, params: TreeParams = TreeParams()) -> DataFrame
     rate = F.try_divide(F.col("all_bad"), F.col("all_labelled"))
     error = F.sqrt(F.col("labelled") * rate * (1 - rate))
     alike = F.coalesce(F.abs(F.col("bad") - F.col("labelled") * rate) <= params.z * error, F.lit(True))
+    told = F.col("inner") | ((F.col("labelled") > 0) & (F.col("all_labelled") > F.col("labelled")))
     variable = (F.col("values") >= params.fan_out) & (F.col("n") < params.heavy * F.col("all_n"))
-    merge = (F.col("values") > 1) & (F.col("at") > 0) & (variable | (alike & (F.col("overlap") >= params.overlap)))
-    decided = by_value.join(pooled, level).join(overlap, node).select(*node, merge.alias("merge"))
-    parts = nodes.select("host", "shape", *node[1:]).join(decided, node)
-    part = F.struct("at", F.when(F.col("merge"), "*").otherwise(F.col("value")).alias("text"))
-    made = parts.groupBy("host", "shape").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p["text"]), "/").alias("template"))
-    named = stored(shapes.join(made, ["host", "shape"]), "url-templates")
+    merge = (F.col("values") > 1) & (variable | (told & alike & (F.col("overlap") >= params.overlap)))
+    return by_value.join(pooled, level).join(overlap, node).select(*node, merge.alias("merge"))
+
+
+def _grown(shapes: DataFrame, params: TreeParams) -> DataFrame:
+    """`shapes` with their templates, grown from the root: what was merged is one node on the next level, so wildcards go on below wildcards.
+
+    Each round first takes all that the shapes of a node have in common at once, then one segment in which they differ. Shapes that are alone in their
+    node, or equal from there on, are done. So there are as many rounds as branchings on a path, not as many as segments.
+    """
+    live = shapes.select("*", F.xxhash64("host").alias("node"), F.split("shape", "/").alias("rest"), F.array().cast("array<string>").alias("made"))
+    done = []
+    while True:
+        span = live.groupBy("host", "node").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+        # both sides of this join are exchanged, so that adaptive execution can split a hot host
+        met = live.join(span, ["host", "node"]).withColumn("k", _shared(F.col("lo"), F.col("hi")))
+        whole = F.col("k") >= F.size("rest")
+        met = met.withColumns({"made": F.concat("made", F.slice("rest", F.lit(1), F.col("k"))), "rest": F.slice("rest", F.col("k") + 1, F.size("rest")), "whole": whole}).drop("lo", "hi", "k")
+        met = stored(met, "url-level")
+        done.append(met.where("whole").select(*shapes.columns, F.array_join("made", "/").alias("template")))
+        branches = met.where("NOT whole").withColumns({"value": F.get("rest", F.lit(0)), "child": F.coalesce(F.get("rest", F.lit(1)), F.lit(""))})
+        if branches.isEmpty():
+            break
+        decided = _merged(branches, params)
+        text = F.when(F.col("merge"), "*").otherwise(F.col("value"))
+        moved = branches.join(decided, ["host", "node", "value"]).withColumn("text", text)
+        live = stored(moved.select(
+            *shapes.columns, F.xxhash64("node", "text").alias("node"), F.slice("rest", F.lit(2), F.size("rest")).alias("rest"), F.array_append("made", F.col("text")).alias("made")
+        ), "url-live")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def templates(shapes: DataFrame, params: TreeParams = TreeParams()) -> DataFrame:
+    """host, shape, template, bad_share: `shapes` has host, shape, n, labelled, bad, one row per host and shape. The share of bad labels of a template is
+    smoothed by that of its host, and this by that of all."""
+    named = stored(_grown(shapes, params), "url-templates")
 
     def smooth(prior: Column, a: str, b: str) -> Column:
         return (F.col(a) + params.smoothing * prior) / (F.col(b) + params.smoothing)
@@ -120,7 +151,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], params: TreeParams = Tre
     """page_id, host, path, rule, verdict, template, bad_share for every row of `pages` (page_id, url, bad: 1, 0 or null for unlabelled).
 
     Pages are first counted by host and path shape, which combines within tasks, so a hot host is a few shapes; only these enter the
-    tree. Null urls and those without `://` have empty host and path. Without labels every template is allowed. Other columns are ignored;
+    tree. Paths of any length are judged whole. Null urls and those without `://` have empty host and path. Without labels every template is allowed. Other columns are ignored;
     repeated rows are judged alike; an empty table gives no rows.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))

@@ -3,10 +3,11 @@
 import base64
 import hashlib
 import os
+import random
 import tempfile
 
 from adloom.llm.license_scan import scan_licenses
-from adloom.llm.url_filter import Rule, judge_urls
+from adloom.llm.url_filter import Rule, TreeParams, judge_urls, templates
 from adloom.llm.warc import read_warc, write_warc
 
 FAKE = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
@@ -55,6 +56,64 @@ def test_bad_templates_are_rejected_and_similar_branches_merged(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string, bad int"), ()).count() == 0
 
 
+def plain_templates(rows, p=TreeParams()):
+    """The tree by plain recursion; rows: (shape, n, labelled, bad) of one host."""
+    out = {}
+
+    def grow(members, made):
+        k = 0
+        while all(len(rest) > k for rest, *_ in members) and len({rest[k] for rest, *_ in members}) == 1:
+            k += 1
+        made = made + members[0][0][:k]
+        members = [(rest[k:], *m) for rest, *m in members]
+        if len({tuple(m[0]) for m in members}) == 1:
+            for rest, shape, *_ in members:
+                out[shape] = "/".join(made + rest)
+            return
+        going, by_value, totals = [m for m in members if m[0]], {}, [0, 0, 0]
+        for m in members:
+            if not m[0]:
+                out[m[1]] = "/".join(made)
+        pooled = {}
+        for rest, _, *counts in going:
+            child = rest[1] if len(rest) > 1 else ""
+            by_value.setdefault(rest[0], {}).setdefault(child, []).append(counts)
+            pooled[child] = pooled.get(child, 0) + counts[0]
+            totals = [x + y for x, y in zip(totals, counts)]
+        nodes = {}
+        for value, children in by_value.items():
+            n, labelled, bad = (sum(c[i] for cs in children.values() for c in cs) for i in range(3))
+            overlap = sum(min(sum(c[0] for c in cs) / n, pooled[ch] / totals[0]) for ch, cs in children.items())
+            rate = totals[2] / totals[1] if totals[1] else None
+            alike = rate is None or abs(bad - labelled * rate) <= p.z * (labelled * rate * (1 - rate)) ** 0.5
+            told = any(children) or (labelled > 0 and totals[1] > labelled)
+            variable = len(by_value) >= p.fan_out and n < p.heavy * totals[0]
+            text = "*" if len(by_value) > 1 and (variable or (told and alike and overlap >= p.overlap)) else value
+            nodes.setdefault(text, []).extend((m[0][1:], *m[1:]) for m in going if m[0][0] == value)
+        for text, inner in nodes.items():
+            grow(inner, [*made, text])
+
+    grow([(shape.split("/"), shape, *counts) for shape, *counts in rows], [])
+    return out
+
+
+def test_templates_equal_a_plain_tree(spark):
+    rng = random.Random(3)
+    hosts = {}
+    for h in range(6):
+        paths = {"/" + "/".join(rng.choice(["a", "b", "c", "users", f"u{rng.randrange(60)}", "edit", "view"]) for _ in range(rng.randrange(0, 6))) for _ in range(150)}
+        hosts[f"h{h}"] = [(s, rng.randrange(1, 9), *rng.choice([(0, 0), (2, 1), (3, 3), (1, 0)])) for s in sorted(paths | {""})]
+    hosts["users"] = [(f"/user{i:03d}x/slug{j}y/{leaf}", 1, 0, 0) for i in range(100) for j in range(3) for leaf in ("comments", "about", "stats")]
+    hosts["static"] = [(s, 5, 0, 0) for s in ("/about", "/contact", "/privacy", "/login")]
+    hosts["deep"] = [("/" + "a/" * 3000 + "x", 1, 0, 0), ("/" + "a/" * 3000 + "y", 1, 0, 0), ("/" + "b/" * 2000, 1, 0, 0)]
+    rows = [(h, *r) for h, shapes in hosts.items() for r in shapes]
+    df = spark.createDataFrame(rows, "host string, shape string, n long, labelled long, bad long")
+    got = {(r.host, r.shape): r.template for r in templates(df).collect()}
+    assert got == {(h, s): t for h, shapes in hosts.items() for s, t in plain_templates(shapes).items()}
+    assert {t for (h, _), t in got.items() if h == "users"} == {"/*/*/comments", "/*/*/about", "/*/*/stats"}
+    assert {t for (h, _), t in got.items() if h == "static"} == {"/about", "/contact", "/privacy", "/login"}
+
+
 def test_licences_of_headers_files_and_ancestors(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     files = [
