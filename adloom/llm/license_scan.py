@@ -22,12 +22,34 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("proprietary", "All rights reserved."),
+    # the identifier stands three times, so that the frame of such a line does not make up for another identifier
+    *((name, f"SPDX-License-Identifier: {name} {name} {name}") for name in ("Apache-2.0", "MIT", "GPL-3.0", "LGPL-3.0", "BSD-3-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")),
 )
 
 #: A line that holds one of these is a header.
 ANCHOR = r"(?i)licens|licenc|copyright|rights reserved|public domain|redistribut|permission is|spdx"
 
 
+#: What a comment line begins with, and runs of such lines.
+MARK = r"[ \t]*(?:#+|//+|/\*+|\*+/?|--+|;+|%+|<!--+)"
+COMMENTS = rf"(?m)(?:^{MARK}[^\r\n]*(?:\r?\n|$))++"
+
+
+def header_units(text: Column) -> Column:
+    """Header texts: lines with an anchor word, and runs of neighbouring comment lines with one, without their comment signs, as one text."""
+    lines = F.filter(F.split(text, r"[\r\n]+"), lambda x: x.rlike(ANCHOR))
+    runs = F.filter(F.regexp_extract_all(text, F.lit(COMMENTS), F.lit(0)), lambda x: x.rlike(ANCHOR))
+    bare = F.transform(runs, lambda x: F.regexp_replace(F.regexp_replace(x, rf"(?m)^{MARK}|\*+/[ \t]*$|-->[ \t]*$", " "), r"\s+", " "))
+    return F.array_distinct(F.concat(lines, bare))
+
+
+def license_share(text: Column) -> Column:
+    """Share of the characters of a text that stand in lines with an anchor word; 0 for empty and null text."""
+    lines = F.filter(F.split(text, r"[\r\n]+"), lambda x: x.rlike(ANCHOR))
+    held = F.aggregate(lines, F.lit(0), lambda n, x: n + F.char_length(x))
+    return F.coalesce(F.try_divide(held, F.char_length(text)), F.lit(0.0))
+
+
 def _tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
@@ -74,13 +96,14 @@ def directory_of(path: Column) -> Column:
 def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = 0.6) -> DataFrame:
     """One row per row of `files` (file_id, path, text, is_license_file): file_id, path, license, score, origin, license_dir.
 
-    A header is a line with an anchor word; a licence file is also compared as a whole. Equal lines are compared once. origin:
+    A header is a line with an anchor word, or the run of comment lines that it stands in; a licence file is also compared as a whole. Equal texts are compared once. origin:
     `header` or `file` if the file's own text reaches the threshold, `inherited` from the nearest ancestor directory (its
     own included) that holds a licence file with a licence, else `none`. Several licences at once: the best score, then
-    the name. Null path is the root's, null text has no headers, a null flag is false. Repeated rows are files of their own.
+    the name. Null path is the root's, null text has no headers, a null flag is false. Repeated rows are files of their own. Texts of
+    any length are read whole, columns of other names are ignored, and an empty table gives no rows.
     """
     of = files.select("file_id", F.coalesce("path", F.lit("")).alias("path"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("is_license_file", F.lit(False)).alias("flag"))
-    lines = F.filter(F.split("text", r"[\r\n]+"), lambda x: x.rlike(ANCHOR))
+    lines = header_units(F.col("text"))
     found = of.select("path", "file_id", "flag", F.explode(F.when(F.col("flag"), F.array_append(lines, F.col("text"))).otherwise(lines)).alias("line"))
     headers = stored(found.select("path", "file_id", "flag", F.trim("line").alias("line"), F.sha2(F.trim("line"), 256).alias("unit")), "license-headers")
     units = stored(headers.groupBy("unit", F.col("line").alias("text")).agg(F.count(F.lit(1)).alias("n")), "license-units")

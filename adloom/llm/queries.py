@@ -15,7 +15,7 @@ from adloom.llm.common import HELD_OUT, fold_of, table
 from adloom.llm.conversation_repair import damage, repair, turn_digests
 from adloom.llm.decontaminate import find_leaks, split_items
 from adloom.llm.exact_dedup import exact_groups
-from adloom.llm.license_scan import scan_licenses
+from adloom.llm.license_scan import license_share, scan_licenses
 from adloom.llm.minhash import near_duplicates
 from adloom.llm.pii import find_personal
 from adloom.llm.url_filter import Rule, judge_urls
@@ -104,11 +104,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as files below source, language and thousand of ids; short ones with a licence line are the licence files."""
+    """All documents as files below source, language and thousand of ids; those whose lines are mostly about licences are the licence files."""
     docs = table(spark, sf_dir, "documents")
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("und")), F.expr("doc_id div 1000").cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    short = F.char_length("text") <= 400
-    files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text", short.alias("is_license_file"))
+    files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text", (license_share(F.col("text")) >= 0.5).alias("is_license_file"))
     return scan_licenses(files).withColumnRenamed("file_id", "doc_id")
 
 

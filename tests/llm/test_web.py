@@ -2,11 +2,15 @@
 
 import base64
 import hashlib
+import math
 import os
 import random
+import re
 import tempfile
 
-from adloom.llm.license_scan import scan_licenses
+from pyspark.sql import functions as F
+
+from adloom.llm.license_scan import license_share, scan_licenses, template_scores
 from adloom.llm.url_filter import Rule, TreeParams, judge_urls, templates
 from adloom.llm.warc import read_warc, write_warc
 
@@ -125,3 +129,46 @@ def test_licences_of_headers_files_and_ancestors(spark):
         (1, "MIT", "file", ""), (2, "GPL-3.0", "inherited", "a/b"), (3, "GPL-3.0", "header", ""), (4, "GPL-3.0", "file", ""), (5, "GPL-3.0", "inherited", "a/b"),
         (6, "", "none", ""), (7, "", "none", ""), (8, "proprietary", "header", ""),
     ]
+
+
+def test_notices_of_several_lines_and_identifiers(spark):
+    mit = "Permission is hereby granted, free of charge, to any person\n{0}obtaining a copy of this software, to deal in the\n{0}software without restriction."
+    files = [
+        (1, "a/x.py", "# SPDX-License-Identifier: MIT\ncode", False), (2, "a/y.py", "# SPDX-License-Identifier: Zlib\ncode", False), (3, "a/z.py", "#!/bin/sh\n\n# " + mit.format("# ") + "\nx = 1", False),
+        (4, "a/z.c", "/* " + mit.format(" * ") + " */\nint x;", False), (5, "a/w.c", "int y; // nothing", False), (6, "a/v.c", "", None),
+    ]
+    df = spark.createDataFrame(files, "file_id long, path string, text string, is_license_file boolean")
+    got = {r.file_id: r.license for r in scan_licenses(df).collect()}
+    assert got == {1: "MIT", 2: None, 3: "MIT", 4: "MIT", 5: None, 6: None}
+    assert scan_licenses(df.limit(0)).count() == 0
+    shares = [r[0] for r in spark.createDataFrame([("All rights reserved.\nab",), ("text\n" * 9 + "license",), ("",), (None,)], "t string").select(license_share(F.col("t"))).collect()]
+    assert shares[0] > 0.5 > shares[1] and shares[2:] == [0.0, 0.0]
+
+
+def test_cosines_equal_a_plain_computation(spark):
+    rng = random.Random(2)
+    words = "license mit apache granted rights reserved under the terms of software version free code x y z".split()
+    units = [(f"u{i}", " ".join(rng.choice(words) for _ in range(rng.randrange(1, 12))), rng.randrange(1, 4)) for i in range(80)]
+    shapes = (("A", "licensed under the apache license version"), ("B", "mit license"), ("C", "all rights reserved"), ("D", "mit license"))
+    split = lambda t: [x for x in re.split(r"[^\w]+|_", t.lower()) if x]
+    total, df = sum(n for *_, n in units) + len(shapes), {}
+    for _, text, n in units:
+        for w in set(split(text)):
+            df[w] = df.get(w, 0) + n
+    known = {w for _, t in shapes for w in split(t)}
+
+    def vector(text):
+        return {w: split(text).count(w) * (math.log((total + 1) / ((df.get(w, 0) if w in known else 0) + 1)) + 1) for w in set(split(text))}
+
+    want = {}
+    for u, text, _ in units:
+        v, best = vector(text), []
+        for name, t in shapes:
+            x = vector(t)
+            score = round(sum(v[w] * x.get(w, 0) for w in v) / math.sqrt(sum(y * y for y in v.values()) * sum(y * y for y in x.values())), 9)
+            best += [(-score, name)] if score >= 0.5 else []
+        if best:
+            want[u] = min(best)
+    got = {r.unit: (-r.score, r.license) for r in template_scores(spark.createDataFrame(units, "unit string, text string, n long"), shapes, 0.5).collect()}
+    assert got.keys() == want.keys() and len(want) > 3
+    assert all(got[u][1] == want[u][1] and abs(got[u][0] - want[u][0]) < 1e-8 for u in want)
