@@ -132,7 +132,7 @@ def fit(toxic: list[str], ordinary: list[str], p: ToxParams) -> ToxModel:
     marks = b" " + b" ".join(toxic_words(toxic, ordinary, p))[-p.toxic_bytes :] + b" "
     x = features(toxic + ordinary, base, marks + base, p)
     y = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
-    if not len(y):
+    if len(set(y)) < 2:  # nothing to tell apart
         return ToxModel(base, marks + base, (0.0,) * x.shape[1], (1.0,) * x.shape[1], (0.0,) * x.shape[1] + (-5.0,), p)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     a, w = np.c_[(x - mean) / scale, np.ones(len(x))], np.zeros(x.shape[1] + 1)
@@ -168,7 +168,11 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxParams = ToxParams()) -> Tox
 
 
 def toxicity(text: Column, model: ToxModel) -> Column:
-    """Score from 0 to 1 of every whole text; null and empty texts get the score of a text without windows."""
+    """Score from 0 to 1 of every whole text; null and empty texts get the score of a text without windows.
+
+    Texts of any length are compressed whole, about a megabyte or one text at a time. Equal texts get equal scores, an empty table gives no
+    rows, and no other column is read.
+    """
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
@@ -178,5 +182,6 @@ def toxicity(text: Column, model: ToxModel) -> Column:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, p: ToxParams = ToxParams()) -> DataFrame:
-    """`docs` without those whose score reaches the threshold, all columns kept."""
+    """`docs` without those whose score reaches the threshold, all columns kept, whatever their names. Labels for unknown documents, null labels and
+    repeated labels do no harm; without any label of a kind nothing is rejected for want of a difference."""
     return docs.where(toxicity(F.col("text"), train(docs, labels, p)) < p.threshold)
