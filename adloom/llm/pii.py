@@ -111,11 +111,6 @@ def single_forms() -> dict[int, str]:
     return forms
 
 
-@cache
-def form_pattern() -> re.Pattern:
-    return re.compile("[" + "".join(map(chr, sorted(single_forms()))) + "]")
-
-
 class Rewritten:
     """A text on its way through the transducers; character i of it stands for the source characters from lo[i] to hi[i]."""
 
@@ -154,7 +149,7 @@ def drop_invisible(r: Rewritten) -> None:
 
 def plain_letters(r: Rewritten) -> None:
     """One character for one, so no offset changes."""
-    if not r.text.isascii() and form_pattern().search(r.text):
+    if not r.text.isascii() and not single_forms().keys().isdisjoint(map(ord, set(r.text))):
         r.text = r.text.translate(single_forms())
 
 
