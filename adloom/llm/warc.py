@@ -152,6 +152,22 @@ def _reached(found: DataFrame) -> DataFrame:
     return reached
 
 
+def _owned(found: DataFrame, chain: DataFrame, blocks: DataFrame) -> DataFrame:
+    """file, block, idx, at, size, piece: the pieces (`found`) of records that are longer than their first piece, each with its record.
+
+    A piece belongs to the last record that starts at or before it: a running maximum within its block, or else the last start of the blocks
+    before, which is one row per block. No piece is compared with more than that.
+    """
+    starts = chain.select("file", "block", "idx", F.struct("at", "size", "width").alias("start"))
+    inner = F.max("start").over(Window.partitionBy("file", "block").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))
+    last = blocks.select("file", "block").join(starts.groupBy("file", "block").agg(F.max("start").alias("last")), ["file", "block"], "left")
+    carry = F.max("last").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    held = found.select("file", "block", "idx", "at").join(starts, ["file", "block", "idx"], "left").withColumn("own", inner)
+    held = held.join(last.select("file", "block", carry.alias("carry")), ["file", "block"]).withColumn("own", F.coalesce("own", "carry"))
+    part = (F.col("own.size") > F.col("own.width")) & (F.col("at") < F.col("own.at") + F.col("own.size"))
+    return held.where(part).select("file", "block", "idx", F.col("own.at").alias("at"), F.col("own.size").alias("size"), F.col("at").alias("piece"))
+
+
 def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """The records of the archives below `path`: file, at (byte offset), length, kind, record_id, refers_to, target_uri, digest (declared),
     payload_bytes, real_digest (of the payload read; null for revisits) and, if asked for, payload.
@@ -169,7 +185,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     exact = chain.where("size <= width")
 
     # a payload with magic inside: the record goes on over the pieces that follow it
-    longer = stored(chain.where("size > width").select("file", "at", "size"), "warc-longer")
+    longer = chain.where("size > width")
     columns = ["file", "at", F.col("size").alias("length"), "kind", "record_id", "refers_to", "target_uri", "digest", "payload_bytes", F.when(F.col("kind") != "revisit", F.col("real_digest")).alias("real_digest")]
 
     @F.udf("struct<kind:string,record_id:string,refers_to:string,target_uri:string,digest:string,payload_bytes:bigint,real_digest:string,payload:binary>")
@@ -182,8 +198,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
         columns = [*columns, "payload"]
     out = exact.select(*columns)
     if not longer.isEmpty():
-        inside = (F.col("f.file") == F.col("r.file")) & (F.col("f.at") >= F.col("r.at")) & (F.col("f.at") < F.col("r.at") + F.col("r.size"))
-        pieces = found.select("file", "block", "idx", "at").alias("f").join(longer.alias("r"), inside).select("f.file", "f.block", "f.idx", F.col("r.at").alias("at"), F.col("r.size").alias("size"), F.col("f.at").alias("piece"))
+        pieces = _owned(found, chain, based)
         texts = _scan(spark, path, True).select("file", "block", "idx", "raw").join(stored(pieces, "warc-pieces"), ["file", "block", "idx"])
         joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", F.col("raw").cast("string").alias("raw")))), lambda x: x["raw"]), MAGIC)
         whole = texts.groupBy("file", "at", "size").agg(joined.cast("binary").alias("raw")).where(F.octet_length("raw") + len(MAGIC) >= F.col("size"))
