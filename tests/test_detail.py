@@ -12,6 +12,8 @@ from adloom.functions import overlay as O
 from adloom.functions import urls as U
 from adloom.operators import detail as D
 from adloom.operators import geo as G
+from adloom.session import new_table_path
+from adloom.streaming import streams as X
 
 SITE = U.SiteProfile(domain="ads.example.com", photo_path="img.example.com/store/")
 
@@ -253,3 +255,26 @@ def test_locations_are_enriched_only_where_something_is_missing(spark):
 def test_odd_pages(spark, page):
     r = tokens_of(spark, page, H.photos_from_html, H.photos_of_details, H.photos_static, H.neighborhood_links, H.amenity_labels, H.parents)
     assert r.c0 is not None and r.c3 == [] and r.c4 == []
+
+
+def test_stream_of_pages_and_late_bodies_equals_the_batch_over_batches_and_a_restart(spark):
+    pages, bodies = detail_inputs(spark)
+    pages = pages.withColumn("captured_at", F.expr("timestamp '2026-01-01 00:00:00' + page_id * interval '1' hour"))
+    late = F.when((F.col("page_id") == 1) & (F.col("arrival") == 3), F.expr("interval '20' minute")).otherwise(F.expr("interval '1' minute"))
+    bodies = bodies.where("page_id < 4").withColumn("received_at", F.expr("timestamp '2026-01-01 00:00:00' + page_id * interval '1' hour") + late)
+    end = spark.sql("SELECT CAST(-1 AS BIGINT) AS page_id, 'end' AS url, '' AS html, timestamp '2030-01-01 00:00:00' AS captured_at")
+    last = spark.sql("SELECT CAST(-1 AS BIGINT) AS page_id, 'end' AS url, 'text/plain' AS content_type, CAST(0 AS BIGINT) AS arrival, 'end' AS body, timestamp '2030-01-01 00:00:00' AS received_at")
+    folder = new_table_path(spark, "late")
+    sink = folder + "/out"
+    seen = []
+    for put_pages, put_bodies in ((pages.where("page_id <= 2"), bodies.where("arrival <> 3")), (pages.where("page_id > 2"), bodies.where("arrival = 3")), (end, last)):
+        put_pages.coalesce(1).write.mode("append").parquet(folder + "/pages")
+        put_bodies.coalesce(1).write.mode("append").parquet(folder + "/bodies")
+        joined = X.join_bodies(X.file_stream(spark, folder + "/pages", pages.schema, files_per_batch=1), X.file_stream(spark, folder + "/bodies", bodies.schema, files_per_batch=1), "30 minutes", "'5' MINUTE")
+        X.append_to_files(joined, sink, folder + "/checkpoint")
+        seen.append(spark.read.schema(joined.schema).parquet(sink).count())
+    assert seen[-1] == 3 and seen[0] < 3  # pages wait for their bodies, over restarts
+    got = {r.page_id: [(b.arrival, b.body) for b in r.bodies] for r in spark.read.schema(joined.schema).parquet(sink).collect()}
+    in_time = bodies.where("received_at <= timestamp '2026-01-01 00:00:00' + page_id * interval '1' hour + interval '5' minute")
+    want = {r.page_id: [(b.arrival, b.body) for b in r.bodies] for r in D.bodies_per_page(in_time.drop("received_at")).collect()}
+    assert got == {1: want[1], 2: want[2], 3: []} and [a for a, _ in got[1]] == [5]  # the body that came after twenty minutes is too late

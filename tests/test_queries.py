@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 KEYS = [
     "html_tokens", "extract_links", "detail_links", "capture_filter", "json_deep_merge", "rec_location", "parse_address", "zip_enrich",
-    "metro_from_point", "search_index", "upsert_refresh", "frontier_dedup", "run_stats", "stream_upsert", "pagination_stop",
+    "metro_from_point", "search_index", "upsert_refresh", "frontier_dedup", "run_stats", "stream_upsert", "pagination_stop", "crawl_rounds",
+    "enrich_location", "validate_schema", "stream_run_stats", "json_source_priority", "photos_from_html", "rec_scraped_details", "rec_ad", "nearest_place", "upsert_ads", "extract_detail_pages",
 ]
 
 
