@@ -19,7 +19,7 @@ from adloom.llm.common import text_batches, tidy
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: What a worker remembers: pieces of text of so many bytes in all (two generations), none longer than so many characters, and so many pairs.
-CACHE_BYTES, CACHE_CHARS, CACHE_PAIRS = 56 << 20, 40, 1 << 17
+CACHE_BYTES, CACHE_CHARS, CACHE_PAIRS = 96 << 20, 40, 1 << 17
 #: What an entry takes besides the bytes of its value and its key: both objects, and its share of the table.
 ENTRY_BYTES = 210
 
