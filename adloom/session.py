@@ -10,11 +10,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to copy to every executor.
-BROADCAST_MAX_ROWS = 500_000
-BROADCAST_MAX_BYTES = 128 << 20
-
-
 # PySpark's call-site capture costs some twenty JVM calls per column operation; our expressions are large
 CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
 
@@ -72,14 +67,3 @@ def settled(df: DataFrame) -> DataFrame:
     """`df` with all columns computed here. What comes later sees plain columns: the optimizer traces the keys of a join, and what is
     mentioned twice, back through all projections below, and large expressions would be written out once per mention."""
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint, but only after measuring that the side stays within `max_rows` and `max_bytes` (as JSON text).
-
-    The measurement reads at most `max_rows + 1` rows. Larger sides get no hint and are shuffled (with AQE
-    skew splitting).
-    """
-    width = F.octet_length(F.to_json(F.struct("*")))
-    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if size.n <= max_rows and size.b <= max_bytes else df
