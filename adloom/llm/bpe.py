@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.common import text_batches, tidy
+from adloom.llm.common import text_batches
 
 #: Fixed value: the split into words that byte-level BPE vocabularies of this kind are made with.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: What a worker remembers: pieces of text of so many bytes in all (two generations), none longer than so many characters, and so many pairs.
+#: What a worker remembers: pieces of text of so many bytes in all, none longer than so many characters, and so many pairs.
 CACHE_BYTES, CACHE_CHARS, CACHE_PAIRS = 96 << 20, 40, 1 << 17
 #: What an entry takes besides the bytes of its value and its key: both objects, and its share of the table.
 ENTRY_BYTES = 210
@@ -36,24 +36,19 @@ CUT = re.compile(r" (?=\S)")
 
 
 class Remembered(dict):
-    """Values of a function of a string, as many as fit into `limit` bytes.
-
-    There are two generations: once the young one holds half of the limit it becomes the old one, and what is asked for again moves back.
-    """
+    """Values of a function of a string, as many as fit into `limit` bytes; then it starts anew, as most pieces of a text are seen once only."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit, self.old, self.held = make, limit // 2, {}, 0
+        self.make, self.limit, self.held = make, limit, 0
 
     def __missing__(self, key: str) -> bytes:
-        value = self.old.pop(key, None)
-        if value is None:
-            value = self.make(key)
+        value = self.make(key)
         if len(key) <= CACHE_CHARS:
             self.held += ENTRY_BYTES + len(key) + len(value)
             if self.held > self.limit:
-                self.old, self.held = dict(self), 0
                 self.clear()
+                self.held = ENTRY_BYTES + len(key) + len(value)
             self[key] = value
         return value
 
@@ -246,4 +241,4 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, columns: tuple[str, ...]
             types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
             yield pa.record_batch([batch.column(0), *[pa.array(x, types.get(c, pa.string())) for c, x in made.items()]], names=["doc_id", *made])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
