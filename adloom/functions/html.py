@@ -5,15 +5,17 @@ class attribute) or a run of text. Tokens stay in the row of their page, so no p
 An element reaches from its opening tag to the matching closing tag of the same name; that tolerates
 unclosed inline tags. `<p>` also ends at the next `<p>`. Void elements contain nothing.
 
-`end` is where the element of an opening tag ends, `next` the position of the next tag. Both come from
-sorted arrays and running folds over the tokens of the page, so a page of any size costs little more than
-its length, and no reader has to search for the end of an element.
+`end` is where the element of an opening tag ends, `next` the position of the next tag. Both are found in
+one pass over the page, in Arrow batches of pages, so a page of any size costs its length, and no reader has
+to search for the end of an element. Everything that reads tokens is made of Spark's own expressions.
 """
 
 from __future__ import annotations
 
+import re
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,8 +66,11 @@ def decode_entities(c: Column) -> Column:
     def piece(p: Column) -> Column:
         return F.when(p.startswith("&#"), _numeric_entity(p)).otherwise(F.coalesce(F.try_element_at(names, p), p))
 
-    pieces = F.regexp_extract_all(c, F.lit(r"&#?[0-9a-zA-Z]+;|&|[^&]+"), F.lit(0))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
+    def decoded(x: Column) -> Column:
+        pieces = F.regexp_extract_all(x, F.lit(r"&#?[0-9a-zA-Z]+;|&|[^&]+"), F.lit(0))
+        return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(x)
+
+    return let(c, decoded)
 
 
 def visible_html(html: Column) -> Column:
@@ -73,36 +78,114 @@ def visible_html(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
 
 
-def html_tokens(html: Column) -> Column:
-    pieces = F.regexp_extract_all(visible_html(html), F.lit(r"<[/a-zA-Z][^>]*>|[^<]+|<"), F.lit(0))
-
-    def token(piece: Column, i: Column) -> Column:
-        is_tag = piece.rlike("^</?[a-zA-Z]")
-        tag = F.when(is_tag, F.lower(F.regexp_extract(piece, "^</?([a-zA-Z][a-zA-Z0-9-]*)", 1)))
-        attrs = F.when(is_tag, F.regexp_extract(piece, r"(?s)^</?[a-zA-Z][a-zA-Z0-9-]*(.*?)/?>$", 1))
-        return F.struct(
-            i.cast("int").alias("pos"),
-            piece.startswith("</").alias("close"),
-            tag.alias("tag"),
-            attrs.alias("attrs"),
-            F.when(F.contains(attrs, F.lit("class")), attr(attrs, "class")).alias("cls"),
-            F.when(~is_tag, decode_entities(piece)).alias("text"),
-        )
+TOKENS = "array<struct<pos:int,close:boolean,tag:string,attrs:string,cls:string,text:string,end:int,next:int>>"
+
+_PIECE = re.compile(r"<[/a-zA-Z][^>]*>|[^<]+|<")
+_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
+_CLASS = re.compile(r"""(?:^|\s)class\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.ASCII | re.IGNORECASE)
+_ENTITY = re.compile(r"&#?[0-9a-zA-Z]+;")
+_VOID = frozenset(VOID_TAGS)
+_FIELDS = [("pos", pa.int32()), ("close", pa.bool_()), *[(f, pa.string()) for f in ("tag", "attrs", "cls", "text")], ("end", pa.int32()), ("next", pa.int32())]
+
+
+def _tokenizer():
+    """The function from pages to tokens. It holds its helpers, so that workers need not have this package."""
+
+    def entity(found: re.Match) -> str:
+        piece = found[0]
+        if not piece.startswith("&#"):
+            return ENTITIES.get(piece, piece)
+        number = re.fullmatch("&#[xX]([0-9a-fA-F]{1,6});", piece)
+        digits = re.fullmatch("&#([0-9]{1,7});", piece)
+        code = int(number[1], 16) if number else int(digits[1]) if digits else 0
+        return chr(code) if 1 <= code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else piece
+
+    def decoded(text: str) -> str:
+        return _ENTITY.sub(entity, text) if "&" in text else text
+
+    def read_page(html: str, columns: list[list]) -> None:
+        """Appends the tokens of one page to the columns of `TOKENS`. An opening tag waits in the list of its name until the closing tag
+        of that name; a page is read once, so its cost is that of its length."""
+        first, waiting, untagged = len(columns[0]), {}, 0
+        close_, tag_, attrs_, cls_, text_, end_, next_ = columns[1:]
+        pieces = _PIECE.findall(html)
+        end_.extend(range(len(pieces)))
+        for pos, piece in enumerate(pieces):
+            if piece[0] != "<" or not (named := _TAG.match(piece)):
+                close_.append(piece[:2] == "</")
+                tag_.append(None)
+                attrs_.append(None)
+                cls_.append(None)
+                text_.append(decoded(piece))
+                continue
+            close, tag = piece[1] == "/", named[1].lower()
+            attrs, cls = piece[named.end():-2 if piece[-2] == "/" else -1], None
+            if "class" in attrs and (found := _CLASS.search(attrs)):
+                cls = decoded(found[1][1:-1] if found[1][0] in "\"'" else found[1])
+            close_.append(close)
+            tag_.append(tag)
+            attrs_.append(attrs)
+            cls_.append(cls)
+            text_.append(None)
+            next_.extend([pos] * (pos - untagged))
+            untagged = pos
+            if tag in _VOID:
+                continue
+            opened = waiting.setdefault(tag, [])
+            if opened and (close or tag == "p"):
+                end_[first + opened.pop()] = pos
+            if not close:
+                opened.append(pos)
+        columns[0].extend(range(len(pieces)))
+        next_.extend([None] * (len(pieces) - untagged))
+        for opened in waiting.values():
+            for pos in opened:
+                end_[first + pos] = len(pieces)
+
+    def listed(pages: list) -> pa.Array:
+        offsets, columns = [], [[] for _ in _FIELDS]
+        for html in pages:
+            offsets.append(None if html is None else len(columns[0]))
+            if html is not None:
+                read_page(html, columns)
+        fields = [pa.array(values, kind) for values, (_, kind) in zip(columns, _FIELDS)]
+        structs = pa.StructArray.from_arrays(fields, names=[name for name, _ in _FIELDS])
+        return pa.ListArray.from_arrays(pa.array([*offsets, len(columns[0])], pa.int32()), structs)
+
+    @F.arrow_udf(TOKENS)
+    def tokens(pages: pa.Array) -> pa.Array:
+        # about a megabyte of markup at a time is held as Python objects
+        parts, some, size = [], [], 0
+        for html in pages:
+            some.append(html.as_py())
+            size += len(some[-1] or "")
+            if size >= 1 << 20:
+                parts.append(listed(some))
+                some, size = [], 0
+        return pa.concat_arrays([*parts, listed(some)])
+
+    return tokens
 
-    # text between two tags that is only a doctype or a stray bracket stays a text token
-    return let(F.transform(pieces, token), _with_spans)
+
+def html_tokens(html: Column) -> Column:
+    return _tokenizer()(visible_html(html))
 
 
 def running(values: Column, op, zero: Column) -> Column:
     """Running fold of a number array, each entry included. Blocks are folded on their own, then again from
-    what the blocks before them add up to, so the appends stay short and the cost linear."""
+    what the blocks before them add up to, so the appends stay short and the cost close to linear."""
 
     def grown(start: Column, block: Column) -> Column:
         return F.aggregate(block, F.array(start), lambda acc, x: F.array_append(acc, op(F.element_at(acc, -1), x)))
 
     def over(a: Column) -> Column:
-        last = F.greatest(F.ceil(F.size(a) / BLOCK).cast("int") - 1, F.lit(0))
-        return let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * BLOCK + 1, BLOCK)), joined)
+        # blocks as long as there are blocks cost the fewest copies
+        length = F.least(F.greatest(F.ceil(F.sqrt(F.size(a))).cast("int"), F.lit(8)), F.lit(BLOCK))
+        return let(length, lambda n: cut(a, n))
+
+    def cut(a: Column, n: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(a) / n).cast("int") - 1, F.lit(0))
+        return let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * n + 1, n)), joined)
 
     def joined(blocks: Column) -> Column:
         carried = grown(zero, F.transform(blocks, lambda b: F.aggregate(b, zero, lambda x, y: op(x, y))))
@@ -114,59 +197,29 @@ def running(values: Column, op, zero: Column) -> Column:
 _NOWHERE = 1 << 30
 
 
-def running_max(values: Column) -> Column:
-    return running(values, F.greatest, F.lit(-1))
+def next_position(positions: Column) -> Column:
+    """Per token the first later one of some ascending positions; tokens after the last of them get no entry, which reads as NULL."""
 
+    def repeated(at: Column) -> Column:
+        return F.flatten(F.transform(at, lambda p, i: F.array_repeat(p, p - F.coalesce(F.get(at, i - 1), F.lit(0)))))
 
-def next_where(tokens: Column, pred) -> Column:
-    """Per token the position of the first later token that matches, or NULL."""
-    backwards = F.transform(F.reverse(tokens), lambda t: F.when(pred(t), t["pos"]).otherwise(_NOWHERE))
-    nearest = F.reverse(running(backwards, F.least, F.lit(_NOWHERE)))
-    return let(nearest, lambda a: F.transform(a, lambda _, i: F.nullif(F.get(a, i + 1), F.lit(_NOWHERE))))
-
+    return let(positions, repeated)
 
-def _with_spans(tokens: Column) -> Column:
-    """Tokens with `end` and `next`.
 
-    Sorted by tag name, the running sum of +1 per opening and -1 per closing tag is a level; an opening tag and the closing tag that
-    brings its level back are neighbours once the tokens are sorted by name, level and position.
-    """
+def last_value(n: Column, positions: Column, values: Column) -> Column:
+    """Per one of `n` tokens the value at the last of some ascending positions up to it; -1 before the first."""
 
-    def step(t: Column) -> Column:
-        return F.when(t["tag"].isNull() | one_of(t["tag"], VOID_TAGS), 0).when(t["close"], -1).otherwise(1)
+    def repeated(at: Column) -> Column:
+        until = lambda i: F.coalesce(F.get(at, i + 1), n)
+        reached = F.flatten(F.transform(values, lambda v, i: F.array_repeat(v, until(i) - F.get(at, i))))
+        return F.concat(F.array_repeat(F.lit(-1), until(F.lit(-1))), reached)
 
-    by_name = F.array_sort(
-        F.transform(tokens, lambda t: F.struct(F.coalesce(t["tag"], F.lit("")).alias("tag"), t["pos"].alias("pos"), F.coalesce(step(t), F.lit(0)).alias("step")))
-    )
+    return let(positions, repeated)
 
-    def levelled(a: Column) -> Column:
-        sums = running(F.transform(a, lambda x: x["step"]), lambda x, y: x + y, F.lit(0))
 
-        def row(x: Column, i: Column, level: Column) -> Column:
-            after = F.get(a, i + 1)
-            return F.struct(
-                x["tag"].alias("tag"), (level + F.when(x["step"] < 0, 1).otherwise(0)).alias("level"), x["pos"].alias("pos"), x["step"].alias("step"),
-                F.when(after["tag"] == x["tag"], after["pos"]).alias("after"),
-            )
-
-        return let(sums, lambda l: F.array_sort(F.transform(a, lambda x, i: row(x, i, F.get(l, i)))))
-
-    def ended(b: Column) -> Column:
-        def end(x: Column, n: Column) -> Column:
-            closed = F.when((n["tag"] == x["tag"]) & (n["level"] == x["level"]) & (n["step"] < 0), n["pos"])
-            return F.when(x["step"] != 1, x["pos"]).otherwise(F.coalesce(F.when(x["tag"] == "p", x["after"]).otherwise(closed), F.size(tokens)))
-
-        spans = F.transform(b, lambda x, i: F.struct(x["pos"].alias("pos"), end(x, F.get(b, i + 1)).alias("end")))
-        return F.transform(F.array_sort(spans), lambda x: x["end"])
-
-    def put(ends: Column, nexts: Column) -> Column:
-        return F.transform(
-            tokens,
-            lambda t, i: F.struct(*[t[f].alias(f) for f in ("pos", "close", "tag", "attrs", "cls", "text")], F.get(ends, i).alias("end"), F.get(nexts, i).alias("next")),
-        )
-
-    nexts = next_where(tokens, lambda t: t["tag"].isNotNull())
-    return let(let(let(by_name, levelled), ended), lambda e: let(nexts, lambda n: put(e, n)))
+def next_where(tokens: Column, pred) -> Column:
+    """Per token the position of the first later token that matches, or NULL."""
+    return next_position(F.transform(F.filter(tokens, pred), lambda t: t["pos"]))
 
 
 @over_tokens
@@ -179,8 +232,8 @@ def parents(tokens: Column) -> Column:
     opens = lambda t: t["tag"].isNotNull() & ~t["close"] & (t["end"] > t["pos"])
 
     def deep(t: Column) -> Column:
-        ends = F.array_sort(F.transform(F.filter(t, opens), lambda x: x["end"]))
-        moves = F.array_sort(F.concat(
+        ends = F.sort_array(F.transform(F.filter(t, opens), lambda x: x["end"]))
+        moves = F.sort_array(F.concat(
             F.transform(t, lambda x: F.struct(x["pos"].alias("pos"), F.lit(1).alias("kind"), F.when(opens(x), 1).otherwise(0).alias("by"))),
             F.transform(ends, lambda e: F.struct(e.alias("pos"), F.lit(0).alias("kind"), F.lit(-1).alias("by"))),
         ))
@@ -195,7 +248,7 @@ def parents(tokens: Column) -> Column:
                 F.transform(F.filter(here, lambda x: (x["kind"] == 1) & x["opens"]), lambda x: F.struct((x["depth"] + 1).alias("depth"), x["pos"].alias("pos"), F.lit(0).alias("asks"))),
                 F.transform(F.filter(here, lambda x: x["kind"] == 1), lambda x: F.struct(x["depth"].alias("depth"), x["pos"].alias("pos"), F.lit(1).alias("asks"))),
             )
-            return let(F.array_sort(both), answered)
+            return let(F.sort_array(both), answered)
 
         return let(sums, rows)
 
@@ -208,7 +261,7 @@ def parents(tokens: Column) -> Column:
                 return F.when((seen >= 0) & (F.floor(seen / _NOWHERE) == x["depth"]), F.pmod(seen, F.lit(_NOWHERE)).cast("int")).otherwise(-1)
 
             every = F.transform(b, lambda x, i: F.when(x["asks"] == 1, F.struct(x["pos"].alias("pos"), parent(x, F.get(l, i)).alias("parent"))))
-            return F.transform(F.array_sort(F.filter(every, lambda x: x.isNotNull())), lambda x: x["parent"])
+            return F.transform(F.sort_array(F.filter(every, lambda x: x.isNotNull())), lambda x: x["parent"])
 
         return let(last, told)
 
@@ -217,10 +270,17 @@ def parents(tokens: Column) -> Column:
 
 def attr(attrs: Column, name: str) -> Column:
     """Value of one attribute of a raw attribute text, quoted or not."""
-    raw = grab(attrs, rf"""(?is)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+    pattern = rf"""(?is)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    # a list of all matches is NULL-safe and mentions the text once, unlike a comparison with the empty string
+    raw = F.get(F.regexp_extract_all(attrs, F.lit(pattern), F.lit(1)), F.lit(0))
     return decode_entities(F.regexp_replace(raw, r"""^["']|["']$""", ""))
 
 
+def _filled(c: Column) -> Column:
+    """`null_if_empty` of a costly expression, which is computed once. In lambdas, Spark writes out what `nullif` compares twice."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
+
+
 def page_text(html: Column) -> Column:
     """Page text as a browser would print it: block elements are line breaks, blanks are squeezed."""
     body = F.regexp_replace(visible_html(html), r"(?is)^.*<body\b[^>]*>|<head\b.*?</head\s*>", "")
@@ -256,7 +316,7 @@ def matches(t: Column, step) -> Column:
     if kind == "tag":
         hit = t["tag"] == value
     elif kind == "class":
-        hit = F.concat(F.lit(" "), squeeze_ws(t["cls"]), F.lit(" ")).contains(f" {value} ")
+        hit = F.contains(t["cls"], F.lit(value)) & F.concat(F.lit(" "), squeeze_ws(t["cls"]), F.lit(" ")).contains(f" {value} ")
     elif kind == "class*":
         hit = F.contains(t["cls"], F.lit(value))
     elif kind == "id":
@@ -274,7 +334,10 @@ def _is_path(selector) -> bool:
 
 def covered(tokens: Column, marked: Column, itself: bool = True) -> Column:
     """Per token whether it lies in an element whose opening tag is marked (a boolean array); with `itself`, that tag counts as inside."""
-    reach = running_max(F.zip_with(tokens, marked, lambda t, m: F.when(m, t["end"]).otherwise(-1)))
+    opened = let(marked, lambda m: F.filter(tokens, lambda t, i: F.get(m, i)))
+    furthest = lambda o: running(F.transform(o, lambda t: t["end"]), F.greatest, F.lit(-1))
+    at = lambda o: F.transform(o, lambda t: t["pos"])
+    reach = let(opened, lambda o: last_value(F.size(tokens), at(o), F.when(F.size(o) > 0, furthest(o)).otherwise(F.array().cast("array<int>"))))
 
     def inside_any(r: Column) -> Column:
         return F.transform(tokens, lambda t, i: F.coalesce((F.get(r, i) if itself else F.get(r, i - 1)) > t["pos"], F.lit(False)))
@@ -292,7 +355,9 @@ def marks(tokens: Column, selector) -> Column:
         return let(reached, lambda w: F.transform(tokens, lambda t, i: matches(t, step) & F.get(w, i)))
 
     def child(m: Column) -> Column:
-        return let(parents(tokens), lambda p: F.transform(p, lambda at: F.coalesce(F.get(m, F.nullif(at, F.lit(-1))), F.lit(False))))
+        # nothing below an element that is not there
+        of = let(parents(tokens), lambda p: F.transform(p, lambda at: (at >= 0) & F.coalesce(F.get(m, at), F.lit(False))))
+        return F.when(F.exists(m, lambda x: x), of).otherwise(m)
 
     for way, step in zip(selector[1::2], selector[2::2]):
         found = narrowed(let(found, child) if way == CHILD else covered(tokens, found, itself=False), step)
@@ -351,7 +416,7 @@ def select_text(tokens: Column, selectors, render=text_of) -> Column:
     """Text of the first element of the first selector that gives any."""
     return F.coalesce(
         *[
-            null_if_empty(let(first_element(tokens, s), lambda o: element_text(tokens, o, render)))
+            _filled(let(first_element(tokens, s), lambda o: element_text(tokens, o, render)))
             for s in selectors
         ]
     )
@@ -360,7 +425,7 @@ def select_text(tokens: Column, selectors, render=text_of) -> Column:
 @over_tokens
 def select_attr(tokens: Column, selectors, name: str) -> Column:
     """Attribute of the first element of the first selector that has it."""
-    return F.coalesce(*[null_if_empty(attr(first_element(tokens, s)["attrs"], name)) for s in selectors])
+    return F.coalesce(*[_filled(attr(first_element(tokens, s)["attrs"], name)) for s in selectors])
 
 
 @over_tokens
@@ -645,7 +710,7 @@ def image_reject(url: Column, alt: Column | None = None, side: Column | None = N
 
 
 def _source(attrs: Column, names) -> Column:
-    return F.coalesce(*[null_if_empty(attr(attrs, a)) for a in names])
+    return F.coalesce(*[_filled(attr(attrs, a)) for a in names])
 
 
 def images(tokens: Column) -> Column:
@@ -663,7 +728,8 @@ def images(tokens: Column) -> Column:
 
         return F.transform(F.filter(tokens, lambda t: matches(t, ("tag", "img"))), row)
 
-    return let(running_max(F.transform(tokens, lambda t: F.when(matches(t, ("tag", "a")), t["pos"]).otherwise(-1))), rows)
+    at = F.transform(F.filter(tokens, lambda t: matches(t, ("tag", "a"))), lambda t: t["pos"])
+    return let(let(at, lambda p: last_value(F.size(tokens), p, p)), rows)
 
 
 def _within(rows: Column, box: Column, hidden: Column) -> Column:

@@ -37,8 +37,11 @@ def grab(c: Column, pattern: str | Column, group: int = 1) -> Column:
 
 
 def let(value: Column, body) -> Column:
-    """Evaluate `value` once per row and hand it to `body`; keeps nested lambdas linear."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """Evaluate `value` once per row and hand it to `body`; keeps nested lambdas linear.
+
+    A fold over nothing, which hands its start to the last step: unlike `transform`, it does not copy what `body` returns.
+    """
+    return F.aggregate(F.expr("array()"), value, lambda acc, _: acc, body)
 
 
 def _quoted(value: str) -> str:

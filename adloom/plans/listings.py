@@ -55,7 +55,7 @@ def empty_listing_check(spark, d):
 
 
 def listing_rows(spark, d):
-    return L.listing_pages(spread(fixture(spark, d, "f_list")), ADS_SITE)
+    return L.listing_pages(fixture(spark, d, "f_list", dealt_by="c_custkey"), ADS_SITE)
 
 
 _NEXT = "CASE WHEN page_id % 12 <> 11 THEN listing || '?page=' || CAST(page_no + 1 AS VARCHAR) END"
@@ -118,7 +118,7 @@ UNION ALL SELECT DISTINCT 12, 'LISTING', 13, 'https://ads.example.com/rentals?pa
 UNION ALL SELECT round, 'DETAIL', page, page_key, ad_id, false FROM ads""",
 )
 def crawl_rounds(spark, d):
-    listings = fixture(spark, d, "f_list").select("page_id", "url", "html", "page_no")
+    listings = fixture(spark, d, "f_list", dealt_by="c_custkey").select("page_id", "url", "html", "page_no")
     out = crawl.crawl_rounds(listings.drop("page_no"), listings.where("page_no = 1").select("url"), ADS_SITE)
     return out.select("round", "label", "page", "page_key", "ad_id", "captured")
 
@@ -131,7 +131,7 @@ SELECT 'https://ads.example.com/rentals?page=1' AS url, 'LISTING' AS label, CAST
 UNION ALL SELECT 'https://ads.example.com/rentals/more' || CAST(page_id % 7 AS VARCHAR), 'LISTING', CAST(min(page_no) + 1 AS INTEGER) FROM dead WHERE page_id % 7 <> 3 GROUP BY page_id % 7""",
 )
 def fallback_listing_links(spark, d):
-    df = spread(fixture(spark, d, "f_list"))
+    df = fixture(spark, d, "f_list", dealt_by="c_custkey")
     more = F.concat(F.lit('<a href="/rentals/more'), (c("page_id") % 7).cast("string"), F.lit('">m</a><a href="https://other.net/rentals">o</a></body>'))
     grown = df.withColumn("html", F.replace(c("html"), F.lit("</body>"), more))
     seen = spark.createDataFrame([("https://ads.example.com/rentals/more3/",)], "url string")

@@ -10,7 +10,6 @@ from adloom.functions.text import strip_ws
 from adloom.plans.registry import query
 from adloom.plans.urls import pages
 from adloom.sources.fixtures import fixture, table, with_fixtures
-from adloom.sources.tables import spread
 
 c = F.col
 
@@ -30,7 +29,7 @@ def tokenized(df, *keep):
 
 
 def html_pages(spark, d):
-    return spread(fixture(spark, d, "f_html"), "page_id")
+    return fixture(spark, d, "f_html", dealt_by="p_partkey")
 
 
 @query(

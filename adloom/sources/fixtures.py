@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adloom.sources.tables import spread
+
 TABLES = ("pages", "documents", "events", "part", "customer", "orders", "lineitem", "nation", "supplier")
 
 F_RENT = """
@@ -209,12 +211,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived input as a DataFrame over the tables in `sf_dir`."""
+def fixture(spark: SparkSession, sf_dir: str, name: str, dealt_by: str | None = None) -> DataFrame:
+    """A derived input as a DataFrame over the tables in `sf_dir`. With a key of theirs, their short rows are dealt out before they grow into pages."""
     text = _ALL[name]
     for t in TABLES:
         if f" {t}" in text:
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
+            rows = table(spark, sf_dir, t)
+            (spread(rows, dealt_by) if dealt_by else rows).createOrReplaceTempView(t)
     return spark.sql(text)
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from adloom.functions import vocab
 from adloom.functions.urls import SiteProfile, route_label
 
+TASKS_PER_CORE = 4
+
 ZIP_SCHEMA = "zip STRING, city STRING, county STRING, state_code STRING, lat DOUBLE, lng DOUBLE, raw_msa STRING"
 
 
@@ -26,7 +28,8 @@ def spread(df: DataFrame, key: str | None = None, scan: DataFrame | None = None)
     cores = df.sparkSession.sparkContext.defaultParallelism
     if (df if scan is None else scan).rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
+    # more parts than cores, so that no task is as long as the job
+    return df.repartition(TASKS_PER_CORE * cores, key) if key else df.repartition(TASKS_PER_CORE * cores)
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
