@@ -14,7 +14,7 @@ from adloom.functions import urls as U
 from adloom.functions.text import first_where, let, null_if_empty, squeeze_ws, strip_ws, truncate_text
 from adloom.operators.geo import look_up
 from adloom.operators.ranking import first_n, first_per_key, running_sums
-from adloom.session import checkpointed
+from adloom.session import checkpointed, settled
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -77,16 +77,18 @@ def next_page_url(html: Column, state: Column, base: Column, site: U.SiteProfile
 
 
 def listing_pages(pages: DataFrame, site: U.SiteProfile) -> DataFrame:
-    """Per listing page: `detail_urls, next_url, total` next to the page's own columns, without the HTML."""
+    """Per listing page: `detail_urls, next_url, total` next to the page's own columns, without the HTML. All are computed here, once: a filter on
+    what was read stays behind the reading."""
     base, h = F.col("url"), F.col("html")
     parsed = pages.withColumns({"_state": J.json_next_data(h), "_hrefs": H.hrefs(h)})
     keep = [c for c in pages.columns if c != "html"]
-    return parsed.select(
+    read = settled(parsed).select(
         *keep,
         F.array_union(_detail_urls(F.col("_hrefs"), base, site), embedded_listing_urls(F.col("_state"), base, site)).alias("detail_urls"),
         next_page_url(h, F.col("_state"), base, site).alias("next_url"),
         listing_total(F.col("_state")).alias("total"),
     )
+    return settled(read)
 
 
 def detail_links(pages: DataFrame, site: U.SiteProfile) -> DataFrame:
@@ -171,10 +173,11 @@ def pagination_stop(
 def fallback_listing_links(pages: DataFrame, seen_urls: DataFrame, site: U.SiteProfile) -> DataFrame:
     """For pages without a next page: every unseen listing link of the site, one page further."""
     h, base = F.col("html"), F.col("url")
-    state = pages.select("page_id", "page_no", "url", "html", J.json_next_data(h).alias("_state"))
-    dead_ends = state.where(next_page_url(h, F.col("_state"), base, site).isNull())
+    state = settled(pages.select("page_id", "page_no", "url", "html", J.json_next_data(h).alias("_state")))
+    read = settled(state.select("page_no", "url", "html", next_page_url(h, F.col("_state"), base, site).alias("_next")))
+    dead_ends = read.where(F.col("_next").isNull())
     links = dead_ends.select("page_no", F.explode(F.array_distinct(U.resolve_all(H.hrefs(h), base))).alias("url"))
-    listing = links.where(U.is_listing_url(F.col("url"), site)).withColumn("page_key", U.normalize_url(F.col("url"), site))
+    listing = settled(links).where(U.is_listing_url(F.col("url"), site)).withColumn("page_key", U.normalize_url(F.col("url"), site))
     once = listing.groupBy("page_key").agg(F.min("url").alias("url"), (F.min("page_no") + 1).alias("page"))
     known = seen_urls.select(U.normalize_url(F.col("url"), site).alias("page_key")).distinct()
     return once.join(known, "page_key", "left_anti").select("url", F.lit("LISTING").alias("label"), "page")
