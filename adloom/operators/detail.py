@@ -23,7 +23,7 @@ from adloom.functions.urls import SiteProfile
 from adloom.operators import geo as G
 from adloom.operators import records as R
 from adloom.session import settled
-from adloom.sources.tables import capture_filter
+from adloom.sources.tables import capture_filter, dealt
 
 BODIES = "array<struct<arrival:bigint,body:string>>"
 
@@ -248,4 +248,6 @@ def extract_detail_pages(
     """
     when = F.current_timestamp() if scraped_at is None else scraped_at
     base = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), when.alias("scraped_at"))
-    return detail_records(base.join(bodies_per_page(payloads), "page_id", "left"), site, geo, details, mask)
+    # a page is short but costs milliseconds: by their bytes, the joined pages would end up in a few tasks
+    joined = dealt(base.join(bodies_per_page(payloads), "page_id", "left"))
+    return detail_records(joined, site, geo, details, mask)

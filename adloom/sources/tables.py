@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import vocab
 from adloom.functions.urls import SiteProfile, route_label
+from adloom.session import settled
 
 TASKS_PER_CORE = 4
 
@@ -32,6 +33,13 @@ def spread(df: DataFrame, key: str | None = None, scan: DataFrame | None = None)
     return df.repartition(TASKS_PER_CORE * cores, key) if key else df.repartition(TASKS_PER_CORE * cores)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly after a join, for work that costs far more than its bytes tell: joined rows arrive in as few tasks as their bytes fill."""
+    spark = df.sparkSession
+    parts = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return settled(df.repartition(parts))
+
+
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     pages = spark.read.parquet(path).select("page_id", "url", "html")
     return spread(pages, "page_id")

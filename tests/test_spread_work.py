@@ -21,3 +21,10 @@ def test_no_filter_reads_markup_before_rows_are_dealt(spark, tmp_path, key):
     plan = entry.queries()[key](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" in plan
     assert "__NEXT_DATA__" not in plan[plan.rindex("Repartition"):]
+
+
+def test_joined_rows_are_dealt_out_however_short(spark):
+    a = spark.range(1000)
+    joined = a.join(a.groupBy("id").count(), "id", "left")
+    out = S.dealt(joined).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in out) == 1000 and len(out) > spark.sparkContext.defaultParallelism
