@@ -90,7 +90,8 @@ def write_ads(ads: DataFrame, path: str, partition_by: str | None = None) -> Non
 
 
 def export_documents(documents: DataFrame, path: str) -> None:
-    documents.write.mode("append").json(path)
+    """JSON lines, compressed: member names are most of a document's bytes."""
+    documents.write.mode("append").option("compression", "gzip").json(path)
 
 
 def _folder(spark: SparkSession, path: str):

@@ -28,3 +28,11 @@ def test_joined_rows_are_dealt_out_however_short(spark):
     joined = a.join(a.groupBy("id").count(), "id", "left")
     out = S.dealt(joined).groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(r["count"] for r in out) == 1000 and len(out) > spark.sparkContext.defaultParallelism
+
+
+def test_exported_documents_are_compressed_and_read_back(spark, tmp_path):
+    docs = spark.range(500).select(F.col("id"), F.struct(F.lit("a title that all share").alias("title"), F.col("id").alias("n")).alias("details")).coalesce(1)
+    S.export_documents(docs, f"{tmp_path}/out")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/out/part-*"))
+    assert size * 3 < sum(len(r["value"]) for r in docs.select(F.to_json(F.struct("*")).alias("value")).collect())
+    assert sorted(map(tuple, spark.read.schema(docs.schema).json(f"{tmp_path}/out").collect())) == sorted(map(tuple, docs.collect()))
