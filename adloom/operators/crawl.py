@@ -14,7 +14,7 @@ from adloom.functions import urls as U
 from adloom.operators.frontier import frontier_limit, listing_pages
 from adloom.operators.geo import look_up
 from adloom.operators.ranking import first_per_key
-from adloom.session import checkpointed, new_table_path
+from adloom.session import checkpointed, new_table_path, settled
 from adloom.sources.tables import seed_frontier
 
 REACHED = "label STRING, page INT, url STRING, page_key STRING, ad_id STRING, captured BOOLEAN, round INT"
@@ -24,16 +24,16 @@ def link_table(pages: DataFrame, site: U.SiteProfile) -> DataFrame:
     """`page_key, page_id, links`: per captured address (the least page id counts) its links `{label, pos, url}` in page order: the ads,
     and the next page or, without one, every listing link."""
     keyed = pages.withColumn("page_key", U.normalize_url(F.col("url"), site))
-    chosen = keyed.groupBy("page_key").agg(F.min("page_id").alias("page_id"))
-    one = keyed.join(chosen, ["page_key", "page_id"], "left_semi").dropDuplicates(["page_key"])
-    read = listing_pages(one.withColumn("every", U.resolve_all(H.hrefs(F.col("html")), F.col("url"))), site)
+    read = listing_pages(keyed.withColumn("every", U.resolve_all(H.hrefs(F.col("html")), F.col("url"))), site)
     same = F.coalesce(F.col("next_url") == F.col("url"), F.lit(False))
     following = F.when(F.col("next_url").isNotNull() & ~same, F.array("next_url")).otherwise(F.filter(F.array_distinct("every"), lambda u: U.is_listing_url(u, site)))
 
     def links(urls: Column, label: str) -> Column:
         return F.transform(urls, lambda u, i: F.struct(F.lit(label).alias("label"), i.cast("int").alias("pos"), u.alias("url")))
 
-    return checkpointed(read.select("page_key", "page_id", F.concat(links(F.col("detail_urls"), "DETAIL"), links(following, "LISTING")).alias("links")))
+    # pages are read where they lie: only links are brought together, never markup
+    told = settled(read.select("page_key", "page_id", F.concat(links(F.col("detail_urls"), "DETAIL"), links(following, "LISTING")).alias("links")))
+    return checkpointed(first_per_key(told.where("page_key IS NOT NULL AND page_id IS NOT NULL"), ["page_key"], ["page_id"]))
 
 
 def crawl_rounds(pages: DataFrame, starts: DataFrame, site: U.SiteProfile, max_pages: int = 0, max_items: int = 0, max_rounds: int = 0) -> DataFrame:

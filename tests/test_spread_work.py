@@ -36,3 +36,14 @@ def test_exported_documents_are_compressed_and_read_back(spark, tmp_path):
     size = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/out/part-*"))
     assert size * 3 < sum(len(r["value"]) for r in docs.select(F.to_json(F.struct("*")).alias("value")).collect())
     assert sorted(map(tuple, spark.read.schema(docs.schema).json(f"{tmp_path}/out").collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_link_table_takes_the_least_page_of_an_address_and_shuffles_no_markup(spark):
+    def page(k):
+        return f'<a href="/flat_rentals_town-nj_{k}">x</a>'
+
+    rows = [(3, "https://ads.example.com/rentals/a", page(3)), (2, "https://ads.example.com/rentals/a/", page(2)), (None, "https://ads.example.com/rentals/a", page(1)),
+            (None, "https://ads.example.com/rentals/b", page(4)), (5, None, page(5))]
+    links = crawl.link_table(spark.createDataFrame(rows, "page_id long, url string, html string"), SITE).collect()
+    assert [(r["page_key"], r["page_id"], [x["url"] for x in r["links"] if x["label"] == "DETAIL"]) for r in links] == [
+        ("https://ads.example.com/rentals/a", 2, ["https://ads.example.com/flat_rentals_town-nj_2"])]
