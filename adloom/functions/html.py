@@ -621,7 +621,7 @@ def posted_by_cascade(tokens: Column, text: Column) -> Column:
 
     def in_blocks(hits: Column) -> Column:
         said = lambda o: null_if_empty(posted_by_rest_of_line(element_text(tokens, o, lines_of)))
-        of_kind = lambda k: F.transform(F.filter(tokens, lambda t: F.array_contains(F.get(hits, t["pos"]), k)), said)
+        of_kind = lambda k: F.transform(F.filter(hits, lambda x: F.array_contains(x["kinds"], k)), lambda x: said(x["token"]))
         found = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(len(POSTER_BLOCKS) - 1)), of_kind))
         return first_where(found, lambda x: x.isNotNull())
 
@@ -735,15 +735,21 @@ def _boxes(tokens: Column, selectors, hidden: Column) -> Column:
     """Per selector the span of the first element that it finds outside hidden parts, or NULL. The selectors are data to one expression."""
 
     def found(hits: Column) -> Column:
-        first = lambda k: first_where(tokens, lambda t: F.array_contains(F.get(hits, t["pos"]), k) & ~F.get(hidden, t["pos"]))
+        first = lambda k: first_where(hits, lambda x: F.array_contains(x["kinds"], k) & ~F.get(hidden, x["token"]["pos"]))["token"]
         return F.transform(F.sequence(F.lit(0), F.lit(len(selectors) - 1)), lambda k: let(first(k), lambda o: span(tokens, o)))
 
     return let(_hits(tokens, selectors), found)
 
 
 def _hits(tokens: Column, selectors) -> Column:
-    """Per token the numbers of the selectors that match it."""
-    return F.transform(tokens, lambda t: F.array_compact(F.array(*[F.when(matches(t, s), F.lit(k)) for k, s in enumerate(selectors)])))
+    """`{token, kinds}` of the opening tags that any selector matches, in page order, with the numbers of those that do. Only tags that
+    can match, by name or because they have attributes, are compared with every selector."""
+    conditions = [s if isinstance(s, list) else [s] for s in selectors]
+    tags = [one[0][1] for one in conditions if all(kind == "tag" for kind, _ in one)]
+    able = lambda t: ~t["close"] & (F.contains(t["attrs"], F.lit("=")) | t["tag"].isin(*tags) if tags else F.contains(t["attrs"], F.lit("=")))
+    kinds = lambda t: F.array_compact(F.array(*[F.when(matches(t, s), F.lit(k)) for k, s in enumerate(selectors)]))
+    compared = F.transform(F.filter(tokens, able), lambda t: F.struct(t.alias("token"), kinds(t).alias("kinds")))
+    return F.filter(compared, lambda x: F.size(x["kinds"]) > 0)
 
 
 def _foreign(tokens: Column, classes, itself: bool = True) -> Column:
@@ -767,7 +773,7 @@ def photos_from_html(tokens: Column) -> Column:
 
     def of(shots: Column, hidden: Column) -> Column:
         styled = F.transform(
-            F.filter(tokens, lambda t: F.coalesce(~t["close"] & F.contains(attr(t["attrs"], "style"), F.lit("background-image")), F.lit(False))),
+            F.filter(tokens, lambda t: ~t["close"] & F.contains(F.lower(t["attrs"]), F.lit("style")) & F.contains(attr(t["attrs"], "style"), F.lit("background-image"))),
             lambda t: F.struct(t["pos"].alias("pos"), grab(attr(t["attrs"], "style"), vocab.BACKGROUND_URL).alias("url")),
         )
 
@@ -837,9 +843,9 @@ def photos_of_details(tokens: Column, photo_path: str = "") -> Column:
                 return F.array().cast("array<string>")
 
             def in_order(hits: Column) -> Column:
-                of_viewer = lambda k: F.filter(tokens, lambda t: F.array_contains(F.get(hits, t["pos"]), k))
+                of_viewer = lambda k: F.filter(hits, lambda x: F.array_contains(x["kinds"], k))
                 opened = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(len(vocab.VIEWERS) - 1)), of_viewer))
-                return F.flatten(F.transform(opened, shown))
+                return F.flatten(F.transform(opened, lambda x: shown(x["token"])))
 
             return F.filter(let(_hits(tokens, vocab.VIEWERS), in_order), lambda u: F.contains(u, F.lit(photo_path)))
 

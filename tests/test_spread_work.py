@@ -47,3 +47,10 @@ def test_link_table_takes_the_least_page_of_an_address_and_shuffles_no_markup(sp
     links = crawl.link_table(spark.createDataFrame(rows, "page_id long, url string, html string"), SITE).collect()
     assert [(r["page_key"], r["page_id"], [x["url"] for x in r["links"] if x["label"] == "DETAIL"]) for r in links] == [
         ("https://ads.example.com/rentals/a", 2, ["https://ads.example.com/flat_rentals_town-nj_2"])]
+
+
+def test_only_tags_that_match_are_kept_with_their_selectors(spark):
+    page = '<p>a</p><table><tr><td class=info>b</td></tr></table><div class="x meta info">c</div></div class="info"><div id="q">d</div>'
+    tokens = spark.createDataFrame([(page,)], "html string").select(H.html_tokens(F.col("html")).alias("t"))
+    hits = tokens.select(H._hits(F.col("t"), [("class*", "info"), ("tag", "table"), ("class", "meta"), ("id", "q")]).alias("h")).first()["h"]
+    assert [(x["token"]["tag"], x["kinds"]) for x in hits] == [("table", [1]), ("td", [0]), ("div", [0, 2]), ("div", [3])]
