@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import overlay as O
 from adloom.session import checkpointed
+from adloom.sources.tables import dealt, dealt_by
 
 
 def json_leaves(df: DataFrame, keep: list[str], body: str) -> DataFrame:
@@ -38,7 +39,8 @@ def json_deep_merge(df: DataFrame, keys: list[str], rank: str, body: str) -> Dat
 
     `body` is a VARIANT column, `rank` a number: higher wins.
     """
-    leaves = json_leaves(df, [*keys, rank], body).withColumnRenamed(rank, "_rank")
+    # a short body grows into many events, which a task sorts: bodies are dealt out, however few splits they come in
+    leaves = json_leaves(dealt(df.select(*keys, rank, body)), [*keys, rank], body).withColumnRenamed(rank, "_rank")
     r = F.col("_rank")
     # one event per path a document touches: its leaf, and the objects above it
     self_event = F.struct(F.col("path").alias("path"), F.lit(True).alias("own"))
@@ -70,7 +72,7 @@ def json_deep_merge(df: DataFrame, keys: list[str], rank: str, body: str) -> Dat
     )
     is_leaf = F.col("leaf_at").isNotNull() & (F.col("object_at").isNull() | (F.col("leaf_at") > F.col("object_at")))
     is_bare = F.col("empty") & (F.col("leaf_at").isNull() | (F.col("object_at") > F.col("leaf_at")))
-    alive = per_path.where(is_leaf | is_bare).select(
+    alive = dealt_by(per_path.where(is_leaf | is_bare), [*keys, "path"]).select(
         *keys,
         "path",
         F.when(is_leaf, F.col("leaf_at")).otherwise(F.col("object_at")).alias("at"),

@@ -35,9 +35,17 @@ def spread(df: DataFrame, key: str | None = None, scan: DataFrame | None = None)
 
 def dealt(df: DataFrame) -> DataFrame:
     """Rows dealt out evenly after a join, for work that costs far more than its bytes tell: joined rows arrive in as few tasks as their bytes fill."""
-    spark = df.sparkSession
-    parts = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return settled(df.repartition(parts))
+    return settled(df.repartition(_parts(df.sparkSession)))
+
+
+def dealt_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt out by keys that are theirs alone, for joins by these keys: their parts are not put together again where rows are short on disk but
+    long in memory."""
+    return df.repartition(_parts(df.sparkSession), *keys)
+
+
+def _parts(spark: SparkSession) -> int:
+    return max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
