@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import vocab
 from adloom.functions.text import (
-    first_where, grab, last_where, let, null_if_blank, strip_ws, text_array, text_map,
+    grab, last_where, let, strip_ws, text_map,
 )
 
 MONEY = "decimal(12,2)"
@@ -50,10 +50,11 @@ def rent_currency(c: Column) -> Column:
 
 def parse_rent(c: Column) -> Column:
     """`{amount, currency, mode}`; NULL without a number."""
-    return F.when(
-        _number(c).isNotNull(),
-        F.struct(
-            _number(c).try_cast(MONEY).alias("amount"), rent_currency(c).alias("currency"), rent_mode(c).alias("mode")
+    return let(
+        _number(c),
+        lambda n: F.when(
+            n.isNotNull(),
+            F.struct(n.try_cast(MONEY).alias("amount"), rent_currency(c).alias("currency"), rent_mode(c).alias("mode")),
         ),
     )
 
@@ -84,7 +85,6 @@ def parse_area(c: Column) -> Column:
 
 def posted_date(c: Column) -> Column:
     """Date written in one of the site's ways; NULL if none fits."""
-    t = F.regexp_replace(strip_ws(c), r"\s+", " ")
     formats = [
         (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
         (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
@@ -94,10 +94,14 @@ def posted_date(c: Column) -> Column:
         (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
         (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
     ]
-    # "May" is both its short and its long name
-    parsed = [F.when(t.rlike(p), F.try_to_date(F.initcap(t), f)) for p, f in formats]
-    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.left(t, F.lit(10)), "yyyy-MM-dd"))
-    return F.coalesce(*parsed, iso)
+
+    def read(t: Column) -> Column:
+        # "May" is both its short and its long name
+        parsed = [F.when(t.rlike(p), F.try_to_date(F.initcap(t), f)) for p, f in formats]
+        iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.left(t, F.lit(10)), "yyyy-MM-dd"))
+        return F.when(t.isNotNull(), F.coalesce(*parsed, iso))
+
+    return let(F.regexp_replace(strip_ws(c), r"\s+", " "), read)
 
 
 def add_one_year(d: Column) -> Column:
@@ -118,16 +122,18 @@ def property_type(c: Column) -> Column:
 
 def match_option(c: Column, options: list[str]) -> Column:
     """The option equal to the text, else the longest option that contains it or is contained in it."""
-    s = F.lower(strip_ws(null_if_blank(c)))
-    in_order = text_array(options)
-    longest_first = text_array(sorted(options, key=len, reverse=True))
-    return let(
-        s,
-        lambda x: F.coalesce(
-            first_where(in_order, lambda o: F.lower(o) == x),
-            first_where(longest_first, lambda o: F.contains(x, F.lower(o)) | F.contains(F.lower(o), x)),
-        ),
-    )
+    if not options:
+        return F.lit(None).cast("string")
+    # options are lower-cased here, once; of options with one lower-cased form the first counts, of options of one length too
+    exact = text_map({o.lower(): o for o in reversed(options)})
+
+    def longest(x: Column) -> Column:
+        chain = F
+        for o in sorted(options, key=len, reverse=True):
+            chain = chain.when(F.contains(x, F.lit(o.lower())) | F.contains(F.lit(o.lower()), x), F.lit(o))
+        return chain
+
+    return let(F.lower(strip_ws(c)), lambda x: F.when(x != "", F.coalesce(F.try_element_at(exact, x), longest(x))))
 
 
 def languages(items: Column) -> Column:
@@ -263,17 +269,25 @@ def classify_items(items: Column, rules: list[tuple[str, str]]) -> Column:
 def legacy_amenity_keys(keys: Column) -> Column:
     """Facts hidden in amenity keys: intent, area, bedrooms, date."""
 
-    def last_hit(pattern: str, group: int = 1) -> Column:
-        hits = F.filter(F.transform(keys, lambda k: grab(k, pattern, group)), lambda v: v.isNotNull())
-        return F.try_element_at(hits, F.lit(-1))
-
-    intent_word = F.lower(last_hit("(?i)^ad_type.*(offered|wanted)"))
-    day_text = last_hit(r"(?i)^available_from(\d{1,2}_[a-z]+_\d{4})$")
-    month = F.initcap(F.left(grab(day_text, r"_([A-Za-z]+)_"), F.lit(3)))
-    iso = F.concat_ws(" ", grab(day_text, r"^(\d+)_"), month, grab(day_text, r"_(\d{4})$"))
-    return F.struct(
-        F.when(intent_word == "offered", "list").when(intent_word == "wanted", "find").alias("intent"),
-        last_hit(r"(?i)^area(\d+(?:\.\d+)?)_sqft$").try_cast("double").alias("square_feet"),
-        last_hit(r"(?i)^bedrooms?[_\s](\d+)").try_cast("int").alias("beds"),
-        F.when(day_text.isNotNull(), F.try_to_date(iso, "d MMM yyyy")).alias("available_from"),
+    def last_hit(of: Column, pattern: str) -> Column:
+        found = F.transform(of, lambda k: F.call_function("regexp_extract", k, F.lit(pattern), F.lit(1)))
+        return F.try_element_at(F.filter(found, lambda v: v != ""), F.lit(-1))
+
+    def intent(word: Column) -> Column:
+        return F.when(word == "offered", "list").when(word == "wanted", "find")
+
+    def day(text: Column) -> Column:
+        month = F.initcap(F.left(grab(text, r"_([A-Za-z]+)_"), F.lit(3)))
+        iso = F.concat_ws(" ", grab(text, r"^(\d+)_"), month, grab(text, r"_(\d{4})$"))
+        return F.when(text.isNotNull(), F.try_to_date(iso, "d MMM yyyy"))
+
+    # the keys, and what is found in them, are bound: every mention would derive them from the labels again
+    return let(
+        keys,
+        lambda of: F.struct(
+            let(F.lower(last_hit(of, "(?i)^ad_type.*(offered|wanted)")), intent).alias("intent"),
+            last_hit(of, r"(?i)^area(\d+(?:\.\d+)?)_sqft$").try_cast("double").alias("square_feet"),
+            last_hit(of, r"(?i)^bedrooms?[_\s](\d+)").try_cast("int").alias("beds"),
+            let(last_hit(of, r"(?i)^available_from(\d{1,2}_[a-z]+_\d{4})$"), day).alias("available_from"),
+        ),
     )

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from adloom.functions import normalize as N
 from adloom.operators import merge as M
 from adloom.operators.schema import Schema
 
@@ -20,3 +21,18 @@ def test_bodies_are_dealt_out_before_they_grow_into_leaves(spark, monkeypatch):
     # joins keep their parts, however few bytes the paths have
     assert "RepartitionByExpression" in optimized(out)
     assert sorted((str(r.page_id), ".".join(r.path), r.value) for r in out.collect()) == [("1", "a", "5"), ("1", "b", "2"), ("None", "c", "{}")]
+
+
+def test_facts_in_amenity_keys_derive_the_keys_once(spark):
+    rows = [(["bedrooms_2", "area450_sqft", "available_from1_june_2026", "ad_typeproperty_wanted"],), (["bedrooms_2", "bedroom_3", "x"],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "k array<string>")
+    got = df.select(N.legacy_amenity_keys(F.transform("k", F.lower)).alias("f")).select("f.*")
+    assert optimized(got).count("lower(lambda") == 1
+    assert [(r.intent, r.square_feet, r.beds, str(r.available_from)) for r in got.collect()] == [("find", 450.0, 2, "2026-06-01"), (None, None, 3, "None"), (None, None, None, "None"), (None, None, None, "None")]
+
+
+def test_an_option_is_looked_up_without_a_scan_of_all(spark):
+    df = spark.createDataFrame([(" no PETS ",), ("Dogs",), ("Any Pet is Ok, really",), (" ",), (None,), ("cow",)], "x string")
+    got = df.select(N.match_option(F.col("x"), ["Any Pet is Ok", "no pets", "No Pets", "Only Dogs"]).alias("o"))
+    assert [r.o for r in got.collect()] == ["no pets", "Only Dogs", "Any Pet is Ok", None, None, None]
+    assert "filter(" not in optimized(got)
