@@ -36,3 +36,11 @@ def test_an_option_is_looked_up_without_a_scan_of_all(spark):
     got = df.select(N.match_option(F.col("x"), ["Any Pet is Ok", "no pets", "No Pets", "Only Dogs"]).alias("o"))
     assert [r.o for r in got.collect()] == ["no pets", "Only Dogs", "Any Pet is Ok", None, None, None]
     assert "filter(" not in optimized(got)
+
+
+def test_checks_of_a_schema_are_compiled(spark):
+    schema = {"type": "object", "required": ["a"], "properties": {"a": {"type": "string", "enum": ["x", "y"]}, "n": {"type": "integer", "const": 1}}}
+    df = spark.createDataFrame([(("x", 1),), (("z", 2),), ((None, None),), (None,)], "doc struct<a:string,n:int>")
+    out = df.select(Schema(schema).violations(F.col("doc"), df.schema["doc"].dataType).alias("v"))
+    assert [[tuple(v) for v in r.v] for r in out.collect()] == [[], [("a", "enum"), ("n", "const")], [("a", "required")], []]
+    assert "filter(" not in optimized(out)
