@@ -8,6 +8,9 @@ unclosed inline tags. `<p>` also ends at the next `<p>`. Void elements contain n
 `end` is where the element of an opening tag ends, `next` the position of the next tag. Both are found in
 one pass over the page, in Arrow batches of pages, so a page of any size costs its length, and no reader has
 to search for the end of an element. Everything that reads tokens is made of Spark's own expressions.
+
+A pass over all tokens is the dear part of a reader, so the same pass can list where names, classes, attributes and texts stand
+(`Outline`). Readers look there first and touch the few tokens that they are about.
 """
 
 from __future__ import annotations
@@ -36,6 +39,12 @@ ENTITIES = {
     "&euro;": "€", "&pound;": "£", "&cent;": "¢", "&yen;": "¥", "&deg;": "°", "&times;": "×",
 }
 
+# the block tags by first letter: a list of so many words would be tried word by word at every tag
+_BLOCK = (
+    "a(?:ddress|rticle|side)|b(?:lockquote|r)|d(?:[dlt]|iv)|f(?:ieldset|igcaption|igure|ooter|orm)|h(?:[1-6r]|eader)|li|main|nav|ol|p(?:re)?|section|"
+    "t(?:able|[dhr])|ul"
+)
+
 # array elements per block of a running fold
 BLOCK = 128
 
@@ -85,11 +94,17 @@ _TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 _CLASS = re.compile(r"""(?:^|\s)class\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.ASCII | re.IGNORECASE)
 _ENTITY = re.compile(r"&#?[0-9a-zA-Z]+;")
 _VOID = frozenset(VOID_TAGS)
+# what a text is trimmed by, and the line ends after which a pattern still sees the end of the text (`strip_ws`)
+_BLANKS, _LINE_ENDS = " \t\n\x0b\f\r\u00a0\ufeff", ("\x85", "\u2028", "\u2029")
 _FIELDS = [("pos", pa.int32()), ("close", pa.bool_()), *[(f, pa.string()) for f in ("tag", "attrs", "cls", "text")], ("end", pa.int32()), ("next", pa.int32())]
 
 
-def _tokenizer():
-    """The function from pages to tokens. It holds its helpers, so that workers need not have this package."""
+OUTLINE = "struct<names:array<string>,styled:array<struct<at:int,cls:string>>,marked:array<struct<at:int,attrs:string>>,texts:array<struct<at:int,text:string>>>"
+
+
+def _tokenizer(outlined: bool = False):
+    """The function from pages to tokens, or to tokens and their `Outline`. It holds its helpers, so that workers need not have this package."""
+    remembered: dict[str, tuple] = {}
 
     def entity(found: re.Match) -> str:
         piece = found[0]
@@ -103,25 +118,49 @@ def _tokenizer():
     def decoded(text: str) -> str:
         return _ENTITY.sub(entity, text) if "&" in text else text
 
-    def read_page(html: str, columns: list[list]) -> None:
-        """Appends the tokens of one page to the columns of `TOKENS`. An opening tag waits in the list of its name until the closing tag
-        of that name; a page is read once, so its cost is that of its length."""
+    def trimmed(text: str) -> str:
+        if text[-1:] in _LINE_ENDS:
+            return text[:-1].strip(_BLANKS) + text[-1]
+        return text.strip(_BLANKS)
+
+    def read_tag(piece: str) -> tuple | None:
+        """`(close, tag, attrs, cls)`, or None for what is no tag. Tags recur from page to page, so short ones are remembered."""
+        if not (named := _TAG.match(piece)):
+            return None
+        attrs, cls = piece[named.end():-2 if piece[-2] == "/" else -1], None
+        if "class" in attrs and (found := _CLASS.search(attrs)):
+            cls = decoded(found[1][1:-1] if found[1][0] in "\"'" else found[1])
+        read = (piece[1] == "/", named[1].lower(), attrs, cls)
+        if len(piece) <= 40:
+            if len(remembered) >= 4096:
+                remembered.clear()
+            remembered[piece] = read
+        return read
+
+    def read_page(html: str, columns: list[list], lists: list[tuple[list, list, list]]) -> None:
+        """Appends the tokens of one page to the columns of `TOKENS`, and what stands where to the lists of `OUTLINE`. An opening tag waits in
+        the list of its name until the closing tag of that name; a page is read once, so its cost is that of its length."""
         first, waiting, untagged = len(columns[0]), {}, 0
         close_, tag_, attrs_, cls_, text_, end_, next_ = columns[1:]
+        (names_,), (styled_at, styled), (marked_at, marked), (texts_at, texts) = lists
         pieces = _PIECE.findall(html)
         end_.extend(range(len(pieces)))
         for pos, piece in enumerate(pieces):
-            if piece[0] != "<" or not (named := _TAG.match(piece)):
+            read = (remembered.get(piece) or read_tag(piece)) if piece[0] == "<" else None
+            if read is None:
+                text = decoded(piece)
                 close_.append(piece[:2] == "</")
                 tag_.append(None)
                 attrs_.append(None)
                 cls_.append(None)
-                text_.append(decoded(piece))
+                text_.append(text)
+                if outlined:
+                    names_.append(None)
+                    if bare := trimmed(text):
+                        texts_at.append(pos)
+                        texts.append(bare)
                 continue
-            close, tag = piece[1] == "/", named[1].lower()
-            attrs, cls = piece[named.end():-2 if piece[-2] == "/" else -1], None
-            if "class" in attrs and (found := _CLASS.search(attrs)):
-                cls = decoded(found[1][1:-1] if found[1][0] in "\"'" else found[1])
+            close, tag, attrs, cls = read
             close_.append(close)
             tag_.append(tag)
             attrs_.append(attrs)
@@ -129,6 +168,14 @@ def _tokenizer():
             text_.append(None)
             next_.extend([pos] * (pos - untagged))
             untagged = pos
+            if outlined:
+                names_.append(None if close else tag)
+                if not close and cls is not None:
+                    styled_at.append(pos)
+                    styled.append(cls)
+                if not close and "=" in attrs:
+                    marked_at.append(pos)
+                    marked.append(attrs)
             if tag in _VOID:
                 continue
             opened = waiting.setdefault(tag, [])
@@ -144,15 +191,29 @@ def _tokenizer():
 
     def listed(pages: list) -> pa.Array:
         offsets, columns = [], [[] for _ in _FIELDS]
+        lists = ([],), ([], []), ([], []), ([], [])
+        begins = [[] for _ in lists]
         for html in pages:
             offsets.append(None if html is None else len(columns[0]))
+            for begin, values in zip(begins, lists):
+                begin.append(None if html is None else len(values[0]))
             if html is not None:
-                read_page(html, columns)
+                read_page(html, columns, lists)
         fields = [pa.array(values, kind) for values, (_, kind) in zip(columns, _FIELDS)]
         structs = pa.StructArray.from_arrays(fields, names=[name for name, _ in _FIELDS])
-        return pa.ListArray.from_arrays(pa.array([*offsets, len(columns[0])], pa.int32()), structs)
-
-    @F.arrow_udf(TOKENS)
+        tokens = pa.ListArray.from_arrays(pa.array([*offsets, len(columns[0])], pa.int32()), structs)
+        if not outlined:
+            return tokens
+        parts = []
+        for begin, values, name in zip(begins, lists, (None, "cls", "attrs", "text")):
+            entries = pa.array(values[-1], pa.string())
+            if name:
+                entries = pa.StructArray.from_arrays([pa.array(values[0], pa.int32()), entries], names=["at", name])
+            parts.append(pa.ListArray.from_arrays(pa.array([*begin, len(values[0])], pa.int32()), entries))
+        outline = pa.StructArray.from_arrays(parts, names=["names", "styled", "marked", "texts"])
+        return pa.StructArray.from_arrays([tokens, outline], names=["tokens", "outline"])
+
+    @F.arrow_udf(f"struct<tokens:{TOKENS},outline:{OUTLINE}>" if outlined else TOKENS)
     def tokens(pages: pa.Array) -> pa.Array:
         # about a megabyte of markup at a time is held as Python objects
         parts, some, size = [], [], 0
@@ -171,6 +232,77 @@ def html_tokens(html: Column) -> Column:
     return _tokenizer()(visible_html(html))
 
 
+def outlined_tokens(html: Column) -> Column:
+    """`{tokens, outline}` of a page, both found in one pass."""
+    return _tokenizer(outlined=True)(visible_html(html))
+
+
+class Outline:
+    """Where things stand among tokens: in a column that `outlined_tokens` has made, or else found among the tokens for this reader.
+
+    `names` has the tag of every opening tag at its position; `styled` `{at, cls}`, `marked` `{at, attrs}` and `texts` `{at, text}` list opening
+    tags with a class, opening tags with attributes, and trimmed texts that are not blank.
+    """
+
+    def __init__(self, tokens: Column, given: Column | None = None):
+        self.tokens, self.given = tokens, given
+
+    def _listed(self, kept, name: str, value) -> Column:
+        return F.transform(F.filter(self.tokens, kept), lambda t: F.struct(t["pos"].alias("at"), value(t).alias(name)))
+
+    @property
+    def names(self) -> Column:
+        return self.given["names"] if self.given is not None else F.transform(self.tokens, lambda t: F.when(~t["close"], t["tag"]))
+
+    @property
+    def styled(self) -> Column:
+        return self.given["styled"] if self.given is not None else self._listed(lambda t: ~t["close"] & t["cls"].isNotNull(), "cls", lambda t: t["cls"])
+
+    @property
+    def marked(self) -> Column:
+        return self.given["marked"] if self.given is not None else self._listed(lambda t: ~t["close"] & F.contains(t["attrs"], F.lit("=")), "attrs", lambda t: t["attrs"])
+
+    @property
+    def texts(self) -> Column:
+        if self.given is not None:
+            return self.given["texts"]
+        return F.filter(self._listed(lambda t: t["tag"].isNull(), "text", lambda t: strip_ws(t["text"])), lambda x: x["text"] != "")
+
+    def first_named(self, tag: str) -> Column:
+        """Position of the first opening tag of a name, or -1."""
+        return F.coalesce(F.array_position(self.names, F.lit(tag)).cast("int"), F.lit(0)) - 1
+
+    def named(self, tag: str) -> Column:
+        """Positions of the opening tags of a name."""
+        return F.filter(F.transform(self.names, lambda n, i: F.when(n == tag, i)), lambda i: i.isNotNull())
+
+    def hits(self, step) -> Column:
+        """The opening tags that one step of a selector matches, in page order. Only tags that can match are looked at."""
+        kind, value = ("", "") if isinstance(step, list) else step
+        if kind == "tag":
+            return F.transform(self.named(value), lambda at: F.get(self.tokens, at))
+        if kind == "class*":
+            found = F.filter(self.styled, lambda x: F.contains(x["cls"], F.lit(value)))
+        elif kind == "class":
+            found = F.filter(self.styled, lambda x: F.contains(x["cls"], F.lit(value)) & matches(F.get(self.tokens, x["at"]), step))
+        elif kind == "id" or kind.startswith("attr:"):
+            found = F.filter(self.marked, lambda x: F.contains(x["attrs"], F.lit(value)) & matches(F.get(self.tokens, x["at"]), step))
+        else:
+            return F.filter(self.tokens, lambda t: matches(t, step))
+        return F.transform(found, lambda x: F.get(self.tokens, x["at"]))
+
+    def first(self, step) -> Column:
+        """The first of the `hits`, or NULL."""
+        if not isinstance(step, list) and step[0] == "tag":
+            return F.get(self.tokens, self.first_named(step[1]))
+        return F.get(self.hits(step), F.lit(0))
+
+    def classed(self, parts) -> Column:
+        """The opening tags whose class has any of some parts, in page order."""
+        found = F.filter(self.styled, lambda x: x["cls"].rlike("|".join(parts)))
+        return F.transform(found, lambda x: F.get(self.tokens, x["at"]))
+
+
 def running(values: Column, op, zero: Column) -> Column:
     """Running fold of a number array, each entry included. Blocks are folded on their own, then again from
     what the blocks before them add up to, so the appends stay short and the cost linear."""
@@ -284,7 +416,7 @@ def page_text(html: Column) -> Column:
 
 def _rendered(fragment: Column) -> Column:
     blanks = F.regexp_replace(fragment, r"\s+", " ")
-    lines = F.regexp_replace(blanks, r"(?i) ?</?(?:" + "|".join(BLOCK_TAGS) + r")(?:\s[^>]*)?/?> ?", "\n")
+    lines = F.regexp_replace(blanks, rf"(?i) ?</?(?:{_BLOCK})(?:\s[^>]*)?/?> ?", "\n")
     bare = decode_entities(F.regexp_replace(lines, "<[^>]*>", ""))
     return strip_ws(F.regexp_replace(bare, r"[ ]*\n\s*", "\n"))
 
@@ -327,15 +459,24 @@ def _is_path(selector) -> bool:
     return isinstance(selector, tuple) and any(s in (CHILD, INSIDE) for s in selector[1::2] if isinstance(s, str)) and len(selector) > 2
 
 
-def covered(tokens: Column, marked: Column, itself: bool = True) -> Column:
-    """Per token whether it lies in an element whose opening tag is marked (a boolean array); with `itself`, that tag counts as inside."""
-    opened = let(marked, lambda m: F.filter(tokens, lambda t, i: F.get(m, i)))
+def reaches(tokens: Column, opened: Column) -> Column:
+    """Per token how far the elements of some opening tags (in page order) that start up to it reach, -1 before the first; without any, nothing."""
     furthest = lambda o: running(F.transform(o, lambda t: t["end"]), F.greatest, F.lit(-1))
     at = lambda o: F.transform(o, lambda t: t["pos"])
-    reach = let(opened, lambda o: last_value(F.size(tokens), at(o), F.when(F.size(o) > 0, furthest(o)).otherwise(F.array().cast("array<int>"))))
+    return let(opened, lambda o: F.when(F.size(o) > 0, last_value(F.size(tokens), at(o), furthest(o))).otherwise(F.array().cast("array<int>")))
+
+
+def reached(reach: Column, pos: Column, itself: bool = True) -> Column:
+    """Whether the token at a position lies in one of the elements of `reaches`; with `itself`, an opening tag lies in its element."""
+    return F.coalesce(F.get(reach, pos if itself else pos - 1) > pos, F.lit(False))
+
+
+def covered(tokens: Column, marked: Column, itself: bool = True) -> Column:
+    """Per token whether it lies in an element whose opening tag is marked (a boolean array); with `itself`, that tag counts as inside."""
+    reach = reaches(tokens, let(marked, lambda m: F.filter(tokens, lambda t, i: F.get(m, i))))
 
     def inside_any(r: Column) -> Column:
-        return F.transform(tokens, lambda t, i: F.coalesce((F.get(r, i) if itself else F.get(r, i - 1)) > t["pos"], F.lit(False)))
+        return F.transform(tokens, lambda t, i: reached(r, i, itself))
 
     return let(reach, inside_any)
 
@@ -391,7 +532,7 @@ def lines_of(part: Column) -> Column:
     printed = F.transform(
         part,
         lambda t: F.when(t["tag"].isNull(), F.regexp_replace(t["text"], r"\s+", " ")).when(
-            one_of(t["tag"], BLOCK_TAGS), F.lit("\n")
+            one_of(t["tag"], [_BLOCK]), F.lit("\n")
         ).otherwise(""),
     )
     return strip_ws(F.regexp_replace(F.array_join(printed, ""), r"[ ]*\n\s*", "\n"))
@@ -402,25 +543,31 @@ def element_text(tokens: Column, opened: Column, render=text_of) -> Column:
     return F.when(opened.isNotNull(), let(span(tokens, opened), lambda s: render(inside(tokens, s))))
 
 
-def first_element(tokens: Column, selector) -> Column:
-    return F.get(select_all(tokens, selector), F.lit(0))
+def first_element(tokens: Column, selector, outline: Column | None = None) -> Column:
+    if outline is None:
+        return F.get(select_all(tokens, selector), F.lit(0))
+    there = Outline(tokens, outline)
+    if not _is_path(selector):
+        return there.first(selector)
+    # nothing to follow where the path does not begin
+    return F.when(F.size(there.hits(selector[0])) > 0, F.get(select_all(tokens, selector), F.lit(0)))
 
 
 @over_tokens
-def select_text(tokens: Column, selectors, render=text_of) -> Column:
+def select_text(tokens: Column, selectors, render=text_of, outline: Column | None = None) -> Column:
     """Text of the first element of the first selector that gives any."""
     return F.coalesce(
         *[
-            _filled(let(first_element(tokens, s), lambda o: element_text(tokens, o, render)))
+            _filled(let(first_element(tokens, s, outline), lambda o: element_text(tokens, o, render)))
             for s in selectors
         ]
     )
 
 
 @over_tokens
-def select_attr(tokens: Column, selectors, name: str) -> Column:
+def select_attr(tokens: Column, selectors, name: str, outline: Column | None = None) -> Column:
     """Attribute of the first element of the first selector that has it."""
-    return F.coalesce(*[_filled(attr(first_element(tokens, s)["attrs"], name)) for s in selectors])
+    return F.coalesce(*[_filled(attr(first_element(tokens, s, outline)["attrs"], name)) for s in selectors])
 
 
 @over_tokens
@@ -455,6 +602,8 @@ def next_tag(tokens: Column, pos: Column) -> Column:
     return F.get(tokens, F.get(tokens, pos)["next"])
 
 
+# tokens after a label among which its cell mostly ends
+_NEAR = 8
 _LABEL_TAGS = ["span", "p", "div", "label", "td", "th", "dt", "h5", "h6", "small"]
 
 
@@ -463,13 +612,13 @@ def _label_name(text: Column) -> Column:
 
 
 @over_tokens
-def label_value_grid(tokens: Column) -> Column:
+def label_value_grid(tokens: Column, outline: Column | None = None) -> Column:
     """Array `{field, value, pos}`: each known label cell with the value next to it."""
     fields = text_map(vocab.GRID_LABELS)
     names = list(vocab.GRID_LABELS)
 
     def acceptable(text: Column) -> Column:
-        return F.when((F.length(text) < 200) & ~one_of(F.lower(text), names), null_if_empty(text))
+        return let(text, lambda x: F.when((F.length(x) < 200) & ~one_of(F.lower(x), names), null_if_empty(x)))
 
     def open_text(tag: Column) -> Column:
         return F.when(~tag["close"], element_text(tokens, tag, lines_of))
@@ -482,30 +631,40 @@ def label_value_grid(tokens: Column) -> Column:
                 above, lambda up: let(next_tag(tokens, up["pos"]), lambda n: F.when(
                     up["tag"] == "td", open_text(n)).otherwise(acceptable(open_text(n))))
             )
-            here = open_text(sib)
-            return F.coalesce(acceptable(here), F.when(cell["tag"] == "td", null_if_empty(here)), beside_parent)
+            own = let(open_text(sib), lambda here: F.coalesce(acceptable(here), F.when(cell["tag"] == "td", null_if_empty(here))))
+            return F.coalesce(own, beside_parent)
 
         return let(next_tag(tokens, cell["pos"]), from_sibling)
 
-    labels = F.filter(
-        tokens, lambda t: t["tag"].isNull() & (F.length(t["text"]) <= 60) & one_of(_label_name(t["text"]), names)
-    )
+    def is_label(x: Column) -> Column:
+        # most texts fail the first two tests, which trim nothing
+        able = (F.length(x["text"]) <= 60) & F.lower(x["text"]).rlike(f"^(?:{'|'.join(names)})[^a-z0-9]*$")
+        return able & one_of(_label_name(x["text"]), names) & (F.length(F.get(tokens, x["at"])["text"]) <= 60)
 
-    def pairs(stops: Column) -> Column:
-        def pair(label: Column) -> Column:
+    skipped = lambda t: F.coalesce((t["close"] & ~one_of(t["tag"], _LABEL_TAGS)) | (t["tag"].isNull() & (strip_ws(t["text"]) == "")), F.lit(False))
+
+    def near(x: Column) -> Column:
+        stop = first_where(F.slice(tokens, x["at"] + 2, _NEAR), lambda t: ~skipped(t))
+        return let(stop, lambda t: F.struct(x["at"].alias("at"), _label_name(x["text"]).alias("name"), t.alias("stop"), (t.isNull() & (F.size(tokens) > x["at"] + 1 + _NEAR)).alias("far")))
+
+    def pairs(found: Column) -> Column:
+        # only a label with many closing tags after it asks for the next stop of every token
+        stops = F.when(F.exists(found, lambda x: x["far"]), next_where(tokens, lambda t: ~skipped(t)))
+
+        def pair(x: Column, far: Column) -> Column:
             # the closing tag of the label's cell; inline tags such as <b> around the label are skipped
-            closer = let(F.get(tokens, F.get(stops, label["pos"])), lambda t: F.when(t["close"] & one_of(t["tag"], _LABEL_TAGS), t))
+            stop = F.when(x["far"], F.get(tokens, F.get(far, x["at"]))).otherwise(x["stop"])
+            closer = let(stop, lambda t: F.when(t["close"] & one_of(t["tag"], _LABEL_TAGS), t))
             return F.struct(
-                F.try_element_at(fields, _label_name(label["text"])).alias("field"),
+                F.try_element_at(fields, x["name"]).alias("field"),
                 let(closer, lambda cell: F.when(cell.isNotNull(), value_after(cell))).alias("value"),
-                label["pos"].alias("pos"),
+                x["at"].alias("pos"),
             )
 
-        return F.transform(labels, pair)
+        return let(stops, lambda far: F.transform(found, lambda x: pair(x, far)))
 
-    skipped = lambda t: (t["close"] & ~one_of(t["tag"], _LABEL_TAGS)) | (t["tag"].isNull() & (strip_ws(t["text"]) == ""))
-    stops = next_where(tokens, lambda t: ~F.coalesce(skipped(t), F.lit(False)))
-    return F.filter(let(stops, pairs), lambda p: p["value"].isNotNull())
+    labels = F.transform(F.filter(Outline(tokens, outline).texts, is_label), near)
+    return F.filter(let(labels, pairs), lambda p: p["value"].isNotNull())
 
 
 def grid_fields(grid: Column) -> Column:
@@ -526,20 +685,25 @@ _ITEM_CLASSES = ["item", "tag", "badge", "chip", "feature", "amenity"]
 
 
 @over_tokens
-def section_items(tokens: Column, heading: str) -> Column:
-    """Distinct item texts (2 to 80 characters) of the section under a heading that matches."""
-    # `heading` is a lower-case pattern over the trimmed heading text
-    titled = F.filter(
-        tokens,
-        lambda t: t["tag"].isNull() & (F.length(strip_ws(t["text"])) < 60) & F.lower(strip_ws(t["text"])).rlike(heading),
-    )
+def section_headings(tokens: Column, outline: Column | None = None) -> Column:
+    """`{at, text}` of the texts that stand first in a heading or in an element styled as one, in lower case."""
 
-    def opener(label: Column) -> Column:
-        before = F.get(tokens, label["pos"] - 1)
-        ok = ~before["close"] & (one_of(before["tag"], _HEADINGS) | _any_class(before, _HEADING_CLASSES))
-        return F.when(F.coalesce(ok, F.lit(False)), before)
+    def heads(x: Column, names: Column) -> Column:
+        tag = F.get(names, x["at"] - 1)
+        return (F.length(x["text"]) < 60) & tag.isNotNull() & (one_of(tag, _HEADINGS) | _any_class(F.get(tokens, x["at"] - 1), _HEADING_CLASSES))
 
-    found = first_where(F.transform(titled, opener), lambda o: o.isNotNull())
+    there = Outline(tokens, outline)
+    found = let(there.names, lambda names: F.filter(there.texts, lambda x: heads(x, names)))
+    return F.transform(found, lambda x: F.struct(x["at"].alias("at"), F.lower(x["text"]).alias("text")))
+
+
+@over_tokens
+def section_items(tokens: Column, heading: str, headings: Column | None = None) -> Column:
+    """Distinct item texts (2 to 80 characters) of the section under a heading that matches. `headings` are those of the page, where
+    several sections are asked for."""
+    # `heading` is a lower-case pattern over the trimmed heading text
+    titled = first_where(section_headings(tokens) if headings is None else headings, lambda x: x["text"].rlike(heading))
+    found = F.get(tokens, titled["at"] - 1)
 
     def container(head: Column) -> Column:
         end = element_end(tokens, head)
@@ -589,22 +753,20 @@ OVERVIEW_DETAILS = [
 
 
 @over_tokens
-def overview_pick(tokens: Column, selectors=OVERVIEW_DETAILS, longer_than: int = 30, below_heading: bool = True) -> Column:
+def overview_pick(tokens: Column, selectors=OVERVIEW_DETAILS, longer_than: int = 30, below_heading: bool = True, outline: Column | None = None) -> Column:
     """Rendered text of the first description block that is long enough, else what follows an "Overview" heading."""
-    firsts = F.array(*[first_element(tokens, s) for s in selectors])
-    printed = F.transform(firsts, lambda o: element_text(tokens, o, lines_of))
-    block = first_where(printed, lambda x: F.length(x) > longer_than)
+    printed = [let(first_element(tokens, s, outline), lambda o: element_text(tokens, o, lines_of)) for s in selectors]
+    # a block is only looked for where those before it are too short
+    block = F.coalesce(*[let(p, lambda x: F.when(F.length(x) > longer_than, x)) for p in printed])
     if not below_heading:
         return block
     heading = first_where(
-        tokens,
-        lambda t: t["tag"].isNull()
-        & (F.lower(strip_ws(t["text"])) == "overview")
-        & F.coalesce(F.get(tokens, t["pos"] - 1)["tag"].isin("h2", "h3", "h4"), F.lit(False)),
+        Outline(tokens, outline).texts,
+        lambda x: (F.lower(x["text"]) == "overview") & F.coalesce(F.get(tokens, x["at"] - 1)["tag"].isin("h2", "h3", "h4"), F.lit(False)),
     )
     below = let(
         heading,
-        lambda h: let(next_tag(tokens, h["pos"] + 1), lambda n: F.when(~n["close"], element_text(tokens, n, lines_of))),
+        lambda h: let(next_tag(tokens, h["at"] + 1), lambda n: F.when(~n["close"], element_text(tokens, n, lines_of))),
     )
     return F.coalesce(block, null_if_empty(below))
 
@@ -614,7 +776,7 @@ _POSTER_LABELS = ["span", "label", "div", "p", "td", "th", "li"]
 
 
 @over_tokens
-def posted_by_cascade(tokens: Column, text: Column) -> Column:
+def posted_by_cascade(tokens: Column, text: Column, outline: Column | None = None) -> Column:
     """Poster: from the page text, else from any info block, else from what stands beside any "Posted by" label: the next
     element, or the text that follows."""
     from adloom.functions.pagetext import posted_by_rest_of_line
@@ -639,34 +801,37 @@ def posted_by_cascade(tokens: Column, text: Column) -> Column:
         return let(F.get(tokens, label["pos"] + 1), after)
 
     return F.coalesce(
-        posted_by_rest_of_line(text), let(_hits(tokens, POSTER_BLOCKS), in_blocks), first_where(F.transform(labels, beside), lambda x: x.isNotNull())
+        posted_by_rest_of_line(text), let(_hits(tokens, POSTER_BLOCKS, outline), in_blocks), first_where(F.transform(labels, beside), lambda x: x.isNotNull())
     )
 
 
 @over_tokens
-def neighborhood_links(tokens: Column) -> Column:
+def neighborhood_links(tokens: Column, outline: Column | None = None) -> Column:
     """Distinct texts of the links inside neighbourhood blocks, in page order."""
-    links = select_all(tokens, (("class*", "neighborhood"), INSIDE, ("tag", "a")))
+    there = Outline(tokens, outline)
+    inner = lambda r: F.filter(there.hits(("tag", "a")), lambda a: reached(r, a["pos"], itself=False))
+    blocks = there.hits(("class*", "neighborhood"))
+    links = let(blocks, lambda b: F.when(F.size(b) > 0, let(reaches(tokens, b), inner)).otherwise(F.slice(tokens, 1, 0)))
     return F.array_distinct(F.filter(F.transform(links, lambda a: element_text(tokens, a, lines_of)), lambda x: x != ""))
 
 
 @over_tokens
-def amenity_labels(tokens: Column) -> Column:
+def amenity_labels(tokens: Column, outline: Column | None = None) -> Column:
     """Texts of everything that is styled as an amenity, a feature or a facility."""
-    styled = F.filter(tokens, lambda t: ~t["close"] & _any_class(t, ["amenity", "amenities", "feature", "facility"]))
+    styled = Outline(tokens, outline).classed(["amenity", "amenities", "feature", "facility"])
     return F.transform(styled, lambda o: element_text(tokens, o))
 
 
-def address_text_near_h1(tokens: Column) -> Column:
+def address_text_near_h1(tokens: Column, outline: Column | None = None) -> Column:
     """Text of the first of five elements after the `h1` that looks like an address."""
-    start = first_element(tokens, ("tag", "h1"))["end"]
+    start = first_element(tokens, ("tag", "h1"), outline)["end"]
     state = F.struct(start.alias("at"), F.lit(None).cast("string").alias("hit"))
 
     def step(acc, _):
         def look(n: Column) -> Column:
             text = F.when(~n["close"], element_text(tokens, n, lines_of))
             end = F.when(~n["close"], n["end"])
-            return F.struct(end.alias("at"), F.when(text.rlike(vocab.ADDRESS_NEAR_TITLE), text).alias("hit"))
+            return F.struct(end.alias("at"), let(text, lambda x: F.when(x.rlike(vocab.ADDRESS_NEAR_TITLE), x)).alias("hit"))
 
         return F.when(acc["hit"].isNotNull() | acc["at"].isNull(), acc).otherwise(let(next_tag(tokens, acc["at"]), look))
 
@@ -674,18 +839,18 @@ def address_text_near_h1(tokens: Column) -> Column:
 
 
 @over_tokens
-def address_near_h1(tokens: Column) -> Column:
+def address_near_h1(tokens: Column, outline: Column | None = None) -> Column:
     """`{full_address, city, state, zipcode, county, nearby_university}`."""
 
     def parts(t: Column) -> Column:
-        fallback = select_text(tokens, [("attr:itemprop", "address"), ("class*", "address")], lines_of)
+        fallback = select_text(tokens, [("attr:itemprop", "address"), ("class*", "address")], lines_of, outline)
         cut = t
         for tail in vocab.ADDRESS_TAILS:
             cut = F.regexp_replace(cut, tail, "")
         found = [strip_ws(grab(t, pattern, group)).alias(field) for field, (pattern, group) in vocab.TITLE_ADDRESS.items()]
         return F.struct(F.coalesce(null_if_empty(strip_ws(cut)), fallback).alias("full_address"), *found)
 
-    return let(address_text_near_h1(tokens), parts)
+    return let(address_text_near_h1(tokens, outline), parts)
 
 
 # ---- photos ---------------------------------------------------------------------------------
@@ -708,7 +873,7 @@ def _source(attrs: Column, names) -> Column:
     return F.coalesce(*[_filled(attr(attrs, a)) for a in names])
 
 
-def images(tokens: Column) -> Column:
+def images(tokens: Column, outline: Column | None = None) -> Column:
     """Every image as `{pos, source, plain, alt, tiny, href}`; `href` is that of the link around it, unless that is a script or a fragment."""
 
     def rows(last_link: Column) -> Column:
@@ -716,44 +881,61 @@ def images(tokens: Column) -> Column:
             side = lambda name: F.regexp_substr(attr(t["attrs"], name), F.lit(r"^\d+")).try_cast("int")
             tiny = F.exists(F.array(side("width"), side("height")), lambda x: F.coalesce(x.between(1, vocab.MIN_IMAGE_SIDE - 1), F.lit(False)))
             link = let(F.get(tokens, F.nullif(F.get(last_link, t["pos"]), F.lit(-1))), lambda a: F.when(a["end"] > t["pos"], strip_ws(attr(a["attrs"], "href"))))
-            return F.struct(
-                t["pos"].alias("pos"), _source(t["attrs"], vocab.IMAGE_SOURCES).alias("source"), _source(t["attrs"], vocab.IMAGE_SOURCES[:2]).alias("plain"),
+            rest = lambda plain: F.coalesce(plain, _source(t["attrs"], vocab.IMAGE_SOURCES[2:]))
+            return let(_source(t["attrs"], vocab.IMAGE_SOURCES[:2]), lambda plain: F.struct(
+                t["pos"].alias("pos"), rest(plain).alias("source"), plain.alias("plain"),
                 attr(t["attrs"], "alt").alias("alt"), tiny.alias("tiny"), let(link, lambda h: F.when((h != "") & ~h.rlike("^(javascript:|#)"), h)).alias("href"),
-            )
+            ))
+
+        return F.transform(there.hits(("tag", "img")), row)
+
+    there = Outline(tokens, outline)
+    return let(let(there.named("a"), lambda p: last_value(F.size(tokens), p, p)), rows)
+
+
+def _bound(body, *values: Column) -> Column:
+    """`let` for several values at once. The analyzer takes a turn per level of lambdas and has a hundred turns."""
+    names = [f"v{i}" for i in range(len(values))]
+    return let(F.struct(*[v.alias(n) for n, v in zip(names, values)]), lambda x: body(*[x[n] for n in names]))
 
-        return F.transform(F.filter(tokens, lambda t: matches(t, ("tag", "img"))), row)
 
-    at = F.transform(F.filter(tokens, lambda t: matches(t, ("tag", "a"))), lambda t: t["pos"])
-    return let(let(at, lambda p: last_value(F.size(tokens), p, p)), rows)
+def _in_sight(_: Column) -> Column:
+    return F.lit(False)
 
 
-def _within(rows: Column, box: Column, hidden: Column) -> Column:
-    return F.filter(rows, lambda x: (x["pos"] > box["from"]) & (x["pos"] < box["to"]) & ~F.get(hidden, x["pos"]))
+def _within(rows: Column, box: Column, hidden=_in_sight) -> Column:
+    return F.filter(rows, lambda x: (x["pos"] > box["from"]) & (x["pos"] < box["to"]) & ~hidden(x["pos"]))
 
 
-def _boxes(tokens: Column, selectors, hidden: Column) -> Column:
+def _boxes(tokens: Column, selectors, hidden=_in_sight, outline: Column | None = None) -> Column:
     """Per selector the span of the first element that it finds outside hidden parts, or NULL. The selectors are data to one expression."""
 
     def found(hits: Column) -> Column:
-        first = lambda k: first_where(hits, lambda x: F.array_contains(x["kinds"], k) & ~F.get(hidden, x["token"]["pos"]))["token"]
+        first = lambda k: first_where(hits, lambda x: F.array_contains(x["kinds"], k) & ~hidden(x["token"]["pos"]))["token"]
         return F.transform(F.sequence(F.lit(0), F.lit(len(selectors) - 1)), lambda k: let(first(k), lambda o: span(tokens, o)))
 
-    return let(_hits(tokens, selectors), found)
+    return let(_hits(tokens, selectors, outline), found)
 
 
-def _hits(tokens: Column, selectors) -> Column:
+def _hits(tokens: Column, selectors, outline: Column | None = None) -> Column:
     """`{token, kinds}` of the opening tags that any selector matches, in page order, with the numbers of those that do. Only tags that
     can match, by name or because they have attributes, are compared with every selector."""
     conditions = [s if isinstance(s, list) else [s] for s in selectors]
     tags = [one[0][1] for one in conditions if all(kind == "tag" for kind, _ in one)]
     able = lambda t: ~t["close"] & (F.contains(t["attrs"], F.lit("=")) | t["tag"].isin(*tags) if tags else F.contains(t["attrs"], F.lit("=")))
     kinds = lambda t: F.array_compact(F.array(*[F.when(matches(t, s), F.lit(k)) for k, s in enumerate(selectors)]))
-    compared = F.transform(F.filter(tokens, able), lambda t: F.struct(t.alias("token"), kinds(t).alias("kinds")))
+    candidates = F.filter(tokens, able)
+    if outline is not None and not tags:
+        # attributes that hold none of the values match nothing, unless they spell them with character references
+        spelled = "|".join(["&", *dict.fromkeys(re.escape(value) for one in conditions for _, value in one)])
+        candidates = F.transform(F.filter(outline["marked"], lambda x: x["attrs"].rlike(spelled)), lambda x: F.get(tokens, x["at"]))
+    compared = F.transform(candidates, lambda t: F.struct(t.alias("token"), kinds(t).alias("kinds")))
     return F.filter(compared, lambda x: F.size(x["kinds"]) > 0)
 
 
-def _foreign(tokens: Column, classes, itself: bool = True) -> Column:
-    return covered(tokens, F.transform(tokens, lambda t: F.coalesce(~t["close"], F.lit(False)) & _any_class(t, classes)), itself)
+def _foreign(tokens: Column, classes, outline: Column | None = None) -> Column:
+    """How far sections of some classes reach, as `reaches`."""
+    return reaches(tokens, Outline(tokens, outline).classed(classes))
 
 
 def _first_gallery(galleries: Column, result: str) -> Column:
@@ -767,15 +949,12 @@ def _first_gallery(galleries: Column, result: str) -> Column:
 
 
 @over_tokens
-def photos_from_html(tokens: Column) -> Column:
+def photos_from_html(tokens: Column, outline: Column | None = None) -> Column:
     """Photo URLs of the first gallery on the rendered page that yields any; sections about other ads are left out. A link around an
     image leads to the large photo; background images count."""
 
-    def of(shots: Column, hidden: Column) -> Column:
-        styled = F.transform(
-            F.filter(tokens, lambda t: ~t["close"] & F.contains(F.lower(t["attrs"]), F.lit("style")) & F.contains(attr(t["attrs"], "style"), F.lit("background-image"))),
-            lambda t: F.struct(t["pos"].alias("pos"), grab(attr(t["attrs"], "style"), vocab.BACKGROUND_URL).alias("url")),
-        )
+    def of(shots: Column, foreign: Column, styled: Column) -> Column:
+        hidden = lambda pos: reached(foreign, pos)
 
         def photo(x: Column) -> Column:
             good = ~x["tiny"] & ~image_reject(x["source"], x["alt"], pattern=vocab.IMAGE_REJECT_LIVE, alt_pattern=vocab.IMAGE_REJECT_LIVE_ALT)
@@ -792,49 +971,62 @@ def photos_from_html(tokens: Column) -> Column:
             urls = F.filter(F.concat(paired, back), lambda u: u.isNotNull() & ~u.startswith("data:"))
             return F.when(box.isNotNull(), F.struct(urls.alias("urls"), n.alias("n")))
 
-        return _first_gallery(F.transform(_boxes(tokens, vocab.GALLERIES, hidden), in_box), "array<string>")
+        return _first_gallery(F.transform(_boxes(tokens, vocab.GALLERIES, hidden, outline), in_box), "array<string>")
 
-    return let(images(tokens), lambda shots: let(_foreign(tokens, vocab.FOREIGN_SECTIONS), lambda hidden: of(shots, hidden)))
+    backed = F.transform(
+        F.filter(Outline(tokens, outline).marked, lambda x: F.contains(F.lower(x["attrs"]), F.lit("style")) & F.contains(attr(x["attrs"], "style"), F.lit("background-image"))),
+        lambda x: F.struct(x["at"].alias("pos"), grab(attr(x["attrs"], "style"), vocab.BACKGROUND_URL).alias("url")),
+    )
+    foreign = _foreign(tokens, vocab.FOREIGN_SECTIONS, outline)
+    return _bound(of, images(tokens, outline), foreign, backed)
 
 
 @over_tokens
-def photos_static(tokens: Column) -> Column:
+def photos_static(tokens: Column, outline: Column | None = None) -> Column:
     """Photos `{index, url, alt}` of the first gallery in the page source that yields any: the rule for ads without a photo list."""
 
-    def of(shots: Column, hidden: Column) -> Column:
+    def of(shots: Column, far: Column) -> Column:
+        hidden = lambda pos: reached(far, pos, itself=False)
         good = lambda x: ~image_reject(x["source"], x["alt"], pattern=vocab.IMAGE_REJECT_STATIC, alt_pattern=vocab.IMAGE_REJECT_STATIC_ALT)
-        nothing_hidden = F.transform(tokens, lambda t: F.lit(False))
 
         def in_box(box: Column) -> Column:
             kept = F.filter(_within(shots, box, hidden), good)
             rows = F.transform(kept, lambda x, i: F.struct(i.cast("int").alias("index"), x["source"].alias("url"), null_if_empty(x["alt"]).alias("alt")))
             return F.when(box.isNotNull(), F.struct(rows.alias("urls"), F.size(rows).alias("n")))
 
-        return _first_gallery(F.transform(_boxes(tokens, vocab.GALLERIES[: vocab.N_STATIC_GALLERIES], nothing_hidden), in_box), PHOTO)
+        return _first_gallery(F.transform(_boxes(tokens, vocab.GALLERIES[: vocab.N_STATIC_GALLERIES], outline=outline), in_box), PHOTO)
+
+    there = Outline(tokens, outline)
 
-    cards = lambda: marks(tokens, (("class*", "carousel-item"), INSIDE, ("class*", "card")))
-    foreign = F.zip_with(tokens, cards(), lambda t, card: card | (F.coalesce(~t["close"], F.lit(False)) & _any_class(t, vocab.FOREIGN_SECTIONS)))
-    return let(images(tokens), lambda shots: let(covered(tokens, foreign, itself=False), lambda hidden: of(shots, hidden)))
+    def foreign(slides: Column) -> Column:
+        # cards of a carousel and sections about other ads
+        other = lambda x: (F.contains(x["cls"], F.lit("card")) & reached(slides, x["at"], itself=False)) | x["cls"].rlike("|".join(vocab.FOREIGN_SECTIONS))
+        return reaches(tokens, F.transform(F.filter(there.styled, other), lambda x: F.get(tokens, x["at"])))
+
+    hidden = let(reaches(tokens, there.hits(("class*", "carousel-item"))), foreign)
+    return _bound(of, images(tokens, outline), hidden)
 
 
 @over_tokens
-def photos_of_details(tokens: Column, photo_path: str = "") -> Column:
+def photos_of_details(tokens: Column, photo_path: str = "", outline: Column | None = None) -> Column:
     """Photo URLs of the site's own photo block: marked images, images in figures with the links around them, and, with the path of the
     site's photo store, links to it and images of an opened viewer. Only without any of these, other galleries."""
 
-    def of(shots: Column, hidden: Column, figured: Column) -> Column:
-        nothing_hidden = F.transform(tokens, lambda t: F.lit(False))
+    there = Outline(tokens, outline)
+
+    def of(shots: Column, foreign: Column, figures: Column) -> Column:
+        hidden = lambda pos: reached(foreign, pos)
         good = lambda urls: F.array_distinct(F.filter(urls, lambda u: ~image_reject(u, pattern=vocab.IMAGE_REJECT_DETAILS)))
 
         def own(box: Column) -> Column:
-            here = _within(shots, box, nothing_hidden)
+            here = _within(shots, box)
             marked = F.transform(
                 F.filter(here, lambda x: F.coalesce(attr(F.get(tokens, x["pos"])["attrs"], "itemprop") == "photo", F.lit(False))), lambda x: x["plain"]
             )
-            framed = F.flatten(F.transform(F.filter(here, lambda x: F.get(figured, x["pos"])), lambda x: F.array(x["source"], x["href"])))
+            framed = F.flatten(F.transform(F.filter(here, lambda x: reached(figures, x["pos"], itself=False)), lambda x: F.array(x["source"], x["href"])))
             stored = F.array().cast("array<string>")
             if photo_path:
-                links = F.filter(tokens, lambda t: (t["pos"] > box["from"]) & (t["pos"] < box["to"]) & matches(t, ("tag", "a")))
+                links = _within(there.hits(("tag", "a")), box)
                 stored = F.filter(F.transform(links, lambda a: attr(a["attrs"], "href")), lambda u: F.contains(u, F.lit(photo_path)))
             return F.coalesce(F.concat(marked, framed, stored), F.array().cast("array<string>"))
 
@@ -847,7 +1039,7 @@ def photos_of_details(tokens: Column, photo_path: str = "") -> Column:
                 opened = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(len(vocab.VIEWERS) - 1)), of_viewer))
                 return F.flatten(F.transform(opened, lambda x: shown(x["token"])))
 
-            return F.filter(let(_hits(tokens, vocab.VIEWERS), in_order), lambda u: F.contains(u, F.lit(photo_path)))
+            return F.filter(let(_hits(tokens, vocab.VIEWERS, outline), in_order), lambda u: F.contains(u, F.lit(photo_path)))
 
         def shown(o: Column) -> Column:
             inner = F.filter(shots, lambda x: ((x["pos"] > o["pos"]) & (x["pos"] < o["end"])) | ((x["pos"] == o["pos"]) & (o["tag"] == "img")))
@@ -857,13 +1049,14 @@ def photos_of_details(tokens: Column, photo_path: str = "") -> Column:
             urls = good(F.transform(_within(shots, box, hidden), lambda x: x["source"]))
             return F.when(box.isNotNull(), F.struct(urls.alias("urls"), F.size(urls).alias("n")))
 
-        block = first_where(_boxes(tokens, vocab.GALLERIES[:2], nothing_hidden), lambda b: b.isNotNull())
+        block = first_where(_boxes(tokens, vocab.GALLERIES[:2], outline=outline), lambda b: b.isNotNull())
         first = let(let(block, lambda b: F.when(b.isNotNull(), own(b)).otherwise(F.array().cast("array<string>"))), lambda a: good(F.concat(a, viewed())))
-        other = _first_gallery(F.transform(_boxes(tokens, vocab.DETAIL_GALLERIES, hidden), in_box), "array<string>")
+        other = _first_gallery(F.transform(_boxes(tokens, vocab.DETAIL_GALLERIES, hidden, outline), in_box), "array<string>")
         return let(first, lambda f: F.when(F.size(f) > 0, f).otherwise(other))
 
-    figures = covered(tokens, F.transform(tokens, lambda t: matches(t, ("tag", "figure"))), itself=False)
-    return let(images(tokens), lambda s: let(_foreign(tokens, vocab.FOREIGN_TO_DETAILS), lambda h: let(figures, lambda f: of(s, h, f))))
+    figures = reaches(tokens, there.hits(("tag", "figure")))
+    foreign = _foreign(tokens, vocab.FOREIGN_TO_DETAILS, outline)
+    return _bound(of, images(tokens, outline), foreign, figures)
 
 
 def photos_merge(json_urls: Column, page_urls: Column) -> Column:

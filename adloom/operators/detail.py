@@ -200,9 +200,10 @@ def page_into_record(records: DataFrame) -> DataFrame:
     """Records with what the rendered page adds: the description if it reads better there, the poster, photos of its gallery and of its
     linked data. Needs `tokens, page_text, ld_photos`, which it drops."""
     tokens = F.col("tokens")
-    overview = P.strip_quick_facts(H.overview_pick(tokens, H.OVERVIEW_LIVE, 20, below_heading=False))
-    posted = H.posted_by_cascade(tokens, F.col("page_text"))
-    shown = F.array_distinct(F.concat(H.photos_from_html(tokens), F.col("ld_photos")))
+    outline = F.col("outline") if "outline" in records.columns else None
+    overview = P.strip_quick_facts(H.overview_pick(tokens, H.OVERVIEW_LIVE, 20, below_heading=False, outline=outline))
+    posted = H.posted_by_cascade(tokens, F.col("page_text"), outline)
+    shown = F.array_distinct(F.concat(H.photos_from_html(tokens, outline), F.col("ld_photos")))
     own = F.col("photos")
 
     def added(urls: Column) -> Column:
@@ -219,16 +220,16 @@ def page_into_record(records: DataFrame) -> DataFrame:
             "poster": F.struct(null_if_empty(F.col("_posted")).alias("display_name")),
         }
     )
-    return step.drop("tokens", "page_text", "ld_photos", "_overview", "_posted", "_shown")
+    return step.drop("tokens", "outline", "page_text", "ld_photos", "_overview", "_posted", "_shown")
 
 
 def detail_records(joined: DataFrame, site: SiteProfile, geo: GeoTables | None = None, details: bool = True, mask: bool = True) -> DataFrame:
     """Rows `page_id, url, html, scraped_at, bodies` to ad records; see `extract_detail_pages`."""
     html = F.col("html")
     rows = joined.select(
-        "page_id", "url", "scraped_at", page_layers(html, F.col("bodies")).alias("raw"), H.html_tokens(html).alias("tokens"),
+        "page_id", "url", "scraped_at", page_layers(html, F.col("bodies")).alias("raw"), H.outlined_tokens(html).alias("page"),
         H.page_text(html).alias("page_text"), J.photos_from_ld(J.json_ld(html)).alias("ld_photos"),
-    )
+    ).select("page_id", "url", "scraped_at", "raw", "page.tokens", "page.outline", "page_text", "ld_photos")
     records = settled(R.rec_ad(settled(with_layered_ad(settled(rows))), site, read=LAYERED))
     if details:
         read = R.rec_scraped_details(records.withColumn("url", F.col("source_url")), site, mask=mask)

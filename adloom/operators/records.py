@@ -1,7 +1,7 @@
 """Ad records out of page JSON and page tokens: alias-driven projections, no shuffles.
 
 Input rows carry `url`, `raw` (VARIANT, the merged JSON of a page) and, where a page is at hand,
-`tokens`, `page_text` and `html`. `with_ad_node` adds the ad object and its nested objects once; every
+`tokens` (with their `outline`, which spares readers a pass), `page_text` and `html`. `with_ad_node` adds the ad object and its nested objects once; every
 section is then a struct of path lookups.
 """
 
@@ -17,7 +17,7 @@ from adloom.functions import jsonx as J
 from adloom.functions import pagetext as P
 from adloom.functions import vocab
 from adloom.functions.address import with_parsed_address
-from adloom.functions.text import first_where
+from adloom.functions.text import first_where, let
 from adloom.functions.urls import SiteProfile, ad_id_from_url
 
 
@@ -108,9 +108,9 @@ def rec_preferences(read: Merged = MERGED) -> Column:
     return F.struct(resolve_aliases(A.PREFERENCES, read).alias("p"), raw).withField("p.raw_preferences", raw)["p"]
 
 
-def rec_metadata(tokens: Column | None = None, read: Merged = MERGED) -> Column:
+def rec_metadata(tokens: Column | None = None, read: Merged = MERGED, outline: Column | None = None) -> Column:
     def meta(selector: tuple[str, str], attribute: str) -> Column:
-        return F.lit(None).cast("string") if tokens is None else H.select_attr(tokens, [selector], attribute)
+        return F.lit(None).cast("string") if tokens is None else H.select_attr(tokens, [selector], attribute, outline)
 
     fields = [_value(a, A.DEFAULTS.get(f), read).alias(f) for f, a in A.METADATA.items()]
     return F.struct(
@@ -153,23 +153,24 @@ PROSE = [("class", "ad-description"), ("class", "description"), ("class*", "desc
 ADDRESSES = [("attr:itemprop", "address"), ("class", "address"), ("class*", "address")]
 
 
-def rec_photos(tokens: Column | None = None, read: Merged = MERGED) -> Column:
+def rec_photos(tokens: Column | None = None, read: Merged = MERGED, outline: Column | None = None) -> Column:
     """Photos of the ad object's first photo list, else of the page source's first gallery."""
     photos = read.photos()
-    return photos if tokens is None else F.when(F.size(photos) > 0, photos).otherwise(H.photos_static(tokens))
+    return photos if tokens is None else let(photos, lambda own: F.when(F.size(own) > 0, own).otherwise(H.photos_static(tokens, outline)))
 
 
-def rec_amenities(tokens: Column | None = None, read: Merged = MERGED) -> Column:
+def rec_amenities(tokens: Column | None = None, read: Merged = MERGED, outline: Column | None = None) -> Column:
     """Amenities of the ad object; without any, the labels that the page styles as such."""
-    return read.amenities(None if tokens is None else H.amenity_labels(tokens))
+    return read.amenities(None if tokens is None else H.amenity_labels(tokens, outline))
 
 
 def rec_ad(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", read: Merged = MERGED) -> DataFrame:
     """The ad record: eight sections plus id, source URL and scrape time. Whatever else `df` has in the way of page columns stays."""
     tokens = F.col("tokens") if "tokens" in df.columns else None
-    shown = lambda selectors: None if tokens is None else H.select_text(tokens, selectors)
+    outline = F.col("outline") if "outline" in df.columns else None
+    shown = lambda selectors: None if tokens is None else H.select_text(tokens, selectors, outline=outline)
     located = with_location(df, address_fallback=shown(ADDRESSES), read=read)
-    keep = [c for c in ("page_id", "html", "tokens", "page_text", "ld_photos") if c in df.columns]
+    keep = [c for c in ("page_id", "html", "tokens", "outline", "page_text", "ld_photos") if c in df.columns]
     return located.select(
         *keep,
         rec_ad_id(site, read).alias("ad_id"),
@@ -179,10 +180,10 @@ def rec_ad(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", rea
         rec_description(shown(PROSE), read).alias("description"),
         rec_availability(read).alias("availability"),
         "location",
-        rec_photos(tokens, read).alias("photos"),
-        rec_amenities(tokens, read).alias("amenities"),
+        rec_photos(tokens, read, outline).alias("photos"),
+        rec_amenities(tokens, read, outline).alias("amenities"),
         rec_preferences(read).alias("preferences"),
-        rec_metadata(tokens, read).alias("metadata"),
+        rec_metadata(tokens, read, outline).alias("metadata"),
         rec_privacy(read).alias("privacy"),
     )
 
@@ -197,20 +198,22 @@ _FACT_FIELDS = [
 def rec_scraped_details(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", mask: bool = True) -> DataFrame:
     """Adds `details`, the record read from the printed page: NULL and [] where the page says nothing.
 
-    Needs `url, tokens, page_text`. Intermediate structs are columns of their own, so nothing is scanned twice.
+    Needs `url, tokens, page_text`; takes `outline` where it is there. Intermediate structs are columns of their own, so nothing is scanned twice.
     """
     tokens, text = F.col("tokens"), F.col("page_text")
-    step = df.withColumns(
+    outline = F.col("outline") if "outline" in df.columns else None
+    section = lambda heading: H.section_items(tokens, heading, F.col("_headings"))
+    step = df.withColumn("_headings", H.section_headings(tokens, outline)).withColumns(
         {
-            "_grid": H.grid_fields(H.label_value_grid(tokens)),
-            "_overview": H.overview_pick(tokens),
+            "_grid": H.grid_fields(H.label_value_grid(tokens, outline)),
+            "_overview": H.overview_pick(tokens, outline=outline),
             "_posted": P.posted_line(text),
-            "_near": H.address_near_h1(tokens),
-            "_info": H.section_items(tokens, r"^additional\s+info"),
-            "_prefs": H.section_items(tokens, r"^tenant\s+pref"),
-            "_photos": H.photos_of_details(tokens, site.photo_path),
+            "_near": H.address_near_h1(tokens, outline),
+            "_info": section(r"^additional\s+info"),
+            "_prefs": section(r"^tenant\s+pref"),
+            "_photos": H.photos_of_details(tokens, site.photo_path, outline),
             "_contact": P.contacts(text, mask),
-            "_hoods": P.neighborhood_names(text, H.neighborhood_links(tokens)),
+            "_hoods": P.neighborhood_names(text, H.neighborhood_links(tokens, outline)),
         }
     ).withColumn("_facts", P.quick_facts(F.col("_overview")))
     step = with_parsed_address(step.withColumn("_full", F.col("_near.full_address")), "_full", "_parsed")
@@ -226,7 +229,7 @@ def rec_scraped_details(df: DataFrame, site: SiteProfile, scraped_at: str = "scr
     details = F.struct(
         site_id.alias("ad_id"),
         F.col("url").alias("source_url"),
-        H.select_text(tokens, [("tag", "h1"), ("class*", "ad-title"), ("class*", "listing-title")]).alias("title"),
+        H.select_text(tokens, [("tag", "h1"), ("class*", "ad-title"), ("class*", "listing-title")], outline=outline).alias("title"),
         F.col("_grid.ad_type").alias("ad_type"),
         F.col("_grid.property_category").alias("property_category"),
         *[fact(f).alias(f) for f in _FACT_FIELDS],
@@ -243,11 +246,11 @@ def rec_scraped_details(df: DataFrame, site: SiteProfile, scraped_at: str = "scr
             F.col("_near.nearby_university").alias("nearby_university"),
             F.col("_hoods").alias("nearby_neighborhoods"),
         ).alias("address"),
-        H.section_items(tokens, "^amenities$").alias("amenities"),
-        H.section_items(tokens, "^utilities$").alias("utilities"),
+        section("^amenities$").alias("amenities"),
+        section("^utilities$").alias("utilities"),
         classify_items(F.col("_info"), vocab.ADDITIONAL_INFO).alias("additional_info"),
         classify_items(F.col("_prefs"), vocab.TENANT_PREFS).alias("tenant_preferences"),
-        P.verified_credentials(H.section_items(tokens, r"^verified\s+credential"), text).alias("verified_credentials"),
+        P.verified_credentials(section(r"^verified\s+credential"), text).alias("verified_credentials"),
         F.col("_photos").alias("photos"),
         F.size("_photos").alias("photo_count"),
         F.col("_contact").alias("contact_info"),
