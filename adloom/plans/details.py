@@ -110,4 +110,4 @@ def arriving(spark, d, parts: int = 3):
 def stream_detail_pages(spark, d):
     pages, bodies = arriving(spark, d)
     records = X.stream_detail_pages(pages, bodies, ADS_SITE, "10 minutes", "'5' MINUTE")
-    return shown(X.run_to_files(records, "stream-details")).drop("city", "latitude", "locality", "metro_area")
+    return shown(X.run_to_files(records, "stream-details", state_on_disk=True)).drop("city", "latitude", "locality", "metro_area")

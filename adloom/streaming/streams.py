@@ -6,6 +6,8 @@ Sinks are files or snapshot versions named after the batch, so a replayed batch
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,21 @@ from adloom.sources.tables import accepted_bodies, read_snapshot, write_snapshot
 
 SALTS = 16
 
+# state that holds whole pages outgrows the heap of any executor: it goes to a key-value store on the local disk, of which all stores of an
+# executor together keep a bounded part in memory. A join has one store a part instead of four, blocks are large enough to compress pages
+# well, and rows are not counted, which would cost a read per write
+_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "32",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+}
+
 
 def file_stream(spark: SparkSession, path: str, schema: str, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
@@ -26,14 +43,29 @@ def file_stream(spark: SparkSession, path: str, schema: str, pattern: str = "*.p
     return reader.parquet(path)
 
 
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def _finish(writer, checkpoint: str) -> None:
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def append_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Exactly-once append to a parquet directory."""
-    _finish(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
+def append_to_files(stream: DataFrame, path: str, checkpoint: str, state_on_disk: bool = False) -> None:
+    """Exactly-once append to a parquet directory. `state_on_disk` is for streams whose rows wait with all they hold (`join_bodies`); a stream
+    that has a checkpoint goes on with the kind of state that it began with."""
+    # a stream takes its settings along when it starts
+    with _set(stream.sparkSession, _ON_DISK if state_on_disk else {}):
+        _finish(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
 
 
 def stream_dedup(ads: DataFrame, key: str = "ad_id", spread_by: str | None = None, salts: int = SALTS) -> DataFrame:
@@ -134,11 +166,11 @@ def stream_detail_pages(pages: DataFrame, bodies: DataFrame, site: SiteProfile,
     return detail_records(rows, site, geo, details)
 
 
-def run_to_files(stream: DataFrame, name: str) -> DataFrame:
+def run_to_files(stream: DataFrame, name: str, state_on_disk: bool = False) -> DataFrame:
     """Run a stream into a new parquet directory and return that as a table."""
     spark = stream.sparkSession
     path = new_table_path(spark, name)
-    append_to_files(stream, path, path + "-checkpoint")
+    append_to_files(stream, path, path + "-checkpoint", state_on_disk)
     return spark.read.schema(stream.schema).parquet(path)
 
 
