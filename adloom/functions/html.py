@@ -84,7 +84,8 @@ def decode_entities(c: Column) -> Column:
 
 def visible_html(html: Column) -> Column:
     """HTML without comments, scripts and styles."""
-    return F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
+    # what all begin with stands first, so that other characters cost one comparison
+    return F.regexp_replace(html, r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)", "")
 
 
 TOKENS = "array<struct<pos:int,close:boolean,tag:string,attrs:string,cls:string,text:string,end:int,next:int>>"
@@ -93,18 +94,27 @@ _PIECE = re.compile(r"<[/a-zA-Z][^>]*>|[^<]+|<")
 _TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 _CLASS = re.compile(r"""(?:^|\s)class\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.ASCII | re.IGNORECASE)
 _ENTITY = re.compile(r"&#?[0-9a-zA-Z]+;")
+# attributes of images and of the links around them, as `attr` finds them
+_ATTRS = {
+    name: re.compile(rf"""(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.ASCII | re.IGNORECASE)
+    for name in (*vocab.IMAGE_SOURCES, "alt", "width", "height", "href")
+}
+_DIGITS = re.compile("[0-9]+")
 _VOID = frozenset(VOID_TAGS)
 # what a text is trimmed by, and the line ends after which a pattern still sees the end of the text (`strip_ws`)
 _BLANKS, _LINE_ENDS = " \t\n\x0b\f\r\u00a0\ufeff", ("\x85", "\u2028", "\u2029")
 _FIELDS = [("pos", pa.int32()), ("close", pa.bool_()), *[(f, pa.string()) for f in ("tag", "attrs", "cls", "text")], ("end", pa.int32()), ("next", pa.int32())]
+_IMAGE = [("pos", pa.int32()), *[(f, pa.string()) for f in ("source", "plain", "alt")], ("tiny", pa.bool_()), ("href", pa.string())]
 
 
+IMAGES = "array<struct<pos:int,source:string,plain:string,alt:string,tiny:boolean,href:string>>"
 OUTLINE = "struct<names:array<string>,styled:array<struct<at:int,cls:string>>,marked:array<struct<at:int,attrs:string>>,texts:array<struct<at:int,text:string>>>"
 
 
 def _tokenizer(outlined: bool = False):
-    """The function from pages to tokens, or to tokens and their `Outline`. It holds its helpers, so that workers need not have this package."""
+    """The function from pages to tokens, or to tokens, their `Outline` and their `images`. It holds its helpers, so that workers need not have this package."""
     remembered: dict[str, tuple] = {}
+    plain_sources, other_sources, least_side = vocab.IMAGE_SOURCES[:2], vocab.IMAGE_SOURCES[2:], vocab.MIN_IMAGE_SIDE
 
     def entity(found: re.Match) -> str:
         piece = found[0]
@@ -137,12 +147,32 @@ def _tokenizer(outlined: bool = False):
             remembered[piece] = read
         return read
 
+    def attribute(attrs: str, lowered: str, name: str) -> str | None:
+        found = _ATTRS[name].search(attrs) if name in lowered else None
+        return None if found is None else decoded(found[1][1:-1] if found[1][0] in "\"'" else found[1])
+
+    def small(side: str | None) -> bool:
+        digits = _DIGITS.match(side or "")
+        significant = digits[0].lstrip("0") if digits else ""
+        return 0 < len(significant) < 10 and int(significant) < least_side
+
+    def image(pos: int, attrs: str, link: str | None) -> tuple:
+        """A row of `images`; `link` are the attributes of the link around the image."""
+        lowered = attrs.lower()
+        first = lambda names: next(filter(None, (attribute(attrs, lowered, n) for n in names)), None)
+        plain = first(plain_sources)
+        tiny = any(small(attribute(attrs, lowered, side)) for side in ("width", "height"))
+        href = None if link is None else attribute(link, link.lower(), "href")
+        href = None if href is None else trimmed(href)
+        leads = href and not href.startswith(("javascript:", "#"))
+        return pos, plain or first(other_sources), plain, attribute(attrs, lowered, "alt"), tiny, href if leads else None
+
     def read_page(html: str, columns: list[list], lists: list[tuple[list, list, list]]) -> None:
-        """Appends the tokens of one page to the columns of `TOKENS`, and what stands where to the lists of `OUTLINE`. An opening tag waits in
-        the list of its name until the closing tag of that name; a page is read once, so its cost is that of its length."""
-        first, waiting, untagged = len(columns[0]), {}, 0
+        """Appends the tokens of one page to the columns of `TOKENS`, and what stands where to the lists of `OUTLINE` and of `IMAGES`. An opening tag
+        waits in the list of its name until the closing tag of that name; a page is read once, so its cost is that of its length."""
+        first, waiting, untagged, seen, link = len(columns[0]), {}, 0, [], None
         close_, tag_, attrs_, cls_, text_, end_, next_ = columns[1:]
-        (names_,), (styled_at, styled), (marked_at, marked), (texts_at, texts) = lists
+        (names_,), (styled_at, styled), (marked_at, marked), (texts_at, texts), images_ = lists
         pieces = _PIECE.findall(html)
         end_.extend(range(len(pieces)))
         for pos, piece in enumerate(pieces):
@@ -176,6 +206,10 @@ def _tokenizer(outlined: bool = False):
                 if not close and "=" in attrs:
                     marked_at.append(pos)
                     marked.append(attrs)
+                if not close and tag == "a":
+                    link = pos
+                elif not close and tag == "img":
+                    seen.append((pos, attrs, link))
             if tag in _VOID:
                 continue
             opened = waiting.setdefault(tag, [])
@@ -188,10 +222,14 @@ def _tokenizer(outlined: bool = False):
         for opened in waiting.values():
             for pos in opened:
                 end_[first + pos] = len(pieces)
+        for pos, attrs, link in seen:
+            around = link is not None and end_[first + link] > pos
+            for values, value in zip(images_, image(pos, attrs, attrs_[first + link] if around else None)):
+                values.append(value)
 
     def listed(pages: list) -> pa.Array:
         offsets, columns = [], [[] for _ in _FIELDS]
-        lists = ([],), ([], []), ([], []), ([], [])
+        lists = ([],), ([], []), ([], []), ([], []), tuple([] for _ in _IMAGE)
         begins = [[] for _ in lists]
         for html in pages:
             offsets.append(None if html is None else len(columns[0]))
@@ -205,15 +243,17 @@ def _tokenizer(outlined: bool = False):
         if not outlined:
             return tokens
         parts = []
-        for begin, values, name in zip(begins, lists, (None, "cls", "attrs", "text")):
+        for begin, values, name in zip(begins[:4], lists, (None, "cls", "attrs", "text")):
             entries = pa.array(values[-1], pa.string())
             if name:
                 entries = pa.StructArray.from_arrays([pa.array(values[0], pa.int32()), entries], names=["at", name])
             parts.append(pa.ListArray.from_arrays(pa.array([*begin, len(values[0])], pa.int32()), entries))
         outline = pa.StructArray.from_arrays(parts, names=["names", "styled", "marked", "texts"])
-        return pa.StructArray.from_arrays([tokens, outline], names=["tokens", "outline"])
+        shots = pa.StructArray.from_arrays([pa.array(values, kind) for values, (_, kind) in zip(lists[4], _IMAGE)], names=[name for name, _ in _IMAGE])
+        images = pa.ListArray.from_arrays(pa.array([*begins[4], len(lists[4][0])], pa.int32()), shots)
+        return pa.StructArray.from_arrays([tokens, outline, images], names=["tokens", "outline", "images"])
 
-    @F.arrow_udf(f"struct<tokens:{TOKENS},outline:{OUTLINE}>" if outlined else TOKENS)
+    @F.arrow_udf(f"struct<tokens:{TOKENS},outline:{OUTLINE},images:{IMAGES}>" if outlined else TOKENS)
     def tokens(pages: pa.Array) -> pa.Array:
         # about a megabyte of markup at a time is held as Python objects
         parts, some, size = [], [], 0
@@ -232,9 +272,9 @@ def html_tokens(html: Column) -> Column:
     return _tokenizer()(visible_html(html))
 
 
-def outlined_tokens(html: Column) -> Column:
-    """`{tokens, outline}` of a page, both found in one pass."""
-    return _tokenizer(outlined=True)(visible_html(html))
+def outlined_tokens(html: Column, visible: Column | None = None) -> Column:
+    """`{tokens, outline, images}` of a page, all found in one pass. `visible` is its `visible_html`, where that is at hand."""
+    return _tokenizer(outlined=True)(visible_html(html) if visible is None else visible)
 
 
 class Outline:
@@ -408,10 +448,10 @@ def _filled(c: Column) -> Column:
     return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
 
 
-def page_text(html: Column) -> Column:
+def page_text(html: Column, visible: Column | None = None) -> Column:
     """Page text as a browser would print it: block elements are line breaks, blanks are squeezed."""
-    body = F.regexp_replace(visible_html(html), r"(?is)^.*<body\b[^>]*>|<head\b.*?</head\s*>", "")
-    return _rendered(body)
+    body = F.regexp_replace(visible_html(html) if visible is None else visible, r"(?is)^.*<body\b[^>]*>", "")
+    return _rendered(F.regexp_replace(body, r"(?is)<head\b.*?</head\s*>", ""))
 
 
 def _rendered(fragment: Column) -> Column:
@@ -949,9 +989,9 @@ def _first_gallery(galleries: Column, result: str) -> Column:
 
 
 @over_tokens
-def photos_from_html(tokens: Column, outline: Column | None = None) -> Column:
+def photos_from_html(tokens: Column, outline: Column | None = None, shots: Column | None = None) -> Column:
     """Photo URLs of the first gallery on the rendered page that yields any; sections about other ads are left out. A link around an
-    image leads to the large photo; background images count."""
+    image leads to the large photo; background images count. `shots` are the `images` of the page, where they are at hand."""
 
     def of(shots: Column, foreign: Column, styled: Column) -> Column:
         hidden = lambda pos: reached(foreign, pos)
@@ -978,11 +1018,11 @@ def photos_from_html(tokens: Column, outline: Column | None = None) -> Column:
         lambda x: F.struct(x["at"].alias("pos"), grab(attr(x["attrs"], "style"), vocab.BACKGROUND_URL).alias("url")),
     )
     foreign = _foreign(tokens, vocab.FOREIGN_SECTIONS, outline)
-    return _bound(of, images(tokens, outline), foreign, backed)
+    return _bound(of, images(tokens, outline) if shots is None else shots, foreign, backed)
 
 
 @over_tokens
-def photos_static(tokens: Column, outline: Column | None = None) -> Column:
+def photos_static(tokens: Column, outline: Column | None = None, shots: Column | None = None) -> Column:
     """Photos `{index, url, alt}` of the first gallery in the page source that yields any: the rule for ads without a photo list."""
 
     def of(shots: Column, far: Column) -> Column:
@@ -1004,11 +1044,11 @@ def photos_static(tokens: Column, outline: Column | None = None) -> Column:
         return reaches(tokens, F.transform(F.filter(there.styled, other), lambda x: F.get(tokens, x["at"])))
 
     hidden = let(reaches(tokens, there.hits(("class*", "carousel-item"))), foreign)
-    return _bound(of, images(tokens, outline), hidden)
+    return _bound(of, images(tokens, outline) if shots is None else shots, hidden)
 
 
 @over_tokens
-def photos_of_details(tokens: Column, photo_path: str = "", outline: Column | None = None) -> Column:
+def photos_of_details(tokens: Column, photo_path: str = "", outline: Column | None = None, shots: Column | None = None) -> Column:
     """Photo URLs of the site's own photo block: marked images, images in figures with the links around them, and, with the path of the
     site's photo store, links to it and images of an opened viewer. Only without any of these, other galleries."""
 
@@ -1056,7 +1096,7 @@ def photos_of_details(tokens: Column, photo_path: str = "", outline: Column | No
 
     figures = reaches(tokens, there.hits(("tag", "figure")))
     foreign = _foreign(tokens, vocab.FOREIGN_TO_DETAILS, outline)
-    return _bound(of, images(tokens, outline), foreign, figures)
+    return _bound(of, images(tokens, outline) if shots is None else shots, foreign, figures)
 
 
 def photos_merge(json_urls: Column, page_urls: Column) -> Column:

@@ -37,19 +37,20 @@ def json_get_path(v: Column, path: str, as_type: str = "string") -> Column:
     return F.try_variant_get(v, path, as_type)
 
 
-def _first_json(html: Column, patterns: list[str]) -> Column:
-    return F.coalesce(*[json_safe_parse(grab(html, p)) for p in patterns])
+def _first_json(html: Column, name: str, patterns: list[str]) -> Column:
+    """The first match that parses. All patterns hold the name, so pages without it are not searched."""
+    return F.when(F.contains(html, F.lit(name)), F.coalesce(*[let(grab(html, p), json_safe_parse) for p in patterns]))
 
 
 def json_next_data(html: Column) -> Column:
     """Framework state: the body of `script#__NEXT_DATA__`, else an assignment of that name."""
-    return _first_json(html, vocab.NEXT_DATA)
+    return _first_json(html, "__NEXT_DATA__", vocab.NEXT_DATA)
 
 
 def json_window_var(html: Column, name: str) -> Column:
     """Value of `window.<name> = {…};` in any of its spellings. `name` is plain text."""
     quoted = "".join(ch if ch.isalnum() or ch == "_" else "\\" + ch for ch in name)
-    return _first_json(html, [before + quoted + after for before, after in vocab.WINDOW_VAR])
+    return _first_json(html, name, [before + quoted + after for before, after in vocab.WINDOW_VAR])
 
 
 def _parsed(texts: Column) -> Column:

@@ -95,14 +95,15 @@ def objects(members: Column, key: Column) -> Column:
     return F.coalesce(_objects(F.try_element_at(members, key)), F.array().cast(NO_LAYERS))
 
 
-def texts(members: Column, keys: list[str]) -> Column:
-    """Map of the named members (of `by_key`) to their texts, a merged object as JSON."""
+def texts(members: Column, keys: list[str], filled: bool = False) -> Column:
+    """Map of the named members (of `by_key`) to their texts, a merged object as JSON; with `filled`, only of those whose text is not empty."""
 
     def told(c: Column) -> Column:
         v = F.get(c["value"], F.lit(0))
-        return F.struct(c["key"], F.when(is_object(v), merged_json(_objects(c["value"]))).otherwise(F.try_variant_get(v, "$", "string")))
+        return F.struct(c["key"], F.when(is_object(v), merged_json(_objects(c["value"]))).otherwise(F.try_variant_get(v, "$", "string")).alias("text"))
 
-    return F.map_from_entries(F.transform(F.filter(F.map_entries(members), lambda c: c["key"].isin(keys)), told))
+    told_all = F.transform(F.filter(F.map_entries(members), lambda c: c["key"].isin(keys)), told)
+    return F.map_from_entries(F.filter(told_all, lambda x: x["text"] != "") if filled else told_all)
 
 
 def leaves(objs: Column) -> Column:

@@ -35,7 +35,7 @@ class Layered(R.Merged):
         holders, _ = _asked()
         asked = [a.rsplit(".", 1) for a in aliases]
         # one parsed expression instead of a call per alias
-        return F.expr("coalesce(" + ", ".join(f"nullif(try_element_at(texts[{holders.index(h)}], '{name}'), '')" for h, name in asked) + ")")
+        return F.expr("coalesce(" + ", ".join(f"try_element_at(texts[{holders.index(h)}], '{name}')" for h, name in asked) + ")")
 
     def json(self, root: str) -> Column:
         return O.merged_json(F.col(root))
@@ -80,11 +80,12 @@ def bodies_per_page(payloads: DataFrame) -> DataFrame:
     return kept.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(F.col("arrival").cast("bigint").alias("arrival"), "body"))).alias("bodies"))
 
 
-def page_layers(html: Column, bodies: Column) -> Column:
-    """All JSON of a page and its API bodies as layers, the weakest source last (see `vocab.SOURCE_ORDER`); within a source later ones win."""
+def page_layers(html: Column, bodies: Column, linked: Column | None = None) -> Column:
+    """All JSON of a page and its API bodies as layers, the weakest source last (see `vocab.SOURCE_ORDER`); within a source later ones win. `linked`
+    is the page's `json_ld`, where that is at hand."""
     api = F.transform(F.coalesce(bodies, F.array().cast(BODIES)), lambda b: J.json_safe_parse(b["body"]))
     by_source = {
-        "ld": J.json_ld(html), "embedded": J.json_embedded(html), "firebase": F.array(J.json_window_var(html, "__FIREBASE_DATA__")),
+        "ld": J.json_ld(html) if linked is None else linked, "embedded": J.json_embedded(html), "firebase": F.array(J.json_window_var(html, "__FIREBASE_DATA__")),
         "api": api, "initial_state": F.array(J.json_window_var(html, "__INITIAL_STATE__")), "next_data": F.array(J.json_next_data(html)),
     }
     return O.layers(F.reverse(F.concat(*[by_source[s] for s in vocab.SOURCE_ORDER])))
@@ -92,7 +93,7 @@ def page_layers(html: Column, bodies: Column) -> Column:
 
 def with_layered_ad(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds `ad_path`, `ad` and the nested objects `loc, prefs, user, pay, priv`, all as layers, to rows with layers `raw`, and as `texts` per
-    object that the aliases name (in the order of `_asked`) the texts of the members that records ask for."""
+    object that the aliases name (in the order of `_asked`) the texts, but for empty ones, of the members that records ask for."""
     props = "props.pageProps"
     step = df.withColumns({"_props": O.below(F.col(raw), props)}).withColumns({"_in_props": O.by_key(F.col("_props")), "_in_raw": O.by_key(F.col(raw))})
 
@@ -125,7 +126,7 @@ def with_layered_ad(df: DataFrame, raw: str = "raw") -> DataFrame:
     step = step.withColumns({root: nested(keys) for root, keys in A.ROOTS.items()})
     holders, names = _asked()
     objs = [F.col(raw if h == "raw" else h) if "." not in h else O.below(F.col(raw if h.startswith("raw.") else h.split(".")[0]), h.split(".", 1)[1]) for h in holders]
-    return step.withColumn("texts", F.transform(F.array(*objs), lambda o: O.texts(O.by_key(o), names)))
+    return step.withColumn("texts", F.transform(F.array(*objs), lambda o: O.texts(O.by_key(o), names, filled=True)))
 
 
 def unknown_fields(known: list[str], ad: str = "ad") -> Column:
@@ -203,7 +204,8 @@ def page_into_record(records: DataFrame) -> DataFrame:
     outline = F.col("outline") if "outline" in records.columns else None
     overview = P.strip_quick_facts(H.overview_pick(tokens, H.OVERVIEW_LIVE, 20, below_heading=False, outline=outline))
     posted = H.posted_by_cascade(tokens, F.col("page_text"), outline)
-    shown = F.array_distinct(F.concat(H.photos_from_html(tokens, outline), F.col("ld_photos")))
+    shots = F.col("images") if "images" in records.columns else None
+    shown = F.array_distinct(F.concat(H.photos_from_html(tokens, outline, shots), F.col("ld_photos")))
     own = F.col("photos")
 
     def added(urls: Column) -> Column:
@@ -220,16 +222,19 @@ def page_into_record(records: DataFrame) -> DataFrame:
             "poster": F.struct(null_if_empty(F.col("_posted")).alias("display_name")),
         }
     )
-    return step.drop("tokens", "outline", "page_text", "ld_photos", "_overview", "_posted", "_shown")
+    return step.drop("tokens", "outline", "images", "page_text", "ld_photos", "_overview", "_posted", "_shown")
 
 
 def detail_records(joined: DataFrame, site: SiteProfile, geo: GeoTables | None = None, details: bool = True, mask: bool = True) -> DataFrame:
     """Rows `page_id, url, html, scraped_at, bodies` to ad records; see `extract_detail_pages`."""
     html = F.col("html")
-    rows = joined.select(
-        "page_id", "url", "scraped_at", page_layers(html, F.col("bodies")).alias("raw"), H.outlined_tokens(html).alias("page"),
-        H.page_text(html).alias("page_text"), J.photos_from_ld(J.json_ld(html)).alias("ld_photos"),
-    ).select("page_id", "url", "scraped_at", "raw", "page.tokens", "page.outline", "page_text", "ld_photos")
+    # what several readers of the markup ask for is found once
+    read = settled(joined.select("page_id", "url", "scraped_at", "html", "bodies", H.visible_html(html).alias("visible"), J.json_ld(html).alias("ld")))
+    visible, ld = F.col("visible"), F.col("ld")
+    rows = read.select(
+        "page_id", "url", "scraped_at", page_layers(html, F.col("bodies"), ld).alias("raw"), H.outlined_tokens(html, visible).alias("page"),
+        H.page_text(html, visible).alias("page_text"), J.photos_from_ld(ld).alias("ld_photos"),
+    ).select("page_id", "url", "scraped_at", "raw", "page.tokens", "page.outline", "page.images", "page_text", "ld_photos")
     records = settled(R.rec_ad(settled(with_layered_ad(settled(rows))), site, read=LAYERED))
     if details:
         read = R.rec_scraped_details(records.withColumn("url", F.col("source_url")), site, mask=mask)

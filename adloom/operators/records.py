@@ -1,7 +1,7 @@
 """Ad records out of page JSON and page tokens: alias-driven projections, no shuffles.
 
 Input rows carry `url`, `raw` (VARIANT, the merged JSON of a page) and, where a page is at hand,
-`tokens` (with their `outline`, which spares readers a pass), `page_text` and `html`. `with_ad_node` adds the ad object and its nested objects once; every
+`tokens` (with their `outline` and `images`, which spare readers a pass), `page_text` and `html`. `with_ad_node` adds the ad object and its nested objects once; every
 section is then a struct of path lookups.
 """
 
@@ -153,10 +153,10 @@ PROSE = [("class", "ad-description"), ("class", "description"), ("class*", "desc
 ADDRESSES = [("attr:itemprop", "address"), ("class", "address"), ("class*", "address")]
 
 
-def rec_photos(tokens: Column | None = None, read: Merged = MERGED, outline: Column | None = None) -> Column:
+def rec_photos(tokens: Column | None = None, read: Merged = MERGED, outline: Column | None = None, shots: Column | None = None) -> Column:
     """Photos of the ad object's first photo list, else of the page source's first gallery."""
     photos = read.photos()
-    return photos if tokens is None else let(photos, lambda own: F.when(F.size(own) > 0, own).otherwise(H.photos_static(tokens, outline)))
+    return photos if tokens is None else let(photos, lambda own: F.when(F.size(own) > 0, own).otherwise(H.photos_static(tokens, outline, shots)))
 
 
 def rec_amenities(tokens: Column | None = None, read: Merged = MERGED, outline: Column | None = None) -> Column:
@@ -170,7 +170,8 @@ def rec_ad(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", rea
     outline = F.col("outline") if "outline" in df.columns else None
     shown = lambda selectors: None if tokens is None else H.select_text(tokens, selectors, outline=outline)
     located = with_location(df, address_fallback=shown(ADDRESSES), read=read)
-    keep = [c for c in ("page_id", "html", "tokens", "outline", "page_text", "ld_photos") if c in df.columns]
+    keep = [c for c in ("page_id", "html", "tokens", "outline", "images", "page_text", "ld_photos") if c in df.columns]
+    shots = F.col("images") if "images" in df.columns else None
     return located.select(
         *keep,
         rec_ad_id(site, read).alias("ad_id"),
@@ -180,7 +181,7 @@ def rec_ad(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", rea
         rec_description(shown(PROSE), read).alias("description"),
         rec_availability(read).alias("availability"),
         "location",
-        rec_photos(tokens, read, outline).alias("photos"),
+        rec_photos(tokens, read, outline, shots).alias("photos"),
         rec_amenities(tokens, read, outline).alias("amenities"),
         rec_preferences(read).alias("preferences"),
         rec_metadata(tokens, read, outline).alias("metadata"),
@@ -198,10 +199,11 @@ _FACT_FIELDS = [
 def rec_scraped_details(df: DataFrame, site: SiteProfile, scraped_at: str = "scraped_at", mask: bool = True) -> DataFrame:
     """Adds `details`, the record read from the printed page: NULL and [] where the page says nothing.
 
-    Needs `url, tokens, page_text`; takes `outline` where it is there. Intermediate structs are columns of their own, so nothing is scanned twice.
+    Needs `url, tokens, page_text`; takes `outline` and `images` where they are there. Intermediate structs are columns of their own, so nothing is scanned twice.
     """
     tokens, text = F.col("tokens"), F.col("page_text")
     outline = F.col("outline") if "outline" in df.columns else None
+    shots = F.col("images") if "images" in df.columns else None
     section = lambda heading: H.section_items(tokens, heading, F.col("_headings"))
     step = df.withColumn("_headings", H.section_headings(tokens, outline)).withColumns(
         {
@@ -211,7 +213,7 @@ def rec_scraped_details(df: DataFrame, site: SiteProfile, scraped_at: str = "scr
             "_near": H.address_near_h1(tokens, outline),
             "_info": section(r"^additional\s+info"),
             "_prefs": section(r"^tenant\s+pref"),
-            "_photos": H.photos_of_details(tokens, site.photo_path, outline),
+            "_photos": H.photos_of_details(tokens, site.photo_path, outline, shots),
             "_contact": P.contacts(text, mask),
             "_hoods": P.neighborhood_names(text, H.neighborhood_links(tokens, outline)),
         }

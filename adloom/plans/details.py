@@ -39,7 +39,7 @@ _FROM_SOURCES = """CAST(page_id AS VARCHAR) AS ad_id, CASE WHEN bare THEN p_name
 def geo_tables(spark, d):
     """The gazetteer without every third code, stored geocodes for most of all codes, and metro areas by code."""
     zips = fixture(spark, d, "f_zip")
-    stored = fixture(spark, d, "f_geo").select("zip", F.lit("US").alias("country_code"), G.geocode_components(c("components_json"), c("zip")).alias("geo"))
+    stored = fixture(spark, d, "f_geo", dealt_by="c_custkey").select("zip", F.lit("US").alias("country_code"), G.geocode_components(c("components_json"), c("zip")).alias("geo"))
     metros = G.build_zip_msa(zips, zips.select("county", "state_code", "raw_msa").where("raw_msa IS NOT NULL"))
     return D.GeoTables(zips.where("CAST(zip AS INT) % 3 <> 0"), (stored,), None, metros)
 
@@ -55,7 +55,7 @@ def shown(records):
 
 @query("extract_detail_pages", _PARTS + _GEO + f" SELECT page_id, {_FROM_SOURCES}, {_LOCATED} FROM known")
 def extract_detail_pages(spark, d):
-    pages, bodies = fixture(spark, d, "f_detail"), fixture(spark, d, "f_bodies")
+    pages, bodies = fixture(spark, d, "f_detail", dealt_by="p_partkey"), fixture(spark, d, "f_bodies", dealt_by="p_partkey")
     return shown(D.extract_detail_pages(pages, bodies, ADS_SITE, geo_tables(spark, d), F.expr(SCRAPED_AT)))
 
 

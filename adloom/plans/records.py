@@ -313,7 +313,7 @@ def rec_ad(spark, d):
 def details_rows(spark, d):
     df = html_pages(spark, d).withColumn("scraped_at", F.expr("TIMESTAMP_NTZ '2026-06-01 00:00:00'"))
     staged = df.select("page_id", "url", "scraped_at", H.outlined_tokens(c("html")).alias("page"), H.page_text(c("html")).alias("page_text"))
-    return R.rec_scraped_details(staged.select("page_id", "url", "scraped_at", "page.tokens", "page.outline", "page_text"), ADS_SITE)
+    return R.rec_scraped_details(staged.select("page_id", "url", "scraped_at", "page.tokens", "page.outline", "page.images", "page_text"), ADS_SITE)
 
 
 _DETAIL_COLS = """ad_id source_url title ad_type property_category bedrooms bathrooms available_from rent accommodates room_type stay_type accommodation_type

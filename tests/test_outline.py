@@ -41,3 +41,19 @@ def test_readers_agree_with_and_without_outline(spark):
     assert all(r[i] == r[i + 1] for r in got for i in range(0, 10, 2))
     # the ninth closing tag after a label lies beyond the first look; links count inside their block only
     assert [(x.field, x.value) for x in got[0].c0] == [("rent", "$5")] and got[0].c2 == ["Gym"] and got[1].c4 == ["Mid", "Old"]
+
+
+IMAGES = (
+    '<a href=" /big.jpg "><img SRC="/1.jpg" alt="" width="079" height=abc></a><img src="" data-src=\'/2&amp;.jpg\' width="80px">', '<a href="#x"><img data-lazy-src=/3.jpg alt="a &#65; b"/><a><img></a>',
+    '<a HREF="javascript:x"><img  src = "/4.jpg" src="/5.jpg" width="0" height="00000000000000007"></a><img src=/6.jpg width=99999999999999999999 data-original="/7.jpg"></img>',
+    '<a class="b" href="/8 "><p><IMG src="/9.jpg" İsrc="/x.jpg"><img data-src src="it\'s"></p>', '<img src="/10.jpg" width="12 px" height="-5"><a name=href><img src></a>', "<p>none</p>", "", None,
+)
+
+
+def test_images_are_listed_like_those_found_among_the_tokens(spark):
+    t = F.col("t")
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(IMAGES)], "i int, html string").select("i", H.outlined_tokens(F.col("html")).alias("page"), H.html_tokens(F.col("html")).alias("t"))
+    got = rows.select("i", "page.images", H.images(t).alias("found"), H.photos_static(t).alias("a"), H.photos_static(t, F.col("page.outline"), F.col("page.images")).alias("b")).orderBy("i").collect()
+    assert [r.images for r in got] == [r.found for r in got] and [r.a for r in got] == [r.b for r in got]
+    assert [(x.source, x.alt, x.tiny, x.href) for x in got[0].images] == [("/1.jpg", "", True, "/big.jpg"), ("/2&.jpg", None, False, None)]
+    assert got[7].images is None and got[6].images == [] and [x.tiny for x in got[2].images] == [True, False]
