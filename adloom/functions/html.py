@@ -16,6 +16,7 @@ A pass over all tokens is the dear part of a reader, so the same pass can list w
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import wraps
 
 import pyarrow as pa
@@ -253,19 +254,29 @@ def _tokenizer(outlined: bool = False):
         images = pa.ListArray.from_arrays(pa.array([*begins[4], len(lists[4][0])], pa.int32()), shots)
         return pa.StructArray.from_arrays([tokens, outline, images], names=["tokens", "outline", "images"])
 
-    @F.arrow_udf(f"struct<tokens:{TOKENS},outline:{OUTLINE},images:{IMAGES}>" if outlined else TOKENS)
-    def tokens(pages: pa.Array) -> pa.Array:
+    def parts(pages: pa.Array) -> Iterator[pa.Array]:
         # about a megabyte of markup at a time is held as Python objects
-        parts, some, size = [], [], 0
+        some, size = [], 0
         for html in pages:
             some.append(html.as_py())
             size += len(some[-1] or "")
             if size >= 1 << 20:
-                parts.append(listed(some))
+                yield listed(some)
                 some, size = [], 0
-        return pa.concat_arrays([*parts, listed(some)])
+        if some:
+            yield listed(some)
+
+    @F.arrow_udf(TOKENS)
+    def tokens(pages: pa.Array) -> pa.Array:
+        return pa.concat_arrays([listed([]), *parts(pages)])
+
+    # a batch of pages comes back in parts, so that neither side holds what all of it grows into
+    @F.arrow_udf(f"struct<tokens:{TOKENS},outline:{OUTLINE},images:{IMAGES}>")
+    def page(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            yield from parts(pages)
 
-    return tokens
+    return page if outlined else tokens
 
 
 def html_tokens(html: Column) -> Column:

@@ -1,5 +1,6 @@
 """Readers that look at what stands where find what those find that pass over all tokens."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from adloom.functions import html as H
@@ -57,3 +58,10 @@ def test_images_are_listed_like_those_found_among_the_tokens(spark):
     assert [r.images for r in got] == [r.found for r in got] and [r.a for r in got] == [r.b for r in got]
     assert [(x.source, x.alt, x.tiny, x.href) for x in got[0].images] == [("/1.jpg", "", True, "/big.jpg"), ("/2&.jpg", None, False, None)]
     assert got[7].images is None and got[6].images == [] and [x.tiny for x in got[2].images] == [True, False]
+
+
+def test_a_batch_of_pages_comes_back_in_parts():
+    page, pages = H._tokenizer(outlined=True).func, [SHOWN * 1000, None, ODD] * 8
+    parts = list(page(iter([pa.array(pages), pa.array([], pa.string()), pa.array(["<p>"])])))
+    assert [len(p) for p in parts][-1] == 1 and len(parts) > 2 and sum(map(len, parts)) == len(pages) + 1
+    assert pa.concat_arrays(parts).to_pylist() == [next(page(iter([pa.array([h], pa.string())]))).to_pylist()[0] for h in [*pages, "<p>"]]
